@@ -1,0 +1,4 @@
+"""The engine's queries by name, and the SQL that checks them."""
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
