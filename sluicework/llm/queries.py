@@ -14,6 +14,17 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import hit_words, mark
+
+    found = mark(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    hit = hit_words(F.col("spans"))
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"),
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -35,7 +46,7 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op5_packing, op9_token_counts, op10_token_file)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op5_packing, op9_token_counts, op10_token_file)}
 
 #: DuckDB's form of a query, where it can express it.
 ORACLE_SQL: dict[str, str] = {}
