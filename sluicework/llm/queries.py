@@ -25,6 +25,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import jaccard_components
+
+    return jaccard_components(common.table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -46,7 +52,7 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op5_packing, op9_token_counts, op10_token_file)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_jaccard_join, op5_packing, op9_token_counts, op10_token_file)}
 
 #: DuckDB's form of a query, where it can express it.
 ORACLE_SQL: dict[str, str] = {}
