@@ -31,6 +31,15 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(common.table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, held_out, score
+
+    docs = common.table(spark, sf_dir, "documents")
+    model = fit(docs, common.table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"))))
+    rows = score(docs, model, "doc_id")
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -52,7 +61,7 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_jaccard_join, op5_packing, op9_token_counts, op10_token_file)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_jaccard_join, op4_toxicity, op5_packing, op9_token_counts, op10_token_file)}
 
 #: DuckDB's form of a query, where it can express it.
 ORACLE_SQL: dict[str, str] = {}
