@@ -46,6 +46,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(common.table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import joined, personal_data
+
+    found = personal_data(common.table(spark, sf_dir, "documents"), "doc_id")
+    counts = (F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone"))
+    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
 
@@ -61,7 +69,7 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_jaccard_join, op4_toxicity, op5_packing, op9_token_counts, op10_token_file)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_jaccard_join, op4_toxicity, op5_packing, op8_personal_data, op9_token_counts, op10_token_file)}
 
 #: DuckDB's form of a query, where it can express it.
 ORACLE_SQL: dict[str, str] = {}
