@@ -332,7 +332,7 @@ def personal_data(docs: DataFrame, *keep: str, field: Field | None = None) -> Da
     common.ship(docs.sparkSession)
     keep = tuple(c for c in keep if c not in ("text", "base", "spans"))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row"), "text")
-    out = T.StructType(rows.schema.fields).add("base", _SPANS).add("spans", _SPANS)
+    out = T.StructType(list(rows.schema.fields)).add("base", _SPANS).add("spans", _SPANS)
     return rows.mapInArrow(_found(field or default_field()), out).select(*(F.col(f"_row.`{c}`").alias(c) for c in keep), "text", "base", "spans")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -50,8 +50,11 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import joined, personal_data
 
     found = personal_data(common.table(spark, sf_dir, "documents"), "doc_id")
-    counts = (F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone"))
-    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, ("email", "ip", "card", "phone")), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
