@@ -46,6 +46,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(common.table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .main_text import main_text
+
+    found = main_text(common.table(spark, sf_dir, "pages"), "page_id", "url")
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import joined, personal_data
 
@@ -72,7 +79,7 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_jaccard_join, op4_toxicity, op5_packing, op8_personal_data, op9_token_counts, op10_token_file)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_jaccard_join, op4_toxicity, op5_packing, op7_main_text, op8_personal_data, op9_token_counts, op10_token_file)}
 
 #: DuckDB's form of a query, where it can express it.
 ORACLE_SQL: dict[str, str] = {}
