@@ -25,6 +25,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import assign
+
+    docs = common.table(spark, sf_dir, "documents")
+    rows = assign(docs, ["source", "lang", "n_chars"], shards=24)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import jaccard_components
 
@@ -46,6 +54,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(common.table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op6_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .media import media_digests
+
+    return media_digests(common.table(spark, sf_dir, "documents"))
+
+
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .main_text import main_text
 
@@ -79,7 +93,7 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_jaccard_join, op4_toxicity, op5_packing, op7_main_text, op8_personal_data, op9_token_counts, op10_token_file)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_hilbert_sharding, op3_jaccard_join, op4_toxicity, op5_packing, op6_audio_features, op7_main_text, op8_personal_data, op9_token_counts, op10_token_file)}
 
 #: DuckDB's form of a query, where it can express it.
 ORACLE_SQL: dict[str, str] = {}
