@@ -283,3 +283,18 @@ def _rest(sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     right = two.filter("x != y").select("cand", F.col("y").alias("block"), "task", F.lit(1).alias("side"))
     dealt = s.join(left.union(right), ["cand", "block"])
     return _compare(dealt.select("task", "id", "label", "side", "hashes"), percent)
+
+
+def without_near_copies(docs: DataFrame, *, k: int = 3, percent: int = 90) -> DataFrame:
+    """docs' rows, whole, with one document of each component: the one with the smallest doc_id.
+
+    Of rows that share a doc_id and have words one stays. Documents without
+    words and rows without doc_id all stay.
+    """
+    found = common.cut(jaccard_components(docs, k=k, percent=percent))
+    gone = found.filter("doc_id != component_id").select("doc_id").distinct()
+    kept = docs.join(_small(common.cut(gone)), "doc_id", "left_anti").select(*docs.columns)
+    twice = common.cut(found.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    if not twice.count():
+        return kept
+    return kept.join(_small(twice), "doc_id", "left_anti").select(*docs.columns).union(kept.join(_small(twice), "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))

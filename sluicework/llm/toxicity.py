@@ -226,3 +226,15 @@ def score(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
 def held_out(doc_id):
     """The fourth of the documents whose labels are never learnt."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
+
+
+def without_toxic(docs: DataFrame, model: Model, *, threshold: float) -> DataFrame:
+    """docs' rows, whole, whose score is below threshold."""
+    common.ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = (model.passages(t or "") for t in b.column("text").to_pylist())
+            yield b.filter(pa.array([model.probability(model.evidence(*x)) < threshold for x in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
