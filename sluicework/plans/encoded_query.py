@@ -139,25 +139,24 @@ def _term(t: Term, kinds: dict[str, str], as_text: bool) -> Column:
         return empty
     if op == "ISNOTEMPTY" or op == "!=" and not v:
         return ~empty
-    if op == "=":
-        return F.coalesce(_compare(c, kind, "=", v, as_text), F.lit(False)) & ~empty
-    if op == "!=":
-        return empty | ~F.coalesce(_compare(c, kind, "=", v, as_text), F.lit(False))
+    if op in ("=", "!="):  # v isn't empty, so an empty string never equals it; null is left to the filter, which scans can read
+        same = _compare(c, kind, "=", v, as_text)
+        return same if op == "=" else c.isNull() | ~same
     if op in ("<", "<=", ">", ">="):
         bound = _compare(c, kind, op, v, as_text)
-        return F.lit(False) if not v else bound if kind != "string" else bound & ~empty
+        return F.lit(False) if not v else bound if kind != "string" else bound & (text != "")
     if op in ("IN", "NOT IN"):
         items = v.split(",")
         while len(items) > 1 and not items[-1]:
             items.pop()
-        found = F.coalesce(text, F.lit("")).isin(items)
-        return found if op == "IN" else ~found
-    low, want = F.coalesce(F.lower(text), F.lit("")), F.lit(v.lower())
+        found = text.isin(items) | text.isNull() if "" in items else text.isin(items)
+        return found if op == "IN" else (~text.isin(items) if "" in items else text.isNull() | ~text.isin(items))
+    low, want = F.lower(text) if v else F.coalesce(F.lower(text), F.lit("")), F.lit(v.lower())
     return {"LIKE": F.contains, "STARTSWITH": F.startswith, "ENDSWITH": F.endswith}[op](low, want)
 
 
 def predicate(query: EncodedQuery, df: DataFrame) -> Column:
-    """The query's filter over df's columns; never null."""
+    """The query's filter over df's columns; null counts as false, as in any filter."""
     kinds = dict(df.dtypes)
 
     def all_of(parts: list[Column], empty: bool, join) -> Column:
