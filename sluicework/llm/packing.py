@@ -49,17 +49,17 @@ def reduce_dominated(counts: dict[int, int], cap: int) -> list[tuple[tuple[int,
         while counts.get(j, 0):
             room = cap - j
             counts[j] -= 1
-            sizes = [s for s in sizes if counts[s]]
-            at = bisect.bisect_right(sizes, room)
+            others = [s for s in sizes if counts[s]]
+            at = bisect.bisect_right(others, room)
             if not at:
                 fixed.append(((j,), counts[j] + 1))
                 counts[j] = 0
                 break
-            k = sizes[at - 1]
-            low = [s for s in sizes[:3] for _ in range(min(3, counts[s]))][:3]
+            k = others[at - 1]
+            low = [s for s in others[:3] for _ in range(min(3, counts[s]))][:3]
             pair = low[0] + low[1] if len(low) > 1 else cap + 1
             three = sum(low) if len(low) > 2 else cap + 1
-            if not (k == room or pair > room or three > room and _best_pair(sizes, counts, room) <= k):
+            if not (k == room or pair > room or three > room and _best_pair(others, counts, room) <= k):
                 counts[j] += 1
                 break
             n = (counts[j] + 1) // 2 if k == j else min(counts[j] + 1, counts[k])
