@@ -56,7 +56,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, *, n: int = 10) -> DataFrame:
     d = d.withColumn("hash", F.xxhash64(own)).join(side, "hash", "left")
     first = (F.col("at") == 1) & (F.col("size") == sizes[0])  # one of these per document stays, so that clean ones are kept
     d = d.filter(first | F.col("items").isNotNull())
-    hit = F.col("items").isNotNull() & (F.col("gram") == own)
+    hit = F.col("items").isNotNull() & (F.size("gram") == F.col("size")) & (F.col("gram") == own)  # a document's only window may be shorter than size
     d = d.select("doc_id", "text_md5", F.size("w").cast("long").alias("n_words"), first.alias("first"), F.when(hit, F.struct("at", "size")).alias("span"), F.when(hit, F.col("items")).alias("items"))
     d = d.groupBy("doc_id", "text_md5").agg(F.max("n_words").alias("n_words"), F.count_if("first").alias("n_rows"), F.array_sort(F.collect_set("span")).alias("spans"), F.collect_set("items").alias("items"))
     d = d.withColumn("items", F.array_sort(F.array_distinct(F.flatten("items"))))
