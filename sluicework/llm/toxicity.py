@@ -152,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     n0, n1 = (max(1, sizes.get(x, 0)) for x in (0, 1))
     counts = known.mapInArrow(_feature_counts, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("y0"), F.sum("toxic").alias("y1"))
-    prior = F.lit(PRIOR) * (F.col("y0") + F.col("y1")) / (n0 + n1)
+    prior = F.lit(PRIOR) * (F.col("y0") + F.col("y1") + 1) / (n0 + n1 + 2)  # never all of it, so that no odds are infinite
 
     def logit(y, n: int):
         return F.log((y + prior) / (n + PRIOR - y - prior))
