@@ -77,7 +77,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_path: str, *, limit: int
         texts = named.select("text", "digest", key.alias("_key")).join(keys, "_key", "left_semi").select("digest", "text")
         fresh = texts.mapInArrow(_counts(tokenizer), "digest string, n_tokens long").dropDuplicates(["digest"])
         fresh.withColumn("version", F.lit(version)).write.mode("append").parquet(cache_path)
-    known = _read_cache(spark, cache_path, version)
+    known = common.cut(_read_cache(spark, cache_path, version))  # stored, so that the join below is a plain one, whose hot digests Spark splits
     rows = named.select("_row", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
     return rows.join(known, "digest").select(*(F.col(f"_row.`{c}`").alias(c) for c in others), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
