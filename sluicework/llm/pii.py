@@ -89,11 +89,16 @@ def shape(token: str) -> str:
     return f"s:{kinds}{hexed}:{size}"
 
 
+def key_word(token: str) -> str:
+    """The last part of a token's name that announces a secret; empty if none does."""
+    return next((p for p in reversed(re.split(r"[_\-]", token.lower())) if p in KEY_WORDS), "")
+
+
 def token_features(tokens: list[str], i: int) -> tuple[str, ...]:
     own = shape(tokens[i])
-    word = f"w:{tokens[i].lower()}" if tokens[i].lower() in KEY_WORDS else "w:"
+    word = f"w:{key_word(tokens[i])}"
     before = f"b:{'' if tokens[i - 1].isalnum() else shape(tokens[i - 1])[:4]}" if i else "b:^"
-    near = "n:1" if any(t.lower() in KEY_WORDS for t in tokens[max(0, i - 3) : i]) else "n:0"
+    near = "n:1" if any(map(key_word, tokens[max(0, i - 3) : i])) else "n:0"
     return own, word, before, near
 
 
@@ -117,7 +122,7 @@ class _Codes(dict):
             self.known[kind] = len(self.own)
             self.own.append(self.field.weights.get(own, none) + self.field.weights.get(word, none))
             self.before.append(self.field.weights.get(last, none))
-            self.key.append(int(token.lower() in KEY_WORDS))
+            self.key.append(int(bool(word[2:])))
             self.digit.append(has_digit(token))
         if len(self) >= CACHE_TOKENS:
             self.clear()
@@ -197,6 +202,7 @@ def labelled_table(seed: int = 7) -> list[tuple[list[str], list[int]]]:
         secret = draw(hexa, rng.choice((16, 18, 20, 32, 40))) if rng.random() < 0.7 else draw(alpha + upper + digits, rng.randint(16, 40))
         secret = secret[:-2] + rng.choice(digits) + rng.choice(alpha)
         key = rng.choice(KEY_WORDS)
+        key = rng.choice((key, key, f"my_{key}"))
         lead = rng.choice([[key, "="], [key, "=", '"'], [key, ":"], [key, ":", '"']])
         tail = ['"'] if '"' in lead else []
         a, b = plain(), plain()
