@@ -42,6 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if not hasattr(sc, "_sluicework_dir"):
             sc._sluicework_dir = tempfile.mkdtemp(prefix="sluicework-")
+            atexit.register(shutil.rmtree, sc._sluicework_dir, ignore_errors=True)
         folder = sc._sluicework_dir
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(folder)
