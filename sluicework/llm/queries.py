@@ -95,5 +95,31 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_hilbert_sharding, op3_jaccard_join, op4_toxicity, op5_packing, op6_audio_features, op7_main_text, op8_personal_data, op9_token_counts, op10_token_file)}
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_CHUNKS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
 #: DuckDB's form of a query, where it can express it.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+ b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+ k AS (SELECT item, w, least(10, len(w)) AS k FROM b WHERE len(w) > 0),
+ g AS (SELECT DISTINCT item, k, list_slice(w, p, p + k - 1) AS gram FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM k)),
+ v AS (SELECT doc_id, k, p, list_slice(w, p, p + k - 1) AS gram FROM (SELECT doc_id, w, n.k AS k, unnest(range(1, len(w) - n.k + 2)) AS p FROM d, (SELECT DISTINCT k FROM g) n WHERE len(w) >= n.k)),
+ h AS (SELECT DISTINCT doc_id, v.p AS p, v.k AS k, item FROM v JOIN g ON v.k = g.k AND v.gram = g.gram),
+ c AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM h) GROUP BY doc_id),
+ i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h WHERE item IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN i ON d.doc_id = i.doc_id""",
+    "op3_jaccard_join": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_CHUNKS} AS w FROM documents),
+ s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN w ELSE list_slice(w, p, p + 2) END AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS p FROM d WHERE len(w) > 0)),
+ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+ l AS (SELECT x, y FROM o JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * i >= 90 * (nx.n + ny.n - i)),
+ e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+ r(x, y) AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+ c AS (SELECT x, min(y) AS y FROM r GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.y, d.doc_id)) AS component_id FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN c ON d.doc_id = c.x""",
+}
