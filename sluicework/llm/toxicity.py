@@ -20,10 +20,12 @@ from . import common
 MAX_LABELLED = 40_000
 #: Features that a model keeps at most: those with the largest z.
 MAX_FEATURES = 50_000
-#: Least z of a feature's log-odds.
-MIN_Z = 3.0
-#: Total count of the Dirichlet prior, dealt to features by their share of both classes.
-PRIOR = 500.0
+#: Least z of a feature's log-odds, to choose from: many features are tried, and how many are chance depends on the corpus.
+MIN_Z = (3.0, 4.0, 5.0, 6.0, 8.0, 10.0)
+#: One in so many labelled documents is kept from the counts, to choose and calibrate on.
+KEPT_BACK = 3
+#: Total count of the Dirichlet prior as a share of the documents counted; features get it by their share of both classes.
+PRIOR = 0.05
 #: Lengths of the word beginnings that are features beside whole words.
 STEMS = (4, 5, 6)
 #: What every token costs, so that a passage must be dense to be found.
@@ -125,63 +127,83 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield out()
 
 
-def _tallied(model: Model):
-    """For calibration: of each labelled document the words, the passages' scores and the counts of token scores."""
+def _tallied(models: list[Model]):
+    """For calibration: of each labelled document the words and the passages' scores under each model."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.list_(pa.float64()))
         for b in batches:
-            rows = [model.passages(t or "") for t in b.column("text").to_pylist()]
+            rows = [[m.passages(t or "") for m in models] for t in b.column("text").to_pylist()]
             yield pa.record_batch(
-                [b.column("toxic"), pa.array([n for n, _ in rows], pa.int64()), pa.array([[s for _, _, s in x] for _, x in rows], pa.list_(pa.float64()))],
+                [b.column("toxic"), pa.array([r[0][0] for r in rows], pa.int64()), pa.array([[[s for *_, s in found] for _, found in r] for r in rows], kind)],
                 ["toxic", "n", "scores"],
             )
 
     return run
 
 
+def candidates(found: list[tuple[str, float, float]]) -> list[Model]:
+    """Models of the features (name, log-odds, z) beyond each least z; a feature counts by its odds less two standard errors."""
+    return [Model({f: min(8.0, odds * (1 - 2 / z)) for f, odds, z in found if z >= least}) for least in MIN_Z]
+
+
+def choose(models: list[Model], rows: list[tuple[int, int, list[list[float]]]]) -> Model:
+    """The calibrated model with the least logarithmic loss on rows (toxic, words, scores by model) that none has seen."""
+    best, least = models[0], math.inf
+    for k, m in enumerate(models):
+        own = [(toxic, n, scores[k]) for toxic, n, scores in rows]
+        _calibrate(m, own)
+        loss = -sum(math.log(max(1e-6, p if toxic else 1 - p)) for toxic, n, s in own for p in [m.probability(m.evidence(n, [(0, 0, x) for x in s]))])
+        if loss < least:
+            best, least = m, loss
+    return best
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from labelled documents; labels has doc_id and toxic, and a null label counts as none.
 
     Of several labels of one doc_id the largest holds. At most MAX_LABELLED
-    labelled ids are used, and only they are broadcast.
+    labelled ids are used, and only they are broadcast. One in KEPT_BACK of them
+    is not counted: the least z is chosen and the scores are calibrated on it.
     """
     common.ship(docs.sparkSession)
     chosen = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    chosen = common.cut(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED))
-    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
+    chosen = common.cut(chosen.withColumn("back", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(KEPT_BACK)) == 0))
+    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "back")
+    learnt = known.filter("not back")
+    sizes = {r["toxic"]: r["count"] for r in learnt.groupBy("toxic").count().collect()}
     n0, n1 = (max(1, sizes.get(x, 0)) for x in (0, 1))
-    counts = known.mapInArrow(_feature_counts, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("y0"), F.sum("toxic").alias("y1"))
-    prior = F.lit(PRIOR) * (F.col("y0") + F.col("y1") + 1) / (n0 + n1 + 2)  # never all of it, so that no odds are infinite
+    counts = learnt.mapInArrow(_feature_counts, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("y0"), F.sum("toxic").alias("y1"))
+    total = PRIOR * (n0 + n1)
+    prior = F.lit(total) * (F.col("y0") + F.col("y1") + 1) / (n0 + n1 + 2)  # never all of it, so that no odds are infinite
 
     def logit(y, n: int):
-        return F.log((y + prior) / (n + PRIOR - y - prior))
+        return F.log((y + prior) / (n + total - y - prior))
 
     odds = logit(F.col("y1"), n1) - logit(F.col("y0"), n0)
     z = odds / F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior))
-    scored = counts.filter("y0 + y1 > 2").select("feature", odds.alias("odds"), z.alias("z")).filter(F.col("z") >= MIN_Z)
-    kept = scored.orderBy(F.col("z").desc(), "feature").limit(MAX_FEATURES).collect()
-    model = Model({r["feature"]: min(8.0, r["odds"]) for r in kept})
-    rows = known.mapInArrow(_tallied(model), "toxic int, n long, scores array<double>").collect()  # MAX_LABELLED at most
-    _calibrate(model, rows)
-    return model
+    scored = counts.filter("y0 + y1 > 2").select("feature", odds.alias("odds"), z.alias("z")).filter(F.col("z") >= MIN_Z[0])
+    models = candidates([tuple(r) for r in scored.orderBy(F.col("z").desc(), "feature").limit(MAX_FEATURES).collect()])
+    rows = known.filter("back").mapInArrow(_tallied(models), "toxic int, n long, scores array<array<double>>").collect()  # a part of MAX_LABELLED
+    return choose(models, [tuple(r) for r in rows])
 
 
-def _calibrate(model: Model, rows: list) -> None:
+def _calibrate(model: Model, rows: list[tuple[int, int, list[float]]]) -> None:
     """lambda and K from clean documents, after Karlin and Altschul, then a logistic law of the evidence."""
-    clean = [r for r in rows if not r["toxic"]]
-    words = sum(r["n"] for r in clean) + 1.0
-    gains = [s for r in clean for s in r["scores"]] + [1.0]
+    clean = [(n, s) for toxic, n, s in rows if not toxic]
+    words = sum(n for n, _ in clean) + 1.0
+    gains = [x for _, s in clean for x in s] + [1.0]
     lo, hi = 1e-3, 20.0
     for _ in range(60):  # sum of p(s) exp(lambda s) = 1
         mid = (lo + hi) / 2
         p = sum(math.exp(min(50.0, mid * s)) for s in gains) / words + (1 - len(gains) / words) * math.exp(-mid * DRIFT)
         lo, hi = (mid, hi) if p < 1 else (lo, mid)
     model.rate = max(0.05, min(lo, 3.0))
-    best = [(r["n"], max(r["scores"], default=0.0)) for r in clean if r["n"]]
+    best = [(n, max(s, default=0.0)) for n, s in clean if n]
     model.scale = max(1e-6, min(1.0, (len(best) + 1) / (1 + sum(n * math.exp(-model.rate * m) for n, m in best))))
-    x = np.array([math.log1p(model.evidence(r["n"], [(0, 0, s) for s in r["scores"]])) for r in rows] or [0.0])
-    y = np.array([r["toxic"] for r in rows] or [0], float)
+    x = np.array([math.log1p(model.evidence(n, [(0, 0, v) for v in s])) for _, n, s in rows] or [0.0])
+    y = np.array([toxic for toxic, _, _ in rows] or [0], float)
     design = np.stack([np.ones_like(x), x], 1)
     w = np.zeros(2)
     for _ in range(50):  # Newton's method with a small ridge
