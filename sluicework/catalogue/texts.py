@@ -64,10 +64,8 @@ _vectors("retry_decision", "r boolean, i boolean, m boolean, a int, e int, w int
 _vectors("idempotent_method", "m string", [("GET",), ("post",), ("DELETE",)], lambda: text.is_idempotent(c("m")), [True, False, True])
 _vectors("config_ts_normalise", "s string", [("2026-01-02",), ("2026-01-02T03:04:05Z",), ("2026-01-02 03:04:05",), ("later",)], lambda: text.config_timestamp(c("s")), ["2026-01-02 00:00:00", "2026-01-02 03:04:05", "2026-01-02 03:04:05", "later"])
 
-_RULES = [("connection.url", "rename", "instance.url", None, None, None, 1), ("mode", "value", "schema.mode", "json", "schemaless", None, 5), ("mode", "manual", "schema.mode", "avro", None, "choose a schema mode", 5), ("confluent.license", "drop", None, None, None, "not needed", 9), ("since", "rename", "start", None, None, None, 6)]
-_CONFIG = [("a", "connection.url", "https://x"), ("a", "mode", "json"), ("a", "since", "2026-01-02"), ("a", "confluent.license", "zzz"), ("a", "tasks.max", "1"), ("a", "connector.class", "io.x.MySourceConnector"), ("b", "mode", "avro"), ("b", "tables.num", "2"), ("b", "connector.class", "Odd")]
-_RULES = [(k.replace("confluent.", "vendor."), *r) for k, *r in _RULES]
-_CONFIG = [(n, k.replace("confluent.", "vendor."), v) for n, k, v in _CONFIG]
+_RULES = [("connection.url", "rename", "instance.url", None, None, None, 1), ("mode", "value", "schema.mode", "json", "schemaless", None, 5), ("mode", "manual", "schema.mode", "avro", None, "choose a schema mode", 5), ("vendor.license", "drop", None, None, None, "not needed", 9), ("since", "rename", "start", None, None, None, 6)]
+_CONFIG = [("a", "connection.url", "https://x"), ("a", "mode", "json"), ("a", "since", "2026-01-02"), ("a", "vendor.license", "zzz"), ("a", "tasks.max", "1"), ("a", "connector.class", "io.x.MySourceConnector"), ("b", "mode", "avro"), ("b", "tables.num", "2"), ("b", "connector.class", "Odd")]
 
 
 def _translated(spark):

@@ -142,9 +142,9 @@ def resolve_missing(changes: DataFrame, target: DataFrame, *, policy: str = "fai
     return gone.withColumn("outcome", outcome)
 
 
-def lane_order(df: DataFrame) -> DataFrame:
-    """Each lane (topic, partition) in one task and in the order of its offsets."""
-    return df.repartition("topic", "partition").sortWithinPartitions("topic", "partition", "offset")
+def lane_order(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Each lane (topic, partition) in one task and in the order of its offsets; at most so many tasks, if given."""
+    return df.repartition(*([tasks] if tasks else []), "topic", "partition").sortWithinPartitions("topic", "partition", "offset")
 
 
 def with_lane_stop(df: DataFrame, stops: Column) -> DataFrame:
