@@ -8,8 +8,10 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What each operator's functions hold between a worker's tasks, as ways to let go of it.
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def alone(name: str, clear: Callable[[], None]) -> None:
+    """In a worker: the caches of other operators are emptied before this one's tasks fill theirs."""
+    for other, let_go in list(_HELD.items()):
+        if other != name:
+            let_go()
+            del _HELD[other]
+    _HELD[name] = clear
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches cut small, so that few texts are Python objects at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def ranked(df: DataFrame, *keys: Column | str, rank: str = "rank") -> DataFrame:
     """df with its 0-based place in the order of keys, stored.
 

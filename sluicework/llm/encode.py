@@ -13,6 +13,8 @@ import json
 import re
 from functools import cache
 
+from . import common
+
 #: Pieces in a worker's cache at most; it is emptied beyond that.
 CACHE_PIECES = 1_000_000
 
@@ -92,5 +94,11 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
+def _encoder(path: str) -> Encoder:
     return Encoder(path)
+
+
+def encoder(path: str) -> Encoder:
+    """This worker's encoder of a vocabulary."""
+    common.alone("encoder", _encoder.cache_clear)
+    return _encoder(path)

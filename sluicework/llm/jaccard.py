@@ -28,9 +28,9 @@ BLOCK = 100
 #: Longs of the parity bitmap that bounds a symmetric difference from below.
 PARITY = 16
 #: Word hashes a worker keeps.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 #: Bounded memory of set digests already sent by a task.
-CACHE_SETS = 1_000_000
+CACHE_SETS = 100_000
 
 _M1, _M2, _M3, _M4, _M5 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -78,9 +78,10 @@ def _signatures(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
+        common.alone("shingles", _WORDS.clear)
         sent: dict[bytes, int] = {}
         schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("rep", pa.int64()), ("emitted", pa.int64()), ("tokens", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))])
-        for b in batches:
+        for b in common.slices(batches):
             out: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 h = shingles(text, k)
@@ -106,7 +107,8 @@ def _signatures(k: int, percent: int):
 
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        common.alone("shingles", _WORDS.clear)
+        for b in common.slices(batches):
             sets = [shingles(t, k).tobytes() for t in b.column("text").to_pylist()]
             yield pa.record_batch([b.column("doc_id"), pa.array(sets, pa.binary())], ["id", "hashes"])
 

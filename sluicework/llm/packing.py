@@ -20,7 +20,7 @@ def _pieces(path: str, cap: int, end_id: int):
         from .encode import encoder
 
         one, end, step = encoder(path), struct.pack("<I", end_id), 4 * cap
-        for b in batches:
+        for b in common.slices(batches):
             out: list[list] = [[], [], [], [], []]
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 ids = one.encode(text) + end

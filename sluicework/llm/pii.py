@@ -312,7 +312,7 @@ def _found(field: Field):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.slices(batches):
             texts = [t or "" for t in b.column("text").to_pylist()]
             rows = find(field, texts)
             yield pa.record_batch(

@@ -33,7 +33,7 @@ def _counts(path: str):
 
             one = encoder(path)
             count = lambda text: len(one.encode(text)) // 4
-        for b in batches:
+        for b in common.slices(batches):
             texts = b.column("text").to_pylist()
             yield pa.record_batch([b.column("digest"), pa.array([count(t) for t in texts], pa.int64())], ["digest", "n_tokens"])
 

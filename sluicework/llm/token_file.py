@@ -124,7 +124,7 @@ def _segments(path: str, end_id: int):
         def block() -> pa.RecordBatch:
             return pa.record_batch([[part], [segment], [docs], [lengths], [dac_encode(np.frombuffer(b"".join(ids), "<u4"))]], schema=schema)
 
-        for b in batches:
+        for b in common.slices(batches):
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 own = one.encode(text) + end
                 docs.append(doc)

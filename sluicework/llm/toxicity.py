@@ -31,7 +31,7 @@ STEMS = (4, 5, 6)
 #: What every token costs, so that a passage must be dense to be found.
 DRIFT = 0.25
 #: Words whose scores a worker keeps.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -51,12 +51,13 @@ class Model:
     scale: float = 0.1  # K
     bias: float = -2.0
     slope: float = 1.0
+    room: int = CACHE_WORDS
     _held: dict[str, float] = field(default_factory=dict, repr=False)
 
     def token(self, word: str) -> float:
         found = self._held.get(word)
         if found is None:
-            if len(self._held) >= CACHE_WORDS:
+            if len(self._held) >= self.room:
                 self._held.clear()
             known = [self.odds[f] for f in features(word) if f in self.odds]
             found = self._held[word] = max(known, default=0.0) - DRIFT
@@ -118,11 +119,12 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             c.clear()
         return pa.record_batch([pa.array(names, pa.string()), *sums], ["feature", "clean", "toxic"])
 
-    for b in batches:
+    common.alone("toxicity", lambda: None)
+    for b in common.slices(batches):
         for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
             own = {f for w in set((text or "").lower().split()) for f in features(w)}
             counts[toxic].update(own)
-        if len(counts[0]) + len(counts[1]) > 1_000_000:
+        if len(counts[0]) + len(counts[1]) > 500_000:
             yield out()
     yield out()
 
@@ -132,7 +134,8 @@ def _tallied(models: list[Model]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.list_(pa.float64()))
-        for b in batches:
+        common.alone("toxicity", lambda: None)
+        for b in common.slices(batches):
             rows = [[m.passages(t or "") for m in models] for t in b.column("text").to_pylist()]
             yield pa.record_batch(
                 [b.column("toxic"), pa.array([r[0][0] for r in rows], pa.int64()), pa.array([[[s for *_, s in found] for _, found in r] for r in rows], kind)],
@@ -144,7 +147,7 @@ def _tallied(models: list[Model]):
 
 def candidates(found: list[tuple[str, float, float]]) -> list[Model]:
     """Models of the features (name, log-odds, z) beyond each least z; a feature counts by its odds less two standard errors."""
-    return [Model({f: min(8.0, odds * (1 - 2 / z)) for f, odds, z in found if z >= least}) for least in MIN_Z]
+    return [Model({f: min(8.0, odds * (1 - 2 / z)) for f, odds, z in found if z >= least}, room=CACHE_WORDS // len(MIN_Z)) for least in MIN_Z]
 
 
 def choose(models: list[Model], rows: list[tuple[int, int, list[list[float]]]]) -> Model:
@@ -156,6 +159,7 @@ def choose(models: list[Model], rows: list[tuple[int, int, list[list[float]]]])
         loss = -sum(math.log(max(1e-6, p if toxic else 1 - p)) for toxic, n, s in own for p in [m.probability(m.evidence(n, [(0, 0, x) for x in s]))])
         if loss < least:
             best, least = m, loss
+    best.room = CACHE_WORDS
     return best
 
 
@@ -220,7 +224,8 @@ def _calibrate(model: Model, rows: list[tuple[int, int, list[float]]]) -> None:
 def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
-        for b in batches:
+        common.alone("toxicity", lambda: None)
+        for b in common.slices(batches):
             scores, spans = [], []
             for text in b.column("text").to_pylist():
                 n, found = model.passages(text or "")
@@ -255,7 +260,8 @@ def without_toxic(docs: DataFrame, model: Model, *, threshold: float) -> DataFra
     common.ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        common.alone("toxicity", lambda: None)
+        for b in common.slices(batches):
             found = (model.passages(t or "") for t in b.column("text").to_pylist())
             yield b.filter(pa.array([model.probability(model.evidence(*x)) < threshold for x in found], pa.bool_()))
 
