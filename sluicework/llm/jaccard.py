@@ -182,9 +182,10 @@ def candidates(sig: DataFrame, percent: int) -> DataFrame:
     first = F.col("n") - F.floor((F.col("n") * percent + 99) / 100).cast("long") + 1
     take = F.size("held") + first - F.col("emitted")
     prefix = lists.join(own.drop("tokens"), "id").filter(take > 0).select("id", "n", "parity", (alone == 0).alias("all"), F.transform(F.slice("held", F.lit(1), take.cast("int")), lambda x: x["token"]).alias("prefix"))
-    prefix = common.cut(prefix.withColumn("same", F.when(F.col("all"), F.xxhash64("n", "prefix"))))
-    groups = prefix.filter("same is not null").groupBy("same").agg(F.min("id").alias("group"), F.count("*").alias("members")).filter("members > 1")
-    grouped = common.cut(prefix.join(groups, "same", "left").select("id", "n", F.coalesce("group", "id").alias("group"), F.when(F.col("group").isNull(), F.col("parity")).alias("parity"), "prefix"))
+    prefix = common.cut(prefix.withColumn("same", F.when(F.col("all"), F.xxhash64("n", "prefix")).otherwise(F.xxhash64("id"))))
+    groups = prefix.filter("all").groupBy("same").agg(F.min("id").alias("group"), F.count("*").alias("members")).filter("members > 1")
+    member = F.when(F.col("all"), F.col("group"))  # others have keys of their own, so that they are dealt evenly
+    grouped = common.cut(prefix.join(groups, "same", "left").withColumn("group", member).select("id", "n", F.coalesce("group", "id").alias("group"), F.when(F.col("group").isNull(), F.col("parity")).alias("parity"), "prefix"))
     members = grouped.filter("id != group").select(F.col("group").alias("a"), F.col("id").alias("b"))
     posted = grouped.filter("id = group").select("id", "n", "parity", F.explode("prefix").alias("token"))
     sizes = common.cut(posted.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("least")).filter("size > 1"))
