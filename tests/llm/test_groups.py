@@ -143,7 +143,7 @@ def test_jaccard_join(spark, make_docs, texts, monkeypatch, block, paired, local
     monkeypatch.setattr(jaccard, "PAIRED", paired)
     monkeypatch.setattr(components, "LOCAL_EDGES", local)
     monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
-    docs = [(i, t) for i, t in enumerate(texts)] + near_copies(1, 3, 30, 60) + near_copies(2, 12, 3, 25)[:0] + [(50, "One"), (51, "two words"), (None, "one"), (5, texts[5])]
+    docs = [(i, t) for i, t in enumerate(texts)] + near_copies(1, 3, 30, 60) + [(50, "One"), (51, "two words"), (None, "one"), (5, texts[5])]
     got = jaccard.jaccard_components(make_docs(spark, docs)).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(docs, 90)
 
@@ -153,7 +153,7 @@ def test_jaccard_keeps_one_of_each(spark, make_docs, texts):
     kept = jaccard.without_near_copies(make_docs(spark, docs)).collect()
     want = {i for i, _, c in brute(docs, 90) if i is not None and i == c}
     assert Counter(r.doc_id for r in kept if r.doc_id is not None) == Counter(want) and sum(r.doc_id is None for r in kept) == 2
-    assert kept[0].asDict().keys() == make_docs(spark, []).schema.fieldNames() or set(kept[0].asDict()) == set(make_docs(spark, []).columns)
+    assert list(kept[0].asDict()) == make_docs(spark, []).columns
     assert not jaccard.jaccard_components(make_docs(spark, [])).collect()
 
 
