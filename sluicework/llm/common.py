@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -72,11 +75,14 @@ _HELD: dict[str, Callable[[], None]] = {}
 
 def alone(name: str, clear: Callable[[], None]) -> None:
     """In a worker: the caches of other operators are emptied before this one's tasks fill theirs."""
-    for other, let_go in list(_HELD.items()):
-        if other != name:
-            let_go()
-            del _HELD[other]
+    others = [other for other in _HELD if other != name]
+    for other in others:
+        _HELD.pop(other)()
     _HELD[name] = clear
+    if others:
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
