@@ -23,8 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of links at a Jaccard similarity of 0.9 over three words."""
-    return without_near_copies(docs)
+    """One document of each component of links at a Jaccard similarity of 0.8 over five words."""
+    return without_near_copies(docs, k=5, percent=80)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,3 +40,12 @@ def test_stages(spark, sf_dir, make_docs, tmp_path):
     packed = corpus_pipeline.run(spark, d)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == kept[3]
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
+
+
+def test_near_copies_by_five_words_at_four_fifths(spark, sf_dir, make_docs):
+    """Four scattered changes in 200 words: 176 of 216 shingles of five words, but only 186 of 210 of three."""
+    first = [f"a{i}" for i in range(200)]
+    near = [f"b{i}" if i in (30, 80, 130, 180) else w for i, w in enumerate(first)]
+    far = [f"c{i}" if i in (30, 70, 110, 150, 190) else w for i, w in enumerate(first)]
+    docs = make_docs(spark, [(i, " ".join(w)) for i, w in ((1, first), (2, near), (3, far))])
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()} == {1, 3}
