@@ -136,7 +136,7 @@ class Page:
                 return
 
     def article(self) -> str:
-        """Blocks of the best container and of its siblings that pass, in page order, one a line.
+        """Blocks of what is taken whole around the best container, and of its siblings that pass, in page order, one a line.
 
         A paragraph earns a point, one for each comma and up to three for its
         length; all of them go to its parent, half to the grandparent and less
@@ -168,13 +168,15 @@ class Page:
         best = max(score, key=lambda n: (score[n], -n), default=None)
         if best is None or density[best] >= 1:
             return ""
-        chosen = {best}
+        whole = self._whole(best)
+        chosen = {whole}
         for n in range(1, len(self.tags)):
-            if n != best and best and self.parents[n] == self.parents[best] and self.live[n] and n in density:
+            if n != whole and whole and self.parents[n] == self.parents[whole] and self.live[n] and n in density:
                 text = sum(len(t) for m, t, _ in self.blocks if m == n)
                 if score.get(n, 0.0) >= max(10.0, 0.2 * score[best]) or self.tags[n] == "p" and density[n] < 0.25 and text > 80:
                     chosen.add(n)
         lists = {n for n in density if self.tags[n] in ("ul", "ol", "div", "table", "section") and density[n] > 0.7 and n not in chosen}
+        lists = {n for n in lists if not any(self.tags[x] == "article" and whole in self._line(x) for x in self._line(n))}
         out = []
         for node, text, _ in self.blocks:
             inside, up = False, node
@@ -184,10 +186,23 @@ class Page:
                     break
                 inside = inside or up in chosen
                 up = self.parents[up]
-            if inside or not best and up == 0 and not any(x in lists for x in self._line(node)):
+            if inside or not whole and up == 0 and not any(x in lists for x in self._line(node)):
                 out.append(text)
         return "\n".join(out)
 
+    def _whole(self, best: int) -> int:
+        """The outermost article or main around the container; else its parent if nothing in that was rejected; else itself."""
+        marked = [n for n in self._line(best) if self.tags[n] in ("article", "main")]
+        if marked:
+            return marked[-1]
+        top = self.parents[best]
+        under = [n == top for n in range(len(self.tags))]
+        for n in range(top + 1, len(self.tags)):
+            under[n] = under[self.parents[n]]
+            if under[n] and not self.live[n] and self.tags[n] != "head":
+                return best
+        return top
+
     def _line(self, node: int) -> Iterator[int]:
         while node:
             yield node

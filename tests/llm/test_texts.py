@@ -125,6 +125,21 @@ def test_main_text(source, want):
     assert (Page(source).article() if source else "") == want
 
 
+LONG = "word, " * 3 + "x" * 282
+
+
+@pytest.mark.parametrize(("source", "want"), [
+    (f"<nav>n</nav><article><h1>Head</h1><section>{f'<p>{LONG}</p>' * 20}</section><section><p>The end.</p></section><aside>a</aside></article>", ["Head", *[LONG] * 20, "The end."]),
+    (f"<nav>n</nav><article><h1>Head</h1><p>Lede.</p><div class=article-body>{f'<p>{LONG}</p>' * 20}</div><ul><li><a href=x>Source</a></ul></article>", ["Head", "Lede.", *[LONG] * 20, "Source"]),
+    (f"<nav>n</nav><main><h1>Head</h1><div>{f'<p>{LONG}</p>' * 20}</div><ul><li><a href=x>menu</a></ul></main>", ["Head", *[LONG] * 20]),
+    (f"<nav>n</nav><div><h1>Head</h1><div>{f'<p>{LONG}</p>' * 20}</div></div>", ["Head", *[LONG] * 20]),
+    (f"<nav>n</nav><h1>Site</h1><div>{f'<p>{LONG}</p>' * 20}</div>", [LONG] * 20),
+    (f"<nav>n</nav><article><p>{LONG}</p><p>{LONG}</p></article><article>{f'<p>{LONG}</p>' * 3}</article>", [LONG] * 5),
+])
+def test_main_text_is_whole(source, want):
+    assert Page(source).article().split("\n") == want
+
+
 def test_main_text_of_pages(spark, sf_dir):
     """The articles of the test pages, by their own markup."""
     from sluicework.llm import common
