@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -68,10 +69,13 @@ def base_spans(text: str) -> list[Span]:
 LABELS = ("other", "key", "secret")
 #: Words that announce a secret in the labelled table's rule and as a feature.
 KEY_WORDS = ("api", "apikey", "auth", "bearer", "key", "passwd", "password", "pwd", "secret", "token")
+_KEY_PART = re.compile("|".join(KEY_WORDS))
 #: Signs that are features by themselves.
 _SIGNS = ("=", ":", '"', "'")
 #: Tokens whose numbers a worker keeps.
 CACHE_TOKENS = 500_000
+#: Tokens of the lines that are decoded at once, or side by side at the length of the longest.
+HELD_TOKENS = 200_000
 _BUCKETS = (1, 2, 4, 8, 12, 16, 20, 24, 32, 40, 64)
 
 
@@ -81,25 +85,38 @@ def has_digit(token: str) -> bool:
 
 def shape(token: str) -> str:
     """A token's character classes with its rough length; a single sign stands for itself."""
-    kinds = "".join(k for k, found in (("A", any(c.isupper() for c in token)), ("a", any(c.islower() for c in token)), ("9", has_digit(token)), ("-", not token.isalnum())) if found)
-    size = sum(len(token) >= b for b in _BUCKETS)
-    if not any(c.isalnum() for c in token):
+    plain = token.isalnum()
+    if not plain and not any(c.isalnum() for c in token):
         return f"s:{token if token in _SIGNS else '.'}"
+    if token.isascii():
+        upper, lower = token != token.lower(), token != token.upper()
+    else:
+        upper, lower = any(c.isupper() for c in token), any(c.islower() for c in token)
+    kinds = f"{'A' if upper else ''}{'a' if lower else ''}{'9' if has_digit(token) else ''}{'' if plain else '-'}"
+    size = bisect_right(_BUCKETS, len(token))
     hexed = "x" if len(token) >= 12 and all(c in "0123456789abcdef" for c in token) else ""
     return f"s:{kinds}{hexed}:{size}"
 
 
 def key_word(token: str) -> str:
     """The last part of a token's name that announces a secret; empty if none does."""
-    return next((p for p in reversed(re.split(r"[_\-]", token.lower())) if p in KEY_WORDS), "")
+    low = token.lower()
+    if not _KEY_PART.search(low):
+        return ""
+    return next((p for p in reversed(re.split(r"[_\-]", low)) if p in KEY_WORDS), "")
+
+
+def before(token: str, own: str) -> str:
+    """What a token of this shape is to the next one."""
+    return f"b:{'' if token.isalnum() else own[:4]}"
 
 
 def token_features(tokens: list[str], i: int) -> tuple[str, ...]:
     own = shape(tokens[i])
     word = f"w:{key_word(tokens[i])}"
-    before = f"b:{'' if tokens[i - 1].isalnum() else shape(tokens[i - 1])[:4]}" if i else "b:^"
+    last = before(tokens[i - 1], shape(tokens[i - 1])) if i else "b:^"
     near = "n:1" if any(map(key_word, tokens[max(0, i - 3) : i])) else "n:0"
-    return own, word, before, near
+    return own, word, last, near
 
 
 class _Codes(dict):
@@ -111,19 +128,17 @@ class _Codes(dict):
         self.own: list[np.ndarray] = []
         self.before: list[np.ndarray] = []
         self.key: list[int] = []
-        self.digit: list[bool] = []
 
     def __missing__(self, token: str) -> int:
-        own, word, *_ = token_features([token], 0)
-        last = token_features([token, ""], 1)[2]
-        kind = (own, word, last, has_digit(token))
+        own, word = shape(token), f"w:{key_word(token)}"
+        last = before(token, own)
+        kind = (own, word, last)
         if kind not in self.known:
             none = np.zeros(len(LABELS))
             self.known[kind] = len(self.own)
             self.own.append(self.field.weights.get(own, none) + self.field.weights.get(word, none))
             self.before.append(self.field.weights.get(last, none))
             self.key.append(int(bool(word[2:])))
-            self.digit.append(has_digit(token))
         if len(self) >= CACHE_TOKENS:
             self.clear()
         value = self[token] = self.known[kind]
@@ -141,10 +156,10 @@ class Field:
         self.codes = _Codes(self)
 
     def emissions(self, lines: list[list[str]]) -> np.ndarray:
-        """Scores of every label for all tokens of the lines, one after another; a token without a digit is no secret."""
+        """Scores of every label for all tokens of the lines, one after another."""
         flat = [t for line in lines for t in line]
         code = np.fromiter(map(self.codes.__getitem__, flat), int, len(flat))
-        own, before, key, digit = (np.array(x) for x in (self.codes.own, self.codes.before, self.codes.key, self.codes.digit))
+        own, before, key = (np.array(x) for x in (self.codes.own, self.codes.before, self.codes.key))
         sizes = np.array([len(line) for line in lines])
         place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         near = np.zeros(len(flat), int)
@@ -153,7 +168,6 @@ class Field:
         score = own[code] + self._row("n:")[near]
         score[1:] += np.where(place[1:, None] > 0, before[code[:-1]], 0)
         score[place == 0] += self.weights.get("b:^", np.zeros(len(LABELS)))
-        score[~digit[code], 2] = -1e9
         return score
 
     def _row(self, name: str) -> np.ndarray:
@@ -175,13 +189,14 @@ class Field:
             ways = best[:n, :, None] + self.steps[None]
             back[:n, t] = ways.argmax(1)
             best[:n] = ways.max(1) + emit[:n, t]
+        paths = np.zeros((len(lines), longest), np.int8)
+        paths[np.arange(len(lines)), sizes - 1] = best.argmax(1)
+        for t in range(longest - 1, 0, -1):
+            n = int(np.searchsorted(-sizes, -t, "left"))
+            paths[:n, t - 1] = back[np.arange(n), t, paths[:n, t]]
         out: list[np.ndarray] = [np.zeros(0, int)] * len(lines)
         for row, i in enumerate(order):
-            path = np.zeros(len(lines[i]), int)
-            path[-1] = best[row].argmax()
-            for t in range(len(path) - 1, 0, -1):
-                path[t - 1] = back[row, t, path[t]]
-            out[i] = path
+            out[i] = paths[row, : len(lines[i])]
         return out
 
 
@@ -217,6 +232,22 @@ def labelled_table(seed: int = 7) -> list[tuple[list[str], list[int]]]:
         rows.append((plain_key, [0] * len(plain_key)))
         words = plain() + plain() + plain()
         rows.append((words, [0] * len(words)))
+    for _ in range(320):  # without a digit: announced secrets, and long words, names and headings that only look like them
+        key = rng.choice(KEY_WORDS)
+        key = rng.choice((key, key, f"{draw(alpha, rng.randint(2, 8))}_{key}"))
+        lead = rng.choice([[key, "="], [key, "=", '"'], [key, ":"], [key, ":", '"']])
+        tail = ['"'] if '"' in lead else []
+        secret = draw(rng.choice((alpha, alpha, alpha + upper, upper)), rng.randint(12, rng.choice((20, 48, 72))))
+        a, b = rng.choice(([], plain())), rng.choice(([], plain()))
+        rows.append((a + lead + [secret] + tail + b, [0] * len(a) + [1] * len(lead) + [2] + [0] * len(tail + b)))
+        long = draw(alpha, rng.randint(12, 28))
+        odd = rng.choice((long, long.capitalize(), long.upper(), f"{long[:6]}{long[6:].capitalize()}", f"{long[:8]}-{long[8:]}", f"{long[:6]}/{long[6:]}", f"{long[:6]}_{long[6:]}"))
+        a, b = rng.choice(([], plain())), rng.choice(([], plain()))
+        words = a + rng.choice(([], [], ["="], [":"], ['"'], ["name", "="], ["see", ":"], [key], [key, "the"], [key, "words", ":"], [key, rng.choice(KEY_WORDS)])) + [odd] + b
+        rows.append((words, [0] * len(words)))
+        a, b = rng.choice(([], plain())), rng.choice(([], plain()))
+        words = a + [key, rng.choice("=:"), draw(alpha, rng.randint(1, 11))] + b
+        rows.append((words, [0] * len(words)))
     return rows
 
 
@@ -270,32 +301,45 @@ def train(rows: list[tuple[list[str], list[int]]], *, rounds: int = 60, ridge: f
 
 @cache
 def default_field() -> Field:
-    return train(labelled_table())
+    return train(labelled_table(), rounds=200)
 
 
 def secret_spans(field: Field, texts: list[str]) -> list[list[Span]]:
-    """Of every text the tokens that the field labels secret, decoded line by line.
-
-    A secret holds a digit, so lines without one need no decoding.
-    """
-    lines, places = [], []
+    """Of every text the tokens that the field labels secret, decoded line by line."""
+    out: list[list[Span]] = [[] for _ in texts]
+    lines: list[list[str]] = []
+    places: list[tuple[int, int, str]] = []  # text, where the line starts in it, the line
+
+    def decode() -> None:
+        order = sorted(range(len(lines)), key=lambda i: -len(lines[i]))  # lines of like lengths side by side
+        first = 0
+        while first < len(order):
+            group = order[first : first + max(1, HELD_TOKENS // len(lines[order[first]]))]
+            first += len(group)
+            for g, labels in zip(group, field.viterbi([lines[g] for g in group]), strict=True):
+                if (labels == 2).any():
+                    i, at, line = places[g]
+                    found = [m.span() for m in _TOKEN.finditer(line)]
+                    out[i] += [("secret", at + found[j][0], at + found[j][1]) for j in np.flatnonzero(labels == 2).tolist()]
+        lines.clear()
+        places.clear()
+
+    held = 0
     for i, text in enumerate(texts):
-        if not _DIGIT.search(text):
-            continue
         at = 0
         for line in text.split("\n"):
-            if _DIGIT.search(line):
-                found = [(m[0], m.start() + at) for m in _TOKEN.finditer(line)]
-                if found:
-                    lines.append([t for t, _ in found])
-                    places.append((i, [p for _, p in found]))
+            found = _TOKEN.findall(line)
+            if found:
+                lines.append(found)
+                places.append((i, at, line))
+                held += len(found)
             at += len(line) + 1
-    out: list[list[Span]] = [[] for _ in texts]
-    for first in range(0, len(lines), 256):
-        group = lines[first : first + 256]
-        for tokens, labels, (i, starts) in zip(group, field.viterbi(group), places[first : first + 256], strict=True):
-            for j in np.flatnonzero(labels == 2).tolist():
-                out[i].append(("secret", starts[j], starts[j] + len(tokens[j])))
+            if held >= HELD_TOKENS:
+                decode()
+                held = 0
+    decode()
+    for spans in out:
+        spans.sort(key=lambda s: s[1])
     return out
 
 

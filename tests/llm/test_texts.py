@@ -193,6 +193,29 @@ def test_secrets_are_found_and_plain_text_is_left():
     assert found > 285 and miss < 15 and false == 0
 
 
+def test_secrets_without_a_digit():
+    """Announced ones are found on lines without any digit; long words, names and headings are left."""
+    field = pii.default_field()
+    rng = random.Random(12)
+    found = 0
+    for _ in range(300):
+        secret = "".join(rng.choice(rng.choice(("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))) for _ in range(rng.randint(14, 40)))
+        secret = rng.choice((secret, secret.lower()))
+        line = rng.choice([f"some words password = {secret} follow", f'here token = "{secret}" and more', f"access_token: {secret}"])
+        found += [line[a:b] for _, a, b in pii.secret_spans(field, [line])[0]] == [secret]
+    assert found > 285
+    for line in ("The password is internationalization", "name = internationalization", "see: Donaudampfschifffahrtsgesellschaft", "AN INTERNATIONALIZATION KEY", "getElementByIdentifier(token)", "password: required", "public key infrastructure"):
+        assert not pii.secret_spans(field, [line])[0]
+
+
+def test_secrets_of_texts_decoded_apart(monkeypatch):
+    text = "one\npassword = correcthorsebattery\n\nlonger line with token: 0a1b2c3d4e5f60718293 and api_key = qwertyuiopasdfgh\nx"
+    want = pii.secret_spans(pii.default_field(), [text, "", text])
+    assert [text[a:b] for _, a, b in want[0]] == ["correcthorsebattery", "0a1b2c3d4e5f60718293", "qwertyuiopasdfgh"] and want[2] == want[0] and not want[1]
+    monkeypatch.setattr(pii, "HELD_TOKENS", 3)
+    assert pii.secret_spans(pii.default_field(), [text, "", text]) == want
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(3)
     field = pii.default_field()
