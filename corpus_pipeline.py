@@ -12,8 +12,8 @@ from sluicework.llm.packing import pack
 from sluicework.llm.pii import personal_data, redacted
 from sluicework.llm.toxicity import fit, held_out, without_toxic
 
-#: A document goes when its toxicity score is this or more.
-TOXIC = 0.5
+#: A document goes when its toxicity score is this or more, as op4 predicts it.
+TOXIC = 0.3
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,21 @@ def test_near_copies_by_five_words_at_four_fifths(spark, sf_dir, make_docs):
     far = [f"c{i}" if i in (30, 70, 110, 150, 190) else w for i, w in enumerate(first)]
     docs = make_docs(spark, [(i, " ".join(w)) for i, w in ((1, first), (2, near), (3, far))])
     assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()} == {1, 3}
+
+
+def test_toxicity_drops_what_op4_predicts(spark, sf_dir, make_docs, monkeypatch):
+    class Scored:
+        """A model whose probability is the text itself."""
+
+        def passages(self, text):
+            return (float(text),)
+
+        def evidence(self, x):
+            return x
+
+        def probability(self, x):
+            return x
+
+    monkeypatch.setattr(corpus_pipeline, "fit", lambda docs, labels: Scored())
+    docs = make_docs(spark, [(i, f"0.{i}") for i in range(1, 8)])
+    assert {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, sf_dir).collect()} == {1, 2}
