@@ -20,10 +20,15 @@ from pyspark.sql import functions as F
 
 #: Rows of one broadcast at most; larger sides take the shuffled path.
 BROADCAST_ROWS = 1_000_000
+#: Rows and bytes of a batch sent to a Python worker at most, where the session sets none: texts may be long.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per application."""
+    """Send this package to the executors' Python workers, once per application, and bound the session's batches."""
+    for key, value in BATCH.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     sc = spark.sparkContext
     if getattr(sc, "_sluicework_shipped", False):
         return

@@ -20,10 +20,10 @@ def _pieces(path: str, cap: int, end_id: int):
         from .encode import encoder
 
         one, end, step = encoder(path), struct.pack("<I", end_id), 4 * cap
-        for b in common.slices(batches):
+        for b in common.slices(batches, 2000):
             out: list[list] = [[], [], [], [], []]
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                ids = one.encode(text) + end
+            for doc, own in zip(b.column("doc_id").to_pylist(), one.encode_all(b.column("text")), strict=True):
+                ids = bytes(own) + end
                 for k, at in enumerate(range(0, len(ids), step)):
                     piece = ids[at : at + step]
                     for column, value in zip(out, (doc, k, at // 4, len(piece) // 4, zlib.crc32(piece)), strict=True):

@@ -73,9 +73,9 @@ _KEY_PART = re.compile("|".join(KEY_WORDS))
 #: Signs that are features by themselves.
 _SIGNS = ("=", ":", '"', "'")
 #: Tokens whose numbers a worker keeps.
-CACHE_TOKENS = 500_000
+CACHE_TOKENS = 100_000
 #: Tokens of the lines that are decoded at once, or side by side at the length of the longest.
-HELD_TOKENS = 200_000
+HELD_TOKENS = 100_000
 _BUCKETS = (1, 2, 4, 8, 12, 16, 20, 24, 32, 40, 64)
 
 
@@ -356,6 +356,7 @@ def _found(field: Field):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.alone("personal data", field.codes.clear)
         for b in common.slices(batches):
             texts = [t or "" for t in b.column("text").to_pylist()]
             rows = find(field, texts)

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -15,7 +15,7 @@ from . import common
 #: Bits of each level; together they hold any 32-bit id.
 WIDTHS = (8, 4, 4, 16)
 #: Ids of one segment at most, but for a single longer document.
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 18
 #: Bits between two entries of a rank directory.
 RANK_STEP = 512
 
@@ -108,29 +108,31 @@ class Dac:
         return np.zeros(0, np.uint32) if high is None else high
 
 
-_FILE = "part int, segment int, doc_ids array<bigint>, lengths array<bigint>, codes binary"
+_SEGMENTS = "part int, segment int, n long, doc_ids array<bigint>, lengths array<int>, codes binary"
+#: Each code stands uncompressed on a page of its own, so that a reader of one segment takes its bytes as they are.
+_STORED = {"compression": "none", "parquet.block.size": str(16 << 20), "parquet.page.row.count.limit": "1", "parquet.enable.dictionary": "false"}
 
 
-def _segments(path: str, end_id: int):
+def _segments(path: str, end_id: int, budget: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         from .encode import encoder
 
-        one, end, part, segment = encoder(path), struct.pack("<I", end_id), TaskContext.get().partitionId(), 0
-        schema = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("codes", pa.binary())])
+        one, end, part, segment = encoder(path, budget), struct.pack("<I", end_id), TaskContext.get().partitionId(), 0
+        schema = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("n", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("codes", pa.binary())])
         docs, lengths, ids, n = [], [], [], 0
 
         def block() -> pa.RecordBatch:
-            return pa.record_batch([[part], [segment], [docs], [lengths], [dac_encode(np.frombuffer(b"".join(ids), "<u4"))]], schema=schema)
+            return pa.record_batch([[part], [segment], [n], [docs], [lengths], [dac_encode(np.frombuffer(b"".join(ids), "<u4"))]], schema=schema)
 
-        for b in common.slices(batches):
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                own = one.encode(text) + end
+        for b in common.slices(batches, 2000):
+            for doc, own in zip(b.column("doc_id").to_pylist(), one.encode_all(b.column("text")), strict=True):
+                size = len(own) // 4 + 1
                 docs.append(doc)
-                lengths.append(len(own) // 4)
-                ids.append(own)
-                n += len(own) // 4
+                lengths.append(size)
+                ids += own, end
+                n += size
                 if n >= SEGMENT_IDS:
                     yield block()
                     docs, lengths, ids, n, segment = [], [], [], 0, segment + 1
@@ -140,65 +142,78 @@ def _segments(path: str, end_id: int):
     return run
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, path: str, *, end_id: int) -> None:
+def write_tokens(docs: DataFrame, tokenizer: str, path: str, *, end_id: int, cache_bytes: int = 160 << 20) -> None:
     """Encode whole texts and write their ids, each document's end_id last, in ascending doc_id order.
 
     Rows with one doc_id stand in the order of their texts, null ids come
     first, a null text is empty, and an empty table writes no segment. Rows are
     dealt by ranges of doc_id, so part and segment numbers follow the order.
-    Each row of the Parquet file is a segment: its documents, their lengths and
-    the codes.
+
+    path/segments has a row for each segment: its documents, their lengths and
+    the codes, uncompressed and on a page of their own. path/directory has of
+    each segment the place of its first id in the whole file. Texts are dealt,
+    not ids, because these, at 16 bits, take as much room compressed. A worker
+    keeps cache_bytes of encoded words.
     """
-    common.ship(docs.sparkSession)
+    spark = docs.sparkSession
+    common.ship(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    texts.mapInArrow(_segments(tokenizer, end_id), _FILE).write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
+    texts.mapInArrow(_segments(tokenizer, end_id, cache_bytes), _SEGMENTS).write.options(**_STORED).parquet(f"{path}/segments")
+    sizes = spark.read.schema(_SEGMENTS).parquet(f"{path}/segments").select("part", "segment", "n")
+    totals = sorted(tuple(r) for r in sizes.groupBy("part").agg(F.sum("n")).collect())  # a row for each task that wrote
+    firsts, at = [], 0
+    for part, n in totals:
+        firsts.append((part, at))
+        at += n
+    firsts = F.broadcast(spark.createDataFrame(firsts, "part int, base long"))
+    before = F.sum("n").over(Window.partitionBy("part").orderBy("segment")) - F.col("n")
+    sizes.withColumn("first", before).join(firsts, "part").select("part", "segment", (F.col("base") + F.col("first")).alias("first"), "n").write.parquet(f"{path}/directory")
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import zlib
 
-    for b in batches:
-        for row in b.to_pylist():
-            ids, at = Dac(row["codes"]).all().astype("<u4"), 0
-            starts, crcs = [], []
-            for n in row["lengths"]:
-                starts.append(at)
-                crcs.append(zlib.crc32(ids[at : at + n]))
-                at += n
-            k = len(starts)
-            yield pa.record_batch(
-                [pa.array([row["part"]] * k, pa.int32()), pa.array([row["segment"]] * k, pa.int32()), pa.array(row["doc_ids"], pa.int64()), pa.array(starts, pa.int64()), pa.array(row["lengths"], pa.int64()), pa.array(crcs, pa.int64())],
-                ["part", "segment", "doc_id", "within", "n_tokens", "ids_crc32"],
-            )
-
-
-def read_documents(spark, path: str) -> DataFrame:
+    for whole in batches:
+        for b in common.slices([whole], 1):
+            ids = memoryview(Dac(b.column("codes")[0].as_buffer()).all().astype("<u4")).cast("B")
+            docs, lengths = b.column("doc_ids").flatten(), b.column("lengths").flatten().to_numpy().astype(np.int64)
+            ends = np.cumsum(lengths)
+            crcs = [zlib.crc32(ids[4 * a : 4 * z]) for a, z in zip((ends - lengths).tolist(), ends.tolist(), strict=True)]
+            k = len(crcs)
+            place = [pa.array(np.full(k, b.column(c)[0].as_py(), np.int32)) for c in ("part", "segment")]
+            yield pa.record_batch([*place, docs, pa.array(ends - lengths), pa.array(lengths), pa.array(crcs, pa.int64())], ["part", "segment", "doc_id", "within", "n_tokens", "ids_crc32"])
+
+
+def _directory(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("part int, segment int, first long, n long").parquet(f"{path}/directory")
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """From the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
-    Segments' totals, one row for each SEGMENT_IDS ids, are summed in order of
-    part and then of segment.
+    The directory, one row for each SEGMENT_IDS ids, is broadcast up to
+    common.BROADCAST_ROWS rows and joined by a shuffle beyond it.
     """
     common.ship(spark)
-    rows = spark.read.schema(_FILE).parquet(path)
-    size = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
-    sizes = sorted(tuple(r) for r in rows.select("part", "segment", size).collect())
-    firsts, at = [], 0
-    for part, segment, n in sizes:
-        firsts.append((part, segment, at))
-        at += n
-    firsts = spark.createDataFrame(firsts, "part int, segment int, first long")
+    rows = spark.read.schema(_SEGMENTS).parquet(f"{path}/segments")
+    places = _directory(spark, path)
+    n = places.count()
+    places = places.select("part", "segment", "first")
     docs = rows.mapInArrow(_documents, "part int, segment int, doc_id long, within long, n_tokens long, ids_crc32 long")
-    return docs.join(F.broadcast(firsts), ["part", "segment"]).select("doc_id", (F.col("first") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
-
-
-def token_at(spark, path: str, place: int) -> int | None:
-    """The id at one place of the whole file, without decoding its segment; None beyond the end."""
-    rows = spark.read.schema(_FILE).parquet(path)
-    size = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
-    for part, segment, n in sorted(tuple(r) for r in rows.select("part", "segment", size).collect()):
-        if place < n:
-            (row,) = rows.filter((F.col("part") == part) & (F.col("segment") == segment)).select("codes").collect()
-            return Dac(bytes(row[0])).get(place)
-        place -= n
-    return None
+    return docs.join(F.broadcast(places) if n <= common.BROADCAST_ROWS else places, ["part", "segment"]).select("doc_id", (F.col("first") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def token_at(spark: SparkSession, path: str, place: int) -> int | None:
+    """The id at one place of the whole file, without decoding its segment; None beyond the end.
+
+    The directory's statistics lead to one entry of it, and that one's part and
+    segment to one page of codes.
+    """
+    found = _directory(spark, path).filter((F.col("first") <= place) & (F.col("first") + F.col("n") > place)).collect()
+    if not found or place < 0:
+        return None
+    part, segment, first, _ = found[0]
+    rows = spark.read.schema(_SEGMENTS).parquet(f"{path}/segments")
+    (row,) = rows.filter((F.col("part") == part) & (F.col("segment") == segment)).select("codes").collect()
+    return Dac(bytes(row[0])).get(place - first)
