@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import change as ch
+from ..plans import keyset
 from .base import CHANGES, ISSUE, Catalogue, changes, hex_id, issue, table
 
 Q = Catalogue()
@@ -33,7 +35,7 @@ def route_header(spark, sf_dir):
 
 
 _A, _B = "a" + "0" * 31, "b" + "0" * 31
-_IDS = [(1, _A, None, None), (2, _A.upper(), _A, None), (3, _A, _B, None), (4, None, "nope", None), (5, None, None, f" {_B} "), (6, None, None, None), (7, " ", _B, _B)]
+_IDS = [(1, _A, None, None), (2, _A.upper(), _A, None), (3, _A, _B, None), (4, None, "nope", None), (5, None, None, f" {_B} "), (6, None, None, None), (7, " ", _B, _B), (8, "nope", _B, None)]
 
 
 def _ids(precedence: str):
@@ -44,11 +46,11 @@ def _ids(precedence: str):
     return run
 
 
-Q.add("id_extract", _ids("reject"), f"SELECT * FROM (VALUES (1, '{_A}', NULL), (2, '{_A}', NULL), (3, NULL, 'ids disagree'), (4, NULL, 'malformed id'), (5, '{_B}', NULL), (6, NULL, NULL), (7, '{_B}', NULL)) t(n, id, error)")
-Q.add("id_precedence", _ids("value"), f"SELECT * FROM (VALUES (1, '{_A}', NULL), (2, '{_A}', NULL), (3, '{_B}', NULL), (4, NULL, 'malformed id'), (5, '{_B}', NULL), (6, NULL, NULL), (7, '{_B}', NULL)) t(n, id, error)")
+Q.add("id_extract", _ids("reject"), f"SELECT * FROM (VALUES (1, '{_A}', NULL), (2, '{_A}', NULL), (3, NULL, 'ids disagree'), (4, NULL, 'malformed id'), (5, '{_B}', NULL), (6, NULL, NULL), (7, '{_B}', NULL), (8, NULL, 'ids disagree')) t(n, id, error)")
+Q.add("id_precedence", _ids("value"), f"SELECT * FROM (VALUES (1, '{_A}', NULL), (2, '{_A}', NULL), (3, '{_B}', NULL), (4, NULL, 'malformed id'), (5, '{_B}', NULL), (6, NULL, NULL), (7, '{_B}', NULL), (8, '{_B}', NULL)) t(n, id, error)")
 
 
-@Q("SELECT * FROM (VALUES (1, true), (2, true), (3, false), (4, true), (5, true), (6, true), (7, true)) t(n, agree)")
+@Q("SELECT * FROM (VALUES (1, true), (2, true), (3, false), (4, true), (5, true), (6, true), (7, true), (8, false)) t(n, agree)")
 def id_agree(spark, sf_dir):
     return spark.createDataFrame(_IDS, "n int, k string, v string, h string").select("n", ch.ids_agree([F.col("k"), F.col("v"), F.col("h")]).alias("agree"))
 
@@ -89,13 +91,19 @@ _FIELDS = ["state", "priority"]
 
 
 def _target(spark, sf_dir):
-    return issue(spark, sf_dir).filter("number % 4 != 0").select("sys_id", "sys_mod_count", "sys_updated_on", *_FIELDS)
+    return issue(spark, sf_dir).select("sys_id", "sys_mod_count", "sys_updated_on", *_FIELDS)
 
 
-def _batch(spark, sf_dir, op: str):
-    """One change to each third issue."""
-    o = table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0")
-    return o.select(hex_id("o_orderkey").alias("sys_id"), F.lit(op).alias("op"), F.col("o_orderkey").alias("order"), F.lit("2026-01-01 00:00:00").cast("timestamp_ntz").alias("at"), F.create_map(F.lit("state"), F.lit("X")).alias("body"))
+def _renamed():
+    """Every fourth key is unknown to the table, the others are those of its rows."""
+    return F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("f"), F.substring(hex_id("o_orderkey"), 2, 31))).otherwise(hex_id("o_orderkey"))
+
+
+def _batch(spark, sf_dir, op: str, sys_id=None):
+    """One change for each order."""
+    o = table(spark, sf_dir, "orders")
+    at = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    return o.select((_renamed() if sys_id is None else sys_id).alias("sys_id"), F.lit(op).alias("op"), F.col("o_orderkey").alias("order"), at.alias("at"), F.create_map(F.lit("state"), F.concat(F.lit("X"), (F.col("o_orderkey") % 7).cast("string"))).alias("body"))
 
 
 def _apply(op: str, **how):
@@ -106,26 +114,49 @@ def _apply(op: str, **how):
     return run
 
 
-_T = f'{ISSUE}, t AS (SELECT * FROM issue WHERE number % 4 <> 0), b AS (SELECT sys_id, number FROM issue WHERE number % 3 = 0)'
+_T = f"{ISSUE}, b AS (SELECT CASE WHEN number % 4 = 0 THEN concat('f', substr(sys_id, 2, 31)) ELSE sys_id END AS sys_id, number, concat('X', number % 7) AS x FROM issue)"
 _AT = "TIMESTAMP '2026-01-01'"
 
 
 def _changed(state: str, priority: str) -> str:
     return f"""WITH {_T} SELECT t.sys_id, CASE WHEN b.sys_id IS NULL THEN sys_mod_count ELSE sys_mod_count + 1 END AS sys_mod_count, CASE WHEN b.sys_id IS NULL THEN sys_updated_on ELSE {_AT} END AS sys_updated_on,
- CASE WHEN b.sys_id IS NULL THEN state ELSE {state} END AS state, CASE WHEN b.sys_id IS NULL THEN priority ELSE {priority} END AS priority FROM t LEFT JOIN b ON t.sys_id = b.sys_id"""
+ CASE WHEN b.sys_id IS NULL THEN state ELSE {state} END AS state, CASE WHEN b.sys_id IS NULL THEN priority ELSE {priority} END AS priority FROM issue t LEFT JOIN b ON t.sys_id = b.sys_id"""
 
 
-Q.add("apply_create", _apply("CREATE"), f"WITH {_T} SELECT sys_id, sys_mod_count, sys_updated_on, state, priority FROM t UNION ALL SELECT sys_id, 0, {_AT}, 'X', '' FROM b WHERE number % 4 = 0")
-Q.add("apply_patch", _apply("PATCH"), _changed("'X'", "priority"))
-Q.add("apply_put", _apply("PUT"), _changed("'X'", "''"))
-Q.add("apply_delete", _apply("DELETE"), f"WITH {_T} SELECT sys_id, sys_mod_count, sys_updated_on, state, priority FROM t WHERE number % 3 <> 0")
-Q.add("apply_patch_or_create", _apply("PATCH", not_found="create"), _changed("'X'", "priority") + f" UNION ALL SELECT sys_id, 0, {_AT}, 'X', '' FROM b WHERE number % 4 = 0")
+_NEW = f"SELECT sys_id, 0, {_AT}, x, '' FROM b WHERE number % 4 = 0"
+_ISSUE = "SELECT sys_id, sys_mod_count, sys_updated_on, state, priority FROM issue"
+Q.add("apply_create", _apply("CREATE"), f"WITH {_T} {_ISSUE} UNION ALL {_NEW}")
+Q.add("apply_patch", _apply("PATCH"), _changed("x", "priority"))
+Q.add("apply_put", _apply("PUT"), _changed("x", "''"))
+Q.add("apply_delete", _apply("DELETE"), f"WITH {_T} {_ISSUE} WHERE number % 4 = 0")
+Q.add("apply_patch_or_create", _apply("PATCH", not_found="create"), _changed("x", "priority") + f" UNION ALL {_NEW}")
 
 
-@Q(f"WITH {_T} SELECT sys_id, number AS \"order\" FROM b WHERE number % 4 = 0")
+@Q(f"WITH {_T} SELECT sys_id, number AS \"order\", 'not found' AS reason FROM b WHERE number % 4 = 0")
 def apply_rejected(spark, sf_dir):
     _, rejected = ch.apply_changes(_target(spark, sf_dir), _batch(spark, sf_dir, "PATCH"), _FIELDS)
-    return rejected
+    return rejected.select("sys_id", "order", "reason")
+
+
+@Q(f"WITH {_T} SELECT md5(concat('{{\"order\":', number, '}}')) AS sys_id, 0 AS sys_mod_count, x AS state FROM b UNION ALL SELECT sys_id, sys_mod_count, state FROM issue")
+def apply_create_without_id(spark, sf_dir):
+    """Every record makes a row of its own, with an id that its coordinates give."""
+    live, _ = ch.apply_changes(_target(spark, sf_dir), _batch(spark, sf_dir, "CREATE", F.lit(None).cast("string")), _FIELDS)
+    return live.select("sys_id", "sys_mod_count", "state")
+
+
+@Q("SELECT o_orderkey AS \"order\", 'no id' AS reason FROM orders")
+def apply_update_without_id(spark, sf_dir):
+    _, rejected = ch.apply_changes(_target(spark, sf_dir), _batch(spark, sf_dir, "PATCH", F.lit("")), _FIELDS, not_found="create")
+    return rejected.select("order", "reason")
+
+
+@Q(f"""WITH {_T} SELECT b.sys_id, {_AT} AS sys_updated_on, CASE WHEN number % 4 = 0 THEN {_AT} ELSE TIMESTAMP '2020-01-01' END AS sys_created_on, CASE WHEN number % 4 = 0 THEN 'me' ELSE 'them' END AS sys_created_by, 'me' AS sys_updated_by FROM b
+ UNION ALL SELECT sys_id, sys_updated_on, TIMESTAMP '2020-01-01', 'them', 'them' FROM issue WHERE number % 4 = 0""")
+def apply_system_fields(spark, sf_dir):
+    old = {"sys_created_on": F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"), "sys_created_by": F.lit("them"), "sys_updated_by": F.lit("them")}
+    live, _ = ch.apply_changes(_target(spark, sf_dir).withColumns(old), _batch(spark, sf_dir, "PATCH"), _FIELDS, not_found="create", user="me")
+    return live.select("sys_id", "sys_updated_on", *old)
 
 
 @Q("SELECT concat('a', lpad(lower(hex(user_id)), 31, '0')) AS sys_id, count(*) - 1 AS sys_mod_count, max(date_trunc('second', ts))::TIMESTAMP IS NOT NULL AS dated, CAST(arg_max(event_id, event_id) AS VARCHAR) AS seq FROM events GROUP BY 1")
@@ -144,7 +175,7 @@ for _policy, _sql in (("fail", "'NOT_FOUND'"), ("ignore", "'IGNORED'"), ("create
         c = changes(spark, sf_dir).select("offset", F.col("id").alias("sys_id"), "op")
         return ch.resolve_missing(c, _target(spark, sf_dir), policy=policy).select("offset", "op", "outcome")
 
-    Q.add(f"notfound_{_policy}", _missing, f"WITH {CHANGES}, {ISSUE} SELECT \"offset\", op, {_sql} AS outcome FROM changes WHERE op IN ('PATCH', 'PUT', 'DELETE') AND id NOT IN (SELECT sys_id FROM issue WHERE number % 4 <> 0)")
+    Q.add(f"notfound_{_policy}", _missing, f"WITH {CHANGES}, {ISSUE} SELECT \"offset\", op, {_sql} AS outcome FROM changes WHERE op IN ('PATCH', 'PUT', 'DELETE') AND id NOT IN (SELECT sys_id FROM issue)")
 
 
 @Q(f"""WITH {ISSUE}, f AS (SELECT caller, count(*) AS n, min(sys_id) AS id FROM issue GROUP BY caller)
@@ -182,11 +213,20 @@ def classify_status(spark, sf_dir):
     return df.select("status", "error", text.is_retryable(F.col("status"), F.col("error")).alias("retryable"))
 
 
-@Q(f'WITH {CHANGES} SELECT topic, partition, "offset", row_number() OVER (PARTITION BY topic, partition ORDER BY "offset") AS place FROM changes')
+@Q(f'WITH {CHANGES} SELECT topic, partition, "offset", row_number() OVER (PARTITION BY topic, partition ORDER BY "offset") AS place, 1 AS tasks FROM changes')
 def lane_order(spark, sf_dir):
-    from pyspark.sql import Window as W
+    """A row's place in its lane is read off the place that it has after lane_order(), and a lane must lie in one task."""
+    rows = ch.lane_order(changes(spark, sf_dir), 4).select("topic", "partition", "offset", F.monotonically_increasing_id().alias("at"))
+    lanes = rows.groupBy("topic", "partition").agg(F.array_sort(F.collect_list(F.struct("at", "offset"))).alias("r"), F.countDistinct(F.shiftright("at", 33)).cast("int").alias("tasks"))
+    return lanes.select("topic", "partition", "tasks", F.posexplode("r").alias("place", "x")).select("topic", "partition", "x.offset", (F.col("place") + 1).cast("bigint").alias("place"), "tasks")
+
 
-    return ch.lane_order(changes(spark, sf_dir)).select("topic", "partition", "offset", F.row_number().over(W.partitionBy("topic", "partition").orderBy("offset")).cast("bigint").alias("place"))
+@Q(f'WITH {CHANGES} SELECT "offset", row_number() OVER (ORDER BY "offset") AS place FROM changes')
+def outcomes_in_input_order(spark, sf_dir):
+    rows = ch.in_input_order(changes(spark, sf_dir).repartition(5, "topic"), "offset").select("offset", F.monotonically_increasing_id().alias("_at"))
+    part = F.shiftright("_at", 33)
+    sizes = rows.groupBy(part.alias("_part")).count().withColumn("_first", F.sum("count").over(W.orderBy("_part")) - F.col("count"))
+    return rows.withColumn("_part", part).join(F.broadcast(sizes), "_part").select("offset", (F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("place"))
 
 
 @Q(f"WITH {_O} SELECT topic, partition, \"offset\", NOT coalesce(max(CASE WHEN classification = 'RETRIES_EXHAUSTED' THEN 1 ELSE 0 END) OVER (PARTITION BY topic, partition ORDER BY \"offset\" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) = 1, false) AS attempted FROM outcomes")
@@ -218,10 +258,11 @@ def report_success(spark, sf_dir):
     return r.select("key", F.get_json_object("value", "$.operation").alias("operation"), F.get_json_object("value", "$.status").cast("int").alias("status"), F.get_json_object("value", "$.source.offset").cast("bigint").alias("offset"))
 
 
-@Q(f"""WITH {_O} SELECT sys_id AS key, classification, '{{"token":"***","note":1}}' AS excerpt, "offset" FROM outcomes WHERE classification IS NOT NULL""")
+@Q(f"""WITH {_O} SELECT sys_id AS key, classification, '{{"token":"***","note":1}}' AS excerpt, "offset", concat(topic, '/', partition, '/', "offset") AS place FROM outcomes WHERE classification IS NOT NULL""")
 def report_error(spark, sf_dir):
     r = ch.report(_outcomes(spark, sf_dir), "error")
-    return r.select("key", F.col("headers")["classification"].alias("classification"), F.get_json_object("value", "$.response_excerpt").alias("excerpt"), "offset")
+    place = F.concat_ws("/", *(F.col("headers")[c] for c in ("topic", "partition", "offset")))
+    return r.select("key", place.alias("place"), F.col("headers")["classification"].alias("classification"), F.get_json_object("value", "$.response_excerpt").alias("excerpt"), "offset")
 
 
 @Q(f'WITH {_O} SELECT sys_id AS key, \'["u_x"]\' AS dropped, "offset" FROM outcomes WHERE "offset" % 10 = 0')
@@ -237,7 +278,5 @@ def writer_metrics(spark, sf_dir):
 
 @Q("SELECT event_type AS source, count(*) AS emitted, count(*) - count(DISTINCT (user_id, date_trunc('hour', ts), event_id % 3)) AS duplicates, count_if(event_id % 13 = 0) AS skipped, CAST(greatest(0, 1704931200 - max(epoch(date_trunc('second', ts)))) AS BIGINT) AS lag_seconds FROM events GROUP BY 1")
 def source_metrics(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
     version = F.struct("user_id", F.date_trunc("hour", "ts"), F.col("event_id") % 3)
-    lag = F.greatest(F.lit(0).cast("bigint"), F.lit(1704931200) - F.unix_timestamp(F.max(F.date_trunc("second", "ts")).cast("timestamp")))
-    return e.groupBy(F.col("event_type").alias("source")).agg(F.count("*").alias("emitted"), (F.count("*") - F.countDistinct(version)).alias("duplicates"), F.count_if(F.col("event_id") % 13 == 0).alias("skipped"), lag.alias("lag_seconds"))
+    return keyset.source_counters(table(spark, sf_dir, "events"), "event_type", version, F.col("ts"), skipped=F.col("event_id") % 13 == 0, now=1704931200)

@@ -101,10 +101,26 @@ def same_second_buckets(spark, sf_dir):
     return o.groupBy(F.date_trunc("second", "o_orderdate").cast("timestamp_ntz").alias("ts")).agg(F.count("*").alias("rows")).filter("rows > 1")
 
 
-@Q("""WITH e AS (SELECT user_id, event_id, date_trunc('second', ts) AS s, lag(date_trunc('second', ts)) OVER w AS s0, lag(event_id) OVER w AS e0 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
- SELECT user_id, event_id FROM e WHERE s < s0 OR (s = s0 AND event_id <= e0)""")
-def order_violation(spark, sf_dir):
-    return ks.order_violations(table(spark, sf_dir, "events"), "event_id", _EVENT, lane="user_id").select("user_id", "event_id")
+def _arrivals(spark, sf_dir):
+    """Events whose every fiftieth carries a time of the day before, and every seventieth the id of an earlier one."""
+    n = F.col("event_id")
+    ts = F.when(n % 50 == 0, F.expr("ts - INTERVAL 1 DAY")).otherwise(F.col("ts"))
+    return table(spark, sf_dir, "events").select("user_id", n.alias("arrival"), ts.alias("ts"), F.when(n % 70 == 0, n - 3).otherwise(n).alias("event_id"))
+
+
+_ARRIVALS = "a AS (SELECT user_id, event_id AS arrival, date_trunc('second', CASE WHEN event_id % 50 = 0 THEN ts - INTERVAL 1 DAY ELSE ts END) AS s, CASE WHEN event_id % 70 = 0 THEN event_id - 3 ELSE event_id END AS event_id FROM events)"
+
+
+def _violations(lane: str | None):
+    def run(spark, sf_dir):
+        return ks.order_violations(_arrivals(spark, sf_dir), "arrival", _EVENT, lane=lane).select("user_id", "arrival")
+
+    part = f"PARTITION BY {lane} " if lane else ""
+    return run, f"WITH {_ARRIVALS}, e AS (SELECT *, lag(s) OVER w AS s0, lag(event_id) OVER w AS e0 FROM a WINDOW w AS ({part}ORDER BY arrival)) SELECT user_id, arrival FROM e WHERE s < s0 OR (s = s0 AND event_id <= e0)"
+
+
+Q.add("order_violation", *_violations("user_id"))
+Q.add("order_violation_whole", *_violations(None))
 
 
 def _raw(spark, sf_dir):
@@ -151,3 +167,13 @@ def offset_validate(spark, sf_dir):
 def offset_compat(spark, sf_dir):
     df = spark.createDataFrame(_OFFSETS, "n int, offset map<string,string>").filter(offsets.is_valid(F.col("offset")))
     return df.select("n", (F.col("offset")["fingerprint"] == "sha256:x").alias("compatible"))
+
+
+_STREAMS = [("i", "t1", "sha256:x", "sys_updated_on"), ("i", "t2", "sha256:x", "sys_updated_on"), ("i", "t1", "sha256:y", "sys_updated_on")]
+
+
+@Q("SELECT * FROM (VALUES ('t1', 'sha256:x', '2026-01-01 00:00:05'), ('t2', 'sha256:x', NULL), ('t1', 'sha256:y', NULL)) t(\"table\", query_fingerprint, resume_at)")
+def offset_lookup(spark, sf_dir):
+    names = "instance string, table string, query_fingerprint string, timestamp_field string"
+    stored = spark.createDataFrame([(*_STREAMS[0], _OFFSETS[0][1])], f"{names}, offset map<string,string>")
+    return offsets.lookup(spark.createDataFrame(_STREAMS, names), stored).select("table", "query_fingerprint", F.col("offset")["timestamp"].alias("resume_at"))

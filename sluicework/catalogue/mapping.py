@@ -94,3 +94,20 @@ def superclass_chain(spark, sf_dir):
 @Q("SELECT * FROM (VALUES ('a', 0), ('b', 1)) t(name, level)")
 def superclass_cycle(spark, sf_dir):
     return mp.superclass_chain(spark.createDataFrame(_TABLES, "sys_id string, name string, super_class string"), "a")
+
+
+@Q("SELECT * FROM (VALUES ('rename', 'more than one column would be called p_name'), ('flatten', 'more than one field would be called a_b')) t(\"case\", error)")
+def map_collision(spark, sf_dir):
+    """Two fields of one name are told before any row is read."""
+    p = table(spark, sf_dir, "part")
+    cases = {
+        "rename": (p.select("p_name", "p_brand"), mp.Mapping(rename=(("p_brand", "p_name"),))),
+        "flatten": (p.select(F.col("p_name").alias("a_b"), F.struct(F.col("p_size").alias("b")).alias("a")), mp.Mapping(nested="flatten")),
+    }
+    rows = []
+    for name, (df, m) in cases.items():
+        try:
+            mp.body(df, m)
+        except ValueError as e:
+            rows.append((name, str(e)))
+    return spark.createDataFrame(rows, "case string, error string")

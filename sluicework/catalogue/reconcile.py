@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import reconcile as rc
+from ..workers import cut
 from .base import DUMP, ISSUE, Catalogue, dump, issue
 
 Q = Catalogue()
@@ -54,10 +55,18 @@ def recon_digest(spark, sf_dir):
     return rc.exact_digest(_table(spark, sf_dir))
 
 
-@Q(None)
+@Q(f"WITH {_NEW}, b AS (SELECT substr(md5(sys_id), 1, 4) AS b, sha256(string_agg(sys_id, chr(10) ORDER BY sys_id)) AS h FROM (SELECT DISTINCT sys_id FROM own) GROUP BY 1) SELECT sha256(string_agg(h, chr(10) ORDER BY b)) AS digest FROM b")
 def recon_bucket_digest(spark, sf_dir):
     """The form without a single large group; equal sets give equal digests."""
-    return rc.digest(_table(spark, sf_dir)).crossJoin(rc.digest(_table(spark, sf_dir).repartition(3)).select(F.col("digest").alias("again")))
+    return rc.digest(_table(spark, sf_dir))
+
+
+@Q(f"""WITH {_NEW}, r AS (SELECT sys_id, ts, "mod", row_number() OVER (ORDER BY sys_id, ts DESC, "mod") AS arrival FROM dump) SELECT sys_id, count(*) AS records, arg_max(ts, arrival) AS ts FROM r GROUP BY sys_id""")
+def recon_last_read(spark, sf_dir):
+    """Of repeated ids the row that was read last counts, here the oldest one."""
+    d = dump(spark, sf_dir)
+    order = F.struct(F.col("ts").substr(1, 0).alias("same"), -F.unix_timestamp(F.col("ts").cast("timestamp")), F.col("mod"))
+    return rc.versions(d.withColumn("arrival", order), arrival="arrival").select("sys_id", "records", "newest.ts")
 
 
 @Q(f"""WITH {ISSUE}, {DUMP}, own AS (SELECT sys_id, strftime(sys_updated_on, '%Y-%m-%d %H:%M:%S') AS ts, sys_mod_count AS "mod" FROM issue),
@@ -66,7 +75,7 @@ def recon_bucket_digest(spark, sf_dir):
  SELECT count(o) AS table_rows, count(s) AS dump_unique, count_if(s IS NULL) AS missing, count_if(coalesce(stale, false)) AS stale, count_if(o IS NULL) AS extra, count_if(records > 1) AS duplicates,
  CAST(sum(CASE WHEN records > 1 THEN records - 1 ELSE 0 END) AS BIGINT) AS duplicate_records, count_if(s IS NULL) + count_if(coalesce(stale, false)) AS loss, (SELECT count(*) FROM dump) AS dump_lines, (SELECT count(*) FROM dump WHERE ts < '{_SINCE}' OR ts > '{_UNTIL}') AS out_of_window FROM j""")
 def recon_summary(spark, sf_dir):
-    d = dump(spark, sf_dir)
+    d = cut(dump(spark, sf_dir))  # read once: three parts of the result come from it
     return rc.summary(rc.compare(_table(spark, sf_dir), d, since=_SINCE, until=_UNTIL), d, since=_SINCE, until=_UNTIL)
 
 
@@ -96,7 +105,7 @@ def export_unwrap(spark, sf_dir):
 
 @Q(f"WITH {_NEW} SELECT count(*) AS missing, min(sys_id) AS first FROM own WHERE sys_id NOT IN (SELECT sys_id FROM seen)")
 def evidence_report(spark, sf_dir):
-    d = dump(spark, sf_dir)
-    c = _compared(spark, sf_dir)
+    d = cut(dump(spark, sf_dir))
+    c = cut(rc.compare(_table(spark, sf_dir), d))
     r = rc.evidence(c, rc.summary(c, d))
     return r.select(F.get_json_object("report", "$.missing").cast("bigint").alias("missing"), F.get_json_object("report", "$.missing_ids[0]").alias("first"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from ..functions import coerce
@@ -34,10 +36,14 @@ def project_cursor(spark, sf_dir):
     return ks.select(issue(spark, sf_dir), ks.projection([" state ", "sys_id", "state"]))
 
 
-@Q("SELECT c_custkey, c_name FROM customer WHERE c_custkey > 700")
+@Q(f"WITH {ISSUE} SELECT sys_id AS inc_sys_id, sys_updated_on AS inc_sys_updated_on, priority AS inc_priority FROM issue WHERE sys_updated_on > TIMESTAMP '1995-03-15' AND sys_updated_on <= TIMESTAMP '1995-09-01'")
 def view_cursor_scan(spark, sf_dir):
-    """A view's own, prefixed id takes the place of the usual one."""
-    return eq.apply(table(spark, sf_dir, "customer"), "c_custkey>700").select("c_custkey", "c_name")
+    """A view's own, prefixed cursor fields take the place of the usual ones."""
+    view = issue(spark, sf_dir)
+    view = view.select(*(F.col(c).alias(f"inc_{c}") for c in view.columns))
+    keys = ks.Keys("inc_sys_updated_on", "inc_sys_id", "inc_sys_mod_count")
+    rows = ks.next_buckets(view, datetime(1995, 3, 15), datetime(1995, 9, 1), keys)
+    return ks.select(rows, ["inc_sys_id", "inc_sys_updated_on", "inc_priority"])
 
 
 _NATION = "SELECT s_suppkey, CAST(s_nationkey AS VARCHAR) AS v, n_name AS d FROM supplier JOIN nation ON s_nationkey = n_nationkey"

@@ -52,6 +52,7 @@ def instance_host(spark, sf_dir):
 
 _vectors("valid_sys_id", "s string", [("a" * 32,), ("A" * 32,), ("a" * 31,), (None,)], lambda: text.is_id(c("s")), [True, False, False, False])
 _vectors("valid_table", "s string", [("cmdb_ci",), ("Bad",), ("a/b",)], lambda: text.is_table(c("s")), [True, False, False])
+_vectors("redact_more", "s string", [('{"a":{"Token" :\n"x y"},"b":"keep"}',), ("u=https://h/p?access_token=a=b?c&z=1 end",), ("basic  QWxh==; next",), ('"password": 5',), ("=tokenx=abc&z",), ("é token=ü&x",), ("BasicX abc",)], lambda: text.redact_body(c("s")), ['{"a":{"Token" :\n"***"},"b":"keep"}', "u=https://h/p?access_token=***&z=1 end", "basic  ***; next", '"password": 5', "=tokenx=abc&z", "é token=***&x", "BasicX abc"])
 _vectors("redact_body", "s string", [('{"client_secret": "a\\"b", "x": 1}',), ("grant=1&password=p%20q&y=2",), ("Authorization was Bearer abc.def ok",), ("nothing",)], lambda: text.redact_body(c("s")), ['{"client_secret": "***", "x": 1}', "grant=1&password=***&y=2", "Authorization was Bearer *** ok", "nothing"])
 _vectors("redact_headers", "h map<string,array<string>>", [({"X-Id": ["1", "2"], "authorization": ["Basic x"]},), ({},)], lambda: text.redact_headers(c("h")), ["{authorization=[***], X-Id=[1, 2]}", "{}"])
 _vectors("excerpt", "s string", [("abcdefghij",), ("abc",), (None,)], lambda: text.excerpt(c("s"), 5), ["abcde...", "abc", ""])
@@ -59,6 +60,8 @@ _vectors("error_body_parse", "s string", [('{"error":{"message":"No","detail":"w
 _NOW = 1767225600  # 2026-01-01 00:00:00
 _vectors("retry_after", "s string", [("120",), ("-5",), ("Thu, 01 Jan 2026 00:01:00 GMT",), ("Wed, 31 Dec 2025 23:00:00 GMT",), ("soon",)], lambda: text.retry_after(c("s"), F.lit(_NOW)), [120, 0, 60, 0, None])
 _vectors("rate_reset", "s string", [("60",), ("1767229200",), ("Thu, 01 Jan 2026 01:00:00 GMT",), ("x",)], lambda: text.rate_reset(c("s"), F.lit(_NOW)), [_NOW + 60, 1767229200, _NOW + 3600, None])
+_vectors("wait_for", "w int, o int, now int, r int, t int", [(10, 100, 104, None, None), (10, 100, 120, None, None), (None, 100, 104, 0, 110), (None, 100, 120, 0, 110), (None, 100, 104, 3, 110)], lambda: text.wait_for(c("w"), c("o"), c("now"), remaining=c("r"), reset=c("t")), [6, 0, 6, 0, None])
+_vectors("remaining_fraction", "l int, r int", [(100, 25), (100, -3), (0, 5), (100, None)], lambda: text.remaining_fraction(c("l"), c("r")), [0.25, 0.0, None, None])
 _vectors("backoff_ceiling", "a int", [(1,), (2,), (5,), (7,), (40,)], lambda: text.backoff_ceiling(c("a")), [500, 1000, 8000, 30000, 30000])
 _vectors("retry_decision", "r boolean, i boolean, m boolean, a int, e int, w int", [(True, True, True, 1, 0, 500), (True, False, True, 1, 0, 500), (True, False, False, 5, 0, 1), (True, True, False, 2, 299_900, 500), (False, True, False, 1, 0, 0)], lambda: text.retry_decision(c("r"), c("i"), c("m"), c("a"), c("e"), c("w")), ["retry", "fail", "exhausted", "exhausted", "fail"])
 _vectors("idempotent_method", "m string", [("GET",), ("post",), ("DELETE",)], lambda: text.is_idempotent(c("m")), [True, False, True])
@@ -84,9 +87,10 @@ def config_exit_code(spark, sf_dir):
     return translate.exit_code(_translated(spark))
 
 
-@Q("SELECT * FROM (VALUES ('a', 'source'), ('b', 'cloud-source')) t(connector, variant)")
+@Q("SELECT * FROM (VALUES ('a', 'source'), ('b', 'cloud-source'), ('c', 'legacy'), ('d', 'sink'), ('e', NULL)) t(connector, variant)")
 def config_variant(spark, sf_dir):
-    return translate.variant(spark.createDataFrame(_CONFIG, "connector string, key string, value string"), {})
+    rows = [*_CONFIG, ("c", "connector.class", "org.x.Odd"), ("d", "connector.class", "org.y.OtherSinkConnector"), ("e", "connector.class", "Nothing")]
+    return translate.variant(spark.createDataFrame(rows, "connector string, key string, value string"), {"org.x.Odd": "legacy"})
 
 
 @Q("SELECT * FROM (VALUES ('a', concat('instance.url=https://x', chr(10), 'schema.mode=schemaless', chr(10), 'start=2026-01-02 00:00:00', chr(10), 'connector.class=io.x.MySourceConnector', chr(10), 'tasks.max=1'))) t(connector, text)")
@@ -99,15 +103,44 @@ def config_json(spark, sf_dir):
     return translate.as_json(_translated(spark).filter("connector = 'a'"))
 
 
-@Q(None)
+def _times(x: str, k: int) -> str:
+    return f"CAST((CAST({x} AS HUGEINT) * {k}) % 4294967296 AS BIGINT)"
+
+
+def _rotated(x: str, by: int) -> str:
+    return f"((({x} << {by}) & 4294967295) | ({x} >> {32 - by}))"
+
+
+def _word(at: str, size: int) -> str:
+    return " + ".join(f"(unicode(substr(t, {at} + {j + 1}, 1))::BIGINT << {8 * j})" for j in range(size))
+
+
+def _mixed(x: str) -> str:
+    return _times(_rotated(_times(f"({x})", assign.C1), 15), assign.C2)
+
+
+#: The hash in SQL: blocks of four ASCII letters folded, then the rest, then the last mixing step by step.
+_OWNER = f"""WITH a AS (SELECT lower(regexp_replace(c_name, '[^A-Za-z0-9]', '_', 'g')) AS alias FROM customer),
+ t AS (SELECT alias, i, concat(alias, '#', i) AS t FROM a, range(5) r(i)),
+ b AS (SELECT alias, i, t, len(t) AS n, list_transform(range(len(t) // 4), lambda k: {_mixed(_word('4 * k', 4))}) AS ks FROM t),
+ h AS (SELECT alias, i, t, n, list_reduce(list_prepend({assign.SEED}::BIGINT, ks), lambda h, k: ({_times(_rotated('xor(h, k)', 13), 5)} + {assign.ADD}) % 4294967296) AS h FROM b),
+ r AS (SELECT alias, i, xor(xor(h, CASE n % 4 WHEN 1 THEN {_mixed(_word('n - 1', 1))} WHEN 2 THEN {_mixed(_word('n - 2', 2))} WHEN 3 THEN {_mixed(_word('n - 3', 3))} ELSE 0 END), n::BIGINT) AS h FROM h),
+ x AS (SELECT alias, i, {_times('xor(h, h >> 16)', assign.MIX1)} AS h FROM r), y AS (SELECT alias, i, {_times('xor(h, h >> 13)', assign.MIX2)} AS h FROM x), z AS (SELECT alias, i, xor(h, h >> 16) AS h FROM y)
+ SELECT alias, CAST(i AS INTEGER) AS task FROM z QUALIFY row_number() OVER (PARTITION BY alias ORDER BY h DESC, i) = 1"""
+
+
+@Q(_OWNER)
 def rendezvous_owner(spark, sf_dir):
-    """Tests compare it with a byte-wise hash."""
     aliases = table(spark, sf_dir, "customer").select(F.lower(F.regexp_replace("c_name", "[^A-Za-z0-9]", "_")).alias("alias"))
     return assign.owner(aliases, "alias", 5)
 
 
-@Q(None)
+#: A fold whose state is 1000 times the permits plus the successes since.
+_AIMD = """SELECT event_type, CAST(list_reduce(list_prepend(8000, list(CASE WHEN event_id % 97 = 0 THEN 1 ELSE 0 END ORDER BY event_id)), lambda s, t:
+ CASE WHEN t = 1 THEN 1000 * greatest(1, (s // 1000) // 2) WHEN s // 1000 >= 8 THEN 1000 * (s // 1000) WHEN s % 1000 + 1 >= 5 THEN 1000 * (s // 1000 + 1) ELSE s + 1 END) // 1000 AS INTEGER) AS permits FROM events GROUP BY event_type"""
+
+
+@Q(_AIMD)
 def aimd_permits(spark, sf_dir):
-    """Tests compare it with the step-wise limiter."""
     e = table(spark, sf_dir, "events")
     return resilience.aimd_permits(e, "event_type", "event_id", F.col("event_id") % 97 == 0, every=5)

@@ -6,7 +6,7 @@ not fit; bad() tells the two apart.
 
 from __future__ import annotations
 
-import re
+import string
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 TIMESTAMP = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 _INTS = {"int8": ("tinyint", 2**7), "int16": ("smallint", 2**15), "int32": ("int", 2**31), "int64": ("bigint", 2**63)}
-_DECLARED = re.compile(r"\s*([A-Za-z0-9_.]+)\s*:\s*([a-z0-9]+)\s*(?:\(\s*(\d+)\s*\))?\s*")
 _TYPES = frozenset({"string", *_INTS, "float32", "float64", "boolean", "bytes", "timestamp", "date", "time", "decimal"})
 
 
@@ -27,19 +26,30 @@ class Declared:
     scale: int = 2
 
 
+_NAME = frozenset(string.ascii_letters + string.digits + "_.")
+
+
+def _declared(part: str) -> Declared:
+    """One 'field:type' or 'field:decimal(scale)'."""
+    name, _, rest = (x.strip() for x in part.partition(":"))
+    kind, bracket, scale = (x.strip() for x in rest.partition("("))
+    scale = scale.removesuffix(")").strip() if scale.endswith(")") else "-"
+    if not name or not set(name) <= _NAME or kind not in _TYPES or bracket and not (scale.isascii() and scale.isdigit()):
+        raise ValueError(f"not a field declaration: {part.strip()!r}")
+    if bracket and kind != "decimal":
+        raise ValueError(f"only decimal has a scale: {part.strip()!r}")
+    return Declared(name, kind, int(scale)) if bracket else Declared(name, kind)
+
+
 def parse_mapping(text: str) -> list[Declared]:
     """'field:type,field:decimal(3)' to declarations; wrong grammar, types, scales and repeated fields raise."""
-    out: list[Declared] = []
-    for part in filter(str.strip, re.split(r",(?![^(]*\))", text)):
-        m = _DECLARED.fullmatch(part)
-        if not m or m[2] not in _TYPES:
-            raise ValueError(f"not a field declaration: {part.strip()!r}")
-        if m[3] and m[2] != "decimal":
-            raise ValueError(f"only decimal has a scale: {part.strip()!r}")
-        if any(d.field == m[1] for d in out):
-            raise ValueError(f"declared twice: {m[1]}")
-        out.append(Declared(m[1], m[2], int(m[3] or 2)))
-    return out
+    found: dict[str, Declared] = {}
+    for part in filter(str.strip, text.split(",")):
+        d = _declared(part)
+        if d.field in found:
+            raise ValueError(f"declared twice: {d.field}")
+        found[d.field] = d
+    return list(found.values())
 
 
 def empty_to_null(c: Column) -> Column:
@@ -119,20 +129,33 @@ def format_timestamp(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
+def plain(number: Column) -> Column:
+    """A number's text without an exponent, every digit kept: 1.5E-7 is 0.00000015."""
+    parts = F.split(number, "E")
+    sign, mantissa = F.when(number.startswith("-"), "-").otherwise(""), F.replace(parts[0], F.lit("-"), F.lit(""))
+    digits = F.replace(mantissa, F.lit("."), F.lit(""))
+    at = F.length(F.substring_index(mantissa, ".", 1)) + F.try_element_at(parts, F.lit(2)).try_cast("int")
+    whole = F.rpad(digits, F.greatest(at, F.lit(0)), F.lit("0"))
+    split = F.concat(F.substr(digits, F.lit(1), at), F.lit("."), F.substr(digits, at + 1))
+    moved = F.when(at <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -at), digits)).when(at >= F.length(digits), whole).otherwise(split)
+    return F.when(number.contains("E"), F.concat(sign, moved)).otherwise(number)
+
+
 def render(c: Column, kind: str) -> Column:
     """A typed value as the wire's text; null stays null.
 
-    Whole doubles below 1e15 have no fraction, others are plain decimals;
-    decimals lose an exponent, not their scale; bytes become Base64. NaN and
-    infinities have no rendering and give null.
+    Whole doubles below 1e15 have no fraction, others are plain decimals with
+    all their digits; decimals lose an exponent, not their scale; bytes become
+    Base64. NaN and infinities have no rendering and give null.
     """
     if kind in ("float", "double"):
         d = c.cast("double")
         finite = ~F.isnan(d) & (F.abs(d) < float("inf"))
-        plain = F.regexp_replace(F.regexp_replace(d.try_cast("decimal(38,17)").cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
-        return F.when(finite, F.when((d == F.floor(d)) & (F.abs(d) < 1e15), d.try_cast("bigint").cast("string")).otherwise(F.coalesce(plain, d.cast("string"))))
+        return F.when(finite, F.when((d == F.floor(d)) & (F.abs(d) < 1e15), d.try_cast("bigint").cast("string")).otherwise(plain(d.cast("string"))))
     if kind == "boolean":
         return F.when(c, "true").when(~c, "false")
+    if kind.startswith("decimal"):
+        return plain(c.cast("string"))
     if kind.startswith("timestamp"):
         return format_timestamp(c)
     if kind == "date":

@@ -1,66 +1,62 @@
-"""Rendezvous assignment of streams to tasks, on the JVM: MurmurHash3 as integer expressions."""
+"""Rendezvous assignment of streams to tasks by MurmurHash3, which Spark has only with another end of the string."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workers import ship
+
 # The hash's constants and the seed.
 SEED = 0x5F3759DF
 C1, C2, ADD = 0xCC9E2D51, 0x1B873593, 0xE6546B64
 MIX1, MIX2 = 0x85EBCA6B, 0xC2B2AE35
 
 
-def _low(c: Column) -> Column:
-    return c.bitwiseAND(F.lit(0xFFFFFFFF))
+def hashed(texts: list[bytes], seed: int = SEED) -> np.ndarray:
+    """Unsigned 32-bit MurmurHash3 (x86) of byte strings, all of them at once, four bytes a step."""
+    n = np.array([len(t) for t in texts], np.uint32)
+    width = max(4, -(-int(n.max(initial=0)) // 4) * 4)
+    words = np.frombuffer(b"".join(t.ljust(width, b"\0") for t in texts), "<u4").reshape(len(texts), width // 4)
+    h = np.full(len(texts), seed, np.uint32)
+    whole = n // 4
 
+    def rotated(x: np.ndarray, by: int) -> np.ndarray:
+        return x << np.uint32(by) | x >> np.uint32(32 - by)
 
-def _times(c: Column, k: int) -> Column:
-    """c * k modulo 2**32 without overflow: by halves of k."""
-    return _low(_low(c * (k & 0xFFFF)) + F.shiftleft(_low(c * (k >> 16)).bitwiseAND(F.lit(0xFFFF)), 16))
+    for i in range(width // 4):
+        k = rotated(words[:, i] * np.uint32(C1), 15) * np.uint32(C2)
+        full = i < whole
+        h = np.where(full, rotated(h ^ k, 13) * np.uint32(5) + np.uint32(ADD), np.where((i == whole) & (n % 4 > 0), h ^ k, h))
+    h ^= n
+    for shift, factor in ((16, MIX1), (13, MIX2)):
+        h = (h ^ h >> np.uint32(shift)) * np.uint32(factor)
+    return h ^ h >> np.uint32(16)
 
 
-def _rotate(c: Column, n: int) -> Column:
-    return _low(F.shiftleft(c, n)).bitwiseOR(F.shiftrightunsigned(c, 32 - n))
+def murmur3(text: Column, seed: int = SEED) -> Column:
+    """The hash of a text's UTF-8 bytes, by Arrow batches."""
+    ship(SparkSession.active())
 
+    @F.pandas_udf("long")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(hashed([t.encode() for t in texts], seed).astype(np.int64))
 
-def murmur3(text: Column, seed: int = SEED) -> Column:
-    """Unsigned 32-bit MurmurHash3 (x86) of a text's UTF-8 bytes."""
-    raw = F.hex(F.encode(text, "UTF-8"))
-    n = F.octet_length(text)
-
-    def byte(i: Column) -> Column:
-        return F.conv(F.substr(raw, i * 2 + 1, F.lit(2)), 16, 10).cast("bigint")
-
-    def mixed(k: Column) -> Column:
-        return _times(_rotate(_times(k, C1), 15), C2)
-
-    def word(i: Column, size: int) -> Column:
-        out = byte(i)
-        for j in range(1, size):
-            out = out.bitwiseOR(F.shiftleft(byte(i + j), 8 * j))
-        return out
-
-    blocks = F.floor(n / 4).cast("int")
-    at = F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
-    h = F.aggregate(at, F.lit(seed).cast("bigint"), lambda h, i: _low(_rotate(h.bitwiseXOR(mixed(word(i * 4, 4))), 13) * 5 + ADD))
-    rest, last = n % 4, blocks * 4
-    tail = F.when(rest == 1, mixed(word(last, 1))).when(rest == 2, mixed(word(last, 2))).when(rest == 3, mixed(word(last, 3))).otherwise(F.lit(0).cast("bigint"))
-    steps = F.array(*(F.struct(F.lit(s).alias("s"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for s, lo, hi in ((16, MIX1 & 0xFFFF, MIX1 >> 16), (13, MIX2 & 0xFFFF, MIX2 >> 16), (16, 1, 0))))
-    start = h.bitwiseXOR(tail).bitwiseXOR(n.cast("bigint"))
-    return F.aggregate(
-        steps, start,
-        lambda h, s: F.transform(F.array(h.bitwiseXOR(F.when(s["s"] == 16, F.shiftrightunsigned(h, 16)).otherwise(F.shiftrightunsigned(h, 13)))), lambda x: _low(_low(x * s["lo"]) + F.shiftleft(_low(x * s["hi"]).bitwiseAND(F.lit(0xFFFF)), 16)))[0],
-    )
+    return run(text)
 
 
 def owner(df: DataFrame, alias: str, tasks: int) -> DataFrame:
-    """df with the task that owns each alias: the highest score, the lowest index among equals.
+    """df with the task that owns each alias: the highest score, the lowest index among equals."""
+    ship(df.sparkSession)
+
+    @F.pandas_udf("int")
+    def best(names: pd.Series) -> pd.Series:
+        scores = np.stack([hashed([f"{x}#{i}".encode() for x in names]) for i in range(tasks)])
+        return pd.Series(scores.argmax(0).astype(np.int32))
 
-    Tasks are a short range, so scores are an array in the row and nothing is joined.
-    """
-    scored = F.transform(F.sequence(F.lit(0), F.lit(tasks - 1)), lambda i: F.struct(murmur3(F.concat(F.col(alias), F.lit("#"), i.cast("string"))).alias("score"), (-i).alias("low")))
-    return df.withColumn("task", -F.array_max(scored)["low"])
+    return df.withColumn("task", best(F.col(alias)))
 
 
 def task_lists(aliases: list[str], max_tasks: int, spark) -> list[list[str]]:

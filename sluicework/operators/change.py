@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..workers import cut
 
 # Operation names in headers.
 OPERATIONS = {"CREATE": "CREATE", "POST": "CREATE", "PATCH": "PATCH", "PUT": "PUT", "DELETE": "DELETE"}
@@ -32,19 +33,16 @@ def route_header(header: Column, allowed: tuple[str, ...] = ()) -> tuple[Column,
 
 
 def extract_id(candidates: dict[str, Column], *, precedence: str = "reject") -> tuple[Column, Column]:
-    """(id, error) from the places that may hold one, in order: reject wants all to agree, key or value let theirs win."""
+    """(id, error) from the places that may hold one, in order: reject wants all to agree, key or value let theirs win.
+
+    Only the chosen id has to be well formed.
+    """
     found = {k: text.normalise_id(c) for k, c in candidates.items()}
-    bad = F.lit(False)
-    for c in found.values():
-        bad = bad | (c.isNotNull() & ~text.is_id(c))
     distinct = F.array_distinct(F.array_compact(F.array(*found.values())))
-    agreed = F.when(F.size(distinct) == 1, distinct[0])
-    clash = F.size(distinct) > 1
-    if precedence != "reject":
-        first = F.coalesce(*(c for k, c in found.items() if k.startswith(precedence)), agreed)
-        clash, agreed = clash & first.isNull(), first
-    error = F.when(bad, "malformed id").when(clash, "ids disagree")
-    return F.when(error.isNull(), agreed), error
+    winners = [c for k, c in found.items() if precedence != "reject" and k.startswith(precedence)]
+    chosen = F.coalesce(*winners, F.when(F.size(distinct) == 1, distinct[0]))
+    error = F.when(chosen.isNull() & (F.size(distinct) > 1), "ids disagree").when(chosen.isNotNull() & ~text.is_id(chosen), "malformed id")
+    return F.when(error.isNull(), chosen), error
 
 
 def ids_agree(candidates: list[Column]) -> Column:
@@ -76,51 +74,118 @@ def check_operation(op: Column, sys_id: Column, value_is_null: Column) -> Column
     return F.when(op.isin("PATCH", "PUT", "DELETE") & sys_id.isNull(), F.concat(op, F.lit(" needs an id"))).when((op != "DELETE") & value_is_null, F.concat(op, F.lit(" needs a value")))
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, fields: list[str], *, not_found: str = "fail") -> tuple[DataFrame, DataFrame]:
+#: Columns that tell one change of a batch from another, as far as the batch has them.
+COORDINATES = ("topic", "partition", "offset", "order")
+#: System columns that a target may have besides its id, count and time of change.
+_SYSTEM = ("sys_created_on", "sys_created_by", "sys_updated_by")
+
+
+def identified(changes: DataFrame) -> DataFrame:
+    """changes with change_id, which its coordinates give, and target_id: the row's id, or change_id where it has none."""
+    own = F.md5(F.to_json(F.struct(*(c for c in COORDINATES if c in changes.columns))))
+    return changes.withColumns({"change_id": own, "target_id": F.coalesce(F.nullif("sys_id", F.lit("")), own)})
+
+
+def apply_changes(target: DataFrame, changes: DataFrame, fields: list[str], *, not_found: str = "fail", user: str = "integration") -> tuple[DataFrame, DataFrame]:
     """(new target, rejected changes) after folding each key's changes in their order.
 
-    target has sys_id, sys_mod_count, sys_updated_on and fields; changes has
-    sys_id, op, order, at and a map body. PATCH sets the body's fields, PUT also
-    empties the others, both add one to sys_mod_count; CREATE of a row that
-    exists and changes to one that doesn't are rejected; not_found "create" lets
-    PATCH and PUT make the row and "ignore" drops them. Keys' changes meet the
-    target in one full outer join and are folded inside the row, so a key with
-    very many changes should be compacted first.
+    target has sys_id, sys_mod_count, sys_updated_on and fields, and may have
+    sys_created_on, sys_created_by and sys_updated_by; changes has sys_id, op,
+    order, at, a map body and, if order alone doesn't tell them apart, their
+    topic, partition and offset. PATCH sets the body's fields, PUT also empties
+    the others, both add one to sys_mod_count; a CREATE without an id gets one
+    from its coordinates, the same in a replay, and any other change without an
+    id is rejected. So are a CREATE of a row that exists and changes to one that
+    doesn't; not_found "create" lets PATCH and PUT make the row and "ignore"
+    drops them. The rejected changes have all their columns and a reason.
+
+    A range partitioning by key and order deals a hot key to several tasks.
+    Each folds its run of changes twice, for a row that exists and one that
+    doesn't; a key's runs, one for each task that has any, are put together on
+    top of the target's row. The runs are stored, as both results read them.
     """
-    rows = changes.groupBy("sys_id").agg(F.array_sort(F.collect_list(F.struct("order", "op", "at", "body")), _by_order).alias("_changes"))
-    state = F.struct(
-        F.lit(True).alias("live"), F.col("sys_mod_count").cast("long").alias("mod"), F.col("sys_updated_on").alias("at"),
-        F.map_from_arrays(F.array(*map(F.lit, fields)), F.array(*(F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields))).alias("body"),
+    kept = [c for c in changes.columns if c not in ("change_id", "target_id", "reason")]
+    place = [c for c in ("order", *COORDINATES[:3]) if c in changes.columns]
+    rows = identified(changes.select(*kept)).select("target_id", "order", F.struct(*kept, "change_id").alias("c"))
+    runs = rows.repartitionByRange("target_id", "order").groupBy("target_id", F.spark_partition_id().alias("run"))
+    runs = runs.agg(F.array_sort(F.collect_list("c"), _by(place)).alias("cs"))
+    stamp = dict(target.dtypes)["sys_updated_on"]
+    change = runs.schema["cs"].dataType.elementType
+    none = F.struct(
+        F.lit(False).alias("fresh"), F.lit(False).alias("reset"), F.lit(0).cast("long").alias("mod"), F.lit(None).cast(stamp).alias("at"), F.lit(None).cast(stamp).alias("made"),
+        F.create_map().cast("map<string,string>").alias("body"), F.array().cast(f"array<struct<c:{change.simpleString()},reason:string>>").alias("bad"),
     )
-    prepared = target.select("sys_id", state.alias("_s"))
-    blank = F.map_from_arrays(F.array(*map(F.lit, fields)), F.array_repeat(F.lit(""), len(fields)))
-    joined = prepared.join(rows, "sys_id", "full_outer")
-    none = F.struct(F.lit(False).alias("live"), F.lit(0).cast("long").alias("mod"), F.lit(None).cast(dict(target.dtypes)["sys_updated_on"]).alias("at"), blank.alias("body"))
-    start = F.struct(F.coalesce("_s", none).alias("s"), F.array().cast("array<bigint>").alias("bad"))
-
-    def merged(under: Column, over: Column) -> Column:
-        return F.map_from_entries(F.transform(F.map_entries(under), lambda e: F.struct(e["key"].alias("key"), F.coalesce(over[e["key"]], e["value"]).alias("value"))))
-
-    def step(acc: Column, c: Column) -> Column:
-        s, op = acc["s"], c["op"]
-        makes = (op == "CREATE") | (op.isin("PATCH", "PUT") & F.lit(not_found == "create"))
-        refused = F.when(s["live"], op == "CREATE").otherwise(~makes)
-        counts = refused & ~(~s["live"] & (op != "CREATE") & F.lit(not_found == "ignore"))
-        put = op.isin("PUT", "CREATE") | ~s["live"]
-        new = F.struct(
-            (op != "DELETE").alias("live"), F.when(s["live"], s["mod"] + 1).otherwise(F.lit(0).cast("long")).alias("mod"), c["at"].alias("at"),
-            merged(F.when(put, blank).otherwise(s["body"]), c["body"]).alias("body"),
+
+    def step(s: Column, c: Column) -> Column:
+        op, live = c["op"], s["live"]
+        lost = F.coalesce(c["sys_id"], F.lit("")) == ""
+        makes = (op == "CREATE") | (op.isin("PATCH", "PUT") & F.lit(not_found == "create") & ~lost)
+        refused = F.when(live, op == "CREATE").otherwise(~makes)
+        counts = refused & (live | lost | F.lit(not_found != "ignore"))
+        reason = F.when(live, "exists").when(lost, "no id").otherwise("not found")
+        whole = op.isin("PUT", "CREATE") | ~live
+        changed = F.struct(
+            (op != "DELETE").alias("live"), (s["fresh"] | ~live).alias("fresh"), (s["reset"] | whole).alias("reset"), F.when(live, s["mod"] + 1).otherwise(F.lit(0).cast("long")).alias("mod"),
+            c["at"].alias("at"), F.when(live, s["made"]).otherwise(c["at"]).alias("made"), F.when(whole, c["body"]).otherwise(_over(s["body"], c["body"])).alias("body"), s["bad"].alias("bad"),
+        )
+        same = F.struct(*(s[x].alias(x) for x in ("live", "fresh", "reset", "mod", "at", "made", "body")), F.when(counts, F.array_append(s["bad"], F.struct(c.alias("c"), reason.alias("reason")))).otherwise(s["bad"]).alias("bad"))
+        return F.when(refused, same).otherwise(changed)
+
+    def folded(live: bool) -> Column:
+        start = F.struct(F.lit(live).alias("live"), *(none[x].alias(x) for x in ("fresh", "reset", "mod", "at", "made", "body", "bad")))
+        return F.aggregate("cs", start, step)
+
+    runs = cut(runs.select("target_id", "run", folded(True).alias("on"), folded(False).alias("off")))
+    ways = F.struct("run", F.col("on").dropFields("bad").alias("on"), F.col("off").dropFields("bad").alias("off"))
+    keys = runs.groupBy("target_id").agg(F.array_sort(F.collect_list(ways), _by(["run"])).alias("runs"))
+    own = target.select(F.col("sys_id").alias("target_id"), F.struct(*target.columns).alias("row"))
+    joined = own.join(keys, "target_id", "full_outer")
+    first = F.struct(*(none[x].alias(x) for x in ("fresh", "reset", "mod", "at", "made", "body")), F.col("row").isNotNull().alias("live"), F.array().cast("array<struct<run:int,live:boolean>>").alias("starts"))
+
+    def joined_run(s: Column, r: Column) -> Column:
+        n = F.when(s["live"], r["on"]).otherwise(r["off"])
+        new = n["fresh"]
+        return F.struct(
+            F.when(new, True).otherwise(s["fresh"]).alias("fresh"), F.when(new, True).otherwise(s["reset"] | n["reset"]).alias("reset"), F.when(new, n["mod"]).otherwise(s["mod"] + n["mod"]).alias("mod"),
+            F.coalesce(n["at"], s["at"]).alias("at"), F.coalesce(n["made"], s["made"]).alias("made"), F.when(n["reset"], n["body"]).otherwise(_over(s["body"], n["body"])).alias("body"), n["live"].alias("live"),
+            F.array_append(s["starts"], F.struct(r["run"].alias("run"), s["live"].alias("live"))).alias("starts"),
         )
-        return F.struct(F.when(refused, s).otherwise(new).alias("s"), F.when(counts, F.array_append(acc["bad"], c["order"])).otherwise(acc["bad"]).alias("bad"))
 
-    done = joined.withColumn("_r", F.aggregate(F.coalesce("_changes", F.array().cast(rows.schema["_changes"].dataType)), start, step))
-    live = done.filter("_r.s.live").select("sys_id", F.col("_r.s.mod").alias("sys_mod_count"), F.col("_r.s.at").alias("sys_updated_on"), *(F.col("_r.s.body")[f].alias(f) for f in fields))
-    rejected = done.select("sys_id", F.explode("_r.bad").alias("order"))
-    return live, rejected
+    done = joined.withColumn("s", F.aggregate(F.coalesce("runs", F.array().cast(keys.schema["runs"].dataType)), first, joined_run))
+    old, s = F.col("row"), F.col("s")
+    system = {
+        "sys_created_on": F.coalesce(s["made"], old["sys_created_on"]) if "sys_created_on" in target.columns else None,
+        "sys_created_by": F.when(s["fresh"], user).otherwise(old["sys_created_by"]) if "sys_created_by" in target.columns else None,
+        "sys_updated_by": F.when(s["at"].isNotNull(), user).otherwise(old["sys_updated_by"]) if "sys_updated_by" in target.columns else None,
+    }
+    live = done.filter("s.live").select(
+        F.col("target_id").alias("sys_id"), F.when(s["fresh"], s["mod"]).otherwise(old["sys_mod_count"].cast("long") + s["mod"]).alias("sys_mod_count"), F.coalesce(s["at"], old["sys_updated_on"]).alias("sys_updated_on"),
+        *(c.alias(n) for n, c in system.items() if c is not None),
+        *(F.coalesce(s["body"][f], F.when(s["reset"], F.lit("")), old[f].cast("string"), F.lit("")).alias(f) for f in fields),
+    )
+    started = done.select("target_id", F.explode("s.starts").alias("start")).select("target_id", "start.run", "start.live")
+    bad = runs.select("target_id", "run", F.col("on.bad").alias("on"), F.col("off.bad").alias("off")).filter("size(on) + size(off) > 0")
+    rejected = bad.join(started, ["target_id", "run"]).select(F.explode(F.when(F.col("live"), F.col("on")).otherwise(F.col("off"))).alias("b"))
+    return live, rejected.select("b.c.*", "b.reason").select(*kept, "change_id", "reason")
+
+
+def _over(under: Column, over: Column) -> Column:
+    """Two bodies as one, the second one's values winning."""
+    return F.map_concat(F.map_filter(under, lambda k, _: ~F.map_contains_key(over, k)), over)
+
 
+def _by(names: list[str]):
+    """A comparison of structs by some of their fields, nulls first."""
 
-def _by_order(a: Column, b: Column) -> Column:
-    return F.when(a["order"] < b["order"], -1).when(a["order"] > b["order"], 1).otherwise(0)
+    def compare(a: Column, b: Column) -> Column:
+        out = F.lit(0)
+        for n in reversed(names):
+            less = a[n].isNull() & b[n].isNotNull() | (a[n] < b[n])
+            more = a[n].isNotNull() & b[n].isNull() | (a[n] > b[n])
+            out = F.when(F.coalesce(less, F.lit(False)), -1).when(F.coalesce(more, F.lit(False)), 1).otherwise(out)
+        return out
+
+    return compare
 
 
 def correlate(changes: DataFrame, target: DataFrame, field: str) -> DataFrame:
@@ -175,6 +240,7 @@ def batch_verdict(outcomes: DataFrame, *, behaviour: str = "fail") -> DataFrame:
 def report(outcomes: DataFrame, kind: str) -> DataFrame:
     """JSON reports: success, error, or the fields that were dropped beside a success; key is the id."""
     where = F.struct("topic", "partition", "offset")
+    kept = ("topic", "partition", "offset")
     base = [F.col("op").alias("operation"), F.col("table"), F.col("sys_id"), F.col("status"), where.alias("source")]
     failed = F.col("classification").isNotNull()
     if kind == "success":
@@ -183,8 +249,14 @@ def report(outcomes: DataFrame, kind: str) -> DataFrame:
         df, parts = outcomes.filter(failed), [*base, F.col("classification"), F.col("retries"), text.excerpt(F.col("response")).alias("response_excerpt"), F.col("message")]
     else:
         df, parts = outcomes.filter(F.size("dropped") > 0), [*base, F.lit("DROPPED_FIELDS").alias("classification"), F.col("dropped")]
-    head = F.create_map(F.lit("topic"), F.col("topic"), F.lit("table"), F.col("table"), F.lit("operation"), F.col("op"), F.lit("classification"), F.coalesce(F.col("classification"), F.lit("")))
-    return df.select(F.col("sys_id").alias("key"), F.to_json(F.struct(*parts)).alias("value"), head.alias("headers"), "topic", "partition", "offset")
+    cells = {k: F.col(k).cast("string") for k in kept} | {"table": F.col("table"), "operation": F.col("op"), "classification": F.coalesce("classification", F.lit(""))}
+    head = F.create_map(*(x for k, v in cells.items() for x in (F.lit(k), v)))
+    return df.select(F.col("sys_id").alias("key"), F.to_json(F.struct(*parts)).alias("value"), head.alias("headers"), *kept)
+
+
+def in_input_order(outcomes: DataFrame, place: str = "input") -> DataFrame:
+    """Outcomes, which lanes complete in any order, as their records came in."""
+    return outcomes.orderBy(place)
 
 
 def writer_metrics(outcomes: DataFrame) -> DataFrame:

@@ -38,8 +38,13 @@ class Mapping:
 
 
 def renamed(columns: list[str], rename: tuple[tuple[str, str], ...]) -> dict[str, str]:
-    names = dict(rename)
-    return {c: names.get(c, c) for c in columns}
+    """Names after renaming, by column; two columns of one name are a mistake of the mapping, told before any row is read."""
+    wanted = dict(rename)
+    names = {c: wanted.get(c, c) for c in columns}
+    twice = sorted({n for n in names.values() if list(names.values()).count(n) > 1})
+    if twice:
+        raise ValueError(f"more than one column would be called {', '.join(twice)}")
+    return names
 
 
 def kept(names: list[str], m: Mapping) -> list[str]:
@@ -78,6 +83,9 @@ def body(df: DataFrame, m: Mapping, *, exclude: tuple[str, ...] = ()) -> tuple[C
         own, bad = leaves(F.col(f"`{back[n]}`"), df.schema[back[n]].dataType, n, m)
         cells += own
         errors += bad
+    twice = sorted({n for n, _ in cells if sum(n == x for x, _ in cells) > 1})
+    if twice:
+        raise ValueError(f"more than one field would be called {', '.join(twice)}")
     if m.nulls == "clear":
         cells = [(n, F.coalesce(c, F.lit(""))) for n, c in cells]
     if m.nulls == "reject":

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import is_id, reconcile_timestamp
+from ..workers import cut, ship
 
 
 def version_number(c: Column) -> Column:
@@ -13,13 +19,17 @@ def version_number(c: Column) -> Column:
     return F.coalesce(F.trim(c.cast("string")).try_cast("bigint"), F.lit(-1))
 
 
-def versions(rows: DataFrame, *, since: str | None = None, until: str | None = None) -> DataFrame:
+def versions(rows: DataFrame, *, since: str | None = None, until: str | None = None, arrival: str | None = None) -> DataFrame:
     """By sys_id the count and the newest (ts, mod); rows without an id or outside the window don't count.
 
-    rows has sys_id, ts and mod. One partial aggregation per key.
+    rows has sys_id, ts and mod. With arrival, a column that tells the order in
+    which rows were read, the last row read counts instead of the newest. One
+    partial aggregation per key.
     """
-    r = rows.filter(F.coalesce("sys_id", F.lit("")) != "").select("sys_id", F.coalesce(reconcile_timestamp(F.col("ts")), F.lit("")).alias("ts"), version_number(F.col("mod")).alias("mod"))
-    return r.filter(~outside(F.col("ts"), since, until)).groupBy("sys_id").agg(F.count("*").alias("records"), F.max(F.struct("ts", "mod")).alias("newest"))
+    ts, mod = F.coalesce(reconcile_timestamp(F.col("ts")), F.lit("")).alias("ts"), version_number(F.col("mod")).alias("mod")
+    r = rows.filter(F.coalesce("sys_id", F.lit("")) != "").select("sys_id", ts, mod, *([F.col(arrival).alias("_arrival")] if arrival else []))
+    version = F.struct("ts", "mod")
+    return r.filter(~outside(F.col("ts"), since, until)).groupBy("sys_id").agg(F.count("*").alias("records"), (F.max_by(version, "_arrival") if arrival else F.max(version)).alias("newest"))
 
 
 def outside(ts: Column, since: str | None, until: str | None) -> Column:
@@ -44,21 +54,37 @@ def compare(table: DataFrame, dump: DataFrame, *, since: str | None = None, unti
     )
 
 
-def digest(ids: DataFrame, *, buckets: int = 4096) -> DataFrame:
+def digest(ids: DataFrame) -> DataFrame:
     """Order-free digest of a set of ids: SHA-256 of sorted bucket digests.
 
-    Ids are dealt to buckets by hash and each bucket's sorted ids are hashed, so
-    no task holds the whole set; the same set always has the same digest.
+    Ids are dealt to 65,536 buckets by the first digits of their MD5 and each
+    bucket's sorted ids are hashed, so no task holds the whole set; the same set
+    always has the same digest.
     """
     b = ids.filter(F.coalesce("sys_id", F.lit("")) != "").select("sys_id").distinct()
-    parts = b.groupBy(F.pmod(F.xxhash64("sys_id"), F.lit(buckets)).alias("b")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sys_id")), "\n"), 256).alias("h"))
+    parts = b.groupBy(F.substring(F.md5("sys_id"), 1, 4).alias("b")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sys_id")), "\n"), 256).alias("h"))
     return parts.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "h"))), lambda x: x["h"]), "\n"), 256).alias("digest"))
 
 
 def exact_digest(ids: DataFrame) -> DataFrame:
-    """SHA-256 of all sorted ids, joined by newlines, as exchanged with other tools. It gathers the set; use digest() beyond a few million ids."""
-    b = ids.filter(F.coalesce("sys_id", F.lit("")) != "").select("sys_id").distinct()
-    return b.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sys_id")), "\n"), 256).alias("digest"))
+    """SHA-256 of all sorted ids, joined by newlines, as exchanged with other tools.
+
+    That digest is a chain through all ids: they are sorted by ranges, in
+    parallel, and stored; one task then reads the ranges in turn and keeps the
+    hash's state alone. digest() has no such task.
+    """
+    ship(ids.sparkSession)
+    ordered = cut(ids.filter(F.coalesce("sys_id", F.lit("")) != "").select("sys_id").distinct().orderBy("sys_id"))
+
+    def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, first = hashlib.sha256(), True
+        for b in batches:
+            if b.num_rows:
+                h.update((b"" if first else b"\n") + "\n".join(b.column(0).to_pylist()).encode())
+                first = False
+        yield pa.record_batch([pa.array([h.hexdigest()])], ["digest"])
+
+    return ordered.coalesce(1).mapInArrow(chained, "digest string")
 
 
 def summary(compared: DataFrame, dump: DataFrame, *, since: str | None = None, until: str | None = None) -> DataFrame:
@@ -94,10 +120,12 @@ def unwrap_export(lines: DataFrame) -> DataFrame:
 def evidence(compared: DataFrame, summed: DataFrame, *, cap: int = 100) -> DataFrame:
     """One JSON row: exact counts, and the first ids of each finding, at most cap of them.
 
-    The lists are a report's samples; each is a top-k by id.
+    The lists are a report's samples, each a top-k by id. All four come from one
+    pass; compared should be stored if other results are taken from it too.
     """
-    out = summed
-    for kind in ("missing", "stale", "extra", "duplicated"):
-        ids = compared.filter(kind).orderBy("sys_id").limit(cap).agg(F.array_sort(F.collect_list("sys_id")).alias(f"{kind}_ids"))
-        out = out.join(F.broadcast(ids), F.lit(True))
+    kinds = ("missing", "stale", "extra", "duplicated")
+    found = compared.select("sys_id", F.explode(F.array_compact(F.array(*(F.when(F.col(k), k) for k in kinds)))).alias("kind"))
+    first = found.withColumn("n", F.row_number().over(W.partitionBy("kind").orderBy("sys_id"))).filter(F.col("n") <= cap)  # each task keeps cap rows a kind
+    lists = first.agg(*(F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("sys_id")))).alias(f"{k}_ids") for k in kinds))
+    out = summed.join(F.broadcast(lists), F.lit(True))
     return out.select(F.to_json(F.struct(*out.columns)).alias("report"))

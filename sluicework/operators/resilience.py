@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import random
+import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -35,7 +37,8 @@ class RetryPolicy:
     def ceiling(self, attempt: int) -> float:
         return min(self.cap, self.initial * 2 ** min(max(attempt - 1, 0), 30))
 
-    def run(self, call: Callable, *, idempotent: bool, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic, draw: Callable[[float, float], float] = random.uniform):
+    def run(self, call: Callable, *, idempotent: bool, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic, draw: Callable[[float, float], float] = random.uniform, told: Callable[[float, Exception], None] | None = None):
+        """call's result; told hears of every wait before another attempt and of its cause."""
         begun, attempt = clock(), 0
         while True:
             attempt += 1
@@ -47,6 +50,8 @@ class RetryPolicy:
                 wait = e.wait if e.wait is not None else draw(0.0, self.ceiling(attempt))
                 if attempt >= self.attempts or clock() - begun + wait > self.budget:
                     raise RetriesExhausted(f"gave up after {attempt} attempts: {e}") from e
+                if told:
+                    told(wait, e)
                 sleep(wait)
 
 
@@ -72,6 +77,62 @@ class AimdLimit:
                 self.permits, self.successes = self.permits + 1, 0
 
 
+class Limiter:
+    """Requests at once to one instance: permits are taken and given back, fewer after throttling, one more after every so many successes.
+
+    All clients of a process share an instance's limiter; tasks are bounded by their number.
+    """
+
+    _shared: dict[str, Limiter] = {}
+    _guard = threading.Lock()
+
+    def __init__(self, top: int = 8, every: int = 50):
+        if top < 1:
+            raise ValueError("at least one permit")
+        self.law, self.flying, self._free = AimdLimit(top, every), 0, threading.Condition()
+
+    @classmethod
+    def of(cls, instance: str, top: int) -> Limiter:
+        """The instance's limiter; another top resizes it."""
+        with cls._guard:
+            found = cls._shared.setdefault(instance, cls(top))
+        if found.law.top != top:
+            found.resize(top)
+        return found
+
+    @property
+    def permits(self) -> int:
+        return self.law.permits
+
+    def resize(self, top: int) -> None:
+        with self._free:
+            self.law = AimdLimit(top, self.law.every)
+            self._free.notify_all()
+
+    @contextlib.contextmanager
+    def permit(self, timeout: float = 60.0) -> Iterator[None]:
+        """Hold one permit, waiting for it; too long a wait is a failure worth another attempt."""
+        with self._free:
+            if not self._free.wait_for(lambda: self.flying < self.law.permits, timeout):
+                raise Retryable(f"no request permit within {timeout:g} s, {self.flying} in use")
+            self.flying += 1
+        try:
+            yield
+        finally:
+            with self._free:
+                self.flying -= 1
+                self._free.notify_all()
+
+    def throttled(self) -> None:
+        with self._free:
+            self.law.throttled()
+
+    def succeeded(self) -> None:
+        with self._free:
+            self.law.succeeded()
+            self._free.notify_all()
+
+
 def aimd_permits(events: DataFrame, lane: str, order: str, throttled: Column, *, top: int = 8, every: int = 50) -> DataFrame:
     """Permits of each lane after its events in order; a lane's events are folded in one row."""
     rows = events.groupBy(lane).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), throttled.alias("t")))).alias("_e"))

@@ -182,6 +182,12 @@ class SinkConfig:
         return e
 
 
+def writer_options(config: SinkConfig) -> dict:
+    """What a sink's checked configuration says to write_changes() and send_batches()."""
+    check(config)
+    return {"lanes": config.lanes, "behaviour": config.behaviour, "create": config.create, "correlation_field": config.correlation_field, "not_found": config.not_found}
+
+
 def check(config) -> None:
     """Raise all errors of a configuration at once."""
     if found := config.errors():

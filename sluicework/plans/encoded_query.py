@@ -9,6 +9,7 @@ terms, so Catalyst sees one predicate and can push its parts into a scan.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 
@@ -60,43 +61,51 @@ class EncodedQuery:
         return replace(self, string_fields=self.string_fields | set(names))
 
 
+SCRIPT = "javascript:"
+
+
+def _words(query: str) -> Iterator[tuple[str, str]]:
+    """The query's words in sequence: branch, order, and, or; each with its text."""
+    for part in query.split("^"):
+        if part in ("", "EQ"):
+            continue
+        if part.startswith("ORDERBY"):
+            yield "order", part.removeprefix("ORDERBY")
+            continue
+        text = part.removeprefix("NQ")
+        if text != part:
+            yield "branch", ""
+        if text.startswith("OR"):
+            yield "or", text.removeprefix("OR")
+        elif text:
+            yield "and", text
+
+
+def _read_term(text: str) -> Term | None:
+    found = None if SCRIPT in text else _TERM.fullmatch(text)
+    return Term(*found.groups()) if found else None
+
+
 def parse(query: str | None, *, lenient: bool = False) -> EncodedQuery:
-    """The tree of a query; an unknown term raises, or is dropped if lenient."""
-    branches: list[list[list[Term]]] = [[]]
-    orders: list[Order] = []
+    """The tree of a query; an unknown term or a script raises, or that term alone is dropped if lenient."""
     if query is None or not query.strip():
         return EncodedQuery()
-    if query.lower().startswith("javascript:"):
-        if lenient:
-            return EncodedQuery()
+    if SCRIPT in query and not lenient:
         raise EncodedQueryError(f"scripts are not accepted: {query!r}")
-    for part in query.split("^"):
-        text, joins = part, False
-        if not text or text == "EQ":
-            continue
-        if text.startswith("ORDERBYDESC"):
-            orders.append(Order(text[11:], True))
-            continue
-        if text.startswith("ORDERBY"):
-            orders.append(Order(text[7:]))
-            continue
-        if text.startswith("NQ"):
+    branches: list[list[list[Term]]] = [[]]
+    orders: list[Order] = []
+    for kind, text in _words(query):
+        if kind == "order":
+            orders.append(Order(text.removeprefix("DESC"), text.startswith("DESC")))
+        elif kind == "branch":
             branches.append([])
-            text = text[2:]
-        if text.startswith("OR"):
-            joins, text = True, text[2:]
-        if not text:
-            continue
-        found = _TERM.fullmatch(text)
-        if not found or "javascript:" in text.lower():
-            if lenient:
-                continue
+        elif term := _read_term(text):
+            if kind == "or" and branches[-1]:
+                branches[-1][-1].append(term)
+            else:
+                branches[-1].append([term])
+        elif not lenient:
             raise EncodedQueryError(f"unknown term {text!r}")
-        term, branch = Term(*found.groups()), branches[-1]
-        if joins and branch:
-            branch[-1].append(term)
-        else:
-            branch.append([term])
     return EncodedQuery(tuple(tuple(map(tuple, b)) for b in branches), tuple(orders))
 
 
@@ -173,17 +182,35 @@ def predicate(query: EncodedQuery, df: DataFrame) -> Column:
 
 
 def ordering(query: EncodedQuery, df: DataFrame) -> list[Column]:
-    """Sort keys; a string column sorts by number where it holds one and then by text."""
+    """Sort keys. A field that df lacks is empty everywhere and orders nothing.
+
+    Strings that are numbers are compared as numbers, anything else as text, and
+    a number with a text as texts. That isn't transitive in general, so the
+    order is: empty and what sorts before digits, then numbers by value, then
+    all other text, whose first letters sort behind digits as a rule.
+    """
     kinds, keys = dict(df.dtypes), []
     for o in query.orders:
+        if o.field not in kinds:
+            continue
         c = F.col(f"`{o.field}`")
-        parts = [c.try_cast("double"), c] if kinds[o.field] == "string" and o.field not in query.string_fields else [c]
+        parts = [c]
+        if kinds[o.field] == "string":
+            text = F.coalesce(c, F.lit(""))
+            parts = [text]
+            if o.field not in query.string_fields:
+                number = c.try_cast("double")
+                parts = [F.when(number.isNotNull(), 1).when(text < "0", 0).otherwise(2), number, F.when(number.isNull(), text)]
         keys += [p.desc() if o.descending else p.asc() for p in parts]
     return keys
 
 
-def apply(df: DataFrame, query: str | EncodedQuery | None, *, lenient: bool = False, invalid_is_empty: bool = False) -> DataFrame:
-    """df filtered and sorted by a query; with invalid_is_empty an unknown term gives no rows instead of an error."""
+def apply(df: DataFrame, query: str | EncodedQuery | None, *, lenient: bool = False, invalid_is_empty: bool = False, arrival: str | None = None) -> DataFrame:
+    """df filtered and sorted by a query; with invalid_is_empty an unknown term gives no rows instead of an error.
+
+    Spark keeps no order of insertion: rows stand in one only if arrival names
+    the column that tells it, which also decides between equal sort keys.
+    """
     try:
         tree = query if isinstance(query, EncodedQuery) else parse(query, lenient=lenient)
     except EncodedQueryError:
@@ -191,5 +218,5 @@ def apply(df: DataFrame, query: str | EncodedQuery | None, *, lenient: bool = Fa
             raise
         return df.filter(F.lit(False))
     out = df.filter(predicate(tree, df))
-    keys = ordering(tree, df)
+    keys = ordering(tree, df) + ([F.col(f"`{arrival}`").asc()] if arrival else [])
     return out.orderBy(*keys) if keys else out

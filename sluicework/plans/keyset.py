@@ -10,8 +10,11 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..workers import cut
+
 SECOND = timedelta(seconds=1)
 
 
@@ -121,18 +124,33 @@ def select(df: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def order_violations(df: DataFrame, arrival: str, keys: Keys = Keys(), *, lane: str | None = None) -> DataFrame:
-    """Rows that don't come strictly after the row that arrived before them in their lane."""
-    from pyspark.sql import Window as W
+    """Rows that don't come strictly after the row that arrived before them, in their lane if there are lanes.
 
+    Without lanes arrivals are dealt by ranges, so no task orders them all: rows
+    are compared inside a range, and each range's first row with the last one
+    before it, one small row for each range.
+    """
     place = F.struct(F.date_trunc("second", keys.ts).alias("ts"), F.col(keys.sys_id).alias("id"))
-    w = W.partitionBy(*([lane] if lane else [])).orderBy(arrival)
-    return df.withColumn("_place", place).withColumn("_before", F.lag("_place").over(w)).filter(F.col("_place") <= F.col("_before")).drop("_place", "_before")
+    placed = df.withColumn("_place", place)
+    if lane:
+        w = W.partitionBy(lane).orderBy(arrival)
+        return placed.withColumn("_before", F.lag("_place").over(w)).filter(F.col("_place") <= F.col("_before")).drop("_place", "_before")
+    dealt = cut(placed.repartitionByRange(arrival).withColumn("_range", F.spark_partition_id()))
+    ends = dealt.groupBy("_range").agg(F.max_by("_place", F.col(arrival)).alias("_end"))
+    before = ends.select("_range", F.lag("_end").over(W.orderBy("_range")).alias("_end"))  # one row for each range
+    inside = F.lag("_place").over(W.partitionBy("_range").orderBy(arrival))
+    rows = dealt.withColumn("_before", inside).join(F.broadcast(before), "_range")
+    return rows.filter(F.col("_place") <= F.coalesce("_before", "_end")).drop("_place", "_before", "_end", "_range")
+
+
+def source_counters(df: DataFrame, source: str, version: Column, ts: Column, *, skipped: Column, now: int) -> DataFrame:
+    """By source: rows emitted, versions among them that came again, rows skipped, and the seconds that the newest lies behind now."""
+    lag = F.greatest(F.lit(0).cast("bigint"), F.lit(now) - F.unix_timestamp(F.max(F.date_trunc("second", ts)).cast("timestamp")))
+    return df.groupBy(F.col(source).alias("source")).agg(F.count("*").alias("emitted"), (F.count("*") - F.countDistinct(version)).alias("duplicates"), F.count_if(skipped).alias("skipped"), lag.alias("lag_seconds"))
 
 
 def dedup_versions(df: DataFrame, arrival: str, keys: Keys = Keys()) -> DataFrame:
     """The first arrival of every row version (second, id, version)."""
-    from pyspark.sql import Window as W
-
     w = W.partitionBy(F.date_trunc("second", keys.ts), keys.sys_id, keys.version).orderBy(arrival)
     return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import coerce
@@ -55,3 +55,15 @@ def is_valid(offset: Column) -> Column:
 def partition(instance: str, table: str, fingerprint: str, timestamp_field: str) -> dict[str, str]:
     """The stream's identity."""
     return {"instance": instance, "table": table, "query_fingerprint": fingerprint, "timestamp_field": timestamp_field}
+
+
+def lookup(streams: DataFrame, stored: DataFrame) -> DataFrame:
+    """streams (instance, table, query_fingerprint, timestamp_field) with the offset stored for each, null where none is.
+
+    stored has the same columns and offset; an offset that cannot be used raises
+    when it is read: a stream must not begin anew unnoticed.
+    """
+    names = ["instance", "table", "query_fingerprint", "timestamp_field"]
+    found = streams.join(stored.select(*names, "offset"), names, "left")
+    usable = F.col("offset").isNull() | (is_valid(F.col("offset")) & (F.col("offset")["fingerprint"] == F.col("query_fingerprint")))
+    return found.withColumn("offset", F.when(usable, F.col("offset")).otherwise(F.raise_error(F.lit("a stored offset cannot be used"))))

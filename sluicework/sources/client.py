@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gzip
 import json
 import re
 import ssl
@@ -12,11 +11,12 @@ import urllib.error
 import urllib.parse
 import urllib.request
 import uuid
+import zlib
 from dataclasses import dataclass, field
 from email.utils import parsedate_to_datetime
 
 from ..functions.text import RETRYABLE, TRANSIENT
-from ..operators.resilience import AimdLimit, Retryable, RetryPolicy
+from ..operators.resilience import Limiter, Retryable, RetryPolicy
 
 MAX_BODY = 64 << 20
 
@@ -42,9 +42,27 @@ def wait_of(value: str | None, now: float) -> float | None:
             return None
 
 
+@dataclass
+class Stats:
+    """What a client has done: requests, attempts beyond the first, 429 answers, seconds waited after them, and when the last success came."""
+
+    requests: int = 0
+    retries: int = 0
+    throttled: int = 0
+    throttled_seconds: float = 0.0
+    last_success: float = 0.0
+
+
+class Throttled(Retryable):
+    """The server asked for fewer requests."""
+
+
 @dataclass
 class Client:
-    """Options: base URL, auth, timeouts, CA file, client certificate, proxy; redirects are not followed."""
+    """Options: base URL, auth, timeouts, CA file, client certificate, proxy (its user and password in its URL), requests at once.
+
+    Redirects are not followed. Without adaptive the number of requests at once stays as it is.
+    """
 
     url: str
     auth: object
@@ -53,10 +71,21 @@ class Client:
     cert_file: str | None = None
     proxy: str | None = None
     retry: RetryPolicy = field(default_factory=RetryPolicy)
-    limit: AimdLimit = field(default_factory=AimdLimit)
+    concurrent: int = 8
+    adaptive: bool = True
+    max_body: int = MAX_BODY
 
     def __post_init__(self) -> None:
-        self.drift, self.requests, self.retries, self.throttled = 0.0, 0, 0, 0
+        self.drift, self.stats = 0.0, Stats()
+        self.limit = Limiter.of(urllib.parse.urlsplit(self.url).netloc.lower(), self.concurrent)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "limit"}
+
+    def __setstate__(self, state: dict) -> None:
+        """Elsewhere, in another process, the limiter is that process's own."""
+        self.__dict__ |= state
+        self.limit = Limiter.of(urllib.parse.urlsplit(self.url).netloc.lower(), self.concurrent)
 
     def server_now(self) -> float:
         """The server's clock, as its last answer told."""
@@ -76,40 +105,48 @@ class Client:
         return urllib.request.build_opener(*handlers)
 
     def _send(self, method: str, path: str, body: bytes | None) -> tuple[int, bytes]:
-        self.requests += 1
         headers = {"Authorization": self.auth.header(), "Accept": "application/json", "Accept-Encoding": "gzip", "X-Request-Id": uuid.uuid4().hex}
         if body is not None:
             headers["Content-Type"] = "application/json"
         request = urllib.request.Request(self.url.rstrip("/") + path, body, headers, method=method)
-        try:
-            with self._opener().open(request, timeout=self.timeout) as answer:
-                return answer.status, self._read(answer)
-        except urllib.error.HTTPError as e:
-            text = self._read(e)
-            if e.code == 401:
-                return 401, text
-            if e.code == 429:
-                self.throttled += 1
+        with self.limit.permit(self.timeout):
+            self.stats.requests += 1
+            try:
+                with self._opener().open(request, timeout=self.timeout) as answer:
+                    status, text = answer.status, self._read(answer)
+            except urllib.error.HTTPError as e:
+                return self._refused(e)
+            except (urllib.error.URLError, TimeoutError, ConnectionError) as e:
+                refused = isinstance(getattr(e, "reason", e), ConnectionRefusedError)
+                raise Retryable(str(e), ambiguous=not refused) from e
+        self.stats.last_success = time.time()
+        return status, text
+
+    def _refused(self, e: urllib.error.HTTPError) -> tuple[int, bytes]:
+        text = self._read(e)
+        wait = wait_of(e.headers.get("Retry-After"), self.server_now())
+        if e.code == 429:
+            self.stats.throttled += 1
+            if self.adaptive:
                 self.limit.throttled()
-            if e.code in RETRYABLE or e.code == 409 and re.search(TRANSIENT, text.decode(errors="replace"), re.I):
-                self.retries += 1
-                raise Retryable(f"HTTP {e.code}", ambiguous=e.code in (500, 502, 504), wait=wait_of(e.headers.get("Retry-After"), self.server_now())) from e
-            return e.code, text
-        except (urllib.error.URLError, TimeoutError, ConnectionError) as e:
-            self.retries += 1
-            refused = isinstance(getattr(e, "reason", e), ConnectionRefusedError)
-            raise Retryable(str(e), ambiguous=not refused) from e
+            raise Throttled("HTTP 429", wait=wait) from e
+        if e.code in RETRYABLE or e.code == 409 and re.search(TRANSIENT, text.decode(errors="replace"), re.I):
+            raise Retryable(f"HTTP {e.code}", ambiguous=e.code in (500, 502, 504), wait=wait) from e
+        return e.code, text
 
     def _read(self, answer) -> bytes:
+        """The body, plain; it may not be larger than max_body, neither as it came nor unpacked."""
         if date := answer.headers.get("Date"):
             try:
                 self.drift = parsedate_to_datetime(date).timestamp() - time.time()
             except ValueError:
                 pass
-        raw = answer.read(MAX_BODY + 1)
-        if len(raw) > MAX_BODY:
+        raw = answer.read(self.max_body + 1)
+        if len(raw) <= self.max_body and answer.headers.get("Content-Encoding") == "gzip":
+            raw = zlib.decompressobj(zlib.MAX_WBITS | 16).decompress(raw, self.max_body + 1)
+        if len(raw) > self.max_body:
             raise ApiError(answer.status, "the body is too large")
-        return gzip.decompress(raw) if answer.headers.get("Content-Encoding") == "gzip" else raw
+        return raw
 
     def call(self, method: str, path: str, body: dict | None = None, *, idempotent: bool | None = None) -> tuple[int, dict]:
         """Status and JSON; 401 refreshes the token once, failures beyond the policy raise."""
@@ -123,17 +160,23 @@ class Client:
                 status, text = self._send(method, path, data)
             return status, text
 
-        status, text = self.retry.run(attempt, idempotent=may)
-        if status == 404:
+        def told(wait: float, cause: Exception) -> None:
+            self.stats.retries += 1
+            self.stats.throttled_seconds += wait if isinstance(cause, Throttled) else 0.0
+
+        status, text = self.retry.run(attempt, idempotent=may, told=told)
+        if status == 404 and method != "GET" or status == 404 and "?" not in path:
             return status, {}
         if status >= 300:
             raise ApiError(status, text.decode(errors="replace"))
-        self.limit.succeeded()
+        if self.adaptive:
+            self.limit.succeeded()
         return status, json.loads(text) if text.strip() else {}
 
-    def list(self, table: str, query: str, *, fields: list[str] | None = None, limit: int = 1000, offset: int = 0, display: str = "false", exclude_link: bool = True) -> list[dict]:
+    def list(self, table: str, query: str, *, fields: list[str] | None = None, limit: int = 1000, offset: int = 0, display: str = "false", exclude_link: bool = True, domain: bool = True, category: str = "") -> list[dict]:
         """Rows of one page; a single object counts as one row."""
-        p = {"sysparm_query": query, "sysparm_fields": ",".join(fields or []), "sysparm_limit": limit, "sysparm_offset": offset or "", "sysparm_display_value": display, "sysparm_exclude_reference_link": str(exclude_link).lower(), "sysparm_no_count": "true", "sysparm_suppress_pagination_header": "true"}
+        p = {"sysparm_query": query, "sysparm_fields": ",".join(fields or []), "sysparm_limit": limit, "sysparm_offset": offset or "", "sysparm_display_value": display, "sysparm_exclude_reference_link": str(exclude_link).lower()}
+        p |= {"sysparm_query_category": category, "sysparm_query_no_domain": "" if domain else "true", "sysparm_no_count": "true", "sysparm_suppress_pagination_header": "true"}
         _, answer = self.call("GET", f"/api/now/table/{_segment(table)}?" + "&".join(f"{k}={urllib.parse.quote(str(v), safe='-._~')}" for k, v in p.items() if v != ""))
         found = answer.get("result", [])
         return found if isinstance(found, list) else [found]
@@ -173,3 +216,46 @@ class MetadataCache:
     def evict(self, table: str | None = None) -> None:
         with self.lock:
             self.held = {} if table is None else {k: v for k, v in self.held.items() if k != table}
+
+
+class Metadata:
+    """A table's ancestors and columns, as the API's own dictionary tells them; columns are cached."""
+
+    #: Steps up the classes and rows of a page at most.
+    DEPTH, PAGE = 32, 1000
+
+    def __init__(self, client: Client, ttl: float = 600.0):
+        self.client, self.cache = client, MetadataCache(self._load, ttl)
+
+    def chain(self, table: str) -> list[str]:
+        """The table and its ancestors, nearest first; a circle ends it."""
+        out: list[str] = []
+        at: str | None = table
+        while at and at not in out and len(out) < self.DEPTH:
+            found = self.client.list("sys_db_object", f"name={at}", fields=["name", "super_class"], limit=1)
+            if not found and not out:
+                raise LookupError(f"no table {table!r}")
+            out.append(at)
+            parent = _cell(found[0].get("super_class")) if found else ""
+            above = self.client.list("sys_db_object", f"sys_id={parent}", fields=["name"], limit=1) if parent else []
+            at = _cell(above[0].get("name")) if above else None
+        return out
+
+    def columns(self, table: str) -> list[str]:
+        return self.cache.columns(table)
+
+    def _load(self, table: str) -> list[str]:
+        found = {"sys_id"}
+        for t in self.chain(table):
+            offset = 0
+            while True:
+                rows = self.client.list("sys_dictionary", f"name={t}^elementISNOTEMPTY", fields=["element"], limit=self.PAGE, offset=offset)
+                found |= {_cell(r.get("element")) for r in rows} - {""}
+                offset += self.PAGE
+                if len(rows) < self.PAGE:
+                    break
+        return sorted(found)
+
+
+def _cell(v) -> str:
+    return (v.get("value") or "" if isinstance(v, dict) else v) or ""

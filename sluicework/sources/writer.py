@@ -8,8 +8,9 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from ..operators.change import lane_order
+from ..operators.change import batch_verdict, lane_order
 from ..operators.resilience import RetriesExhausted, Retryable
+from ..workers import Files, ship
 from .client import ApiError, Client
 
 OUTCOME = "topic string, partition bigint, offset bigint, op string, table string, sys_id string, status int, classification string, message string, attempted boolean"
@@ -72,13 +73,18 @@ class Writer:
             return 204 if status == 404 else status
 
 
-def write_changes(changes: DataFrame, connect: Callable[[], Client], *, lanes: int = 8, behaviour: str = "fail", **how) -> DataFrame:
-    """An outcome for every row (topic, partition, offset, op, table, sys_id, body as JSON).
+def write_changes(changes: DataFrame, connect: Callable[[], Client], path: str, *, lanes: int = 8, behaviour: str = "fail", **how) -> DataFrame:
+    """Send every row (topic, partition, offset, op, table, sys_id, body as JSON) and store its outcome at path.
 
+    The requests go out here, once: the returned table reads what was stored.
     A lane's records go in order of their offsets; it stops at a failure that a
     retry may mend, and at any failure when behaviour is "fail". At most `lanes`
-    tasks write at once. The rows' order within a lane comes from one sort.
+    tasks write at once, one request each, which bounds the whole cluster. The
+    rows' order within a lane comes from one sort. A task that Spark repeats
+    sends its lanes again; creates need correlation_lookup to survive that
+    without a second row, the other operations are idempotent.
     """
+    ship(changes.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         writer, stopped = Writer(connect(), **how), set()
@@ -96,4 +102,38 @@ def write_changes(changes: DataFrame, connect: Callable[[], Client], *, lanes: i
             yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTCOME.split(", ")]).astype({"status": "Int32"})
 
     rows = changes.select("topic", "partition", "offset", "op", "table", "sys_id", "body")
-    return lane_order(rows, lanes).mapInPandas(run, OUTCOME)
+    lane_order(rows, lanes).mapInPandas(run, OUTCOME).write.mode("errorifexists").parquet(path)
+    return changes.sparkSession.read.schema(OUTCOME).parquet(path)
+
+
+class BatchFailed(RuntimeError):
+    """A record failed for good."""
+
+
+class BatchRetry(RuntimeError):
+    """A record's retries were used up: the batch is delivered again."""
+
+
+def send_batches(connect: Callable[[], Client], path: str, *, behaviour: str = "fail", **how) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that sends each batch, stores its outcomes under path and raises what should stop the stream.
+
+    A batch that comes again, after a retryable failure or a restart, is sent
+    without the records that were completed before.
+    """
+
+    def run(batch: DataFrame, n: int) -> None:
+        files = Files(batch.sparkSession, path)
+        attempts = [a for a in files.names(f"batch={n}") if files.exists(f"batch={n}/{a}/_SUCCESS")]
+        rows = batch
+        if attempts:
+            earlier = batch.sparkSession.read.schema(OUTCOME).parquet(*(f"{path}/batch={n}/{a}" for a in attempts))
+            rows = batch.join(earlier.filter("attempted and classification is null").select("topic", "partition", "offset"), ["topic", "partition", "offset"], "left_anti")
+        own = f"{path}/batch={n}/attempt-{len(files.names(f'batch={n}')):04d}"
+        (verdict,) = batch_verdict(write_changes(rows, connect, own, behaviour=behaviour, **how), behaviour=behaviour).collect()
+        told = f"batch {n}: {verdict.failures} failed, the first at {verdict.first_topic} {verdict.first_offset}"
+        if verdict.verdict == "retry":
+            raise BatchRetry(told)
+        if verdict.verdict == "fail":
+            raise BatchFailed(told)
+
+    return run

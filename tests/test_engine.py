@@ -1,8 +1,10 @@
 """Language, scans, policies, sources and streams against small references."""
 
+import hashlib
 import json
 import random
 import threading
+import warnings
 from collections import Counter
 from datetime import datetime, timedelta
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
@@ -13,27 +15,29 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sluicework.operators import assign, change, resilience
+from sluicework.operators import assign, change, reconcile, resilience
+from sluicework.plans import config
 from sluicework.plans import encoded_query as eq
 from sluicework.plans import keyset as ks
 from sluicework.plans import offsets
-from sluicework.sources import table_api
-from sluicework.sources.auth import AuthError, OAuth
+from sluicework.sources import probe, table_api
+from sluicework.sources.auth import AuthError, Basic, OAuth
+from sluicework.sources.client import Client
 from sluicework.streaming import sync
 
-ROW = {"state": "2", "priority": "10", "short_description": "Printer on fire", "sys_updated_on": "2026-09-29 07:30:40", "active": "true", "assigned_to": ""}
+PARCEL = {"weight": "7", "shelf": "30", "label": "Glass bowls, blue", "packed_at": "2025-04-11 18:05:09", "fragile": "yes", "courier": ""}
 
 TRUTH = [
-    ("state=2", True), ("state=2.0", True), ("state=3", False), ("state!=3", True), ("priority>9", True), ("priority<9", False), ("priority>=10", True), ("priority<=9", False),
-    ("assigned_to>a", False), ("assigned_to!=x", True), ("assigned_to=", True), ("state!=", True), ("short_descriptionLIKEON F", True), ("short_descriptionSTARTSWITHprint", True), ("short_descriptionENDSWITHFIRE", True),
-    ("stateIN1,2", True), ("stateNOT IN1,2", False), ("assigned_toISEMPTY", True), ("missingISEMPTY", True), ("activeISNOTEMPTY", True), ("state=3^ORstate=2", True), ("state=3^ORstate=2^priority=1", False),
-    ("state=3^NQpriority=10", True), ("state=2^EQ", True), ("", True), ("sys_updated_on>2026-09-29 07:30:39", True), ("ORstate=2", True),
+    ("weight=7", True), ("weight=7.00", True), ("weight=8", False), ("weight!=8", True), ("shelf>4", True), ("shelf<4", False), ("shelf>=30", True), ("shelf<=29", False),
+    ("courier>a", False), ("courier!=north", True), ("courier=", True), ("weight!=", True), ("labelLIKEBOWLS, b", True), ("labelSTARTSWITHglass", True), ("labelENDSWITHBLUE", True), ("labelENDSWITHred", False),
+    ("weightIN6,7", True), ("weightNOT IN6,7", False), ("courierISEMPTY", True), ("u_noneISEMPTY", True), ("fragileISNOTEMPTY", True), ("weight=8^ORweight=7", True), ("weight=8^ORweight=7^shelf=1", False),
+    ("weight=8^NQshelf=30", True), ("weight=7^EQ", True), ("", True), ("packed_at>2025-04-11 18:05:08", True), ("ORweight=7", True), ("label>Fa", True), ("weight>6a", True),
 ]
 
 
 @pytest.mark.parametrize(("query", "expected"), TRUTH)
 def test_truth_table(spark, query, expected):
-    df = spark.createDataFrame([tuple(ROW.values())], ", ".join(f"{k} string" for k in ROW))
+    df = spark.createDataFrame([tuple(PARCEL.values())], ", ".join(f"{k} string" for k in PARCEL))
     assert bool(eq.apply(df, query).count()) is expected
 
 
@@ -41,7 +45,8 @@ def test_unknown_terms():
     for q in ("state~2", "javascript:x", "state=javascript:x"):
         with pytest.raises(eq.EncodedQueryError):
             eq.parse(q)
-    assert eq.parse("state~2^a=1", lenient=True) == eq.parse("a=1")
+    assert eq.parse("state~2^a=1", lenient=True) == eq.parse("a=1") == eq.parse("javascript:x^a=1", lenient=True)
+    assert eq.parse("a=JavaScript:x").branches[0][0][0].value == "JavaScript:x"
     assert eq.parse("xCONTAINSy").branches[0][0][0] == eq.Term("xCONTA", "IN", "Sy")
 
 
@@ -142,7 +147,7 @@ def test_apply_changes_folds(spark, steps):
     at = datetime(2026, 1, 1)
     target = spark.createDataFrame([("x", 0, at, "1", "2")], "sys_id string, sys_mod_count bigint, sys_updated_on timestamp_ntz, f string, g string")
     rows = spark.createDataFrame([(k, op, i, at, {n: str(i)}) for i, (k, op, n) in enumerate(steps)], "sys_id string, op string, order int, at timestamp_ntz, body map<string,string>")
-    live, rejected = change.apply_changes(target, rows, fields)
+    live, rejected = change.apply_changes(target, rows.repartition(3), fields)
     assert {r.sys_id: (r.sys_mod_count, {"f": r.f, "g": r.g}) for r in live.collect()} == state
     assert sorted((r.sys_id, r.order) for r in rejected.collect()) == sorted(bad)
 
@@ -166,14 +171,19 @@ class Server:
                     self.send_header("Retry-After", "0")
                     self.end_headers()
                     return
+                if "sys_user" in self.path:
+                    self.send_response(404)
+                    self.end_headers()
+                    return
                 tree = eq.parse(p.get("sysparm_query", ""))
 
                 def ok(r, t):
-                    return {"=": r[t.field] == t.value, ">": r[t.field] > t.value, "<=": r[t.field] <= t.value}[t.operator]
+                    return {"=": r[t.field] == t.value, ">": r[t.field] > t.value, "<=": r[t.field] <= t.value, ">=": r[t.field] >= t.value, "<": r[t.field] < t.value}[t.operator]
 
                 found = [r for r in outer.rows if any(all(any(ok(r, t) for t in g) for g in b) for b in tree.branches)]
                 found.sort(key=lambda r: [r[o.field] for o in tree.orders])
-                body = json.dumps({"result": found[: int(p["sysparm_limit"])]}).encode()
+                first = int(p.get("sysparm_offset", 0))
+                body = json.dumps({"result": found[first : first + int(p["sysparm_limit"])]}).encode()
                 self.send_response(200)
                 self.end_headers()
                 self.wfile.write(body)
@@ -204,6 +214,88 @@ def test_batch_source_reads_every_row_once(spark, server):
     assert many.rdd.getNumPartitions() == 3 and many.count() == 700
     one = spark.read.format("table_api").options(**o, query="sys_id=a00007^NQsys_id=a00008").load()
     assert sorted(r.sys_id for r in one.collect()) == ["a00007", "a00008"]
+    server.seen.clear()
+    late = spark.read.format("table_api").options(**o, **{"display.value": "true", "query.domain": "false", "query.category": "c"}).load().filter("ts >= timestamp_ntz'2026-01-01 00:00:02' and sys_id != 'x'")
+    assert late.count() == 100
+    asked = server.seen[-1]
+    assert asked["sysparm_display_value"] == "all" and asked["sysparm_query_no_domain"] == "true" and asked["sysparm_query_category"] == "c" and "sys_updated_on>=2026-01-01 00:00:02" in asked["sysparm_query"]
+
+
+def test_source_guards(spark, server):
+    table_api.register(spark)
+    o = {"url": server.url, "table": "incident", "batch.size": "4", "now": "2026-01-02 00:00:00"}
+    server.rows = [_row(i, i) for i in range(10)]
+    server.rows[5]["sys_updated_on"] = "2026-01-01"
+    with pytest.raises(Exception, match="bad.rows=skip"):
+        spark.read.format("table_api").options(**o).load().collect()
+    kept = spark.read.format("table_api").options(**o, **{"bad.rows": "skip"}).load().collect()
+    assert len(kept) == 9
+    for r in server.rows:
+        r["sys_id"] = " "
+    scan = table_api.Scan(o | {"bad.rows": "skip"})
+    with pytest.raises(table_api.StuckPage):
+        list(scan.sweep(scan.start(), scan.high()))
+    with pytest.raises(config.ConfigError) as e:
+        table_api.Scan({"url": "ftp://x", "table": "incident"})
+    assert set(e.value.errors) == {"url"}
+    with pytest.raises(config.ConfigError) as e:
+        table_api.Scan({"table": "Bad", "query": "a=1^ORDERBYb", "batch.size": "0", "bad.rows": "lose"})
+    assert set(e.value.errors) == {"tables.Bad.table", "tables.Bad.query", "batch_size", "bad_rows"} or len(e.value.errors) == 4
+
+
+def test_another_query_cannot_resume(server):
+    o = {"url": server.url, "table": "incident", "now": "2026-01-02 00:00:00", "probe": "false"}
+    one, same, other = (table_api.TableStreamReader(o | {"query": q}) for q in ("state=1", "  state=1 ", "state=2"))
+    at = one.initialOffset()
+    assert same._decode(at) == one._decode(at)
+    with pytest.raises(offsets.OffsetError):
+        other._decode(at)
+
+
+def test_stream_fetches_each_page_once(server):
+    """The driver asks for one row of keys, and the ranges cover the trigger without meeting."""
+    r = table_api.TableStreamReader({"url": server.url, "table": "incident", "now": "2026-01-01 00:00:10", "batch.size": "50", "pages.per.trigger": "4", "clients": "3", "start": "2026-01-01 00:00:00", "overlap.seconds": "0", "poll.interval.ms": "60000"})
+    server.seen.clear()
+    first, end = r.initialOffset(), r.latestOffset()
+    assert [p["sysparm_limit"] for p in server.seen] == ["1"] and end["sys_id"] == "a00199"
+    rows = [x[0] for part in r.partitions(first, end) for x in r.read(part)]
+    assert rows == [f"a{i:05d}" for i in range(200)]
+    parts = r.partitions(end, r.latestOffset())
+    rows += [x[0] for part in parts for x in r.read(part)]
+    last = r.latestOffset()
+    while (new := r.latestOffset()) != last:
+        last = new
+    before = len(server.seen)
+    assert r.latestOffset() == last and len(server.seen) == before  # idle until the next poll
+    assert len(rows) == len(set(rows)) == 400
+
+
+def test_probe(server):
+    c = Client(server.url, Basic("u", "p"))
+    assert probe.probe(c, "incident", "", ts="sys_updated_on", sys_id="sys_id")
+    with pytest.raises(probe.ProbeError, match="missing"):
+        probe.probe(c, "incident", "", ts="sys_updated_on", sys_id="u_id")
+    server.rows = [_row(0, 0) | {"sys_updated_on": "01.02.2026"}]
+    with pytest.raises(probe.ProbeError, match="time zone"):
+        probe.probe(c, "incident", "", ts="sys_updated_on", sys_id="sys_id")
+    server.rows = []
+    assert not probe.probe(c, "incident", "", ts="sys_updated_on", sys_id="sys_id")
+    server.fail = [403]
+    with pytest.raises(probe.ProbeError, match="may not read"):
+        probe.probe(c, "incident", "", ts="sys_updated_on", sys_id="sys_id")
+    assert probe.is_utc(" Etc/UTC ") and not probe.is_utc("Europe/Berlin") and probe.check_time_zone(c, "u") is None
+
+
+@pytest.mark.parametrize("zone", ["GMT", "Asia/Tokyo"])
+def test_time_zone_only_warns(zone):
+    class Users:
+        def list(self, *_, **__):
+            return [{"user_name": "u", "time_zone": {"value": zone}}]
+
+    with warnings.catch_warnings(record=True) as told:
+        warnings.simplefilter("always")
+        assert probe.check_time_zone(Users(), "u") == zone
+    assert len(told) == (zone != "GMT")
 
 
 def test_stream_restarts_without_loss_or_repeats(spark, server, tmp_path):
@@ -226,17 +318,64 @@ def test_stream_restarts_without_loss_or_repeats(spark, server, tmp_path):
     assert ("a00003", "1") in seen
 
 
+_CHANGES = "sys_id string, op string, order int, at timestamp_ntz, body map<string,string>, topic string, partition bigint, offset bigint"
+
+
 def test_batches_apply_once(spark, tmp_path):
-    table = sync.VersionedTable(spark, str(tmp_path / "t"), ["f"])
+    table = sync.VersionedTable(spark, str(tmp_path / "t"), ["f"], buckets=8)
     run = sync.apply_batches(table, reports=str(tmp_path / "r"), dead_letters=str(tmp_path / "d"), not_found="fail")
-    schema = "sys_id string, op string, order int, at timestamp_ntz, body map<string,string>"
     at = datetime(2026, 1, 1)
-    first = spark.createDataFrame([("x", "CREATE", 1, at, {"f": "1"}), ("y", "PATCH", 2, at, {"f": "2"})], schema)
+    rows = [("x", "CREATE", 1, at, {"f": "1"}, "t", 0, 1), ("y", "PATCH", 2, at, {"f": "2"}, "t", 0, 2), (None, "PATCH", 2, at, {"f": "3"}, "t", 1, 2), (None, "CREATE", 2, at, {"f": "4"}, "t", 2, 2), (None, "CREATE", 2, at, {"f": "5"}, "t", 3, 2)]
+    first = spark.createDataFrame(rows, _CHANGES)
     run(first, 0)
     run(first, 0)
-    run(spark.createDataFrame([("x", "PATCH", 3, at, {"f": "9"})], schema), 1)
-    assert [(r.sys_id, r.sys_mod_count, r.f) for r in table.read().collect()] == [("x", 1, "9")]
-    assert [r.sys_id for r in spark.read.parquet(str(tmp_path / "d")).collect()] == ["y"]
+    for n in range(1, 5):
+        run(spark.createDataFrame([("x", "PATCH", 3, at, {"f": str(n)}, "t", 0, 3 + n)], _CHANGES), n)
+    got = table.read().collect()
+    assert Counter((r.sys_mod_count, r.f) for r in got) == Counter([(4, "4"), (0, "4"), (0, "5")]) and len({r.sys_id for r in got}) == 3
+    letters = spark.read.parquet(str(tmp_path / "d")).collect()
+    assert Counter((r.sys_id, r.partition, r.reason) for r in letters) == Counter([("y", 0, "not found"), (None, 1, "no id")])
+    told = spark.read.json(str(tmp_path / "r" / "batch=0")).collect()
+    assert len(told) == 5 and sum(json.loads(r.value)["rejected"] for r in told) == 2
+    assert len(table.files.names("manifests")) == 2 and len(table.files.names("data")) <= 4  # old versions are gone
+
+
+def test_a_hot_key_is_folded_in_runs(spark):
+    at = datetime(2026, 1, 1)
+    rows = [("hot", "DELETE" if i % 7 == 3 else "CREATE" if i % 7 == 4 else "PATCH", i, at, {"f": str(i)}) for i in range(300)] + [(f"k{i}", "CREATE", i, at, {"f": "1"}) for i in range(100)]
+    rows += [("hot", "PATCH", 2.5, at, {"g": "x"})]
+    df = spark.createDataFrame([(a, b, float(c), d, e) for a, b, c, d, e in rows], "sys_id string, op string, order double, at timestamp_ntz, body map<string,string>").repartition(7)
+    target = spark.createDataFrame([("hot", 5, at, "0", "1"), ("idle", 1, at, "a", "b")], "sys_id string, sys_mod_count bigint, sys_updated_on timestamp_ntz, f string, g string")
+    live, rejected = change.apply_changes(target, df, ["f", "g"])
+    got = {r.sys_id: (r.sys_mod_count, r.f, r.g) for r in live.collect()}
+    state, bad = (5, "0", "1"), 0
+    for _, op, i, _, body in sorted((r for r in rows if r[0] == "hot"), key=lambda r: r[2]):
+        if (state is None) != (op == "CREATE"):
+            bad += 1
+        elif op == "DELETE":
+            state = None
+        else:
+            n, f, g = state or (-1, "", "")
+            state = (n + 1, body.get("f", f), body.get("g", g))
+    assert got["hot"] == state and got["idle"] == (1, "a", "b") and len(got) == 102 and rejected.count() == bad
+
+
+def test_a_failed_table_is_parked():
+    class Query:
+        def __init__(self, error=None):
+            self.error = error
+
+        isActive = False  # noqa: N815
+
+        def exception(self):
+            return self.error
+
+    assert sync.await_tables({"a": Query(), "b": Query()}) == {}
+    assert list(sync.await_tables({"a": Query(), "b": Query(RuntimeError("x"))})) == ["b"]
+    with pytest.raises(RuntimeError):
+        sync.await_tables({"b": Query(RuntimeError("x"))})
+    with pytest.raises(KeyError):
+        sync.run_tables({"a": lambda: {}["x"]})
 
 
 def test_oauth_is_fetched_once_and_falls_back():
@@ -256,8 +395,11 @@ def test_oauth_is_fetched_once_and_falls_back():
     assert auth.header() == "Bearer t3" and posts[1:] == ["refresh_token", "client_credentials"]
 
 
-def test_bucket_digest_is_order_free(spark, sf_dir):
-    from sluicework import catalogue
-
-    (r,) = catalogue.QUERIES["recon_bucket_digest"](spark, sf_dir).collect()
-    assert r["digest"] == r["again"]
+def test_digests_are_free_of_order(spark):
+    ids = [f"{i:04d}" for i in range(500)]
+    want = hashlib.sha256("\n".join(ids).encode()).hexdigest()
+    random.Random(1).shuffle(ids)
+    df = spark.createDataFrame([(x,) for x in [*ids, ids[0], "", None]], "sys_id string")
+    assert reconcile.exact_digest(df.repartition(5)).first()[0] == want
+    assert reconcile.digest(df).first()[0] == reconcile.digest(df.repartition(3)).first()[0]
+    assert reconcile.exact_digest(df.limit(0)).first()[0] == hashlib.sha256(b"").hexdigest()
