@@ -2,72 +2,30 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import gc
-import os
-import shutil
-import tempfile
-import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import workers
+from ..workers import cut, new_path, shared_dir  # noqa: F401  the operators' own names for them
+
 #: Rows of one broadcast at most; larger sides take the shuffled path.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = workers.BROADCAST_ROWS
 #: Rows and bytes of a batch sent to a Python worker at most, where the session sets none: texts may be long.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per application, and bound the session's batches."""
+    """Send this package to the executors' Python workers, and bound the session's batches."""
     for key, value in BATCH.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    sc = spark.sparkContext
-    if getattr(sc, "_sluicework_shipped", False):
-        return
-    top = Path(__file__).resolve().parents[1]
-    folder = tempfile.mkdtemp(prefix="sluicework-")  # the driver serves the file for as long as it lives
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    archive = os.path.join(folder, "sluicework.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
-        for p in sorted(top.rglob("*.py")):
-            z.write(p, p.relative_to(top.parent))
-    sc.addPyFile(archive)
-    sc._sluicework_shipped = True
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share; a temporary one only in local mode."""
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        if not hasattr(sc, "_sluicework_dir"):
-            sc._sluicework_dir = tempfile.mkdtemp(prefix="sluicework-")
-            atexit.register(shutil.rmtree, sc._sluicework_dir, ignore_errors=True)
-        folder = sc._sluicework_dir
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(folder)
-    return folder
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and stored in the shared folder, so that later jobs and lost executors don't recompute it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    workers.ship(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
