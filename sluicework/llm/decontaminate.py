@@ -28,6 +28,10 @@ def windows(benchmark: DataFrame, n: int) -> DataFrame:
     return w.groupBy("size", F.xxhash64("gram").alias("hash"), "gram").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
+def _by_text(w: Column) -> Column:
+    return F.slice(w, F.col("at"), F.col("size"))
+
+
 def mark(docs: DataFrame, benchmark: DataFrame, *, n: int = 10) -> DataFrame:
     """One row per row of docs: doc_id, text_md5, n_words, spans and items.
 
@@ -35,8 +39,10 @@ def mark(docs: DataFrame, benchmark: DataFrame, *, n: int = 10) -> DataFrame:
     document, at counted in words from 1, in order; items are the sorted ids,
     as strings, of the items with such a window. Windows meet by hash and are
     then compared word by word. The set of windows is broadcast when it has
-    common.BROADCAST_ROWS // 10 rows at most and shuffled beyond it, where Spark
-    splits a hot window's rows.
+    common.BROADCAST_ROWS // 10 rows at most. Beyond it a document's windows are
+    shuffled as (text's MD5, place, size, hash), a few bytes for each word,
+    where Spark splits a hot window's rows, and what was found is taken back to
+    the texts to be compared there.
 
     A null text has no words, an item without words no window, an item of fewer
     than n words is one window; null item ids are never reported; repeated rows
@@ -47,13 +53,11 @@ def mark(docs: DataFrame, benchmark: DataFrame, *, n: int = 10) -> DataFrame:
     count = grams.count()
     sizes = sorted(r[0] for r in grams.select("size").distinct().collect()) or [n]  # n at most
     side = grams.select("hash", "gram", "items")
-    side = F.broadcast(side) if count <= common.BROADCAST_ROWS // 10 else side
-    d = docs.select("doc_id", F.md5("text").alias("text_md5"), words(F.col("text")).alias("w"))
-    d = d.select("doc_id", "text_md5", "w", F.explode(F.array(*map(F.lit, sizes))).alias("size"))
-    last = F.greatest(F.size("w") - F.col("size") + 1, F.lit(1))
-    d = d.select("doc_id", "text_md5", "w", "size", F.explode(F.sequence(F.lit(1), last)).alias("at"))
-    own = F.slice("w", F.col("at"), F.col("size"))
-    d = d.withColumn("hash", F.xxhash64(own)).join(side, "hash", "left")
+    if count > common.BROADCAST_ROWS // 10:
+        return _mark_shuffled(docs, side, sizes)
+    d = _windowed(docs.select("doc_id", F.md5("text").alias("text_md5"), words(F.col("text")).alias("w")), sizes)
+    own = _by_text(F.col("w"))
+    d = d.withColumn("hash", F.xxhash64(own)).join(F.broadcast(side), "hash", "left")
     first = (F.col("at") == 1) & (F.col("size") == sizes[0])  # one of these per document stays, so that clean ones are kept
     d = d.filter(first | F.col("items").isNotNull())
     hit = F.col("items").isNotNull() & (F.size("gram") == F.col("size")) & (F.col("gram") == own)  # a document's only window may be shorter than size
@@ -63,6 +67,25 @@ def mark(docs: DataFrame, benchmark: DataFrame, *, n: int = 10) -> DataFrame:
     return d.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("n_rows")))).drop("_row", "n_rows")
 
 
+def _windowed(d: DataFrame, sizes: list[int]) -> DataFrame:
+    """A row for each window of each size of the words w; a text shorter than a window has one all the same."""
+    d = d.select("*", F.explode(F.array(*map(F.lit, sizes))).alias("size"))
+    last = F.greatest(F.size("w") - F.col("size") + 1, F.lit(1))
+    return d.select("*", F.explode(F.sequence(F.lit(1), last)).alias("at"))
+
+
+def _mark_shuffled(docs: DataFrame, side: DataFrame, sizes: list[int]) -> DataFrame:
+    texts = docs.select("doc_id", F.md5("text").alias("text_md5"), words(F.col("text")).alias("w"))
+    thin = _windowed(texts, sizes).select("text_md5", "at", "size", F.xxhash64(_by_text(F.col("w"))).alias("hash"))
+    met = thin.join(side, "hash").filter(F.size("gram") == F.col("size"))
+    met = met.groupBy("text_md5").agg(F.collect_set(F.struct("at", "size", "gram", "items")).alias("met"))
+    found = texts.join(met, "text_md5", "left")
+    true = F.array_sort(F.filter("met", lambda m: F.slice(F.col("w"), m["at"], m["size"]) == m["gram"]))
+    found = found.select("doc_id", "text_md5", F.size("w").cast("long").alias("n_words"), F.coalesce(true, F.array().cast(met.schema["met"].dataType)).alias("met"))
+    spans = F.array_distinct(F.transform("met", lambda m: F.struct(m["at"].alias("at"), m["size"].alias("size"))))
+    return found.select("doc_id", "text_md5", "n_words", spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.transform("met", lambda m: m["items"])))).alias("items"))
+
+
 def hit_words(spans: Column) -> Column:
     """How many words lie in at least one of the sorted spans."""
     start = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
