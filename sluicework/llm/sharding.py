@@ -56,6 +56,25 @@ def quantised(column: Column, kind: str, bits: int) -> Column:
     return F.when(column.isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(column), F.lit(top)) + 1).cast("long")
 
 
+def _on_curve(docs: DataFrame, dimensions: list[str], bits: int, *kept: Column) -> DataFrame:
+    """kept, size, text_crc32 and curve of every row of docs."""
+    kinds = dict(docs.dtypes)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    own = [quantised(F.col(f"`{c}`"), kinds[c], bits).alias(f"_d{i}") for i, c in enumerate(dimensions)]
+    rows = docs.select(*kept, (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text).alias("text_crc32"), *own)
+    return rows.withColumn("curve", on_curve([F.col(f"_d{i}") for i in range(len(own))], bits)).drop(*(f"_d{i}" for i in range(len(own))))
+
+
+def _cut_runs(rows: DataFrame, shards: int) -> DataFrame:
+    """rows, which have their rank, with shard and slot: so many runs, the first ones a row longer."""
+    each, more = divmod(rows.count(), shards)
+    edge, r = more * (each + 1), F.col("rank")
+    early = r < edge
+    shard = F.when(early, F.floor(r / (each + 1))).otherwise(more + F.floor((r - edge) / max(1, each)))
+    slot = F.when(early, r % (each + 1)).otherwise((r - edge) % max(1, each))
+    return rows.withColumns({"shard": shard.cast("int"), "slot": slot.cast("long")})
+
+
 def assign(docs: DataFrame, dimensions: list[str], *, shards: int = 24, bits: int = 6) -> DataFrame:
     """doc_id, size, text_crc32, curve, shard and slot of every row of docs.
 
@@ -69,29 +88,23 @@ def assign(docs: DataFrame, dimensions: list[str], *, shards: int = 24, bits: in
     a column that is not named is not read.
     """
     common.ship(docs.sparkSession)
-    kinds = dict(docs.dtypes)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    own = [quantised(F.col(f"`{c}`"), kinds[c], bits).alias(f"_d{i}") for i, c in enumerate(dimensions)]
-    thin = docs.select("doc_id", (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text).alias("text_crc32"), *own)
-    placed = common.cut(thin.withColumn("curve", on_curve([F.col(f"_d{i}") for i in range(len(own))], bits)).drop(*(f"_d{i}" for i in range(len(own)))))
+    placed = common.cut(_on_curve(docs, dimensions, bits, F.col("doc_id")))
     rows = common.ranked(placed, "curve", "doc_id", "text_crc32", "size")
-    n = rows.count()
-    each, more = divmod(n, shards)  # the first `more` shards hold one row more
-    edge, r = more * (each + 1), F.col("rank")
-    early = r < edge
-    shard = F.when(early, F.floor(r / (each + 1))).otherwise(more + F.floor((r - edge) / max(1, each)))
-    slot = F.when(early, r % (each + 1)).otherwise((r - edge) % max(1, each))
-    return rows.select("doc_id", "size", "text_crc32", "curve", shard.cast("int").alias("shard"), slot.cast("long").alias("slot"))
+    return _cut_runs(rows, shards).select("doc_id", "size", "text_crc32", "curve", "shard", "slot")
 
 
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str, *, shards: int = 24) -> None:
-    """docs' rows in one folder for each shard under path, ordered by slot, their place written as columns.
+def write_shards(docs: DataFrame, dimensions: list[str], path: str, *, shards: int = 24, bits: int = 6, rows_per_file: int = 1_000_000) -> None:
+    """docs' rows, whole, in one folder for each shard under path, in the order of assign(), with slot and curve.
 
-    Rows meet their place by doc_id, size and checksum; a repeated row stands in
-    every slot that its copies have.
+    Every row is written once, whatever others it equals: rows are sorted whole
+    and never matched to places again. A shard's files are runs of
+    rows_per_file slots, so that their statistics stay narrow and no task holds
+    a whole shard. Columns called shard, slot or curve are replaced.
     """
-    text = F.coalesce(docs["text"], F.lit(""))
-    place = assigned.select(F.col("doc_id").alias("_doc"), F.col("size").alias("_size"), F.col("text_crc32").alias("_crc"), "shard", "slot").dropDuplicates()
-    keyed = docs.withColumns({"_s": F.octet_length(text).cast("long") + 8, "_c": F.crc32(text)}).dropDuplicates()
-    rows = keyed.join(place, keyed["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("_s") == F.col("_size")) & (F.col("_c") == F.col("_crc"))).drop("_doc", "_size", "_crc", "_s", "_c")
-    rows.repartitionByRange(shards, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    common.ship(docs.sparkSession)
+    kept = [c for c in docs.columns if c not in ("shard", "slot", "curve")]
+    whole = F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row")
+    rows = common.ranked(_on_curve(docs, dimensions, bits, whole, F.col("doc_id")), "curve", "doc_id", "text_crc32", "size")
+    rows = _cut_runs(rows, shards).withColumn("_run", F.floor(F.col("slot") / rows_per_file))
+    rows = rows.repartition("shard", "_run").sortWithinPartitions("shard", "slot")
+    rows.select(*(F.col(f"_row.`{c}`").alias(c) for c in kept), "slot", "curve", "shard").write.partitionBy("shard").parquet(path)
