@@ -9,11 +9,13 @@ among the first n - ceil(t * n) + 1 of each.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common
@@ -25,6 +27,8 @@ COUNTED = 0.25
 PAIRED = 32
 #: Sets compared at once; larger candidate groups are cut into blocks.
 BLOCK = 100
+#: Members of a large group that every block near their size is compared with first.
+LEADERS = 4
 #: Longs of the parity bitmap that bounds a symmetric difference from below.
 PARITY = 16
 #: Word hashes a worker keeps.
@@ -201,18 +205,25 @@ def candidates(sig: DataFrame, percent: int) -> DataFrame:
     return members.union(frequent).union(pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")))
 
 
-def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90) -> DataFrame:
+def size_class(size: Column, percent: int) -> Column:
+    """Classes of set sizes such that linked sets lie in one class or in two next to each other."""
+    return size if percent >= 100 else F.floor(F.log(size.cast("double")) / math.log(100 / percent)).cast("long")
+
+
+def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
     """docs' doc_id with n_shingles and component_id, one row for each row of docs.
 
     Two documents are linked when 100 * |intersection| >= percent * |union| of
     their sets of distinct k-word shingles; component_id is the smallest doc_id
-    that links reach. Sets are compared by 64-bit hashes of their shingles.
+    that links reach. Sets are compared by 64-bit hashes of their shingles, so
+    the join is exact but for two shingles of one hash.
 
     Copies of a set inside one task are represented by one of them. Sets with
     the same prefix and size form one group; groups that share a prefix shingle
     and pass the size and parity bounds are candidates; components of candidates
-    are expanded to their members, and those are compared set by set, in blocks.
-    In a component of several blocks, blocks are first connected inside and to a
+    are expanded to their members, and those are compared set by set, in blocks
+    of one class of sizes; only blocks of one class or the next meet. In a
+    component of several blocks, blocks are first connected inside and to a
     few leaders, and then only parts that are still apart are compared.
 
     Null, empty and word-less texts have no shingles and are linked with
@@ -229,17 +240,22 @@ def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90) -> Dat
     count = groups.count()
     wanted = F.broadcast(groups) if count <= common.BROADCAST_ROWS else groups
     picked = texts.join(wanted.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = common.cut(picked.mapInArrow(_sets(k), "id long, hashes binary").join(groups, "id"))
-    large = common.cut(sets.groupBy("cand").count().filter(F.col("count") > BLOCK).select("cand", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
+    sized = picked.mapInArrow(_sets(k), "id long, hashes binary").withColumn("class", size_class(F.octet_length("hashes") / 8, percent))
+    sets = common.cut(sized.join(groups, "id"))
+    large = sets.groupBy("cand", "class").count().withColumn("all", F.sum("count").over(W.partitionBy("cand")))
+    large = common.cut(large.filter(F.col("all") > BLOCK).select("cand", "class", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
     many = large.count() > 0
-    place = F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1)))
-    sets = sets.join(_small(large), "cand", "left").withColumn("block", place)
+    place = F.when(F.col("blocks").isNotNull(), F.struct("class", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("at"))).otherwise(F.struct(F.lit(-1).cast("long").alias("class"), F.lit(0).cast("long").alias("at")))
+    sets = sets.join(_small(large), ["cand", "class"], "left").withColumn("block", place)
     first = sets.select(F.struct("cand", "block").alias("task"), "id", F.col("id").alias("label"), F.lit(2).alias("side"), "hashes")
     if many:
-        lead = sets.filter("blocks is not null").groupBy("cand").agg(F.slice(F.array_sort(F.collect_set("id")), 1, 4).alias("ids"))
-        lead = sets.join(lead.select("cand", F.explode("ids").alias("id")), ["cand", "id"])
-        lead = lead.select("cand", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to"), "block", "id", "hashes").filter("to != block")
-        first = first.union(lead.select(F.struct(F.col("cand"), F.col("to").cast("long").alias("block")).alias("task"), "id", "id", F.lit(2), "hashes"))
+        nth = F.row_number().over(W.partitionBy("cand", "class").orderBy("id"))  # each task keeps LEADERS rows of a class
+        lead = sets.filter("blocks is not null").select("cand", "class", "id").withColumn("nth", nth).filter(F.col("nth") <= LEADERS)
+        lead = sets.join(lead.select("cand", "id"), ["cand", "id"]).select("cand", F.col("block").alias("own"), "id", "hashes", F.explode(F.array(F.col("class") - 1, "class", F.col("class") + 1)).alias("class"))
+        lead = lead.join(_small(large), ["cand", "class"]).select("cand", "own", "id", "hashes", "class", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at"))
+        block = F.struct("class", F.col("at").cast("long").alias("at"))
+        lead = lead.withColumn("block", block).filter(F.col("block") != F.col("own"))
+        first = first.union(lead.select(F.struct("cand", "block").alias("task"), "id", "id", F.lit(2), "hashes"))
     links = common.cut(_compare(first, percent))
     if many:
         links = links.union(common.cut(_rest(sets, links, percent)))
@@ -262,24 +278,26 @@ def _compare(tasks: DataFrame, percent: int) -> DataFrame:
 def _rest(sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """Links between the parts of large candidate groups that the first round left apart.
 
-    A block now holds members of one part or of several small ones; two blocks
-    of the same part need no comparison, so a group that is connected already
+    A block now holds members of one class of sizes, and of one part or of
+    several small ones; two blocks of the same part, or of classes further
+    apart than one, need no comparison, so a group that is connected already
     costs nothing more.
     """
     part = components(links).select("id", "component")
-    s = sets.filter("blocks is not null").join(part, "id", "left").select("cand", "id", "hashes", F.coalesce("component", "id").alias("label"))
-    sizes = s.groupBy("cand", "label").count()
-    total = sizes.filter(F.col("count") < BLOCK).groupBy("cand").agg(F.ceil(F.sum("count") / BLOCK).cast("int").alias("mixed"))
-    sizes = common.cut(sizes.join(total, "cand", "left"))
-    s = s.join(_small(sizes), ["cand", "label"])
+    s = sets.filter("blocks is not null").join(part, "id", "left").select("cand", "class", "id", "hashes", F.coalesce("component", "id").alias("label"))
+    sizes = s.groupBy("cand", "class", "label").count()
+    total = sizes.filter(F.col("count") < BLOCK).groupBy("cand", "class").agg(F.ceil(F.sum("count") / BLOCK).cast("int").alias("mixed"))
+    sizes = common.cut(sizes.join(total, ["cand", "class"], "left"))
+    s = s.join(_small(sizes), ["cand", "class", "label"])
     alone = F.col("count") >= BLOCK
     block = F.struct(
-        F.when(alone, F.col("label")).alias("only"),
+        "class", F.when(alone, F.col("label")).alias("only"),
         F.when(alone, F.pmod(F.xxhash64("id"), F.ceil(F.col("count") / BLOCK))).otherwise(F.pmod(F.xxhash64("label"), F.coalesce("mixed", F.lit(1)))).alias("at"),
     )
     s = common.cut(s.select("cand", "id", "label", "hashes", block.alias("block")))
-    blocks = common.cut(s.select("cand", "block").distinct())
-    two = blocks.select("cand", F.col("block").alias("x")).join(blocks.select("cand", F.col("block").alias("y")), "cand")
+    blocks = common.cut(s.select("cand", "block", "block.class").distinct())
+    near = blocks.select("cand", F.col("block").alias("y"), F.explode(F.array("class", F.col("class") - 1, F.col("class") + 1)).alias("class"))
+    two = blocks.select("cand", "class", F.col("block").alias("x")).join(near, ["cand", "class"])
     two = two.filter((F.col("x") <= F.col("y")) & ~F.coalesce(F.col("x.only") == F.col("y.only"), F.lit(False)))
     two = common.cut(two.withColumn("task", F.struct("cand", "x", "y")))
     left = two.select("cand", F.col("x").alias("block"), "task", F.when(F.col("x") == F.col("y"), 2).otherwise(0).alias("side"))
@@ -288,7 +306,7 @@ def _rest(sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     return _compare(dealt.select("task", "id", "label", "side", "hashes"), percent)
 
 
-def without_near_copies(docs: DataFrame, *, k: int = 3, percent: int = 90) -> DataFrame:
+def without_near_copies(docs: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
     """docs' rows, whole, with one document of each component: the one with the smallest doc_id.
 
     Of rows that share a doc_id and have words one stays. Documents without

@@ -7,8 +7,9 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,73 +132,115 @@ TENSOR = pa.fixed_shape_tensor(pa.float32(), (TENSOR_FRAMES, MELS))
 
 
 def tensors(table: pa.Table, column: str = "log_mel") -> pa.Array:
-    """A column of flat tensors, as audio_features() gives them, as an Arrow fixed-shape tensor array."""
-    flat = table[column].combine_chunks()
-    size = TENSOR_FRAMES * MELS
-    values = flat.flatten().cast(pa.float32())
-    return pa.ExtensionArray.from_storage(TENSOR, pa.FixedSizeListArray.from_arrays(values, size))
+    """A column of flat tensors as an Arrow fixed-shape tensor array."""
+    values = table[column].combine_chunks().flatten().cast(pa.float32())
+    return pa.ExtensionArray.from_storage(TENSOR, pa.FixedSizeListArray.from_arrays(values, TENSOR_FRAMES * MELS))
 
 
-def _tensor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pack_tensors(mel: np.ndarray) -> bytes:
+    """Tensors (n, TENSOR_FRAMES, MELS) with the seconds that each covers, as an Arrow stream of fixed-shape tensors."""
     step = TENSOR_FRAMES * HOP / RATE
-    for b in batches:
-        for i, text in enumerate(b.column("text").to_pylist()):
-            _, mel, spans = features(wav(payload(text)[1]))
-            n = mel.shape[0]
-            own = [[(max(a, k * step), min(e, (k + 1) * step)) for a, e in spans if a < (k + 1) * step and e > k * step] for k in range(n)]
-            yield pa.record_batch(
-                [
-                    b.column("_row").take(pa.array([i] * n)), pa.array(range(n), pa.int32()), pa.array([k * step for k in range(n)]), pa.array([(k + 1) * step for k in range(n)]),
-                    pa.array(list(mel.reshape(n, -1)), pa.list_(pa.float32())), pa.array([[{"start": x, "end": y} for x, y in s] for s in own], pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())]))),
-                ],
-                ["_row", "tensor", "start", "end", "log_mel", "active"],
-            )
-
-
-_ADDED = T.StructType().add("tensor", "integer").add("start", "double").add("end", "double").add("log_mel", T.ArrayType(T.FloatType())).add("active", T.ArrayType(T.StructType().add("start", "double").add("end", "double")))
-
-
-def audio_features(docs: DataFrame, *keep: str) -> DataFrame:
-    """One row for each tensor of each row of docs: the columns keep, tensor, start and end in seconds, log_mel and active.
-
-    log_mel holds TENSOR_FRAMES * MELS numbers, which tensors() turns into an
-    Arrow fixed-shape tensor; active lists the parts of the time span with
-    energy. A text's bytes are the sound; null is the empty text, whose payload
-    is 64 zeros. Equal texts give equal rows, an empty table none, and kept
-    columns whose names clash with the added ones are left out.
+    start = np.arange(mel.shape[0]) * step
+    flat = pa.FixedSizeListArray.from_arrays(pa.array(mel.reshape(-1), pa.float32()), TENSOR_FRAMES * MELS)
+    batch = pa.record_batch([pa.array(start), pa.array(start + step), pa.ExtensionArray.from_storage(TENSOR, flat)], ["start", "end", "log_mel"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack_tensors(stored: bytes) -> pa.Table:
+    """What pack_tensors() stored: start, end and log_mel, a fixed-shape tensor column."""
+    return pa.ipc.open_stream(stored).read_all()
+
+
+def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common.alone("media", lambda: None)
+    for b in common.slices(batches):
+        own = [payload(t) for t in b.column("text").to_pylist()]
+        yield pa.record_batch([b.column("_row"), pa.array([n for n, _ in own], pa.int64()), pa.array([wav(raw) for _, raw in own], pa.binary())], ["_row", "n_bytes", "media"])
+
+
+def store_audio(docs: DataFrame, path: str, *keep: str) -> None:
+    """Write the sound of every row of docs to a Parquet table at path: the columns keep, n_bytes and media, a WAV file.
+
+    A text's UTF-8 bytes, with zeros up to a positive multiple of 64, are the
+    samples; null is the empty text, whose payload is 64 zeros. Repeated rows
+    are stored as often as they occur, an empty table writes no row, and kept
+    columns called n_bytes or media are left out.
     """
     common.ship(docs.sparkSession)
-    keep = tuple(c for c in keep if c not in _ADDED.names)
+    keep = tuple(c for c in keep if c not in ("n_bytes", "media"))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row"), "text")
-    out = T.StructType([*rows.select("_row").schema.fields, *_ADDED.fields])
-    return rows.mapInArrow(_tensor_rows, out).select(*(F.col(f"_row.`{c}`").alias(c) for c in keep), *_ADDED.names)
+    out = T.StructType([*rows.select("_row").schema.fields]).add("n_bytes", "long").add("media", "binary")
+    stored = rows.mapInArrow(_stored, out).select(*(F.col(f"_row.`{c}`").alias(c) for c in keep), "n_bytes", "media")
+    stored.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
+
+
+def read_audio(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_SPAN = T.StructType().add("start", "double").add("end", "double")
+_ADDED = (
+    T.StructType().add("payload_bytes", "long").add("payload_sha256", "string").add("tail_crc32", "long").add("media_bytes", "long").add("media_sha256", "string")
+    .add("tensors", T.ArrayType(T.ArrayType(T.FloatType()))).add("mean_level", T.ArrayType(T.FloatType())).add("segments", T.ArrayType(_SPAN))
+)
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import hashlib
     import zlib
 
     common.alone("media", lambda: None)
-    for b in common.slices(batches):
-        out: list[list] = [[] for _ in range(7)]
-        for text in b.column("text").to_pylist():
-            n, own = payload(text)
-            stored = wav(own)
+    span = pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())]))
+    kinds = pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.float32())), pa.list_(pa.float32()), span
+    for b in common.slices(batches, 64):  # tensors are larger than texts
+        out: list[list] = [[] for _ in kinds]
+        for stored in b.column("media").to_pylist():
             raw, mel, spans = features(stored)
-            mean = mel.reshape(-1, MELS).mean(0)
-            feature = f"{mel.shape[0]}x{TENSOR_FRAMES}x{MELS};{len(spans)};{sum(e - a for a, e in spans):.3f};" + ",".join(f"{v:.1f}" for v in mean)
-            row = n, len(raw), hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), feature
+            flat = mel.reshape(mel.shape[0], -1)
+            row = len(raw), hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), list(flat), mel.reshape(-1, MELS).mean(0), [{"start": s, "end": e} for s, e in spans]
             for column, value in zip(out, row, strict=True):
                 column.append(value)
-        kinds = pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()
-        yield pa.record_batch([b.column("doc_id"), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))], ["doc_id", *_DIGESTS])
+        yield pa.record_batch([b.column("_row"), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))], ["_row", *_ADDED.names])
+
+
+def audio_features(media: DataFrame, *keep: str) -> DataFrame:
+    """Of every stored sound (a column media) the columns keep and what was read back from its bytes.
+
+    payload_bytes, payload_sha256 and tail_crc32 (of the last 64 bytes) are the
+    samples', media_bytes and media_sha256 the stored form's. tensors lists the
+    log-mel tensors, each TENSOR_FRAMES * MELS numbers for TENSOR_FRAMES * HOP /
+    RATE seconds, the last one padded with the floor; tensor_rows() gives them
+    one a row with their time spans, pack_tensors() as Arrow tensors.
+    mean_level is their mean by band, segments the time spans with energy.
+    Equal sounds give equal rows, an empty table none, and kept columns whose
+    names clash with the added ones are left out.
+    """
+    common.ship(media.sparkSession)
+    keep = tuple(c for c in keep if c not in _ADDED.names)
+    rows = media.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row"), "media")
+    out = T.StructType([*rows.select("_row").schema.fields, *_ADDED.fields])
+    return rows.mapInArrow(_features, out).select(*(F.col(f"_row.`{c}`").alias(c) for c in keep), *_ADDED.names)
 
 
-_DIGESTS = {"n_bytes": "long", "payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string", "feature": "string"}
+def tensor_rows(found: DataFrame, *keep: str) -> DataFrame:
+    """audio_features()' rows, a row for each tensor: keep, tensor, start and end in seconds, log_mel, and the active parts of that time."""
+    step = F.lit(TENSOR_FRAMES * HOP / RATE)
+    rows = found.select(*(F.col(f"`{c}`") for c in keep), "segments", F.posexplode("tensors").alias("tensor", "log_mel"))
+    rows = rows.withColumns({"start": F.col("tensor") * step, "end": (F.col("tensor") + 1) * step})
+    inside = F.filter("segments", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
+    active = F.transform(inside, lambda s: F.struct(F.greatest(s["start"], F.col("start")).alias("start"), F.least(s["end"], F.col("end")).alias("end")))
+    return rows.select(*(F.col(f"`{c}`") for c in keep), "tensor", "start", "end", "log_mel", active.alias("active"))
 
 
-def media_digests(docs: DataFrame) -> DataFrame:
-    """doc_id of every row of docs with digests of its payload as read back from the stored form, and of its features."""
-    common.ship(docs.sparkSession)
-    rows = docs.select("doc_id", "text")
-    return rows.mapInArrow(_digests, T.StructType([rows.schema["doc_id"], *(T.StructField(c, T.LongType() if k == "long" else T.StringType()) for c, k in _DIGESTS.items())]))
+def write_tensors(found: DataFrame, path: str, *keep: str) -> None:
+    """audio_features()' rows as a Parquet table: keep, segments, and tensors as an Arrow stream of fixed-shape tensors with time spans."""
+    common.ship(found.sparkSession)
+
+    @F.pandas_udf("binary")
+    def packed(column: pd.Series) -> pd.Series:
+        return column.map(lambda x: pack_tensors(np.stack(list(x)).reshape(-1, TENSOR_FRAMES, MELS).astype(np.float32)))
+
+    found.select(*(F.col(f"`{c}`") for c in keep), "segments", packed("tensors").alias("tensors")).write.option("compression", "zstd").parquet(path)

@@ -36,7 +36,7 @@ def op2_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import jaccard_components
 
-    return jaccard_components(common.table(spark, sf_dir, "documents"))
+    return jaccard_components(common.table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,9 +55,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .media import media_digests
-
-    return media_digests(common.table(spark, sf_dir, "documents"))
+    from .media import MELS, TENSOR_FRAMES, audio_features, read_audio, store_audio
+
+    path = common.new_path(spark, "audio")
+    store_audio(common.table(spark, sf_dir, "documents"), path, "doc_id")
+    found = audio_features(read_audio(spark, path), "doc_id", "n_bytes")
+    active = F.aggregate("segments", F.lit(0.0), lambda a, s: a + s["end"] - s["start"])
+    shown = F.array_join(F.transform("mean_level", lambda v: v.cast("decimal(9,1)").cast("string")), ",")
+    feature = F.concat_ws(";", F.format_string("%dx%dx%d", F.size("tensors"), F.lit(TENSOR_FRAMES), F.lit(MELS)), F.size("segments").cast("string"), active.cast("decimal(18,3)").cast("string"), shown)
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"), "segments")
 
 
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
