@@ -18,8 +18,6 @@ from . import common
 
 #: Labelled rows that a model is fitted on at most: those with the smallest hash of their doc_id.
 MAX_LABELLED = 40_000
-#: Features that a model keeps at most: those with the largest z.
-MAX_FEATURES = 50_000
 #: Least z of a feature's log-odds, to choose from: many features are tried, and how many are chance depends on the corpus.
 MIN_Z = (3.0, 4.0, 5.0, 6.0, 8.0, 10.0)
 #: One in so many labelled documents is kept from the counts, to choose and calibrate on.
@@ -30,6 +28,8 @@ PRIOR = 0.05
 STEMS = (4, 5, 6)
 #: What every token costs, so that a passage must be dense to be found.
 DRIFT = 0.25
+#: Chance in a clean text up to which a passage is significant.
+SIGNIFICANT = 0.05
 #: Words whose scores a worker keeps.
 CACHE_WORDS = 200_000
 
@@ -70,12 +70,15 @@ class Model:
         scores = np.array([miss(w) if (s := get(w)) is None else s for w in words], np.float64)
         return len(words), segments(scores)
 
+    def chance(self, n: int, score: float) -> float:
+        """That a clean text of n words has a segment of this score or more."""
+        return -math.expm1(-self.scale * n * math.exp(-min(700.0, self.rate * score)))
+
     def evidence(self, n: int, found: list[tuple[int, int, float]]) -> float:
         """-log of the chance that a clean text of n words has a segment as good as the best, plus those of the others beyond 1 in 20."""
         total = 0.0
         for k, s in enumerate(sorted((s for _, _, s in found), reverse=True)):
-            expected = self.scale * n * math.exp(-min(700.0, self.rate * s))
-            x = -math.log(max(1e-300, -math.expm1(-expected)))
+            x = -math.log(max(1e-300, self.chance(n, s)))
             total += x if not k else max(0.0, x - 3.0)
         return min(total, 200.0)
 
@@ -169,6 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     Of several labels of one doc_id the largest holds. At most MAX_LABELLED
     labelled ids are used, and only they are broadcast. One in KEPT_BACK of them
     is not counted: the least z is chosen and the scores are calibrated on it.
+    Every word of the counted texts beyond the least z is a feature.
     """
     common.ship(docs.sparkSession)
     chosen = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -188,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     odds = logit(F.col("y1"), n1) - logit(F.col("y0"), n0)
     z = odds / F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior))
     scored = counts.filter("y0 + y1 > 2").select("feature", odds.alias("odds"), z.alias("z")).filter(F.col("z") >= MIN_Z[0])
-    models = candidates([tuple(r) for r in scored.orderBy(F.col("z").desc(), "feature").limit(MAX_FEATURES).collect()])
+    models = candidates([tuple(r) for r in scored.orderBy(F.col("z").desc(), "feature").collect()])  # words of at most MAX_LABELLED texts
     rows = known.filter("back").mapInArrow(_tallied(models), "toxic int, n long, scores array<array<double>>").collect()  # a part of MAX_LABELLED
     return choose(models, [tuple(r) for r in rows])
 
@@ -223,30 +227,33 @@ def _calibrate(model: Model, rows: list[tuple[int, int, list[float]]]) -> None:
 
 def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
+        kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("chance", pa.float64()), ("significant", pa.bool_())]))
         common.alone("toxicity", lambda: None)
         for b in common.slices(batches):
             scores, spans = [], []
             for text in b.column("text").to_pylist():
                 n, found = model.passages(text or "")
                 scores.append(model.probability(model.evidence(n, found)))
-                spans.append([dict(zip(("first", "end", "score"), x, strict=True)) for x in found])
+                told = ((*x, p := model.chance(n, x[2]), p <= SIGNIFICANT) for x in found)
+                spans.append([dict(zip(("first", "end", "score", "chance", "significant"), x, strict=True)) for x in told])
             yield pa.record_batch([b.column("_row"), pa.array(scores, pa.float64()), pa.array(spans, kind)], ["_row", "score", "passages"])
 
     return run
 
 
 def score(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """The columns keep of every row of docs with score (0 to 1) and passages (first word, end, score).
+    """The columns keep of every row of docs with score (0 to 1) and passages (first word, end, score, chance, significant).
 
-    Only the text is an input of a score. A null or empty text has no passages
+    Passages are all maximal segments; chance is that of a clean text of the
+    same length to have one as good, by the extreme-value law, and a significant
+    passage has SIGNIFICANT at most. Only the text is an input of a score. A null or empty text has no passages
     and the score of no evidence; repeated rows and ties get equal scores; an
     empty table gives no rows; columns called score or passages are replaced.
     """
     common.ship(docs.sparkSession)
     keep = tuple(c for c in keep if c not in ("score", "passages"))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row"), "text")
-    out = rows.select("_row").schema.add("score", "double").add("passages", T.ArrayType(T.StructType().add("first", "long").add("end", "long").add("score", "double")))
+    out = rows.select("_row").schema.add("score", "double").add("passages", T.ArrayType(T.StructType().add("first", "long").add("end", "long").add("score", "double").add("chance", "double").add("significant", "boolean")))
     return rows.mapInArrow(_scored(model), out).select(*(F.col(f"_row.`{c}`").alias(c) for c in keep), "score", "passages")
 
 
