@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,9 +17,10 @@ from . import common
 # HTML's element names by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg math".split())
-NEVER = frozenset("nav footer aside form button select dialog menu object canvas audio video head".split())
+NEVER = frozenset("nav footer aside button select dialog menu object canvas audio video head".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 PARAGRAPH = frozenset("p pre blockquote li td th dd dt h1 h2 h3 h4 h5 h6 figcaption caption address summary".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An opening tag of these ends an open paragraph.
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: Each of these is ended by the next of its group inside the same list or table.
@@ -32,41 +34,96 @@ UNLIKELY = frozenset(
 LIKELY = frozenset("article articlebody body content entry hentry main page post story text".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
+_NAMED = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("""[>"']""")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
+_ENDS = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
+#: Elements open at once at most; deeper ones count as parts of the deepest, as in browsers.
+DEPTH = 512
+#: A list of links is a menu if its items are shorter than this on the average.
+MENU_ITEM = 25
+
+
+def tags(source: str) -> Iterator[tuple[str, str, str, str]]:
+    """(text before it, "/" or nothing, name, attributes) of every tag, the last one nameless; in one pass, whatever is broken.
+
+    A quote counts after an equals sign and needs a partner; a tag without an end
+    is text, and so is all that follows it. What isn't found once is not
+    searched again. Raw elements are passed over whole.
+    """
+    at = text = 0
+    more = {">": True, '"': True, "'": True}
+
+    def end(i: int) -> int:
+        """Where the tag ends that began before i; -1 if it doesn't."""
+        while more[">"]:
+            m = _STOP.search(source, i)
+            if not m:
+                break
+            i = m.start()
+            c = source[i]
+            if c == ">":
+                return i
+            i += 1
+            if more[c] and source[max(0, i - 3) : i - 1].rstrip().endswith("="):
+                close = source.find(c, i)
+                if close < 0:
+                    more[c] = False
+                else:
+                    i = close + 1
+        more[">"] = False
+        return -1
+
+    while (at := source.find("<", at)) >= 0:
+        if source.startswith("<!--", at):
+            close = source.find("-->", at + 4)
+            yield source[text:at], "", "", ""
+            at = text = len(source) if close < 0 else close + 3
+            continue
+        m = _NAMED.match(source, at + 1)
+        if not m and source[at + 1 : at + 2] not in ("!", "?", "/"):
+            at += 1  # a sign of its own
+            continue
+        close = end(m.end() if m else at + 1)
+        if close < 0:
+            break
+        yield source[text:at], "/" if source[at + 1] == "/" else "", m[1].lower() if m else "", source[m.end() : close] if m else ""
+        at = text = close + 1
+        if m and source[m.start()] != "/" and m[1].lower() in RAW:
+            found = _ENDS[m[1].lower()].search(source, at)
+            at = text = found.end() if found else len(source)
+    yield source[text:], "", "", ""
 
 
 class Page:
     """A light tree of a page: of each element its tag, parent, weight and whether it can hold the article."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, *, forms: bool = False):
         self.tags, self.parents, self.weights, self.live = [""], [0], [0.0], [True]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
+        self.forms, self.has_forms = forms, False
         self._open = [0]
+        self._many: Counter[str] = Counter()  # open elements by name
+        self._deep: Counter[str] = Counter()  # those beyond DEPTH
         self._text: list[str] = []
         self._linked = 0
-        at = 0
-        while m := _TAG.search(source, at):
-            self._add(source[at : m.start()])
-            at = m.end()
-            if name := (m[2] or "").lower():
-                if m[1]:
-                    self._close(name)
-                elif name in RAW:
-                    end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, at)
-                    at = end.end() if end else len(source)
-                else:
-                    self._start(name, m[3])
-        self._add(source[at:])
+        for text, closes, name, attributes in tags(source):
+            self._add(text)
+            if name in RAW or not name:
+                continue
+            if closes:
+                self._close(name)
+            else:
+                self._start(name, attributes)
         self._flush()
 
     def _add(self, text: str) -> None:
         if text and self.live[self._open[-1]]:
             text = html.unescape(text)
             self._text.append(text)
-            if any(self.tags[x] == "a" for x in self._open):
+            if self._many["a"]:
                 self._linked += len(text)
 
     def _flush(self) -> None:
@@ -78,6 +135,12 @@ class Page:
             self.blocks.append((self._open[at], text, self._linked))
         self._text, self._linked = [], 0
 
+    def _cut(self, at: int) -> None:
+        """Elements from this place of the open ones on are closed."""
+        for x in self._open[at:]:
+            self._many[self.tags[x]] -= 1
+        del self._open[at:]
+
     def _start(self, name: str, attributes: str) -> None:
         if name == "br":
             self._text.append(" ")
@@ -91,8 +154,12 @@ class Page:
             self._end(("p",), ENDS_P - {"p"})
         if name in SIBLINGS:
             self._end(SIBLINGS[name], SCOPE)
+        if len(self._open) >= DEPTH:
+            self._deep[name] += 1
+            return
         parent = self._open[-1]
         likely, weight = self._judge(name, attributes)
+        self._many[name] += 1
         self.tags.append(name)
         self.parents.append(parent)
         self.weights.append(weight)
@@ -101,7 +168,8 @@ class Page:
 
     def _judge(self, name: str, attributes: str) -> tuple[bool, float]:
         weight = {"article": 15.0, "main": 15.0, "section": 3.0, "div": 5.0, "blockquote": 3.0, "td": 3.0, "pre": 3.0, "header": 0.0}.get(name, 0.0)
-        if name in NEVER or name == "header" and not any(self.tags[x] in ("article", "main") for x in self._open):
+        self.has_forms |= name == "form"
+        if name in NEVER or name == "form" and not self.forms or name == "header" and not (self._many["article"] or self._many["main"]):
             return False, weight
         if not attributes.strip():
             return True, weight
@@ -110,17 +178,19 @@ class Page:
             return False, weight
         words = set(_NAME.findall(f"{found.get('class', '')} {found.get('id', '')}"))
         bad, good = words & UNLIKELY, words & LIKELY
-        if bad and name not in ("html", "body", "article", "main") and not (good and bad <= {"header", "byline", "share", "page"}):
+        if bad and name not in ("html", "body", "article", "main", "form") and not (good and bad <= {"header", "byline", "share", "page"}):
             return False, weight
         return True, weight + 10.0 * bool(good)
 
     def _end(self, names: tuple[str, ...], scope: frozenset[str]) -> None:
         """Close the nearest open element of these names, unless one of scope is nearer."""
+        if not any(self._many[n] for n in names):
+            return
         for i in range(len(self._open) - 1, 0, -1):
             tag = self.tags[self._open[i]]
             if tag in names:
                 self._flush()
-                del self._open[i:]
+                self._cut(i)
                 return
             if tag in scope:
                 return
@@ -128,11 +198,18 @@ class Page:
     def _close(self, name: str) -> None:
         if name == "br":
             self._text.append(" ")
+        if self._deep[name]:
+            self._deep[name] -= 1
+            if name not in INLINE:
+                self._flush()
+            return
+        if not self._many[name]:
+            return
         for i in range(len(self._open) - 1, 0, -1):
             if self.tags[self._open[i]] == name:
                 if name not in INLINE or any(self.tags[x] not in INLINE for x in self._open[i:]):
                     self._flush()
-                del self._open[i:]
+                self._cut(i)
                 return
 
     def article(self) -> str:
@@ -170,26 +247,41 @@ class Page:
             return ""
         whole = self._whole(best)
         chosen = {whole}
-        for n in range(1, len(self.tags)):
-            if n != whole and whole and self.parents[n] == self.parents[whole] and self.live[n] and n in density:
-                text = sum(len(t) for m, t, _ in self.blocks if m == n)
-                if score.get(n, 0.0) >= max(10.0, 0.2 * score[best]) or self.tags[n] == "p" and density[n] < 0.25 and text > 80:
-                    chosen.add(n)
-        lists = {n for n in density if self.tags[n] in ("ul", "ol", "div", "table", "section") and density[n] > 0.7 and n not in chosen}
-        lists = {n for n in lists if not any(self.tags[x] == "article" and whole in self._line(x) for x in self._line(n))}
+        sizes: Counter[int] = Counter()
+        for node, text, _ in self.blocks:
+            sizes[node] += len(text)
+        if whole:
+            for n in density:
+                if n != whole and self.parents[n] == self.parents[whole] and self.live[n]:
+                    headline = self.tags[n] in HEADINGS and self.tags[self.parents[n]] not in ("", "html", "body") and density[n] < 0.5
+                    if headline or score.get(n, 0.0) >= max(10.0, 0.2 * score[best]) or self.tags[n] == "p" and density[n] < 0.25 and sizes[n] > 80:
+                        chosen.add(n)
+        menus = self._menus(density, whole, chosen)
         out = []
         for node, text, _ in self.blocks:
-            inside, up = False, node
-            while up:
-                if up in lists:
-                    inside = False
-                    break
+            inside, menu = not whole, False
+            for up in self._line(node):
+                menu = menu or up in menus
                 inside = inside or up in chosen
-                up = self.parents[up]
-            if inside or not whole and up == 0 and not any(x in lists for x in self._line(node)):
+            if inside and not menu:
                 out.append(text)
         return "\n".join(out)
 
+    def _menus(self, density: dict[int, float], whole: int, chosen: set[int]) -> set[int]:
+        """Containers of links outside of the article whose items are as short as those of menus."""
+        n_blocks: Counter[int] = Counter()
+        chars: Counter[int] = Counter()
+        for node, text, _ in self.blocks:
+            for up in self._line(node):
+                n_blocks[up] += 1
+                chars[up] += len(text)
+        found = set()
+        for n, share in density.items():
+            if self.tags[n] in ("ul", "ol", "div", "table", "td", "section") and share > 0.7 and n not in chosen and chars[n] < MENU_ITEM * n_blocks[n]:
+                if not any(self.tags[x] == "article" and whole in self._line(x) for x in self._line(n)):
+                    found.add(n)
+        return found
+
     def _whole(self, best: int) -> int:
         """The outermost article or main around the container; else its parent if nothing in that was rejected; else itself."""
         marked = [n for n in self._line(best) if self.tags[n] in ("article", "main")]
@@ -209,9 +301,23 @@ class Page:
             node = self.parents[node]
 
 
+def extracted(source: str | None) -> str:
+    """The main text of a page. Forms are left out, unless the page's text stands inside one, as on pages that are a form whole."""
+    if not source:
+        return ""
+    page = Page(source)
+    text = page.article()
+    if page.has_forms:
+        whole = Page(source, forms=True).article()
+        if len(whole) > 4 * len(text) + 200:
+            return whole
+    return text
+
+
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts = [Page(h).article() if h else "" for h in b.column("html").to_pylist()]
+    common.alone("main text", lambda: None)
+    for b in common.slices(batches, 64):
+        texts = [extracted(h) for h in b.column("html").to_pylist()]
         yield pa.record_batch([b.column("_row"), pa.array(texts, pa.string())], ["_row", "text"])
 
 
@@ -220,8 +326,10 @@ def main_text(pages: DataFrame, *keep: str) -> DataFrame:
 
     The text is empty for null or empty html and for pages of links only.
     Repeated rows get equal texts, an empty table gives no rows, and a kept
-    column called text is replaced. A page is read once, tag by tag; open
-    elements that HTML closes by itself are closed, others end with the page.
+    column called text is replaced. A page is read once, tag by tag, in time
+    that grows with its length, also where quotes, tags or comments lack their
+    end; open elements that HTML closes by itself are closed, others end with
+    the page, and beyond DEPTH open ones no more are opened.
     """
     common.ship(pages.sparkSession)
     keep = tuple(c for c in keep if c != "text")
