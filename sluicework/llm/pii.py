@@ -7,7 +7,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,9 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")  # a run of digits that fails at its start fails everywhere
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TOKEN = re.compile(r"[\w+/\-]+|[^\w\s]")
+# runs without white space, brackets, quotes and the signs of an assignment; marks that end a sentence belong to a run only inside it
+_OUT = r"\s\"'`=:,;()\[\]{}<>|&"
+_TOKEN = re.compile(rf"[^{_OUT}.!?]+(?:[.!?]++[^{_OUT}.!?]+)*|[.!?]+|\S")
 _DIGIT = re.compile(r"[0-9]")
 
 Span = tuple[str, int, int]
@@ -68,15 +70,21 @@ def base_spans(text: str) -> list[Span]:
 
 LABELS = ("other", "key", "secret")
 #: Words that announce a secret in the labelled table's rule and as a feature.
-KEY_WORDS = ("api", "apikey", "auth", "bearer", "key", "passwd", "password", "pwd", "secret", "token")
-_KEY_PART = re.compile("|".join(KEY_WORDS))
+KEY_WORDS = frozenset("api apikey auth authorization bearer credential credentials key pass passphrase passwd password pwd secret token".split())
+_KEY_PART = re.compile("api|auth|bearer|cred|key|pass|pwd|secret|token", re.I)
+_PARTS = re.compile(r"[\W_]+|(?<=[a-z0-9])(?=[A-Z])")
 #: Signs that are features by themselves.
-_SIGNS = ("=", ":", '"', "'")
-#: Tokens whose numbers a worker keeps.
-CACHE_TOKENS = 100_000
+_SIGNS = ("=", ":", '"', "'", ">", "<")
+#: Tokens whose numbers a worker keeps, of this many characters at most.
+CACHE_TOKENS, CACHED_TOKEN = 100_000, 80
 #: Tokens of the lines that are decoded at once, or side by side at the length of the longest.
 HELD_TOKENS = 100_000
-_BUCKETS = (1, 2, 4, 8, 12, 16, 20, 24, 32, 40, 64)
+#: How far before a token a key word counts.
+NEAR = 5
+_BUCKETS = (1, 2, 4, 6, 8, 10, 12, 14, 16, 20, 24, 32, 40, 64)
+_CHANGES = (1, 2, 3, 5, 8, 12)
+_CHANGE = re.compile(r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[a-z])(?=[A-Z])")
+_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 
 
 def has_digit(token: str) -> bool:
@@ -84,39 +92,47 @@ def has_digit(token: str) -> bool:
 
 
 def shape(token: str) -> str:
-    """A token's character classes with its rough length; a single sign stands for itself."""
+    """A token's character classes; a single sign stands for itself."""
     plain = token.isalnum()
     if not plain and not any(c.isalnum() for c in token):
         return f"s:{token if token in _SIGNS else '.'}"
-    if token.isascii():
-        upper, lower = token != token.lower(), token != token.upper()
-    else:
-        upper, lower = any(c.isupper() for c in token), any(c.islower() for c in token)
-    kinds = f"{'A' if upper else ''}{'a' if lower else ''}{'9' if has_digit(token) else ''}{'' if plain else '-'}"
-    size = bisect_right(_BUCKETS, len(token))
-    hexed = "x" if len(token) >= 12 and all(c in "0123456789abcdef" for c in token) else ""
-    return f"s:{kinds}{hexed}:{size}"
+    upper, lower = token != token.lower(), token != token.upper()
+    hexed = "x" if len(token) >= 12 and _HEX.fullmatch(token) else ""
+    return f"s:{'A' if upper else ''}{'a' if lower else ''}{'9' if has_digit(token) else ''}{'' if plain else '-'}{hexed}"
 
 
 def key_word(token: str) -> str:
     """The last part of a token's name that announces a secret; empty if none does."""
-    low = token.lower()
-    if not _KEY_PART.search(low):
+    if len(token) > 64 or not _KEY_PART.search(token):
         return ""
-    return next((p for p in reversed(re.split(r"[_\-]", low)) if p in KEY_WORDS), "")
+    return next((p for p in reversed([x.lower() for x in _PARTS.split(token)]) if p in KEY_WORDS), "")
+
+
+def own_features(token: str) -> tuple[str, ...]:
+    """What a token says of itself: classes, length, how often classes change, and its key word or else a long one's beginning."""
+    kinds = shape(token)
+    if kinds.startswith("s:") and not any(c.isalnum() for c in token):
+        return kinds, "z:", "c:", "t:", "w:"
+    size = bisect_right(_BUCKETS, len(token))
+    changes = bisect_right(_CHANGES, len(_CHANGE.findall(token[:200])))
+    key = key_word(token)
+    word = f"w:{key}" if key else f"p:{token[:4].lower()}" if len(token) >= 16 and changes else "w:"
+    return kinds, f"z:{size}", f"c:{kinds[2:]}:{size}", f"t:{changes}:{'9' in kinds}", word
 
 
-def before(token: str, own: str) -> str:
-    """What a token of this shape is to the next one."""
-    return f"b:{'' if token.isalnum() else own[:4]}"
+def before(token: str) -> str:
+    """What a token is to the next one."""
+    return shape(token)[2:] if not any(c.isalnum() for c in token) else "w"
+
+
+#: All that a token can be to the next one, the start of a line first.
+_BEFORE = ("^", "w", ".", *_SIGNS)
 
 
 def token_features(tokens: list[str], i: int) -> tuple[str, ...]:
-    own = shape(tokens[i])
-    word = f"w:{key_word(tokens[i])}"
-    last = before(tokens[i - 1], shape(tokens[i - 1])) if i else "b:^"
-    near = "n:1" if any(map(key_word, tokens[max(0, i - 3) : i])) else "n:0"
-    return own, word, last, near
+    last = before(tokens[i - 1]) if i else "^"
+    near = next((n for n in range(1, min(NEAR, i) + 1) if key_word(tokens[i - n])), 0)
+    return *own_features(tokens[i]), f"n:{near}", f"b:{last}:{near}"
 
 
 class _Codes(dict):
@@ -125,24 +141,36 @@ class _Codes(dict):
     def __init__(self, field: Field):
         self.field = field
         self.known: dict[tuple, int] = {}
+        self.words: dict[tuple, int] = {}
         self.own: list[np.ndarray] = []
-        self.before: list[np.ndarray] = []
-        self.key: list[int] = []
+        self.before: list[int] = []
+        self.key: list[bool] = []
 
     def __missing__(self, token: str) -> int:
-        own, word = shape(token), f"w:{key_word(token)}"
-        last = before(token, own)
-        kind = (own, word, last)
+        if token.isalpha() and (token.islower() or token.isupper() or token.istitle()):  # one part, and no change of class
+            low = token.lower()
+            word = token.islower(), token.isupper(), bisect_right(_BUCKETS, len(token)), len(token) < 12, low if low in KEY_WORDS else ""
+            value = self.words.get(word)
+            if value is None:
+                value = self.words[word] = self._code(token)
+        else:
+            value = self._code(token)
+        if len(token) <= CACHED_TOKEN:
+            if len(self) >= CACHE_TOKENS:
+                self.clear()
+            self[token] = value
+        return value
+
+    def _code(self, token: str) -> int:
+        own, last = own_features(token), before(token)
+        kind = (own, last)
         if kind not in self.known:
             none = np.zeros(len(LABELS))
             self.known[kind] = len(self.own)
-            self.own.append(self.field.weights.get(own, none) + self.field.weights.get(word, none))
-            self.before.append(self.field.weights.get(last, none))
-            self.key.append(int(bool(word[2:])))
-        if len(self) >= CACHE_TOKENS:
-            self.clear()
-        value = self[token] = self.known[kind]
-        return value
+            self.own.append(sum((self.field.weights.get(f, none) for f in own), none))
+            self.before.append(_BEFORE.index(last))
+            self.key.append(own[-1] not in ("w:",) and own[-1].startswith("w:"))
+        return self.known[kind]
 
 
 @dataclass
@@ -155,100 +183,206 @@ class Field:
     def __post_init__(self) -> None:
         self.codes = _Codes(self)
 
-    def emissions(self, lines: list[list[str]]) -> np.ndarray:
-        """Scores of every label for all tokens of the lines, one after another."""
-        flat = [t for line in lines for t in line]
-        code = np.fromiter(map(self.codes.__getitem__, flat), int, len(flat))
-        own, before, key = (np.array(x) for x in (self.codes.own, self.codes.before, self.codes.key))
-        sizes = np.array([len(line) for line in lines])
+    def emissions(self, flat: list[str], sizes: np.ndarray) -> np.ndarray:
+        """Scores of every label for all tokens of lines of these sizes, one after another."""
+        code = np.fromiter(map(self.codes.__getitem__, flat), np.int64, len(flat))
+        own, last, key = (np.array(x) for x in (self.codes.own, self.codes.before, self.codes.key))
         place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        near = np.zeros(len(flat), int)
-        for back in (1, 2, 3):
-            near[back:] |= key[code[:-back]] * (place[back:] >= back)
-        score = own[code] + self._row("n:")[near]
-        score[1:] += np.where(place[1:, None] > 0, before[code[:-1]], 0)
-        score[place == 0] += self.weights.get("b:^", np.zeros(len(LABELS)))
-        return score
-
-    def _row(self, name: str) -> np.ndarray:
-        return np.array([self.weights.get(f"{name}{x}", np.zeros(len(LABELS))) for x in (0, 1)])
-
-    def viterbi(self, lines: list[list[str]]) -> list[np.ndarray]:
-        """Best labels of every line; lines are decoded side by side, a step at a time."""
-        order = sorted(range(len(lines)), key=lambda i: -len(lines[i]))
-        longest, k = len(lines[order[0]]) if lines else 0, len(LABELS)
-        emit = np.zeros((len(lines), longest, k))
-        scores = np.split(self.emissions([lines[i] for i in order]), np.cumsum([len(lines[i]) for i in order])[:-1]) if lines else []
+        at = np.flatnonzero(key[code])  # few tokens are key words
+        near = np.zeros(len(flat), np.int64)
+        for back in range(NEAR, 0, -1):
+            to = at + back
+            to = to[to < len(flat)]
+            near[to[place[to] >= back]] = back
+        previous = np.where(place > 0, last[np.concatenate([code[:1], code[:-1]])], 0)
+        return own[code] + self._around[previous, near]
+
+    @cached_property
+    def _around(self) -> np.ndarray:
+        """What the token before and the distance of a key word add."""
+        none = np.zeros(len(LABELS))
+        return np.array([[self.weights.get(f"n:{n}", none) + self.weights.get(f"b:{b}:{n}", none) for n in range(NEAR + 1)] for b in _BEFORE])
+
+    def plain(self, score: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Lines whose best path certainly is "other" all along.
+
+        A run of other labels than "other" replaces that label's scores and
+        steps. It gains at most, for each token, what a label gains with the
+        best step to it inside a run; the first token has the step into the run
+        instead, or none at the start of the line. So the best sum over a
+        stretch of tokens bounds every run.
+        """
+        step = self.steps - self.steps[0, 0]
+        into, leave = step[1:, 1:].max(0), max(0.0, float(step[1:, 0].max()))
+        gain = score[:, 1:] - score[:, :1]
+        best = (gain + into).max(1)
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        apart = np.repeat(np.arange(sizes.size) * (2 * float(np.abs(best).sum()) + 1), sizes)  # a later line's sums lie below all earlier ones
+        total = np.cumsum(best) - apart
+        before = total - best
+        inside = np.maximum.reduceat(total - np.minimum.accumulate(before), starts) + float((step[0, 1:] - into).max())
+        first = np.maximum.reduceat(total, starts) - total[starts] + gain[starts].max(1)
+        return np.maximum(inside, first) + leave <= -1e-6
+
+    def viterbi(self, emissions: list[np.ndarray]) -> list[np.ndarray]:
+        """Best labels of every line by its tokens' scores; lines are decoded side by side, a step at a time."""
+        if not emissions:
+            return []
+        order = sorted(range(len(emissions)), key=lambda i: -len(emissions[i]))
+        sizes = np.array([len(emissions[i]) for i in order])
+        longest, k = int(sizes[0]), len(LABELS)
+        emit = np.zeros((len(order), longest, k))
         for row, i in enumerate(order):
-            emit[row, : len(lines[i])] = scores[row]
-        sizes = np.array([len(lines[i]) for i in order])
-        back = np.zeros((len(lines), longest, k), np.int8)
-        best = emit[:, 0].copy() if longest else np.zeros((len(lines), k))
+            emit[row, : sizes[row]] = emissions[i]
+        back = np.zeros((len(order), longest, k), np.int8)
+        best = emit[:, 0].copy()
         for t in range(1, longest):
             n = int(np.searchsorted(-sizes, -t, "left"))  # lines longer than t
             ways = best[:n, :, None] + self.steps[None]
             back[:n, t] = ways.argmax(1)
             best[:n] = ways.max(1) + emit[:n, t]
-        paths = np.zeros((len(lines), longest), np.int8)
-        paths[np.arange(len(lines)), sizes - 1] = best.argmax(1)
+        paths = np.zeros((len(order), longest), np.int8)
+        paths[np.arange(len(order)), sizes - 1] = best.argmax(1)
         for t in range(longest - 1, 0, -1):
             n = int(np.searchsorted(-sizes, -t, "left"))
             paths[:n, t - 1] = back[np.arange(n), t, paths[:n, t]]
-        out: list[np.ndarray] = [np.zeros(0, int)] * len(lines)
+        out: list[np.ndarray] = [np.zeros(0, int)] * len(order)
         for row, i in enumerate(order):
-            out[i] = paths[row, : len(lines[i])]
+            out[i] = paths[row, : sizes[row]]
         return out
 
 
-def labelled_table(seed: int = 7) -> list[tuple[list[str], list[int]]]:
-    """A small labelled table: lines with one announced or well-formed secret, and lines that only look like it."""
-    rng = random.Random(seed)
-    alpha, upper, hexa, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef", "0123456789"
-
-    def draw(letters: str, n: int) -> str:
-        return "".join(rng.choice(letters) for _ in range(n))
-
-    def plain() -> list[str]:
-        words = [draw(alpha, rng.randint(1, 12)) for _ in range(rng.randint(1, 6))]
-        return [w.capitalize() if rng.random() < 0.2 else w for w in words] + rng.choice([[], [","], ["."]])
-
-    rows = []
-    for _ in range(160):
-        secret = draw(hexa, rng.choice((16, 18, 20, 32, 40))) if rng.random() < 0.7 else draw(alpha + upper + digits, rng.randint(16, 40))
-        secret = secret[:-2] + rng.choice(digits) + rng.choice(alpha)
-        key = rng.choice(KEY_WORDS)
-        key = rng.choice((key, key, f"my_{key}"))
-        lead = rng.choice([[key, "="], [key, "=", '"'], [key, ":"], [key, ":", '"']])
-        tail = ['"'] if '"' in lead else []
-        a, b = plain(), plain()
-        rows.append((a + lead + [secret] + tail + b, [0] * len(a) + [1] * len(lead) + [2] + [0] * len(tail + b)))
-        a, b = plain(), plain()
-        rows.append((a + ["AKIA" + draw(upper + digits, 14) + rng.choice(digits) + rng.choice(upper)] + b, [0] * len(a) + [2] + [0] * len(b)))
-        odd = rng.choice([[draw(digits, rng.choice((1, 2, 4, 16, 19)))], [draw(digits, 3) + "-" + draw(digits, 4)], ["(", draw(digits, 3), ")", draw(digits, 3) + "-" + draw(digits, 4)], [draw(alpha, 5) + draw(digits, 2)], [draw(alpha, 6), ".", draw(digits, 2), "@", "mail" + draw(digits, 1), ".", "example", ".", "com"], [draw(upper, 2) + "-" + draw(upper, 2), draw(digits, 1) + "." + draw(digits, 1)]])
-        a, b = plain(), plain()
-        rows.append((a + odd + b, [0] * len(a + odd + b)))
-        a, b = plain(), plain()
-        plain_key = a + [key] + rng.choice([[], ["="], [":"]]) + b
-        rows.append((plain_key, [0] * len(plain_key)))
-        words = plain() + plain() + plain()
-        rows.append((words, [0] * len(words)))
-    for _ in range(320):  # without a digit: announced secrets, and long words, names and headings that only look like them
-        key = rng.choice(KEY_WORDS)
-        key = rng.choice((key, key, f"{draw(alpha, rng.randint(2, 8))}_{key}"))
-        lead = rng.choice([[key, "="], [key, "=", '"'], [key, ":"], [key, ":", '"']])
-        tail = ['"'] if '"' in lead else []
-        secret = draw(rng.choice((alpha, alpha, alpha + upper, upper)), rng.randint(12, rng.choice((20, 48, 72))))
-        a, b = rng.choice(([], plain())), rng.choice(([], plain()))
-        rows.append((a + lead + [secret] + tail + b, [0] * len(a) + [1] * len(lead) + [2] + [0] * len(tail + b)))
-        long = draw(alpha, rng.randint(12, 28))
-        odd = rng.choice((long, long.capitalize(), long.upper(), f"{long[:6]}{long[6:].capitalize()}", f"{long[:8]}-{long[8:]}", f"{long[:6]}/{long[6:]}", f"{long[:6]}_{long[6:]}"))
-        a, b = rng.choice(([], plain())), rng.choice(([], plain()))
-        words = a + rng.choice(([], [], ["="], [":"], ['"'], ["name", "="], ["see", ":"], [key], [key, "the"], [key, "words", ":"], [key, rng.choice(KEY_WORDS)])) + [odd] + b
-        rows.append((words, [0] * len(words)))
-        a, b = rng.choice(([], plain())), rng.choice(([], plain()))
-        words = a + [key, rng.choice("=:"), draw(alpha, rng.randint(1, 11))] + b
-        rows.append((words, [0] * len(words)))
-    return rows
+_LOWER, _UPPER, _DIGITS, _HEXES = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
+_MIXED = _LOWER + _UPPER + _DIGITS
+# Beginnings by which issued keys are known, with the letters and the length of the rest.
+ISSUED = (
+    ("AKIA", _UPPER + _DIGITS, 16), ("ASIA", _UPPER + _DIGITS, 16), ("ghp_", _MIXED, 36), ("gho_", _MIXED, 36), ("ghs_", _MIXED, 36), ("github_pat_", _MIXED, 60), ("sk_live_", _MIXED, 24), ("sk_test_", _MIXED, 24),
+    ("pk_live_", _MIXED, 24), ("rk_live_", _MIXED, 24), ("xoxb-", _DIGITS + _LOWER, 40), ("xoxp-", _DIGITS + _LOWER, 40), ("AIza", _MIXED + "-_", 35), ("glpat-", _MIXED, 20), ("npm_", _MIXED, 36), ("hf_", _MIXED, 34), ("sk-", _MIXED, 48),
+)
+
+
+class _Labelled:
+    """Draws the rows of the labelled table."""
+
+    def __init__(self, seed: int):
+        self.rng = random.Random(seed)
+        self.rows: list[tuple[list[str], list[int]]] = []
+
+    def draw(self, letters: str, n: int) -> str:
+        return "".join(self.rng.choice(letters) for _ in range(n))
+
+    def some(self, low: int, high: int) -> int:
+        return self.rng.randint(low, high)
+
+    def word(self) -> str:
+        w = self.draw(_LOWER, self.some(1, 12))
+        return w.capitalize() if self.rng.random() < 0.2 else w
+
+    def plain(self, least: int = 0) -> str:
+        words = " ".join(self.word() for _ in range(self.some(least, 6)))
+        return words + self.rng.choice(("", "", ",", ".")) if words else ""
+
+    def key(self) -> str:
+        """The name of a secret as configurations, headers and programs write it."""
+        k = self.rng.choice(sorted(KEY_WORDS - {"bearer", "authorization", "api", "auth"}))
+        head = self.rng.choice(("", "", "", "my", "db", "access", "client", "user", "aws_secret_access", "api", "auth", self.draw(_LOWER, self.some(2, 8))))
+        name = "_".join(x for x in (head, k) if x)
+        return self.rng.choice((name, name, name, name.upper(), name.replace("_", "-"), head + k.capitalize() if head else k.capitalize()))
+
+    def value(self) -> str:
+        """What stands behind such a name."""
+        r = self.rng.random()
+        if r < 0.25:
+            return self.draw(_HEXES, self.rng.choice((16, 18, 20, 24, 32, 40, 64)))
+        if r < 0.41:
+            return self.draw(_MIXED, self.some(16, 48))
+        if r < 0.48:
+            return self.draw(_MIXED + "+/", self.some(24, 64))
+        if r < 0.53:
+            return "-".join(self.draw(_HEXES, n) for n in (8, 4, 4, 4, 12))
+        if r < 0.7:
+            return self.draw(self.rng.choice((_LOWER, _LOWER, _LOWER + _UPPER, _UPPER)), self.some(12, self.rng.choice((20, 48, 72))))
+        if r < 0.86:  # a password of a person
+            body = list(self.draw(_LOWER, self.some(5, 11)) + self.draw(_DIGITS, self.some(1, 4)))
+            if self.rng.random() < 0.5:
+                body[0] = body[0].upper()
+            for _ in range(self.some(0, 2)):
+                body.insert(self.some(1, len(body) - 1), self.rng.choice("@#$%^*!-_."))
+            while len(body) < 8:
+                body.insert(0, self.rng.choice(_LOWER))
+            return "".join(body).rstrip(".!") + self.rng.choice(_DIGITS)
+        return self.issued()
+
+    def issued(self) -> str:
+        if self.rng.random() < 0.15:
+            return ".".join(("eyJ" + self.draw(_MIXED, self.some(16, 40)), "eyJ" + self.draw(_MIXED, self.some(20, 90)), self.draw(_MIXED + "-_", 43)))
+        start, letters, n = self.rng.choice(ISSUED)
+        return start + self.draw(letters, n)
+
+    def add(self, *parts: tuple[str, int]) -> None:
+        """A row of texts, each with the label of its tokens."""
+        tokens, labels = [], []
+        for text, label in parts:
+            own = _TOKEN.findall(text)
+            tokens += own
+            labels += [label] * len(own)
+        if tokens:
+            self.rows.append((tokens, labels))
+
+    def announced(self) -> None:
+        a, b, q = self.plain(), self.plain(), self.rng.choice(("", "", '"', "'"))
+        value, key = self.value(), self.key()
+        r = self.rng.random()
+        if r < 0.7:
+            lead = key + self.rng.choice(("=", " = ", ":", ": ", " : ", ":=", " => "))
+            lead = self.rng.choice(("", "", "", "export ", "- ", "#")) + lead
+        elif r < 0.78:
+            lead, q = self.rng.choice(("Authorization: Bearer ", "authorization: bearer ", "Authorization: Basic ", "Bearer ", '-H "Authorization: Bearer ', "Authorization=Bearer ")), ""
+        elif r < 0.84:
+            lead, q, b = f'{{"{key}": "', "", f'", "{self.word()}": 1}}'
+        elif r < 0.9:
+            lead, q, b = f"https://{self.draw(_LOWER, 6)}.example.com/{self.word()}?{self.rng.choice(('', 'a=1&'))}{key}=", "", f"&{self.word()}=1"
+        elif r < 0.95:
+            lead, q, b = f"<{key}>", "", f"</{key}>"
+        else:
+            lead, q = f"{self.rng.choice(('the', 'my', 'new'))} {self.rng.choice(('password', 'token', 'secret', 'passphrase', 'api key'))} is ", ""
+        self.add((a, 0), (lead, 1), (q, 1), (value, 2), (q, 0), (" " + b, 0))
+
+    def alike(self) -> str:
+        """What looks like a secret, or stands where one could."""
+        d, w = self.draw, self.word
+        return self.rng.choice((
+            d(_DIGITS, self.rng.choice((1, 2, 4, 16, 19))), f"{d(_DIGITS, 3)}-{d(_DIGITS, 4)}", f"({d(_DIGITS, 3)}) {d(_DIGITS, 3)}-{d(_DIGITS, 4)}", f"+1 {d(_DIGITS, 3)} {d(_DIGITS, 7)}", d(_LOWER, 5) + d(_DIGITS, 2), d(_LOWER, self.some(3, 12)) + d(_DIGITS, self.some(1, 4)), w() + d(_DIGITS, self.some(1, 4)), f"{w()}{d(_DIGITS, self.some(1, 3))}{w().capitalize()}{w().capitalize()}",
+            f"{d(_LOWER, 6)}.{d(_DIGITS, 2)}@mail{d(_DIGITS, 1)}.example.com", f"{d(_UPPER, 2)}-{d(_UPPER, 2)} {d(_DIGITS, 1)}.{d(_DIGITS, 1)}", f"{d(_DIGITS, 4)}-{d(_DIGITS, 2)}-{d(_DIGITS, 2)}", f"v{d(_DIGITS, 1)}.{d(_DIGITS, 2)}.{d(_DIGITS, 1)}",
+            f"https://www.{d(_LOWER, 8)}.org/{w()}/{w()}-{w()}-{w()}.html", f"/usr/{w()}/{w()}.{d(_LOWER, 2)}", f"{w()}_{w()}_{w()}", f"{d(_LOWER, 5)}{w().capitalize()}{w().capitalize()}", d(_HEXES, 40), d(_HEXES, 32), "-".join(d(_HEXES, n) for n in (8, 4, 4, 4, 12)),
+            ".".join(str(self.some(0, 255)) for _ in range(4)), f"{d(_UPPER, 3)}{d(_DIGITS, 4)}", f"{d(_DIGITS, 2)}:{d(_DIGITS, 2)}", "###", "$$$", "&&&", "***", f"{w()}$$$", f"{w()}...", f"{d(_DIGITS, 1)}.{d(_DIGITS, 3)},{d(_DIGITS, 2)} EUR", f"{d(_LOWER, 4)}-{d(_DIGITS, 6)}",
+        ))
+
+    def long(self) -> str:
+        x = self.draw(_LOWER, self.some(12, 28))
+        return self.rng.choice((x, x, x.capitalize(), x.upper(), f"{x[:6]}{x[6:].capitalize()}", f"{x[:8]}-{x[8:]}", f"{x[:6]}/{x[6:]}", f"{x[:6]}_{x[6:]}"))
+
+    def harmless(self) -> None:
+        a, b, r = self.plain(), self.plain(), self.rng.random()
+        key = self.rng.choice(sorted(KEY_WORDS))
+        short = self.rng.choice((self.draw(_LOWER, self.some(1, 11)), self.draw(_DIGITS, self.some(1, 5)), self.draw(_LOWER, 4) + self.draw(_DIGITS, 1), "null", "true", "None", "required", "***", "<none>", "${" + self.draw(_UPPER, 6) + "}"))
+        self.add((self.rng.choice((
+            f"{a} {self.alike()} {b}", f"{a} {self.alike()} {b}", f"{a} {self.rng.choice(('', '', 'name = ', 'see: ', 'id=', 'at: '))}{self.alike()} {b}", f"{a} {self.long()} {b}", f"{a} {self.rng.choice(('', 'name = ', 'see: ', 'title: '))}{self.long()} {b}",
+            f"{a} {key} {self.rng.choice(('=', ':', 'is', ': ', 'the', 'words:', key, ''))} {short} {b}", f"{a} {key}{self.rng.choice('=:')}{short} {b}", f"{a} {key} {self.rng.choice(('', 'the ', 'words: '))}{self.long()} {b}", f"{self.plain(1)} {self.plain(1)} {self.plain(1)}", f"The {key} {self.rng.choice(('is', 'of', 'was'))} {b}",
+        )) if r else a, 0))
+
+
+def labelled_table(seed: int = 7, rows: int = 4000) -> list[tuple[list[str], list[int]]]:
+    """A small labelled table of lines: announced and issued secrets, and what only looks like them."""
+    table = _Labelled(seed)
+    while len(table.rows) < rows:
+        table.announced()
+        table.harmless()
+        table.harmless()
+        if len(table.rows) % 2:
+            table.add((table.plain(), 0), (table.rng.choice(("", "", '"')), 0), (table.issued(), 2), (" " + table.plain(), 0))
+    return table.rows
 
 
 def train(rows: list[tuple[list[str], list[int]]], *, rounds: int = 60, ridge: float = 0.02) -> Field:
@@ -258,26 +392,31 @@ def train(rows: list[tuple[list[str], list[int]]], *, rounds: int = 60, ridge: f
     for tokens, labels in rows:
         ids = np.array([[names.setdefault(f, len(names)) for f in token_features(tokens, i)] for i in range(len(tokens))])
         data.append((ids, np.array(labels)))
-    k = len(LABELS)
-    w = np.zeros((len(names) + k, k))  # the last k rows are the steps
+    k, each = len(LABELS), data[0][0].shape[1]
+    n = len(names)
+    w = np.zeros((n + k, k))  # the last k rows are the steps
     m, v = np.zeros_like(w), np.zeros_like(w)
     size = np.array([len(x) for _, x in data])
     longest = int(size.max())
-    ids = np.zeros((len(data), longest, 4), int)
+    ids = np.zeros((len(data), longest, each), int)
     gold, live = np.zeros((len(data), longest), int), np.arange(longest) < size[:, None]
     for r, (x, y) in enumerate(data):
         ids[r, : len(y)], gold[r, : len(y)] = x, y
+
+    def gathered(share: np.ndarray) -> np.ndarray:
+        """Sums of the tokens' shares of every label by feature."""
+        return np.stack([sum(np.bincount(ids[..., j].ravel(), share[..., y].ravel(), n) for j in range(each)) for y in range(k)], 1)
+
     seen = np.zeros_like(w)
-    for j in range(4):
-        np.add.at(seen, (ids[..., j][live], gold[live]), 1)
-    np.add.at(seen, (len(names) + gold[:, :-1][live[:, 1:]], gold[:, 1:][live[:, 1:]]), 1)
+    seen[:n] = gathered(np.eye(k)[gold] * live[..., None])
+    np.add.at(seen, (n + gold[:, :-1][live[:, 1:]], gold[:, 1:][live[:, 1:]]), 1)
 
     def lse(x: np.ndarray, axis: int) -> np.ndarray:
         top = x.max(axis, keepdims=True)
         return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
 
     for step in range(1, rounds + 1):
-        emit, steps = w[ids].sum(2), w[len(names) :]
+        emit, steps = w[ids].sum(2), w[n:]
         fore, aft = np.zeros_like(emit), np.zeros_like(emit)
         fore[:, 0] = emit[:, 0]
         for t in range(1, longest):
@@ -289,57 +428,70 @@ def train(rows: list[tuple[list[str], list[int]]], *, rounds: int = 60, ridge: f
         total = lse(fore[:, -1], 1)
         at = np.exp(fore + aft - total[:, None, None]) * live[..., None]
         want = np.zeros_like(w)
-        for j in range(4):
-            np.add.at(want, ids[..., j].ravel(), at.reshape(-1, k))
+        want[:n] = gathered(at)
         both = np.exp(fore[:, :-1, :, None] + steps + (emit[:, 1:] + aft[:, 1:])[:, :, None] - total[:, None, None, None]) * live[:, 1:, None, None]
-        want[len(names) :] = both.sum((0, 1))
+        want[n:] = both.sum((0, 1))
         grad = (seen - want) - ridge * w
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         w += 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return Field({f: w[i] for f, i in names.items()}, w[len(names) :])
+    return Field({f: w[i] for f, i in names.items()}, w[n:])
 
 
 @cache
 def default_field() -> Field:
-    return train(labelled_table(), rounds=200)
+    return train(labelled_table(), rounds=100)
 
 
 def secret_spans(field: Field, texts: list[str]) -> list[list[Span]]:
     """Of every text the tokens that the field labels secret, decoded line by line."""
     out: list[list[Span]] = [[] for _ in texts]
-    lines: list[list[str]] = []
+    flat: list[str] = []
+    sizes: list[int] = []
     places: list[tuple[int, int, str]] = []  # text, where the line starts in it, the line
 
     def decode() -> None:
-        order = sorted(range(len(lines)), key=lambda i: -len(lines[i]))  # lines of like lengths side by side
+        if not flat:
+            return
+        n = np.array(sizes)
+        score = field.emissions(flat, n)
+        ends = np.cumsum(n)
+        lines = np.flatnonzero(~field.plain(score, n))
+        lines = lines[np.argsort(-n[lines], kind="stable")].tolist()  # lines of like lengths side by side
         first = 0
-        while first < len(order):
-            group = order[first : first + max(1, HELD_TOKENS // len(lines[order[first]]))]
+        while first < len(lines):
+            group = lines[first : first + max(1, HELD_TOKENS // sizes[lines[first]])]
             first += len(group)
-            for g, labels in zip(group, field.viterbi([lines[g] for g in group]), strict=True):
+            for g, labels in zip(group, field.viterbi([score[ends[g] - n[g] : ends[g]] for g in group]), strict=True):
                 if (labels == 2).any():
                     i, at, line = places[g]
                     found = [m.span() for m in _TOKEN.finditer(line)]
                     out[i] += [("secret", at + found[j][0], at + found[j][1]) for j in np.flatnonzero(labels == 2).tolist()]
-        lines.clear()
+        flat.clear()
+        sizes.clear()
         places.clear()
 
-    held = 0
     for i, text in enumerate(texts):
         at = 0
         for line in text.split("\n"):
-            found = _TOKEN.findall(line)
-            if found:
-                lines.append(found)
+            if found := _TOKEN.findall(line):
+                flat += found
+                sizes.append(len(found))
                 places.append((i, at, line))
-                held += len(found)
+                if len(flat) >= HELD_TOKENS:
+                    decode()
             at += len(line) + 1
-            if held >= HELD_TOKENS:
-                decode()
-                held = 0
     decode()
-    for spans in out:
-        spans.sort(key=lambda s: s[1])
+    return [_joined(sorted(spans, key=lambda s: s[1])) for spans in out]
+
+
+def _joined(spans: list[Span]) -> list[Span]:
+    """Spans that touch as one."""
+    out: list[Span] = []
+    for kind, a, b in spans:
+        if out and out[-1][2] == a:
+            out[-1] = (kind, out[-1][1], b)
+        else:
+            out.append((kind, a, b))
     return out
 
 
