@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -21,6 +22,31 @@ def tokenizer_digest(path: str) -> str:
         return hashlib.sha256(f.read()).hexdigest()
 
 
+@cache
+def _dropped(path: str) -> tuple[bool, bool]:
+    """Whether the tokenizer itself lowers letters and takes runs of white space for one space."""
+    if not path.endswith(".json"):
+        return False, False
+    with open(path, encoding="utf-8") as f:
+        rule = json.load(f).get("normalizer") or {}
+    steps = rule.get("normalizers") or [rule]
+    spaces = any(s.get("type") == "Replace" and s.get("pattern", {}).get("Regex") == r"\s+" and s.get("content") == " " for s in steps)
+    return any(s.get("type") == "Lowercase" for s in steps), spaces
+
+
+def normalised(text: Column, path: str) -> Column:
+    """A text's content as far as the tokenizer tells contents apart: texts of one content have one count.
+
+    Only ASCII letters are lowered and only runs of ASCII white space joined, in
+    texts of ASCII without a special token's opening, where nothing else of the
+    tokenizer's rules depends on them; other texts stay as they are.
+    """
+    lowers, joins = _dropped(path)
+    out = F.lower(text) if lowers else text
+    out = F.regexp_replace(out, r"[ \t\n\x0B\f\r]+", " ") if joins else out
+    return F.when((F.octet_length(text) == F.length(text)) & ~text.contains("<|"), out).otherwise(text)
+
+
 def _counts(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path.endswith(".model"):
@@ -42,8 +68,8 @@ def _counts(path: str):
 def count_tokens(docs: DataFrame, tokenizer: str, cache_path: str, *, limit: int = 2048) -> DataFrame:
     """docs' columns plus n_bytes, n_tokens and over_limit (n_tokens > limit).
 
-    The content digest is SHA-256 of the text's UTF-8 bytes; null counts as the
-    empty text. With the digest of the tokenizer's file it is the key of the
+    The content digest is SHA-256 of the normalised text's UTF-8 bytes; null
+    counts as the empty text. With the digest of the tokenizer's file it is the key of the
     cache, a Parquet table at cache_path that need not exist yet. Three steps:
 
     1. digests of all rows, without texts, are joined to the cache; of each
@@ -63,7 +89,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_path: str, *, limit: int
     version = tokenizer_digest(tokenizer)
     others = [c for c in docs.columns if c not in ("text", "n_bytes", "n_tokens", "over_limit")]
     full = F.coalesce(F.col("text"), F.lit(""))
-    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), full.alias("text"), F.sha2(full, 256).alias("digest"))
+    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), full.alias("text"), F.sha2(normalised(full, tokenizer), 256).alias("digest"))
     key = F.xxhash64(F.col("_row.doc_id"), "digest")
     thin = common.cut(named.select("digest", key.alias("_key")).groupBy("digest").agg(F.min("_key").alias("_key")))
     known = _read_cache(spark, cache_path, version)
