@@ -72,6 +72,20 @@ def test_decontamination(spark, make_docs, items, texts):
     assert decontaminate.clean(table, none).count() == len(docs) and not decontaminate.mark(make_docs(spark, []), bench).collect()
 
 
+def test_a_long_document_is_shuffled_thin(spark, make_docs, monkeypatch):
+    """Beyond the broadcast a document's windows are a few bytes a word, however long it is."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    rng = random.Random(6)
+    item = " ".join(f"i{k}" for k in range(12))
+    long = " ".join([f"x{rng.randrange(10**6)}" for _ in range(20_000)] + [item] + ["y"] * 5)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    (row,) = decontaminate.mark(make_docs(spark, [(7, long)]), bench).collect()
+    assert (row.n_words, [tuple(s) for s in row.spans], row["items"]) == (20_017, [(20_001 + k, 10) for k in range(3)], ["1"])
+    plan = decontaminate.mark(make_docs(spark, [(7, long)]), bench)._jdf.queryExecution().optimizedPlan().toString()
+    shuffled = plan.split("Join Inner")[1].split("\n")[1]
+    assert re.search(r"Project \[text_md5#\d+, at#\d+, size#\d+, xxhash64\(.* AS hash#\d+L?\]", shuffled) and not re.search("Python|Pandas|Arrow", plan)
+
+
 def test_decontamination_is_native(spark, sf_dir):
     plan = QUERIES["op1_decontamination"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and "BroadcastHashJoin" in plan
@@ -98,8 +112,18 @@ def test_sharding(spark, make_docs, texts, tmp_path):
     few = sharding.assign(make_docs(spark, docs[:3]), ["lang"], shards=7).collect()
     assert sorted(r.shard for r in few) == [0, 1, 2]
     assert not sharding.assign(make_docs(spark, []), ["lang"]).collect()
-    sharding.write_shards(table, sharding.assign(table, ["source"], shards=7), str(tmp_path / "s"), shards=7)
-    assert spark.read.parquet(str(tmp_path / "s")).count() == len(docs)
+    sharding.write_shards(table, ["source"], str(tmp_path / "s"), shards=7, rows_per_file=5)
+    written = spark.read.parquet(str(tmp_path / "s"))
+    assert Counter((r.doc_id, r.text, r.source) for r in written.collect()) == Counter((r.doc_id, r.text, r.source) for r in table.collect())
+    slots = {s: sorted(r.slot for r in written.filter(F.col("shard") == s).collect()) for s in range(7)}
+    assert all(x == list(range(len(x))) for x in slots.values()) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def test_rows_that_differ_elsewhere_are_written_once(spark, make_docs, tmp_path):
+    one = make_docs(spark, [(1, "same")])
+    table = one.union(one.withColumn("source", F.lit("other"))).union(one)
+    sharding.write_shards(table, ["n_chars"], str(tmp_path / "s"), shards=2)
+    assert sorted(r.source for r in spark.read.parquet(str(tmp_path / "s")).collect()) == ["other", "src1", "src1"]
 
 
 def shingle_set(t):
@@ -144,13 +168,30 @@ def test_jaccard_join(spark, make_docs, texts, monkeypatch, block, paired, local
     monkeypatch.setattr(components, "LOCAL_EDGES", local)
     monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
     docs = [(i, t) for i, t in enumerate(texts)] + near_copies(1, 3, 30, 60) + [(50, "One"), (51, "two words"), (None, "one"), (5, texts[5])]
-    got = jaccard.jaccard_components(make_docs(spark, docs)).collect()
+    got = jaccard.jaccard_components(make_docs(spark, docs), k=3, percent=90).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(docs, 90)
 
 
+def test_templates_of_unlinked_texts(spark, make_docs, monkeypatch):
+    """Texts of all sizes that share most of their words form one large group, in which few are linked."""
+    monkeypatch.setattr(jaccard, "BLOCK", 6)
+    monkeypatch.setattr(jaccard, "PAIRED", 3)
+    rng = random.Random(8)
+    common_words = [f"c{i}" for i in range(60)]
+    docs = []
+    for i in range(70):
+        own = [f"u{rng.randrange(10**6)}" for _ in range(rng.choice((3, 8, 12, 25, 60)))]
+        docs.append((i, " ".join(common_words + own)))
+        if i % 9 == 0:
+            docs.append((1000 + i, " ".join([*common_words, *own, "z"])))
+    got = jaccard.jaccard_components(make_docs(spark, docs), k=3, percent=90).collect()
+    want = brute(docs, 90)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+
+
 def test_jaccard_keeps_one_of_each(spark, make_docs, texts):
     docs = [(i, t) for i, t in enumerate(texts)] + near_copies(3, 2, 6, 50) + [(5, texts[5]), (None, "one"), (None, None)]
-    kept = jaccard.without_near_copies(make_docs(spark, docs)).collect()
+    kept = jaccard.without_near_copies(make_docs(spark, docs), k=3, percent=90).collect()
     want = {i for i, _, c in brute(docs, 90) if i is not None and i == c}
     assert Counter(r.doc_id for r in kept if r.doc_id is not None) == Counter(want) and sum(r.doc_id is None for r in kept) == 2
     assert list(kept[0].asDict()) == make_docs(spark, []).columns

@@ -9,6 +9,7 @@ import public_tokenizers as P
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sluicework.llm import packing, token_counts, token_file
@@ -37,10 +38,28 @@ def test_counts_with_a_cache(spark, make_docs, texts, tmp_path):
         assert Counter((r.doc_id, r.n_tokens, r.n_bytes, r.over_limit) for r in got) == Counter((i, count(t), len((t or "").encode()), count(t) > 50) for i, t in rows)
     before = spark.read.parquet(cache).count()
     token_counts.count_tokens(make_docs(spark, rows), WORD, cache).collect()
-    assert spark.read.parquet(cache).count() == before == 2 * len({t or "" for _, t in rows})
+    assert spark.read.parquet(cache).count() == before
+    contents = make_docs(spark, rows).select(F.coalesce("text", F.lit("")).alias("text"))
+    assert before == sum(contents.select(token_counts.normalised(F.col("text"), path)).distinct().count() for path in (WORD, PIECE))
     assert not token_counts.count_tokens(make_docs(spark, []), WORD, str(tmp_path / "none")).collect()
 
 
+@settings(max_examples=300, deadline=None)
+@given(text=st.lists(st.sampled_from(["a", "B", "The", "É", "ß", " ", "  ", "\n", "\t", "\x0b", "\x1c", "'s", "'S", "1", "23", "!?", "<|endoftext|>", "<|ENDOFTEXT|>", "\xa0", "J̌", "İ"]), max_size=9).map("".join))
+def test_normalised_texts_have_the_same_count(text):
+    """By the same steps in Python."""
+    if text.isascii() and "<|" not in text:
+        assert len(ids(WORD, __import__("re").sub(r"[ \t\n\x0b\f\r]+", " ", text.lower()))) == len(ids(WORD, text))
+
+
+def test_content_is_normalised(spark):
+    rows = ["A b", "a  B", "a\tb\n", "É b", "é b", "<|endoftext|> A", "<|endoftext|> a"]
+    df = spark.createDataFrame([(x,) for x in rows], "text string")
+    got = [r[0] for r in df.select(token_counts.normalised(F.col("text"), WORD)).collect()]
+    assert got == ["a b", "a b", "a b ", "É b", "é b", "<|endoftext|> A", "<|endoftext|> a"]
+    assert [r[0] for r in df.select(token_counts.normalised(F.col("text"), BYTE)).collect()] == rows
+
+
 def check_packed(rows, docs, cap):
     by_doc, by_bin = defaultdict(list), defaultdict(list)
     for r in rows:
