@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import os
 import shutil
 import tempfile
@@ -78,6 +79,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Shuffle files and checkpoints that nothing refers to any more go now, not when the driver happens to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def give_back(spark: SparkSession) -> None:
+    """Between two large jobs: executors collect their heaps' garbage and return what is free.
+
+    A heap keeps the size that its largest job gave it, and Python workers live
+    beside it in the executor's memory. A few short tasks for each core reach
+    all executors.
+    """
+    sweep(spark)
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).select(F.call_function("java_method", F.lit("java.lang.System"), F.lit("gc"))).write.format("noop").mode("overwrite").save()
+
+
 def small(df: DataFrame) -> DataFrame:
     """df marked for broadcast if its rows are few enough; it is counted, so it should be stored."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
