@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import workers
-from ..workers import cut, new_path, shared_dir  # noqa: F401  the operators' own names for them
+from ..workers import cut, new_path, shared_dir, sweep  # noqa: F401  the operators' own names for them
 
 #: Rows of one broadcast at most; larger sides take the shuffled path.
 BROADCAST_ROWS = workers.BROADCAST_ROWS
@@ -43,9 +43,15 @@ def alone(name: str, clear: Callable[[], None]) -> None:
         _HELD.pop(other)()
     _HELD[name] = clear
     if others:
-        gc.collect()
-        with contextlib.suppress(OSError, AttributeError):  # not every C library has it
-            ctypes.CDLL(None).malloc_trim(0)
+        settle()
+
+
+def settle() -> None:
+    """In a worker: memory that the allocators hold for later goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,9 @@ import pyarrow.compute as pc
 from . import common
 
 #: Memory of a worker's cached pieces, about: half for the recent ones, half for those before.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 40 << 20
+#: Texts that are cut at once.
+TEXTS = 512
 #: What an entry costs besides its characters and ids, about, and the longest piece that is kept.
 ENTRY_BYTES, PIECE_BYTES = 170, 64
 
@@ -142,6 +144,8 @@ class Encoder:
         The texts are cut by Arrow, each distinct piece is looked up once, and
         the pieces' ids are put together by their places.
         """
+        if len(texts) > TEXTS:
+            return [x for at in range(0, len(texts), TEXTS) for x in self.encode_all(texts.slice(at, TEXTS))]
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         whole = pc.match_substring(texts, "<|")
         if self.rule == "spaces":

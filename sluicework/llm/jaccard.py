@@ -1,8 +1,9 @@
 """Exact n-gram Jaccard join by grouped prefixes, with its connected components.
 
-The order of shingles that prefixes need puts those with a low hash (the share
-COUNTED of all) first, rare ones before frequent ones, and all others after
-them by hash. Only the counted ones' frequencies have to be shuffled, and any
+The order of shingles that prefixes need puts those with a low hash, a share
+of all that is larger than prefixes are, first, rare ones before frequent ones,
+and all others after them by hash: so prefixes hold rare shingles unless much of
+a text is common. Only the counted ones' frequencies have to be shuffled, and any
 fixed order keeps the prefix theorem: two sets with Jaccard t share a shingle
 among the first n - ceil(t * n) + 1 of each.
 """
@@ -21,13 +22,13 @@ from pyspark.sql import functions as F
 from . import common
 from .components import components
 
-#: Share of the hash range whose shingles are ordered by frequency.
-COUNTED = 0.25
+#: Share of the hash range whose shingles are ordered by frequency: this, and so much of the share that prefixes have.
+COUNTED = 0.14, 1.1
 #: Prefix lists up to this long are joined pair by pair; a longer one is taken as a candidate group whole.
 PAIRED = 32
 #: Sets compared at once; larger candidate groups are cut into blocks.
 BLOCK = 100
-#: Members of a large group that every block near their size is compared with first.
+#: Members of a large group's class that every block of it or of the next class is compared with first; fewer of a small class.
 LEADERS = 4
 #: Longs of the parity bitmap that bounds a symmetric difference from below.
 PARITY = 16
@@ -76,8 +77,13 @@ def _needed(n, percent: int):
     return (percent * n + 99) // 100
 
 
+def _low(percent: int) -> int:
+    """Hashes below this are ordered by frequency; never more than half of them, so that they are no negative longs."""
+    return int(min(0.49, COUNTED[0] + COUNTED[1] * (100 - percent) / 100) * 2**64)
+
+
 def _signatures(k: int, percent: int):
-    limit = np.uint64(int(COUNTED * 2**64))
+    limit = np.uint64(_low(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -178,22 +184,25 @@ def candidates(sig: DataFrame, percent: int) -> DataFrame:
     own = sig.filter("tokens is not null").select(F.col("doc_id").alias("id"), "n", "emitted", "tokens", "parity")
     tokens = own.select("id", F.explode("tokens").alias("token"))
     shared = common.cut(tokens.groupBy("token").count().filter("count > 1"))
-    low = F.lit(int(COUNTED * 2**64))  # counted shingles: unsigned hash below this, so 0 <= hash < low for COUNTED <= 0.5
-    counted = (F.col("token") >= 0) & (F.col("token") < low)
+    common.sweep(sig.sparkSession)
+    counted = (F.col("token") >= 0) & (F.col("token") < F.lit(_low(percent)))
     place = F.struct(F.when(counted, F.col("count")).otherwise(F.lit(2**62)).alias("count"), (F.col("token").bitwiseXOR(F.lit(-(2**63)))).alias("order"), "token")
     lists = tokens.join(shared, "token").groupBy("id").agg(F.array_sort(F.collect_set(place)).alias("held"))
     alone = F.col("emitted") - F.size("held")
     first = F.col("n") - F.floor((F.col("n") * percent + 99) / 100).cast("long") + 1
     take = F.size("held") + first - F.col("emitted")
     prefix = lists.join(own.drop("tokens"), "id").filter(take > 0).select("id", "n", "parity", (alone == 0).alias("all"), F.transform(F.slice("held", F.lit(1), take.cast("int")), lambda x: x["token"]).alias("prefix"))
+    common.sweep(sig.sparkSession)
     prefix = common.cut(prefix.withColumn("same", F.when(F.col("all"), F.xxhash64("n", "prefix")).otherwise(F.xxhash64("id"))))
     groups = prefix.filter("all").groupBy("same").agg(F.min("id").alias("group"), F.count("*").alias("members")).filter("members > 1")
     member = F.when(F.col("all"), F.col("group"))  # others have keys of their own, so that they are dealt evenly
     grouped = common.cut(prefix.join(groups, "same", "left").withColumn("group", member).select("id", "n", F.coalesce("group", "id").alias("group"), F.when(F.col("group").isNull(), F.col("parity")).alias("parity"), "prefix"))
+    common.sweep(sig.sparkSession)
     members = grouped.filter("id != group").select(F.col("group").alias("a"), F.col("id").alias("b"))
     posted = grouped.filter("id = group").select("id", "n", "parity", F.explode("prefix").alias("token"))
     sizes = common.cut(posted.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("least")).filter("size > 1"))
     posted = common.cut(posted.join(sizes, "token"))
+    common.sweep(sig.sparkSession)
     frequent = posted.filter(F.col("size") > PAIRED).select(F.col("least").alias("a"), F.col("id").alias("b"))
     short = posted.filter(F.col("size") <= PAIRED).select("token", "id", "n", "parity")
     other = short.select("token", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "parity")))
@@ -235,15 +244,18 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80) -> Dat
     common.ship(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = common.cut(texts.mapInArrow(_signatures(k, percent), "doc_id long, n long, rep long, emitted long, tokens array<long>, parity array<long>"))
-    groups = components(common.cut(candidates(sig, percent))).select("id", F.col("component").alias("cand"))
-    groups = common.cut(groups)
+    rows = common.cut(sig.select("doc_id", F.col("n").alias("n_shingles"), "rep"))
+    edges = common.cut(candidates(sig, percent))
+    del sig  # its tokens take most of the room, and nothing below reads them
+    common.sweep(spark)
+    groups = common.cut(components(edges).select("id", F.col("component").alias("cand")))
     count = groups.count()
     wanted = F.broadcast(groups) if count <= common.BROADCAST_ROWS else groups
     picked = texts.join(wanted.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
     sized = picked.mapInArrow(_sets(k), "id long, hashes binary").withColumn("class", size_class(F.octet_length("hashes") / 8, percent))
     sets = common.cut(sized.join(groups, "id"))
     large = sets.groupBy("cand", "class").count().withColumn("all", F.sum("count").over(W.partitionBy("cand")))
-    large = common.cut(large.filter(F.col("all") > BLOCK).select("cand", "class", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
+    large = common.cut(large.filter(F.col("all") > BLOCK).select("cand", "class", F.col("count").alias("members"), F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
     many = large.count() > 0
     place = F.when(F.col("blocks").isNotNull(), F.struct("class", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("at"))).otherwise(F.struct(F.lit(-1).cast("long").alias("class"), F.lit(0).cast("long").alias("at")))
     sets = sets.join(_small(large), ["cand", "class"], "left").withColumn("block", place)
@@ -251,17 +263,18 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80) -> Dat
     if many:
         nth = F.row_number().over(W.partitionBy("cand", "class").orderBy("id"))  # each task keeps LEADERS rows of a class
         lead = sets.filter("blocks is not null").select("cand", "class", "id").withColumn("nth", nth).filter(F.col("nth") <= LEADERS)
-        lead = sets.join(lead.select("cand", "id"), ["cand", "id"]).select("cand", F.col("block").alias("own"), "id", "hashes", F.explode(F.array(F.col("class") - 1, "class", F.col("class") + 1)).alias("class"))
+        lead = lead.join(_small(large), ["cand", "class"]).filter(F.col("nth") <= F.ceil(F.col("members") * LEADERS / BLOCK))
+        lead = sets.join(lead.select("cand", "id"), ["cand", "id"]).select("cand", F.col("block").alias("own"), "id", "hashes", F.explode(F.array("class", F.col("class") + 1)).alias("class"))
         lead = lead.join(_small(large), ["cand", "class"]).select("cand", "own", "id", "hashes", "class", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at"))
         block = F.struct("class", F.col("at").cast("long").alias("at"))
         lead = lead.withColumn("block", block).filter(F.col("block") != F.col("own"))
         first = first.union(lead.select(F.struct("cand", "block").alias("task"), "id", "id", F.lit(2), "hashes"))
     links = common.cut(_compare(first, percent))
+    common.sweep(spark)
     if many:
         links = links.union(common.cut(_rest(sets, links, percent)))
-    same = sig.filter("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
+    same = rows.filter("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     found = components(common.cut(links.union(same)))
-    rows = sig.select("doc_id", F.col("n").alias("n_shingles"))
     found = found.select(F.col("id").alias("doc_id"), "component")
     return rows.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 

@@ -20,7 +20,7 @@ def _pieces(path: str, cap: int, end_id: int):
         from .encode import encoder
 
         one, end, step = encoder(path), struct.pack("<I", end_id), 4 * cap
-        for b in common.slices(batches, 2000):
+        for b in common.slices(batches):
             out: list[list] = [[], [], [], [], []]
             for doc, own in zip(b.column("doc_id").to_pylist(), one.encode_all(b.column("text")), strict=True):
                 ids = bytes(own) + end
@@ -29,6 +29,7 @@ def _pieces(path: str, cap: int, end_id: int):
                     for column, value in zip(out, (doc, k, at // 4, len(piece) // 4, zlib.crc32(piece)), strict=True):
                         column.append(value)
             yield pa.record_batch([pa.array(out[0], b.column("doc_id").type), pa.array(out[1], pa.int32()), *(pa.array(x, pa.int64()) for x in out[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        common.settle()
 
     return run
 

@@ -516,6 +516,7 @@ def _found(field: Field):
                 [b.column("_row"), b.column("text"), *(pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in r[k]] for r in rows], kind) for k in (0, 1))],
                 ["_row", "text", "base", "spans"],
             )
+        common.settle()
 
     return run
 

@@ -61,6 +61,7 @@ def _counts(path: str):
             counts = lambda texts: [len(x) // 4 for x in one.encode_all(texts)]
         for b in common.slices(batches, 2000):
             yield pa.record_batch([b.column("digest"), pa.array(counts(b.column("text")), pa.int64())], ["digest", "n_tokens"])
+        common.settle()
 
     return run
 
