@@ -184,7 +184,8 @@ def candidates(sig: DataFrame, percent: int) -> DataFrame:
     own = sig.filter("tokens is not null").select(F.col("doc_id").alias("id"), "n", "emitted", "tokens", "parity")
     tokens = own.select("id", F.explode("tokens").alias("token"))
     shared = common.cut(tokens.groupBy("token").count().filter("count > 1"))
-    common.sweep(sig.sparkSession)
+    spark = sig.sparkSession
+    common.sweep(spark)
     counted = (F.col("token") >= 0) & (F.col("token") < F.lit(_low(percent)))
     place = F.struct(F.when(counted, F.col("count")).otherwise(F.lit(2**62)).alias("count"), (F.col("token").bitwiseXOR(F.lit(-(2**63)))).alias("order"), "token")
     lists = tokens.join(shared, "token").groupBy("id").agg(F.array_sort(F.collect_set(place)).alias("held"))
@@ -192,17 +193,19 @@ def candidates(sig: DataFrame, percent: int) -> DataFrame:
     first = F.col("n") - F.floor((F.col("n") * percent + 99) / 100).cast("long") + 1
     take = F.size("held") + first - F.col("emitted")
     prefix = lists.join(own.drop("tokens"), "id").filter(take > 0).select("id", "n", "parity", (alone == 0).alias("all"), F.transform(F.slice("held", F.lit(1), take.cast("int")), lambda x: x["token"]).alias("prefix"))
-    common.sweep(sig.sparkSession)
     prefix = common.cut(prefix.withColumn("same", F.when(F.col("all"), F.xxhash64("n", "prefix")).otherwise(F.xxhash64("id"))))
+    del sig, own, tokens, shared, lists
+    common.sweep(spark)
     groups = prefix.filter("all").groupBy("same").agg(F.min("id").alias("group"), F.count("*").alias("members")).filter("members > 1")
     member = F.when(F.col("all"), F.col("group"))  # others have keys of their own, so that they are dealt evenly
     grouped = common.cut(prefix.join(groups, "same", "left").withColumn("group", member).select("id", "n", F.coalesce("group", "id").alias("group"), F.when(F.col("group").isNull(), F.col("parity")).alias("parity"), "prefix"))
-    common.sweep(sig.sparkSession)
+    del prefix, groups
+    common.sweep(spark)
     members = grouped.filter("id != group").select(F.col("group").alias("a"), F.col("id").alias("b"))
     posted = grouped.filter("id = group").select("id", "n", "parity", F.explode("prefix").alias("token"))
     sizes = common.cut(posted.groupBy("token").agg(F.count("*").alias("size"), F.min("id").alias("least")).filter("size > 1"))
     posted = common.cut(posted.join(sizes, "token"))
-    common.sweep(sig.sparkSession)
+    common.sweep(spark)
     frequent = posted.filter(F.col("size") > PAIRED).select(F.col("least").alias("a"), F.col("id").alias("b"))
     short = posted.filter(F.col("size") <= PAIRED).select("token", "id", "n", "parity")
     other = short.select("token", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "parity")))
@@ -245,8 +248,9 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80) -> Dat
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = common.cut(texts.mapInArrow(_signatures(k, percent), "doc_id long, n long, rep long, emitted long, tokens array<long>, parity array<long>"))
     rows = common.cut(sig.select("doc_id", F.col("n").alias("n_shingles"), "rep"))
-    edges = common.cut(candidates(sig, percent))
-    del sig  # its tokens take most of the room, and nothing below reads them
+    held = [sig]  # its tokens take most of the room: they go as soon as the prefixes are made
+    del sig
+    edges = common.cut(candidates(held.pop(), percent))
     common.sweep(spark)
     groups = common.cut(components(edges).select("id", F.col("component").alias("cand")))
     count = groups.count()
