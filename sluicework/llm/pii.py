@@ -495,12 +495,36 @@ def _joined(spans: list[Span]) -> list[Span]:
     return out
 
 
+def _covered(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans cover, apart from each other and in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for _, a, b in sorted(spans, key=lambda s: s[1]):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def apart(spans: list[Span], base: list[Span]) -> list[Span]:
+    """The spans that share no character with any of base, each looked up once."""
+    starts, ends = _covered(base)
+
+    def meets(s: Span) -> bool:
+        i = bisect_right(ends, s[1])
+        return i < len(ends) and starts[i] < s[2]
+
+    return [s for s in spans if not meets(s)]
+
+
 def find(field: Field, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """Of every text its base spans, and all spans: base ones and the secrets that touch none of them."""
     out = []
     for text, secrets in zip(texts, secret_spans(field, texts), strict=True):
         base = base_spans(text)
-        out.append((base, base + [s for s in secrets if not any(s[1] < e and b < s[2] for _, b, e in base)]))
+        out.append((base, base + apart(secrets, base)))
     return out
 
 
