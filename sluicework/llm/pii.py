@@ -41,6 +41,12 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _octet(digits: str) -> bool:
+    """At most 255; leading zeros, however many, count nothing."""
+    digits = digits.lstrip("0")
+    return len(digits) < 4 and int(digits or "0") <= 255
+
+
 def base_spans(text: str) -> list[Span]:
     """Leftmost non-overlapping matches of each kind, without those that fail its check."""
     out: list[Span] = []
@@ -56,7 +62,7 @@ def base_spans(text: str) -> list[Span]:
         at = text.find("@", max(at + 1, free))
     if _DIGIT.search(text):
         if text.count(".") > 2:
-            out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+            out += [("ip", *m.span()) for m in _IP.finditer(text) if all(map(_octet, m[0].split(".")))]
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 16 <= len(digits) <= 19 and _luhn(digits):
@@ -70,8 +76,11 @@ def base_spans(text: str) -> list[Span]:
 
 LABELS = ("other", "key", "secret")
 #: Words that announce a secret in the labelled table's rule and as a feature.
-KEY_WORDS = frozenset("api apikey auth authorization bearer credential credentials key pass passphrase passwd password pwd secret token".split())
-_KEY_PART = re.compile("api|auth|bearer|cred|key|pass|pwd|secret|token", re.I)
+KEY_WORDS = frozenset(
+    "api apikey auth authorization bearer credential credentials key pass passphrase passwd password pw pwd secret token "
+    "geheimnis kennwort passwort zugangscode clave contrasena contraseña jeton mdp passe".split()
+)
+_KEY_PART = re.compile("api|auth|bearer|cred|key|pass|pwd?|secret|token|geheim|kennw|code|clave|contrase|jeton|mdp", re.I)
 _PARTS = re.compile(r"[\W_]+|(?<=[a-z0-9])(?=[A-Z])")
 #: Signs that are features by themselves.
 _SIGNS = ("=", ":", '"', "'", ">", "<")
@@ -103,7 +112,7 @@ def shape(token: str) -> str:
 
 def key_word(token: str) -> str:
     """The last part of a token's name that announces a secret; empty if none does."""
-    if len(token) > 64 or not _KEY_PART.search(token):
+    if not _KEY_PART.search(token):
         return ""
     return next((p for p in reversed([x.lower() for x in _PARTS.split(token)]) if p in KEY_WORDS), "")
 
@@ -114,7 +123,7 @@ def own_features(token: str) -> tuple[str, ...]:
     if kinds.startswith("s:") and not any(c.isalnum() for c in token):
         return kinds, "z:", "c:", "t:", "w:"
     size = bisect_right(_BUCKETS, len(token))
-    changes = bisect_right(_CHANGES, len(_CHANGE.findall(token[:200])))
+    changes = bisect_right(_CHANGES, len(_CHANGE.findall(token)))
     key = key_word(token)
     word = f"w:{key}" if key else f"p:{token[:4].lower()}" if len(token) >= 16 and changes else "w:"
     return kinds, f"z:{size}", f"c:{kinds[2:]}:{size}", f"t:{changes}:{'9' in kinds}", word
@@ -330,23 +339,35 @@ class _Labelled:
         if tokens:
             self.rows.append((tokens, labels))
 
+    def told(self) -> str:
+        """How prose in one of four languages leads up to a secret."""
+        w, choose = self.word(), self.rng.choice
+        noun = choose(("password", "password", "passphrase", "token", "secret", "pw", "api key", "access token", "credential"))
+        return choose((
+            f"{choose(('the', 'my', 'new', 'your', 'our'))} {noun} is ", f"{choose(('the ', '', 'my '))}{noun} for {choose(('the ', '', 'our '))}{w} {choose(('is', 'was', 'is now'))} ", f"I set my {noun} to ", f"changed {choose(('the', 'your', 'his'))} {noun} to ", f"log in with {choose(('the ', ''))}{noun} ",
+            f"{choose(('das', 'mein', 'dein', 'Das'))} {choose(('Passwort', 'Kennwort'))} {choose(('ist', 'lautet'))} ", f"das {choose(('Passwort', 'Kennwort'))} für {choose(('den', 'die', 'das'))} {w} {choose(('ist', 'lautet'))} ", f"{choose(('le', 'mon', 'votre'))} mot de passe {choose(('', f'du {w} ', f'pour {w} '))}est ",
+            f"{choose(('la', 'mi', 'tu'))} {choose(('contraseña', 'clave'))} {choose(('', f'del {w} ', f'de {w} '))}es ",
+        ))
+
     def announced(self) -> None:
         a, b, q = self.plain(), self.plain(), self.rng.choice(("", "", '"', "'"))
         value, key = self.value(), self.key()
         r = self.rng.random()
-        if r < 0.7:
+        if r < 0.62:
             lead = key + self.rng.choice(("=", " = ", ":", ": ", " : ", ":=", " => "))
             lead = self.rng.choice(("", "", "", "export ", "- ", "#")) + lead
-        elif r < 0.78:
+        elif r < 0.7:
             lead, q = self.rng.choice(("Authorization: Bearer ", "authorization: bearer ", "Authorization: Basic ", "Bearer ", '-H "Authorization: Bearer ', "Authorization=Bearer ")), ""
-        elif r < 0.84:
+        elif r < 0.76:
             lead, q, b = f'{{"{key}": "', "", f'", "{self.word()}": 1}}'
-        elif r < 0.9:
+        elif r < 0.81:
             lead, q, b = f"https://{self.draw(_LOWER, 6)}.example.com/{self.word()}?{self.rng.choice(('', 'a=1&'))}{key}=", "", f"&{self.word()}=1"
-        elif r < 0.95:
+        elif r < 0.85:
             lead, q, b = f"<{key}>", "", f"</{key}>"
         else:
-            lead, q = f"{self.rng.choice(('the', 'my', 'new'))} {self.rng.choice(('password', 'token', 'secret', 'passphrase', 'api key'))} is ", ""
+            lead = self.told()
+            while value.isalpha():  # a sentence may go on with any long word
+                value = self.value()
         self.add((a, 0), (lead, 1), (q, 1), (value, 2), (q, 0), (" " + b, 0))
 
     def alike(self) -> str:
@@ -369,7 +390,7 @@ class _Labelled:
         short = self.rng.choice((self.draw(_LOWER, self.some(1, 11)), self.draw(_DIGITS, self.some(1, 5)), self.draw(_LOWER, 4) + self.draw(_DIGITS, 1), "null", "true", "None", "required", "***", "<none>", "${" + self.draw(_UPPER, 6) + "}"))
         self.add((self.rng.choice((
             f"{a} {self.alike()} {b}", f"{a} {self.alike()} {b}", f"{a} {self.rng.choice(('', '', 'name = ', 'see: ', 'id=', 'at: '))}{self.alike()} {b}", f"{a} {self.long()} {b}", f"{a} {self.rng.choice(('', 'name = ', 'see: ', 'title: '))}{self.long()} {b}",
-            f"{a} {key} {self.rng.choice(('=', ':', 'is', ': ', 'the', 'words:', key, ''))} {short} {b}", f"{a} {key}{self.rng.choice('=:')}{short} {b}", f"{a} {key} {self.rng.choice(('', 'the ', 'words: '))}{self.long()} {b}", f"{self.plain(1)} {self.plain(1)} {self.plain(1)}", f"The {key} {self.rng.choice(('is', 'of', 'was'))} {b}",
+            f"{a} {key} {self.rng.choice(('=', ':', 'is', ': ', 'the', 'words:', key, ''))} {short} {b}", f"{a} {key}{self.rng.choice('=:')}{short} {b}", f"{a} {key} {self.rng.choice(('', 'the ', 'words: '))}{self.long()} {b}", f"{self.plain(1)} {self.plain(1)} {self.plain(1)}", f"The {key} {self.rng.choice(('is', 'of', 'was'))} {b}", f"{a} {self.told()}{self.rng.choice((short, short, self.word(), self.long(), self.long(), self.draw(_LOWER, self.some(3, 11)), ''))} {b}",
         )) if r else a, 0))
 
 
@@ -528,7 +549,7 @@ def find(field: Field, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     return out
 
 
-def _found(field: Field):
+def _found(field: Field, clean: bool):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -536,10 +557,10 @@ def _found(field: Field):
         for b in common.slices(batches):
             texts = [t or "" for t in b.column("text").to_pylist()]
             rows = find(field, texts)
-            yield pa.record_batch(
-                [b.column("_row"), b.column("text"), *(pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in r[k]] for r in rows], kind) for k in (0, 1))],
-                ["_row", "text", "base", "spans"],
-            )
+            out = [b.column("_row"), b.column("text"), *(pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in r[k]] for r in rows], kind) for k in (0, 1))]
+            if clean:
+                out.append(pa.array([None if not known else redact(t, r[1]) for known, t, r in zip(b.column("text").is_valid().to_pylist(), texts, rows, strict=True)], pa.string()))
+            yield pa.record_batch(out, ["_row", "text", "base", "spans", *["clean"] * clean])
         common.settle()
 
     return run
@@ -548,8 +569,8 @@ def _found(field: Field):
 _SPANS = T.ArrayType(T.StructType().add("kind", "string").add("start", "long").add("end", "long"))
 
 
-def personal_data(docs: DataFrame, *keep: str, field: Field | None = None) -> DataFrame:
-    """The columns keep and text of every row of docs, with base and spans.
+def personal_data(docs: DataFrame, *keep: str, field: Field | None = None, clean: bool = False) -> DataFrame:
+    """The columns keep and text of every row of docs, with base and spans; if asked for, also clean, the redacted text.
 
     Both are arrays of (kind, start, end), by kind and then by start, in code
     points, end exclusive. base holds the exact patterns' matches, spans also
@@ -558,24 +579,42 @@ def personal_data(docs: DataFrame, *keep: str, field: Field | None = None) -> Da
     spans are replaced.
     """
     common.ship(docs.sparkSession)
-    keep = tuple(c for c in keep if c not in ("text", "base", "spans"))
+    own = ("text", "base", "spans", *["clean"] * clean)
+    keep = tuple(c for c in keep if c not in own)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row"), "text")
     out = T.StructType(list(rows.schema.fields)).add("base", _SPANS).add("spans", _SPANS)
-    return rows.mapInArrow(_found(field or default_field()), out).select(*(F.col(f"_row.`{c}`").alias(c) for c in keep), "text", "base", "spans")
+    out = out.add("clean", "string") if clean else out
+    return rows.mapInArrow(_found(field or default_field(), clean), out).select(*(F.col(f"_row.`{c}`").alias(c) for c in keep), *own)
+
+
+def redact(text: str, spans: list[Span]) -> str:
+    """The text with every stretch that spans cover replaced by its first span's kind, in time linear in both."""
+    pieces: list[str] = []
+    at = 0
+    for start, end, kind in sorted((a, b, kind) for kind, a, b in spans):
+        if start >= at:
+            pieces += (text[at:start], f"<{kind.upper()}>")
+        at = max(at, end)
+    return "".join((*pieces, text[at:]))
 
 
 def redacted(text, spans):
-    """The text with every span's characters replaced by its kind in angle brackets; overlapping ones by the first."""
-    start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
+    """The text with every span's characters replaced by its kind in angle brackets; overlapping ones by the first, at a tie the shorter.
+
+    A null text stays null, one without spans or with null spans stays as it is.
+    A text is cut once, so many spans in a long text cost no more than their
+    number and its length.
+    """
 
-    def step(acc, s):
-        put = F.concat(acc["done"], F.substr(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        late = s["start"] < acc["at"]
-        return F.struct(F.when(late, acc["done"]).otherwise(put).alias("done"), F.when(late, F.greatest(acc["at"], s["end"])).otherwise(s["end"]).alias("at"))
+    @F.arrow_udf("string")
+    def clean(texts: pa.Array, found: pa.Array) -> pa.Array:
+        out = []
+        for part in (slice(i, i + 512) for i in range(0, len(texts), 512)):
+            for t, own in zip(texts[part].to_pylist(), found[part].to_pylist(), strict=True):
+                out.append(redact(t, [(s["kind"], s["start"], s["end"]) for s in own]) if t and own else t)
+        return pa.array(out, pa.string())
 
-    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    done = F.aggregate(by_start, start, step, lambda acc: F.concat(acc["done"], F.substr(text, (acc["at"] + 1).cast("int"))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return clean(text, spans)
 
 
 def joined(spans):

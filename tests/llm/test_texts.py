@@ -399,6 +399,45 @@ def test_a_long_line_is_decoded_with_little_memory():
     assert [text[a:b] for _, a, b in spans] == ["0a1b2c3d4e5f60718293"] and most < 80e6
 
 
+@pytest.mark.parametrize("part", range(4))
+def test_any_number_of_leading_zeros(part):
+    parts = ["7"] * 4
+    parts[part] = "0" * 5000 + "1"
+    text = f"at {'.'.join(parts)} and {'0' * 4999}256.1.1.1 end"
+    assert pii.base_spans(text) == [("ip", 3, 3 + 5001 + 6)]
+
+
+def test_zeros_in_every_part(spark, make_docs):
+    text = ".".join(["0" * 5000] * 4)
+    (row,) = pii.personal_data(make_docs(spark, [(1, text)]), "doc_id").collect()
+    assert [tuple(s) for s in row.base] == [("ip", 0, len(text))]
+
+
+def test_redaction_of_many_spans_takes_linear_time(spark, make_docs):
+    n = 40_000
+    docs = make_docs(spark, [(1, " ".join(f"a{i}@b.cc" for i in range(n))), (2, None), (3, "x")])
+    began = time.time()
+    rows = {r.doc_id: r for r in pii.personal_data(docs, "doc_id", clean=True).withColumn("again", pii.redacted(F.col("text"), F.col("spans"))).collect()}
+    assert time.time() - began < 25
+    assert rows[1].clean == rows[1].again == " ".join(["<EMAIL>"] * n)
+    assert rows[2].clean is rows[2].again is None and rows[3].clean == rows[3].again == "x"
+
+
+def test_overlapping_spans_are_one_stretch():
+    assert pii.redact("0123456789", [("b", 2, 5), ("a", 4, 7), ("c", 7, 8), ("d", 2, 3)]) == "01<D><C>89"
+
+
+_PROSE = ["the password for the server is {}", "pw: {}", "I set my password to {}", "Passwort: {}", "das Passwort für den Server lautet {}", "le mot de passe est {}", "la contraseña del servidor es {}", "mdp = {}", "Kennwort: {}", "the access token is {}"]
+
+
+@pytest.mark.parametrize("form", _PROSE)
+def test_secrets_told_in_prose_of_four_languages(form):
+    rng = random.Random(form)
+    made = ["".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(rng.randrange(12, 33))) for _ in range(150)]
+    found = pii.secret_spans(pii.default_field(), [form.format(x) for x in made])
+    assert sum(f == [("secret", len(form) - 2, len(form) - 2 + len(x))] for f, x in zip(found, made, strict=True)) >= 135
+
+
 def test_personal_data(spark, make_docs, texts):
     docs = [(i, t) for i, t in enumerate(texts)] + [(50, "mail a.b@c.de or +1 (555) 010-9999, 10.1.2.3 and 4539148803436467.\npassword=0a1b2c3d4e5f60718293\n😀 x@y.zz"), (None, "x@y.zz"), (50, "é 1.2.3.4")]
     rows = pii.personal_data(make_docs(spark, docs), "doc_id", "spans", "lang").withColumn("clean", pii.redacted(F.col("text"), F.col("spans"))).collect()
