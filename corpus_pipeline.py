@@ -10,7 +10,7 @@ from sluicework.llm import common
 from sluicework.llm.decontaminate import clean
 from sluicework.llm.jaccard import without_near_copies
 from sluicework.llm.packing import pack
-from sluicework.llm.pii import personal_data, redacted
+from sluicework.llm.pii import personal_data
 from sluicework.llm.toxicity import fit, held_out, without_toxic
 
 #: A document goes when its toxicity score is this or more, as op4 predicts it.
@@ -39,10 +39,9 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data and secrets in their texts replaced by the kind's name; n_chars follows the text."""
     workers.give_back(spark)
-    rows = personal_data(docs, *docs.columns)
-    text = redacted(F.col("text"), F.col("spans"))
-    new = {"text": text, "n_chars": F.when(F.size("spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))}
-    return rows.withColumns({c: x for c, x in new.items() if c in docs.columns}).select(*docs.columns)
+    rows = personal_data(docs, *docs.columns, clean=True)
+    new = {"text": F.col("clean"), "n_chars": F.when(F.size("spans") > 0, F.length("clean").cast("long")).otherwise(F.col("n_chars"))}
+    return rows.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
