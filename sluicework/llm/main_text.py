@@ -16,9 +16,9 @@ from . import common
 
 # HTML's element names by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg math".split())
+RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg annotation annotation-xml".split())
 NEVER = frozenset("nav footer aside button select dialog menu object canvas audio video head".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var math mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split())
 PARAGRAPH = frozenset("p pre blockquote li td th dd dt h1 h2 h3 h4 h5 h6 figcaption caption address summary".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An opening tag of these ends an open paragraph.
@@ -26,11 +26,17 @@ ENDS_P = frozenset("address article aside blockquote details div dl fieldset fig
 #: Each of these is ended by the next of its group inside the same list or table.
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table select".split())
-#: Parts of class and id names that mark what is not the article.
+#: Parts of class and id names that mark what is not the article, as pages use them (the list that readability tools are known for, in its general form).
 UNLIKELY = frozenset(
-    "ad ads advert advertisement adverts adsense alert banner breadcrumb breadcrumbs byline comment comments consent cookie cookies copyright dialog discussion disqus footer form gdpr header login masthead menu modal nav navbar navigation "
+    "ad ads advert advertisement adverts adsense alert banner breadcrumb breadcrumbs byline consent cookie cookies copyright dialog discussion disqus footer form gdpr header login masthead menu modal nav navbar navigation "
     "newsletter notice outbrain pager pagination popup promo recommend recommended related replies respond search share sharing shoutbox sidebar signup skip social sponsor sponsored subscribe taboola toolbar widget".split()
 )
+#: Those that mark readers' comments, which may well be longer than the article.
+COMMENTS = frozenset("comment comments commentlist disqus replies respond shoutbox".split())
+#: Those that are as often the anchor of a section of the article, where an id has them.
+TOPICS = frozenset("alert banner byline dialog discussion form header login masthead notice recommend recommended related search share sharing skip social toolbar widget".split())
+#: Behind one of these a name tells of the layout, not of the element's own part in it.
+LAYOUT = frozenset("has have with without no not hide show".split())
 LIKELY = frozenset("article articlebody body content entry hentry main page post story text".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
@@ -38,6 +44,10 @@ _NAMED = re.compile(r"/?([a-zA-Z][^\s/>]*)")
 _STOP = re.compile("""[>"']""")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME = re.compile(r"[a-z]+")
+#: How an element's own marks speak against it: not, as an anchor may, as what isn't the article, as comments.
+FREE, ANCHOR, APART, READERS = range(4)
+#: A paragraph of prose has this many characters outside of links.
+PROSE = 80
 _SPACE = re.compile(r"\s+")
 _ENDS = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 #: Elements open at once at most; deeper ones count as parts of the deepest, as in browsers.
@@ -97,13 +107,23 @@ def tags(source: str) -> Iterator[tuple[str, str, str, str]]:
     yield source[text:], "", "", ""
 
 
+def _own_words(names: str) -> set[str]:
+    """Parts of class or id names, without those that only tell of the layout."""
+    out = set()
+    for name in names.split():
+        for part in _NAME.findall(name):
+            if part in LAYOUT:
+                break
+            out.add(part)
+    return out
+
+
 class Page:
     """A light tree of a page: of each element its tag, parent, weight and whether it can hold the article."""
 
-    def __init__(self, source: str, *, forms: bool = False):
-        self.tags, self.parents, self.weights, self.live = [""], [0], [0.0], [True]
+    def __init__(self, source: str):
+        self.tags, self.parents, self.weights, self.live, self.marks = [""], [0], [0.0], [True], [FREE]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
-        self.forms, self.has_forms = forms, False
         self._open = [0]
         self._many: Counter[str] = Counter()  # open elements by name
         self._deep: Counter[str] = Counter()  # those beyond DEPTH
@@ -118,6 +138,7 @@ class Page:
             else:
                 self._start(name, attributes)
         self._flush()
+        self._reject()
 
     def _add(self, text: str) -> None:
         if text and self.live[self._open[-1]]:
@@ -158,29 +179,89 @@ class Page:
             self._deep[name] += 1
             return
         parent = self._open[-1]
-        likely, weight = self._judge(name, attributes)
+        live, mark, weight = self._judge(name, attributes)
         self._many[name] += 1
         self.tags.append(name)
         self.parents.append(parent)
         self.weights.append(weight)
-        self.live.append(self.live[parent] and likely)
+        self.live.append(self.live[parent] and live)
+        self.marks.append(mark)
         self._open.append(len(self.tags) - 1)
 
-    def _judge(self, name: str, attributes: str) -> tuple[bool, float]:
+    def _judge(self, name: str, attributes: str) -> tuple[bool, int, float]:
+        """Whether it can hold text at all, what its names say against it, and its weight."""
         weight = {"article": 15.0, "main": 15.0, "section": 3.0, "div": 5.0, "blockquote": 3.0, "td": 3.0, "pre": 3.0, "header": 0.0}.get(name, 0.0)
-        self.has_forms |= name == "form"
-        if name in NEVER or name == "form" and not self.forms or name == "header" and not (self._many["article"] or self._many["main"]):
-            return False, weight
+        if name in NEVER or name == "header" and not (self._many["article"] or self._many["main"]):
+            return False, FREE, weight
+        mark = APART if name == "form" else FREE
         if not attributes.strip():
-            return True, weight
+            return True, mark, weight
         found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)}
         if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role") in ROLES or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")):
-            return False, weight
-        words = set(_NAME.findall(f"{found.get('class', '')} {found.get('id', '')}"))
-        bad, good = words & UNLIKELY, words & LIKELY
-        if bad and name not in ("html", "body", "article", "main", "form") and not (good and bad <= {"header", "byline", "share", "page"}):
-            return False, weight
-        return True, weight + 10.0 * bool(good)
+            return False, FREE, weight
+        classes, anchor = _own_words(found.get("class", "")), _own_words(found.get("id", ""))
+        good = (classes | anchor) & LIKELY
+        return True, max(mark, self._mark(name, classes, anchor, good)), weight + 10.0 * bool(good)
+
+    def _mark(self, name: str, classes: set[str], anchor: set[str], good: set[str]) -> int:
+        bad = UNLIKELY | COMMENTS
+        if name in ("html", "body", "main", "form"):
+            return FREE
+        if name in PARAGRAPH and name != "td":  # their ids are anchors, and a byline is a line of the article
+            return READERS if classes & COMMENTS else APART if classes & bad - (TOPICS - {"alert", "banner", "notice"}) else FREE
+        if (classes | anchor) & COMMENTS:
+            return READERS
+        if name == "article":
+            return FREE
+        of_class, of_id = classes & bad, anchor & bad
+        if not (of_class or of_id) or good and of_class | of_id <= {"header", "byline", "share", "page"}:
+            return FREE
+        return APART if of_class or of_id - TOPICS else ANCHOR
+
+    def _reject(self) -> None:
+        """Decides on the elements whose names speak against them, and leaves out the text of those that go.
+
+        One stays if the page's main element or its longest article is inside.
+        It also stays if it has more text and more blocks of prose outside of
+        links than all of the page that no name speaks against or that was taken
+        before, those with most prose first, unless it is comments; and where an
+        id only may be an anchor, if it reads as a section of prose. What stays
+        holds all around it.
+        Rejected text counts for nothing afterwards.
+        """
+        if not any(self.marks):
+            return
+        n = len(self.tags)
+        under = [0] * n  # the nearest marked element from there up
+        for x in range(1, n):
+            under[x] = x if self.marks[x] else under[self.parents[x]]
+        own = [0] * n  # characters outside of links: by the nearest marked element
+        whole = [0] * n  # and by element, all below it
+        prose, linked = Counter(), Counter()
+        for node, text, links in self.blocks:
+            plain = max(0, len(text) - links)
+            own[under[node]] += plain
+            whole[node] += plain
+            prose[under[node]] += plain >= PROSE
+            linked[under[node]] += min(links, len(text))
+        for x in range(n - 1, 0, -1):
+            whole[self.parents[x]] += whole[x]
+        frames = [x for x in range(1, n) if self.tags[x] == "main" and self.live[x]]
+        articles = [x for x in range(1, n) if self.tags[x] == "article" and self.live[x] and not any(self.marks[y] == READERS for y in self._line(x))]
+        frames += [max(articles, key=lambda x: (whole[x], -x))] if articles else []
+        inside = {y for x in frames for y in self._line(x)}
+        marked = sorted((x for x in range(1, n) if self.marks[x] and self.live[x]), key=lambda x: (-prose[x], -own[x], x))
+        free, told = own[0], prose[0]
+        for x in marked:
+            mark = self.marks[x]
+            if x in inside or mark != READERS and own[x] > free and prose[x] > told or mark == ANCHOR and prose[x] > 1 and 3 * linked[x] < own[x]:
+                inside.update(self._line(x))
+                free, told = free + own[x], told + prose[x]
+        for x in marked:
+            self.live[x] = x in inside
+        for x in range(1, n):
+            self.live[x] = self.live[x] and self.live[self.parents[x]]
+        self.blocks = [b for b in self.blocks if self.live[b[0]]]
 
     def _end(self, names: tuple[str, ...], scope: frozenset[str]) -> None:
         """Close the nearest open element of these names, unless one of scope is nearer."""
@@ -268,20 +349,33 @@ class Page:
         return "\n".join(out)
 
     def _menus(self, density: dict[int, float], whole: int, chosen: set[int]) -> set[int]:
-        """Containers of links outside of the article whose items are as short as those of menus."""
+        """Containers of links outside of the article whose items are as short as those of menus, unless the text leads up to them."""
         n_blocks: Counter[int] = Counter()
         chars: Counter[int] = Counter()
         for node, text, _ in self.blocks:
             for up in self._line(node):
                 n_blocks[up] += 1
                 chars[up] += len(text)
+        told = self._told()
         found = set()
         for n, share in density.items():
             if self.tags[n] in ("ul", "ol", "div", "table", "td", "section") and share > 0.7 and n not in chosen and chars[n] < MENU_ITEM * n_blocks[n]:
-                if not any(self.tags[x] == "article" and whole in self._line(x) for x in self._line(n)):
+                if n not in told and not any(self.tags[x] == "article" and whole in self._line(x) for x in self._line(n)):
                     found.add(n)
         return found
 
+    def _told(self) -> set[int]:
+        """Elements, and all above them inside the same container, that follow prose or a lower heading of that container: lists of an article's own links."""
+        begun: set[int] = set()  # containers in which the text has begun
+        out: set[int] = set()
+        for node, text, linked in self.blocks:
+            for up in self._line(node):
+                if self.parents[up] in begun:
+                    out.add(up)
+            if self.tags[node] in HEADINGS - {"h1"} and 2 * linked < len(text) or self.tags[node] not in HEADINGS and len(text) - linked >= PROSE:
+                begun.add(self.parents[node] if self.tags[node] in PARAGRAPH else node)
+        return out
+
     def _whole(self, best: int) -> int:
         """The outermost article or main around the container; else its parent if nothing in that was rejected; else itself."""
         marked = [n for n in self._line(best) if self.tags[n] in ("article", "main")]
@@ -303,15 +397,7 @@ class Page:
 
 def extracted(source: str | None) -> str:
     """The main text of a page. Forms are left out, unless the page's text stands inside one, as on pages that are a form whole."""
-    if not source:
-        return ""
-    page = Page(source)
-    text = page.article()
-    if page.has_forms:
-        whole = Page(source, forms=True).article()
-        if len(whole) > 4 * len(text) + 200:
-            return whole
-    return text
+    return Page(source).article() if source else ""
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

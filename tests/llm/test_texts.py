@@ -214,6 +214,51 @@ def test_main_text_of_templates(name):
     assert extracted(source).split("\n") == want
 
 
+EIGHT = [f"{w}, a sentence that tells about {w}, with commas, and goes on until it is long enough to be taken for a text of its own." for w in "rivers bridges boats locks mills weirs ferries docks".split()]
+_MENU = "<nav><a href=/>Home</a></nav><div class=menu><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></div>"
+
+
+@pytest.mark.parametrize("opening", ['<div class="content-with-sidebar">', '<div id="content" class="has-sidebar">', '<div class="page no-comments">', '<div class="main search">', '<div id="login">', '<section class="widget">', '<div class="layout header-fixed">'])
+def test_layout_words_lose_no_page(opening):
+    body = "".join(f"<p>{p}</p>" for p in EIGHT)
+    assert extracted(f"<body>{_MENU}{opening}{body}</div><div class=footer>the end of it</div></body>").split("\n") == EIGHT
+
+
+@pytest.mark.parametrize(("piece", "kept"), [
+    (f'<section id="social"><h2>Social</h2><p>{EIGHT[0]}</p><p>{EIGHT[1]}</p><p>{EIGHT[2]}</p></section>', ["Social", *EIGHT[:3]]),
+    ('<h2 id="login">Login</h2>', ["Login"]), ('<h2 id="share">Share</h2>', ["Share"]), (f'<p id="related-work">{EIGHT[0]}</p>', [EIGHT[0]]), ('<p class="byline">By A. Writer</p>', ["By A. Writer"]),
+    ("<p>Where <math><mi>x</mi><mo>=</mo><mn>3</mn></math> holds</p>", ["Where x=3 holds"]),
+    ('<ul class="share"><li><a href=x>Tweet</a></li></ul>', []), ('<div class="ad">Buy now, cheap.</div>', []), (f'<div id="comments"><p>{EIGHT[0]}</p><p>{EIGHT[1]}</p></div>', []), (f'<div class="notice"><p>{EIGHT[0]}</p></div>', []),
+    (f'<ol class="comment-list"><li class="comment"><article class="comment-body"><p>{EIGHT[0]}</p></article></li></ol>', []), ('<form action=x><label>Mail</label><input></form>', []), ('<p class="cookie-note">We use cookies.</p>', []),
+])
+def test_names_inside_an_article(piece, kept):
+    before, after = EIGHT[3:6], EIGHT[6:]
+    source = f"<body>{_MENU}<article><h1>Title</h1>{''.join(f'<p>{p}</p>' for p in before)}{piece}{''.join(f'<p>{p}</p>' for p in after)}</article></body>"
+    assert extracted(source).split("\n") == ["Title", *before, *kept, *after]
+
+
+def test_comments_longer_than_the_article():
+    replies = "".join(f'<div class="comment"><p>{p}</p></div>' for p in EIGHT * 5)
+    for opening in ("<article>", "<div class=post>", "<div>"):
+        assert extracted(f"<body>{_MENU}{opening}<p>{EIGHT[0]}</p><p>{EIGHT[1]}</p></div></article><section id=comments>{replies}</section></body>").split("\n") == EIGHT[:2]
+
+
+@pytest.mark.parametrize("words", [0, 3, 40])
+def test_an_article_in_a_form_whatever_stands_outside(words):
+    """The form's text counts by what it holds, however long a notice beside it is."""
+    notice = f"<div class=notice>{' '.join(['word'] * 20 * words)}</div>"
+    source = f"<body>{notice}<form id=aspnetForm><div id=content>{''.join(f'<p>{p}</p>' for p in EIGHT)}</div></form></body>"
+    assert extracted(source).split("\n") == EIGHT
+
+
+def test_short_references_of_a_container():
+    links = "<ul><li><a href=1>Source A</a></li><li><a href=2>Source B</a></li></ul>"
+    for opening in ("<main>", "<div class=content>"):
+        source = f"<body>{_MENU}{opening}<h1>T</h1>{''.join(f'<p>{p}</p>' for p in EIGHT[:3])}<h2>References</h2>{links}</div></main></body>"
+        assert extracted(source).split("\n") == ["T", *EIGHT[:3], "References", "Source A", "Source B"]
+    assert "Source A" not in extracted(f"<body><div class=content>{links}{''.join(f'<p>{p}</p>' for p in EIGHT[:3])}</div></body>")
+
+
 @pytest.mark.parametrize("piece", ["<a ", '<a href="x', "<a href='x\"", "<div>", "<p><span>", "<!-- x ", "< ", "&amp", "<p>a, b", "</p>", "<ul><li><a href=x>k", '<a b=">', "<script>", "<form><p>t", "<table><tr><td>"])
 def test_broken_pages_take_linear_time(piece):
     """Twenty times as much must not take two hundred times as long."""
