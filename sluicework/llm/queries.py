@@ -99,7 +99,28 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_hilbert_sharding, op3_jaccard_join, op4_toxicity, op5_packing, op6_audio_features, op7_main_text, op8_personal_data, op9_token_counts, op10_token_file)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_codes import encode
+
+    return encode(common.table(spark, sf_dir, "embeddings"), "embedding", "vec_id", "label")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversations import damaged, repair
+
+    turns = common.table(spark, sf_dir, "conversations")
+    return repair(damaged(turns), turns.select("conv_id"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import fit, held_out, predict
+
+    docs = common.table(spark, sf_dir, "documents")
+    model = fit(docs.filter(~held_out(F.col("doc_id"))), _tokenizer("piece_bpe_32k.model"))
+    return predict(docs, model, "doc_id").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_hilbert_sharding, op3_jaccard_join, op4_toxicity, op5_packing, op6_audio_features, op7_main_text, op8_personal_data, op9_token_counts, op10_token_file, op11_vector_codes, op12_conversation_repair, op13_language)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
