@@ -36,6 +36,11 @@ def hex_id(key: str) -> Column:
     return F.concat(F.lit("a"), F.lpad(F.lower(F.hex(key)), 31, "0"))
 
 
+def number(sys_id: str) -> int:
+    """The key that an id was made of, so that a lookup by id can be pushed to the scan."""
+    return int(sys_id[1:], 16)
+
+
 def issue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a keyed, mutable table of issues."""
     o = table(spark, sf_dir, "orders")

@@ -10,7 +10,8 @@ from ..functions import coerce
 from ..operators import shape
 from ..plans import encoded_query as eq
 from ..plans import keyset as ks
-from .base import CHANGES, ISSUE, Catalogue, changes, hex_id, issue, table
+from ..workers import small
+from .base import CHANGES, ISSUE, Catalogue, changes, hex_id, issue, number, table
 
 Q = Catalogue()
 
@@ -23,7 +24,8 @@ def scan_list(spark, sf_dir):
 
 @Q(f"WITH {ISSUE} SELECT sys_id, state, priority FROM issue WHERE sys_id = 'a0000000000000000000000000000007'||'' OR sys_id = concat('a', lpad('7', 31, '0')) LIMIT 1")
 def point_lookup(spark, sf_dir):
-    return issue(spark, sf_dir).filter(F.col("sys_id") == "a" + "7".rjust(31, "0")).select("sys_id", "state", "priority").limit(1)
+    wanted = "a" + "7".rjust(31, "0")
+    return issue(spark, sf_dir).filter((F.col("number") == number(wanted)) & (F.col("sys_id") == wanted)).select("sys_id", "state", "priority").limit(1)
 
 
 @Q(f"WITH {ISSUE} SELECT number, state FROM issue")
@@ -50,7 +52,7 @@ _NATION = "SELECT s_suppkey, CAST(s_nationkey AS VARCHAR) AS v, n_name AS d FROM
 
 
 def _suppliers(spark, sf_dir):
-    return table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
+    return table(spark, sf_dir, "supplier").join(small(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
 
 
 @Q(f"SELECT s_suppkey, v AS value, d AS display_value, concat('/nation/', v) AS link FROM ({_NATION})")

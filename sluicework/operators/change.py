@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -77,6 +76,8 @@ def check_operation(op: Column, sys_id: Column, value_is_null: Column) -> Column
 #: Columns that tell one change of a batch from another, as far as the batch has them.
 COORDINATES = ("topic", "partition", "offset", "order")
 #: System columns that a target may have besides its id, count and time of change.
+#: Changes of one key that are folded as one array at most, as a power of two.
+RUN_BITS = 13
 _SYSTEM = ("sys_created_on", "sys_created_by", "sys_updated_by")
 
 
@@ -99,16 +100,16 @@ def apply_changes(target: DataFrame, changes: DataFrame, fields: list[str], *, n
     doesn't; not_found "create" lets PATCH and PUT make the row and "ignore"
     drops them. The rejected changes have all their columns and a reason.
 
-    A range partitioning by key and order deals a hot key to several tasks.
-    Each folds its run of changes twice, for a row that exists and one that
-    doesn't; a key's runs, one for each task that has any, are put together on
-    top of the target's row. The runs are stored, as both results read them.
+    A range partitioning by key and order, cut into runs of 2 ** RUN_BITS rows, deals a
+    hot key to many groups of that size at most. Each run is folded twice, for a
+    row that exists and one that doesn't; a key's runs are put together on top
+    of the target's row. The runs are stored, as both results read them.
     """
     kept = [c for c in changes.columns if c not in ("change_id", "target_id", "reason")]
     place = [c for c in ("order", *COORDINATES[:3]) if c in changes.columns]
     rows = identified(changes.select(*kept)).select("target_id", "order", F.struct(*kept, "change_id").alias("c"))
-    runs = rows.repartitionByRange("target_id", "order").groupBy("target_id", F.spark_partition_id().alias("run"))
-    runs = runs.agg(F.array_sort(F.collect_list("c"), _by(place)).alias("cs"))
+    placed = rows.repartitionByRange("target_id", "order").sortWithinPartitions("target_id", *(F.col(f"c.{p}") for p in place))
+    runs = placed.withColumn("run", F.shiftright(F.monotonically_increasing_id(), RUN_BITS)).groupBy("target_id", "run").agg(F.array_sort(F.collect_list("c"), _by(place)).alias("cs"))
     stamp = dict(target.dtypes)["sys_updated_on"]
     change = runs.schema["cs"].dataType.elementType
     none = F.struct(
@@ -140,7 +141,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, fields: list[str], *, n
     keys = runs.groupBy("target_id").agg(F.array_sort(F.collect_list(ways), _by(["run"])).alias("runs"))
     own = target.select(F.col("sys_id").alias("target_id"), F.struct(*target.columns).alias("row"))
     joined = own.join(keys, "target_id", "full_outer")
-    first = F.struct(*(none[x].alias(x) for x in ("fresh", "reset", "mod", "at", "made", "body")), F.col("row").isNotNull().alias("live"), F.array().cast("array<struct<run:int,live:boolean>>").alias("starts"))
+    first = F.struct(*(none[x].alias(x) for x in ("fresh", "reset", "mod", "at", "made", "body")), F.col("row").isNotNull().alias("live"), F.array().cast("array<struct<run:bigint,live:boolean>>").alias("starts"))
 
     def joined_run(s: Column, r: Column) -> Column:
         n = F.when(s["live"], r["on"]).otherwise(r["off"])
@@ -213,9 +214,15 @@ def lane_order(df: DataFrame, tasks: int | None = None) -> DataFrame:
 
 
 def with_lane_stop(df: DataFrame, stops: Column) -> DataFrame:
-    """df with `attempted`: false after the first record of its lane that stops it."""
-    w = W.partitionBy("topic", "partition").orderBy("offset").rowsBetween(W.unboundedPreceding, -1)
-    return df.withColumn("attempted", ~F.coalesce(F.max(stops).over(w), F.lit(False)))
+    """df with `attempted`: false after the first record of its lane that stops it.
+
+    A lane's least stopping offset is one partial aggregation, so no task sorts
+    a lane; records meet it by a join that can be broadcast or split.
+    """
+    first = df.filter(stops).groupBy(F.col("topic").alias("_topic"), F.col("partition").alias("_partition")).agg(F.min("offset").alias("_stop"))
+    same = F.col("topic").eqNullSafe(F.col("_topic")) & F.col("partition").eqNullSafe(F.col("_partition"))
+    attempted = F.col("_stop").isNull() | (F.col("offset") <= F.col("_stop"))
+    return df.join(first, same, "left").withColumn("attempted", attempted).drop("_topic", "_partition", "_stop")
 
 
 def completed_offsets(outcomes: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import config_timestamp
+from ..workers import small
 
 RULES = "from_key string, action string, to_key string, from_value string, to_value string, note string, rank int"
 
@@ -18,9 +19,10 @@ RULES = "from_key string, action string, to_key string, from_value string, to_va
 def translate(config: DataFrame, rules: DataFrame, *, timestamps: tuple[str, ...] = ()) -> DataFrame:
     """config's (connector, key, value) rows with key and value translated, note and rank.
 
-    The rules are a configuration themselves and are broadcast.
+    The rules are a configuration themselves; they are counted before they are
+    broadcast.
     """
-    r = F.broadcast(rules)
+    r = small(rules)
     hit = (config["key"] == r["from_key"]) & (r["from_value"].isNull() | (r["from_value"] == config["value"]))
     j = config.join(r, hit, "left")
     value = F.when(F.col("action") == "value", F.col("to_value")).when(F.col("key").isin(*timestamps), config_timestamp(F.col("value"))).otherwise(F.col("value"))

@@ -56,11 +56,15 @@ def _at(t: datetime, df: DataFrame, keys: Keys) -> Column:
 
 
 def after(df: DataFrame, cursor: Cursor, keys: Keys = Keys()) -> Column:
-    """Strictly after the cursor."""
+    """Strictly after the cursor.
+
+    The bound that the cursor's second implies stands by itself, so a scan is
+    pruned by it whatever the id is made of.
+    """
     ts, start, end = F.col(keys.ts), _at(cursor.ts, df, keys), _at(cursor.ts + SECOND, df, keys)
     if not cursor.sys_id:
         return ts >= end
-    return (ts >= end) | ((ts >= start) & (ts < end) & (F.col(keys.sys_id) > cursor.sys_id))
+    return (ts >= start) & ((ts >= end) | (F.col(keys.sys_id) > cursor.sys_id))
 
 
 def until(df: DataFrame, high: datetime, keys: Keys = Keys()) -> Column:
@@ -145,14 +149,16 @@ def order_violations(df: DataFrame, arrival: str, keys: Keys = Keys(), *, lane:
 
 def source_counters(df: DataFrame, source: str, version: Column, ts: Column, *, skipped: Column, now: int) -> DataFrame:
     """By source: rows emitted, versions among them that came again, rows skipped, and the seconds that the newest lies behind now."""
-    lag = F.greatest(F.lit(0).cast("bigint"), F.lit(now) - F.unix_timestamp(F.max(F.date_trunc("second", ts)).cast("timestamp")))
-    return df.groupBy(F.col(source).alias("source")).agg(F.count("*").alias("emitted"), (F.count("*") - F.countDistinct(version)).alias("duplicates"), F.count_if(skipped).alias("skipped"), lag.alias("lag_seconds"))
+    # by version first: copies meet after each task has counted its own, and a source is never one large group of versions
+    each = df.groupBy(F.col(source).alias("source"), version.alias("_version")).agg(F.count("*").alias("_n"), F.count_if(skipped).alias("_skipped"), F.max(F.date_trunc("second", ts)).alias("_newest"))
+    lag = F.greatest(F.lit(0).cast("bigint"), F.lit(now) - F.unix_timestamp(F.max("_newest").cast("timestamp")))
+    return each.groupBy("source").agg(F.sum("_n").alias("emitted"), (F.sum("_n") - F.count_if(F.col("_version").isNotNull())).alias("duplicates"), F.sum("_skipped").alias("skipped"), lag.alias("lag_seconds"))
 
 
 def dedup_versions(df: DataFrame, arrival: str, keys: Keys = Keys()) -> DataFrame:
-    """The first arrival of every row version (second, id, version)."""
-    w = W.partitionBy(F.date_trunc("second", keys.ts), keys.sys_id, keys.version).orderBy(arrival)
-    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """The first arrival of every row version (second, id, version): one partial aggregation, so many copies of one version are never sorted."""
+    version = F.date_trunc("second", keys.ts).alias("_second"), F.col(keys.sys_id).alias("_id"), F.col(keys.version).alias("_mod")
+    return df.groupBy(*version).agg(F.min_by(F.struct(*df.columns), F.col(arrival)).alias("_r")).select("_r.*")
 
 
 def latest_state(df: DataFrame, key: str, *order: str) -> DataFrame:

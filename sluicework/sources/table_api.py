@@ -23,7 +23,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 from ..plans import encoded_query, offsets
 from ..plans.config import Connection, SourceConfig, TableConfig, check
-from ..plans.keyset import Cursor, Keys, high_water_mark, phase, projection, seconds
+from ..plans.keyset import Cursor, Keys, high_water_mark, is_idle, phase, projection, seconds
 from ..workers import ship
 from .auth import Basic, OAuth
 from .client import Client
@@ -256,7 +256,7 @@ class TableStreamReader(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:  # noqa: N802
         at, high = self.at or self.scan.start(), self.scan.high()
-        if time.monotonic() < self.wake or high <= at.ts:
+        if time.monotonic() < self.wake or is_idle(at, high):
             return self._offset(at, high)
         found = self.scan.place_after(at, high, self.rows)
         self.at = found or Cursor(high)
