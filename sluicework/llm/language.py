@@ -35,7 +35,7 @@ TEXTS, HELD_CHARS = 1024, 1 << 20
 #: The prediction for texts without a letter.
 UNDETERMINED = "und"
 
-_SHIFT, _FACTOR = np.uint64(46), np.uint64(0x9E3779B97F4A7C15)
+_SHIFT, _FACTOR = np.uint64(45), np.uint64(0x9E3779B97F4A7C15)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -52,47 +52,70 @@ def pieces(path: str) -> tuple[str, ...]:
     return tuple(sorted(p for p in found if len(p) <= LONGEST and (p == START or p.removeprefix(START).isalpha())))
 
 
+#: What the characters of one number of pieces' characters have: flat places (first character times words plus word) in order, and the pieces that begin there.
+Found = tuple[np.ndarray, np.ndarray]
+
+
+def _mixed(h: np.ndarray, code: np.ndarray) -> np.ndarray:
+    h = (h ^ code) * _FACTOR
+    return h ^ (h >> np.uint64(29))
+
+
 class Vocabulary:
-    """Piece numbers of all substrings of words, by a hash table that whole arrays are looked up in. Number 0 is an unknown character, -1 no piece."""
+    """Pieces of all substrings of words, by a hash table of the pieces' beginnings that whole arrays are looked up in."""
 
     def __init__(self, names: tuple[str, ...]):
-        self.names = names
-        keys = [self._hashes(np.array([ord(c) for c in n], np.uint64), len(n))[-1][0] for n in names]
-        self.hashes, self.ids = np.zeros(1 << (64 - int(_SHIFT)), np.uint64), np.full(1 << (64 - int(_SHIFT)), -1, np.int32)
-        self.probes = 1
-        for i, h in enumerate(keys):
-            at, n = int(h >> _SHIFT), 1
-            while self.ids[at] >= 0:
-                at, n = (at + 1) % self.ids.size, n + 1
-            self.hashes[at], self.ids[at] = h, i + 1
-            self.probes = max(self.probes, n)
-
-    @staticmethod
-    def _hashes(codes: np.ndarray, longest: int) -> list[np.ndarray]:
-        """Hashes of all substrings of 1, 2, ... characters by their first one; the first character's bits end mixed into all."""
-        out, h = [], np.zeros(len(codes), np.uint64)
-        with np.errstate(over="ignore"):
-            for n in range(1, min(longest, len(codes)) + 1):
-                h = (h[: len(codes) - n + 1] ^ codes[n - 1 :]) * _FACTOR
-                h = h ^ (h >> np.uint64(29))
-                out.append(h)
-        return out
-
-    def lookup(self, codes: np.ndarray) -> list[np.ndarray]:
-        """For 1 to LONGEST characters the piece that begins at each place, or -1; of one character at least the unknown piece."""
-        found = []
-        for n, h in enumerate(self._hashes(codes, LONGEST), 1):
-            at = (h >> _SHIFT).astype(np.int64)
-            ids = np.full(len(codes), -1, np.int32)
-            part = ids[: len(h)]
-            for probe in range(self.probes):
-                slot = at + probe if not probe else (at + probe) % self.ids.size
-                hit = self.hashes[slot] == h
-                part[hit] = self.ids[slot[hit]]
+        starts: dict[str, int] = {}
+        for i, n in enumerate(names, 1):
+            for k in range(1, len(n)):
+                starts.setdefault(n[:k], -1)
+            starts[n] = i
+        size = 1 << (64 - int(_SHIFT))
+        self.hashes, self.ids, self.used = np.zeros(size, np.uint64), np.full(size, -1, np.int32), np.zeros(size, bool)
+        for n, i in starts.items():
+            h = np.zeros(1, np.uint64)
+            for c in n:
+                h = _mixed(h, np.array([ord(c)], np.uint64))
+            at = int(h[0] >> _SHIFT)
+            while self.used[at]:
+                at = (at + 1) % size
+            self.hashes[at], self.ids[at], self.used[at] = h[0], i, True
+
+    def _slots(self, h: np.ndarray) -> np.ndarray:
+        """Where each hash stands; -1 if it doesn't."""
+        at = (h >> _SHIFT).astype(np.int64)
+        open_ = np.flatnonzero((self.hashes[at] != h) & self.used[at])
+        while open_.size:  # a slot further for those that met another one
+            at[open_] = (at[open_] + 1) % len(self.ids)
+            open_ = open_[(self.hashes[at[open_]] != h[open_]) & self.used[at[open_]]]
+        at[~self.used[at]] = -1
+        return at
+
+    def lookup(self, codes: np.ndarray) -> list[Found]:
+        """Of words of one length, as (character, word), the pieces of 1 to LONGEST characters. Where no character's piece is known its number is 0.
+
+        A substring is looked at only where the one without its last character
+        begins a piece.
+        """
+        t, w = codes.shape
+        flat = codes.ravel()
+        places, h = np.arange(t * w), np.zeros(t * w, np.uint64)
+        out: list[Found] = []
+        for n in range(1, min(LONGEST, t) + 1):
+            if n > 1:
+                inside = int(np.searchsorted(places, (t - n + 1) * w))
+                places, h = places[:inside], h[:inside]
+            h = _mixed(h, flat[places + (n - 1) * w])
+            at = self._slots(h)
+            known = at >= 0
             if n == 1:
-                ids[ids < 0] = 0
-            found.append(ids)
-        return found
+                out.append((places, np.where(known, np.maximum(self.ids[at], 0), 0)))
+                places, h = places[known], h[known]
+            else:
+                places, h, ids = places[known], h[known], self.ids[at[known]]
+                whole = ids > 0
+                out.append((places[whole], ids[whole]))
+        return out
 
 
 @cache
@@ -115,19 +138,21 @@ def words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return of, flat.dictionary, codes
 
 
-def by_length(names: pa.Array) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """Groups of words of one length: their places, and for n = 1, 2, ... the pieces of n characters by word and first character."""
+def by_length(names: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Groups of words of one length: their places, and their characters behind a start sign as (character, word)."""
     lengths = pc.utf8_length(names).to_numpy(zero_copy_only=False).astype(np.int64)
     order = np.argsort(lengths, kind="stable")
-    order = order[lengths[order] > 0]
-    first = 0
+    sizes = lengths[order]
+    first = int(np.searchsorted(sizes, 1))
+    codes = np.frombuffer("".join(names.take(pa.array(order)).to_pylist()).encode("utf-32-le"), np.uint32)
+    at = 0
     while first < order.size:
-        n = int(lengths[order[first]])
-        last = int(np.searchsorted(lengths[order], n, "right"))
-        last = min(last, first + max(1, HELD_CHARS // (n + 1)))
-        group = order[first:last]
-        text = "".join(START + w for w in names.take(pa.array(group)).to_pylist())
-        yield group, np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64).reshape(group.size, n + 1)
+        n = int(sizes[first])
+        last = min(int(np.searchsorted(sizes, n, "right")), first + max(1, HELD_CHARS // (n + 1)))
+        full = np.full((n + 1, last - first), ord(START), np.uint64)
+        full[1:] = codes[at : at + n * (last - first)].reshape(last - first, n).T
+        yield order[first:last], full
+        at += n * (last - first)
         first = last
 
 
@@ -143,60 +168,59 @@ class Model:
     def vocabulary(self) -> Vocabulary:
         return vocabulary(self.path)
 
-    def forward(self, found: list[np.ndarray], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sums over the segmentations of every prefix of words of one length, scaled, and the logarithms of the scales."""
-        w, t = found[0].shape
+    def _summed(self, found: list[Found], t: int, w: int, table: np.ndarray, back: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Sums over the segmentations of every beginning (or, backwards, end) of words of one length, and the logarithms that scale them.
+
+        Row i belongs to what lies before (behind) character i.
+        """
         k = table.shape[1]
         sums, scale = np.zeros((t + 1, w, k)), np.zeros((t + 1, w, k))
-        sums[0] = 1.0
-        for end in range(1, t + 1):
-            for n in range(1, min(LONGEST, end) + 1):
-                ids = found[n - 1][:, end - n]
-                rows = np.flatnonzero(ids >= 0)
-                if rows.size:
-                    step = sums[end - n, rows] * table[ids[rows]]
-                    if t > LONGEST:
-                        step *= np.exp(scale[end - n, rows] - scale[end - 1, rows])
-                    sums[end, rows] += step
-            if t > LONGEST:  # long words only: short ones cannot leave the range of numbers
-                scale[end] = scale[end - 1] + np.log(sums[end])
-                sums[end] = 1.0
+        long = t > LONGEST  # short words cannot leave the range of numbers
+        sums[t if back else 0] = 1.0
+        cuts = [np.searchsorted(places, np.arange(t + 1) * w) for places, _ in found]
+        chances = [table[ids] for _, ids in found]
+        for step in range(1, t + 1):
+            to = t - step if back else step
+            before = to + 1 if back else to - 1
+            for n in range(1, min(LONGEST, step) + 1):
+                start = to if back else to - n
+                come = to + n if back else start
+                lo, hi = cuts[n - 1][start], cuts[n - 1][start + 1]
+                if lo == hi:
+                    continue
+                rows = found[n - 1][0][lo:hi] - start * w
+                more = sums[come, rows] * chances[n - 1][lo:hi]
+                if long:
+                    more *= np.exp(scale[come, rows] - scale[before, rows])
+                sums[to, rows] += more
+            if long:
+                scale[to] = scale[before] + np.log(sums[to])
+                sums[to] = 1.0
         return sums, scale
 
     def log_words(self, names: pa.Array) -> np.ndarray:
         """Logarithms of the words' probabilities in every language."""
         out = np.zeros((len(names), len(self.languages)))
         for group, codes in by_length(names):
-            sums, scale = self.forward(self.found(codes), self.table)
+            sums, scale = self._summed(self.vocabulary.lookup(codes), *codes.shape, self.table, False)
             out[group] = np.log(sums[-1]) + scale[-1]
         return out
 
-    def found(self, codes: np.ndarray) -> list[np.ndarray]:
-        """Pieces of n characters by word and first character; none reaches beyond its word."""
-        w, t = codes.shape
-        out = [x.reshape(w, t) for x in self.vocabulary.lookup(codes.ravel())]
-        for n, x in enumerate(out, 1):
-            x[:, t - n + 1 :] = -1
-        return out
-
     def expected(self, names: pa.Array, counts: np.ndarray, language: int) -> np.ndarray:
         """Every piece's expected count in segmentations of words that occur so often, under one language."""
         table = self.table[:, language : language + 1]
         out = np.zeros(len(self.table))
         for group, codes in by_length(names):
-            found = self.found(codes)
-            w, t = codes.shape
-            fore, up = (x[..., 0] for x in self.forward(found, table))
-            turned = [np.concatenate([x[:, : t - n][:, ::-1], np.full((w, n), -1, np.int32)], 1) for n, x in enumerate(found)]
-            aft, down = (x[::-1, :, 0] for x in self.forward(turned, table))
-            total = np.log(fore[-1]) + up[-1]
-            for n, x in enumerate(found, 1):
-                for start in range(t - n + 1):
-                    ids = x[:, start]
-                    rows = np.flatnonzero(ids >= 0)
-                    if rows.size:
-                        share = fore[start, rows] * table[ids[rows], 0] * aft[start + n, rows] * np.exp(up[start, rows] + down[start + n, rows] - total[rows])
-                        out += np.bincount(ids[rows], share * counts[group[rows]], len(out))
+            t, w = codes.shape
+            found = self.vocabulary.lookup(codes)
+            (fore, up), (aft, down) = (self._summed(found, t, w, table, back) for back in (False, True))
+            total = np.log(fore[-1, :, 0]) + up[-1, :, 0]
+            weight = counts[group]
+            fore, up, aft, down = (x.reshape(-1) for x in (fore, up, aft, down))
+            for n, (places, ids) in enumerate(found, 1):
+                word = places % w
+                share = fore[places] * table[ids, 0] * aft[places + n * w] * np.exp(up[places] + down[places + n * w] - total[word])
+                out += np.bincount(ids, share * weight[word], len(out))
         return out
 
     def log_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
