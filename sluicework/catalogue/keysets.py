@@ -101,22 +101,22 @@ def same_second_buckets(spark, sf_dir):
     return o.groupBy(F.date_trunc("second", "o_orderdate").cast("timestamp_ntz").alias("ts")).agg(F.count("*").alias("rows")).filter("rows > 1")
 
 
-def _arrivals(spark, sf_dir):
+def arrivals(spark, sf_dir):
     """Events whose every fiftieth carries a time of the day before, and every seventieth the id of an earlier one."""
     n = F.col("event_id")
     ts = F.when(n % 50 == 0, F.expr("ts - INTERVAL 1 DAY")).otherwise(F.col("ts"))
     return table(spark, sf_dir, "events").select("user_id", n.alias("arrival"), ts.alias("ts"), F.when(n % 70 == 0, n - 3).otherwise(n).alias("event_id"))
 
 
-_ARRIVALS = "a AS (SELECT user_id, event_id AS arrival, date_trunc('second', CASE WHEN event_id % 50 = 0 THEN ts - INTERVAL 1 DAY ELSE ts END) AS s, CASE WHEN event_id % 70 = 0 THEN event_id - 3 ELSE event_id END AS event_id FROM events)"
+ARRIVALS = "a AS (SELECT user_id, event_id AS arrival, date_trunc('second', CASE WHEN event_id % 50 = 0 THEN ts - INTERVAL 1 DAY ELSE ts END) AS s, CASE WHEN event_id % 70 = 0 THEN event_id - 3 ELSE event_id END AS event_id FROM events)"
 
 
 def _violations(lane: str | None):
     def run(spark, sf_dir):
-        return ks.order_violations(_arrivals(spark, sf_dir), "arrival", _EVENT, lane=lane).select("user_id", "arrival")
+        return ks.order_violations(arrivals(spark, sf_dir), "arrival", _EVENT, lane=lane).select("user_id", "arrival")
 
     part = f"PARTITION BY {lane} " if lane else ""
-    return run, f"WITH {_ARRIVALS}, e AS (SELECT *, lag(s) OVER w AS s0, lag(event_id) OVER w AS e0 FROM a WINDOW w AS ({part}ORDER BY arrival)) SELECT user_id, arrival FROM e WHERE s < s0 OR (s = s0 AND event_id <= e0)"
+    return run, f"WITH {ARRIVALS}, e AS (SELECT *, lag(s) OVER w AS s0, lag(event_id) OVER w AS e0 FROM a WINDOW w AS ({part}ORDER BY arrival)) SELECT user_id, arrival FROM e WHERE s < s0 OR (s = s0 AND event_id <= e0)"
 
 
 Q.add("order_violation", *_violations("user_id"))

@@ -38,6 +38,21 @@ def schema_versions(spark, sf_dir):
     return spark.createDataFrame([(i + 1, v, ",".join(f)) for i, (v, f) in enumerate(found)], "batch int, version int, fields string")
 
 
+_RECORDS = """r AS (SELECT event_id, date_trunc('hour', ts)::TIMESTAMP AS batch, names FROM (SELECT event_id, ts, ['k', event_type, concat('tag_', CAST(json_extract(props, '$.k') AS BIGINT) // 7), concat('user_', user_id % 40)] AS names FROM events))"""
+
+
+@Q(f"""WITH {_RECORDS}, n AS (SELECT batch, event_id, unnest(names) AS field, unnest(range(len(names))) AS position FROM r),
+ f AS (SELECT field, min((batch, event_id, position)) AS first, arg_min(batch, (batch, event_id, position)) AS born FROM n GROUP BY field), b AS (SELECT DISTINCT batch FROM r)
+ SELECT b.batch, CAST(1 + count(DISTINCT CASE WHEN f.born > (SELECT min(batch) FROM b) THEN f.born END) AS INTEGER) AS version, string_agg(field, ',' ORDER BY first) AS fields FROM b JOIN f ON f.born <= b.batch GROUP BY b.batch""")
+def schema_growth_versions(spark, sf_dir):
+    """Records' own fields, hour by hour: names that come from the data appear with the first record that has them."""
+    e = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    names = F.array(F.lit("k"), F.col("event_type"), F.concat(F.lit("tag_"), F.floor(k / 7).cast("string")), F.concat(F.lit("user_"), (F.col("user_id") % 40).cast("string")))
+    rows = e.select("event_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), F.map_from_arrays(names, F.transform(names, lambda n: n)).alias("record"))
+    return shape.field_versions(rows, "hour", "event_id", F.map_keys("record")).select("batch", "version", F.array_join("fields", ",").alias("fields"))
+
+
 def _cells(spark, sf_dir):
     """Issues as string cells, with empty and bad ones among them."""
     n = F.col("number")

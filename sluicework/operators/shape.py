@@ -59,6 +59,34 @@ def schema_versions(batches: list[list[str]]) -> list[tuple[int, list[str]]]:
     return out
 
 
+def first_seen(rows: DataFrame, batch: str, place: str, fields: Column) -> DataFrame:
+    """Of every field name the first (batch, place, position) at which a row has it; fields is the row's array of names.
+
+    One aggregate whose parts are merged, so it doesn't matter how rows are
+    dealt, and each task sends a row for each name at most.
+    """
+    names = rows.select(F.col(batch).alias("batch"), F.col(place).alias("place"), F.posexplode(fields).alias("position", "field"))
+    return names.groupBy("field").agg(F.min(F.struct("batch", "place", "position")).alias("first"))
+
+
+def field_versions(rows: DataFrame, batch: str, place: str, fields: Column) -> DataFrame:
+    """After each batch of rows the version of their growing schema and its fields, in the order in which they were first seen.
+
+    The first batch begins version 1; each later batch with a new field begins
+    the next. The fields of a table, with where they were first seen, are one
+    small row, from which each batch takes those seen so far; a batch without
+    rows, or whose rows have no fields, has what came before.
+    """
+    known = first_seen(rows, batch, place, fields).agg(F.array_sort(F.collect_list(F.struct("first", "field"))).alias("_known"))
+    batches = rows.select(F.col(batch).alias("batch")).distinct()
+    begun = rows.agg(F.min(batch).alias("_begun"))
+    all_ = batches.join(F.broadcast(known), F.lit(True)).join(F.broadcast(begun), F.lit(True))  # two single rows
+    so_far = F.filter("_known", lambda x: x["first"]["batch"] <= F.col("batch"))
+    grown_at = F.array_distinct(F.transform(so_far, lambda x: x["first"]["batch"]))
+    version = F.size(F.filter(grown_at, lambda b: b > F.col("_begun"))) + 1
+    return all_.select("batch", version.alias("version"), F.transform(so_far, lambda x: x["field"]).alias("fields"))
+
+
 def typed(df: DataFrame, mapping: str, *, evolution: str = "fail") -> DataFrame:
     """Declared fields as their types, with an error column for what the evolution mode refuses.
 
