@@ -95,6 +95,19 @@ def late_rows(spark, sf_dir):
     return late.select("event_id", F.date_trunc("second", "ts").cast("timestamp_ntz").alias("ts"))
 
 
+@Q("""WITH s AS (SELECT DISTINCT ts + INTERVAL 17 MINUTE AS began FROM events WHERE event_id % 23 = 0), w AS (SELECT began, date_trunc('second', lag(began) OVER (ORDER BY began) - INTERVAL 90 SECOND) - INTERVAL 30 MINUTE AS low FROM s),
+ e AS (SELECT event_id, date_trunc('second', ts) AS sec, ts + INTERVAL (event_id % 7 * 11) MINUTE AS committed FROM events),
+ n AS (SELECT *, greatest(committed, sec + INTERVAL 90 SECOND) AS need FROM e)
+ SELECT event_id, CASE WHEN low IS NULL OR sec > low THEN began::TIMESTAMP END AS sweep, coalesce(began IS NOT NULL AND sec <= low, false) AS lost FROM n ASOF LEFT JOIN w ON n.need <= w.began""")
+def sweep_audit(spark, sf_dir):
+    """By row the first of irregular sweeps that reads it, or that none does."""
+    e = table(spark, sf_dir, "events")
+    sweeps = e.filter("event_id % 23 = 0").select((F.col("ts") + F.expr("INTERVAL 17 MINUTES")).alias("at"))
+    rows = e.withColumn("committed", F.expr("ts + make_dt_interval(0, 0, cast(event_id % 7 * 11 as int))"))
+    found = ks.first_sweeps(rows, sweeps, "committed", lag=timedelta(seconds=90), overlap=timedelta(minutes=30), keys=_EVENT)
+    return found.select("event_id", "sweep", "lost")
+
+
 @Q("SELECT o_orderdate AS ts, count(*) AS rows FROM orders GROUP BY 1 HAVING count(*) > 1")
 def same_second_buckets(spark, sf_dir):
     o = table(spark, sf_dir, "orders")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import coerce
+from ..workers import cut, small
 
 # Fields that the table itself keeps.
 SYSTEM = ("sys_id", "sys_created_on", "sys_updated_on", "sys_mod_count", "sys_created_by", "sys_updated_by")
@@ -101,7 +102,11 @@ def apply_unknown(df: DataFrame, fields: list[str], policy: str, body_column: st
 
     A table's dictionary is a short list of column names.
     """
-    b, known = F.col(body_column), F.array(*map(F.lit, fields)).cast("array<string>")
+    return _unknown(df, F.array(*map(F.lit, fields)).cast("array<string>"), policy, body_column)
+
+
+def _unknown(df: DataFrame, known: Column, policy: str, body_column: str) -> DataFrame:
+    b = F.col(body_column)
     unknown = F.array_sort(F.array_except(F.map_keys(b), known))
     if policy == "passthrough":
         return df.withColumn("dropped", F.array().cast("array<string>")).withColumn("unknown_error", F.lit(None).cast("string"))
@@ -120,6 +125,58 @@ def dictionary_columns(dictionary: DataFrame, table: str) -> DataFrame:
     return dictionary.filter((F.col("name") == table) & (F.coalesce("element", F.lit("")) != "")).select("element")
 
 
+def inheritance(tables: DataFrame, *, depth: int = 32) -> DataFrame:
+    """Every table with all it inherits from: name, ancestor, level (0 itself, then nearest first).
+
+    tables has sys_id, name and super_class, the id of the table above; a table
+    whose id or name is null is left out. All chains grow together by doubling:
+    once each table knows those within 2^k steps and the one 2^k steps up, that
+    one's own give the next 2^k, so a depth of 32 takes five joins. A chain ends
+    at a repeated table, at an id that isn't there, or at depth; each ancestor
+    counts once, where it is nearest. Of rows with one id the least name counts.
+    """
+    own = tables.filter("sys_id IS NOT NULL AND name IS NOT NULL").groupBy("sys_id").agg(F.min(F.struct("name", "super_class")).alias("t")).select("sys_id", "t.*")
+    own = cut(own)
+    known = own.select("sys_id", F.col("sys_id").alias("at"), F.lit(0).alias("level"))
+    jumps = own.join(own.select(F.col("sys_id").alias("up")), F.col("super_class") == F.col("up")).select("sys_id", "up")  # whose parent is there
+    reach = 1
+    while reach < depth:
+        further = jumps.join(known.select(F.col("sys_id").alias("up"), "at", "level"), "up").select("sys_id", "at", (F.col("level") + reach).alias("level"))
+        known = known.union(further).filter(F.col("level") < depth).groupBy("sys_id", "at").agg(F.min("level").alias("level"))
+        known, jumps = cut(known), cut(jumps.join(jumps.select(F.col("sys_id").alias("up"), F.col("up").alias("next")), "up").select("sys_id", F.col("next").alias("up")))
+        reach *= 2
+    names = own.select("sys_id", "name")
+    above = names.select(F.col("sys_id").alias("at"), F.col("name").alias("ancestor"))
+    return known.join(names, "sys_id").join(above, "at").select("name", "ancestor", "level")
+
+
+def inherited_columns(tables: DataFrame, dictionary: DataFrame, *, depth: int = 32) -> DataFrame:
+    """Every column of every table, its own and inherited ones: name, element, level (of the nearest table that declares it).
+
+    dictionary has name (of a table) and element; blank elements describe tables.
+    Every table has sys_id.
+    """
+    chains = inheritance(tables, depth=depth)
+    told = dictionary.filter(F.coalesce(F.trim("element"), F.lit("")) != "").select(F.col("name").alias("ancestor"), "element").distinct()
+    found = chains.join(told, "ancestor").select("name", "element", "level")
+    always = chains.filter("level = 0").select("name", F.lit("sys_id").alias("element"), "level")
+    return found.union(always).groupBy("name", "element").agg(F.min("level").alias("level"))
+
+
+def apply_dictionary(df: DataFrame, columns: DataFrame, policy: str, *, table_column: str = "table", body_column: str = "body") -> DataFrame:
+    """apply_unknown() for rows of many tables: each row's fields are looked up among its own table's columns.
+
+    columns is what inherited_columns() gives. A table's columns meet a row as
+    one sorted array, of which there is one for each table. A table that isn't
+    there has no columns, which is an error of its own where unknown fields fail.
+    """
+    known = columns.groupBy(F.col("name").alias("_table")).agg(F.array_sort(F.collect_set("element")).alias("_known"))
+    joined = df.join(small(cut(known)), F.col(table_column) == F.col("_table"), "left")
+    out = _unknown(joined, F.coalesce("_known", F.array().cast("array<string>")), policy, body_column)
+    error = F.when(F.col("_known").isNull() & F.lit(policy == "fail"), F.concat(F.lit("no such table: "), F.coalesce(table_column, F.lit("")))).otherwise(F.col("unknown_error"))
+    return out.withColumn("unknown_error", error).drop("_table", "_known")
+
+
 def superclass_chain(tables: DataFrame, table: str, *, depth: int = 32) -> DataFrame:
     """A table and its ancestors, nearest first: name, level. Ends at a repeated table or at depth.
 

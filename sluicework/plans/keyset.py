@@ -174,6 +174,40 @@ def lost_late_rows(df: DataFrame, committed: str, anchor: datetime, overlap: tim
     return df.filter((F.col(committed) > _at(anchor, df, keys)) & (F.col(keys.ts) < edge))
 
 
+def first_sweeps(rows: DataFrame, sweeps: DataFrame, committed: str, *, lag: timedelta, overlap: timedelta, keys: Keys = Keys()) -> DataFrame:
+    """Every row with `sweep`, the start of the first sweep that could read it, and `lost`, whether none ever does.
+
+    sweeps has `at`, the times at which sweeps began. A sweep reads whole seconds
+    up to lag before its beginning, and from overlap before the last second of
+    the sweep before. A row that became visible at `committed` is read by the
+    first sweep after that which reaches its second; if that sweep begins behind
+    it, all later ones do. A row that no sweep has reached yet isn't lost.
+
+    An as-of join: sweeps are gathered by hour, as many as an hour has, and the
+    hours, which are few, tell what comes next; rows meet their hour by a join
+    that can be broadcast or split, so a burst of rows stays dealt out.
+    """
+    micros = lambda d: F.lit(d // timedelta(microseconds=1))
+    time = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    second = lambda us: us - F.pmod(us, F.lit(1_000_000))
+    hour = lambda us: F.floor(us / 3_600_000_000)
+    need = F.greatest(time(committed), second(time(keys.ts)) + micros(lag))
+    r = rows.withColumns({"_need": need, "_hour": hour(need)})
+    times = sweeps.select(time("at").alias("us")).filter("us IS NOT NULL")
+    own = times.groupBy(hour(F.col("us")).alias("_hour")).agg(F.array_sort(F.collect_set("us")).alias("all"))
+    hours = own.join(r.select("_hour").distinct(), "_hour", "full_outer")  # hours of rows without a sweep too
+    later, before = W.orderBy("_hour").rowsBetween(1, W.unboundedFollowing), W.orderBy("_hour").rowsBetween(W.unboundedPreceding, -1)
+    placed = hours.select("_hour", F.coalesce("all", F.array().cast("array<bigint>")).alias("all"), F.min(F.element_at("all", 1)).over(later).alias("next"), F.max(F.element_at("all", -1)).over(before).alias("last"))
+    j = r.join(placed, "_hour", "left")
+    at = F.coalesce(F.get(F.filter("all", lambda x: x >= F.col("_need")), F.lit(0)), F.col("next"))
+    j = j.withColumn("_at", at)
+    previous = F.coalesce(F.array_max(F.filter("all", lambda x: x < F.col("_at"))), F.col("last"))
+    low = second(previous - micros(lag)) - micros(overlap)
+    lost = F.coalesce(F.col("_at").isNotNull() & (second(time(keys.ts)) <= low), F.lit(False))
+    seen = F.when(~lost, F.timestamp_micros("_at").cast("timestamp_ntz"))
+    return j.select(*(F.col(f"`{c}`") for c in rows.columns), seen.alias("sweep"), lost.alias("lost"))
+
+
 def valid_rows(df: DataFrame, ts: Column, keys: Keys = Keys()) -> Column:
     """Rows with an id and a timestamp that parses; ts is the parsed one."""
     return F.col(keys.sys_id).isNotNull() & (F.col(keys.sys_id) != "") & ts.isNotNull()
