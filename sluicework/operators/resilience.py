@@ -34,6 +34,15 @@ class RetryPolicy:
     initial: float = 0.5
     cap: float = 30.0
 
+    @classmethod
+    def from_options(cls, o: dict[str, str]) -> RetryPolicy:
+        """retry.attempts, retry.budget, retry.initial and retry.cap (seconds) of a source's or sink's options."""
+        wait = {k: float(o[f"retry.{k}"]) for k in ("budget", "initial", "cap") if f"retry.{k}" in o}
+        policy = cls(int(o.get("retry.attempts", cls.attempts)), **wait)
+        if policy.attempts < 1 or min(policy.budget, policy.initial, policy.cap) < 0:
+            raise ValueError("a retry policy needs an attempt at least, and no negative times")
+        return policy
+
     def ceiling(self, attempt: int) -> float:
         return min(self.cap, self.initial * 2 ** min(max(attempt - 1, 0), 30))
 

@@ -88,3 +88,10 @@ class OAuth:
             raise AuthError("the answer has no access_token")
         self._token, self._refresh = answer["access_token"], answer.get("refresh_token", self._refresh)
         self._until = self.clock() + float(answer.get("expires_in", 1800))
+
+
+def from_options(o: dict[str, str]) -> Basic | OAuth:
+    """What a source's or sink's options say."""
+    if "oauth.url" in o:
+        return OAuth(o["oauth.url"], o["oauth.client.id"], o["oauth.client.secret"], o.get("user"), o.get("password"))
+    return Basic(o.get("user", ""), o.get("password", ""))

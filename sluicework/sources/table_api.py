@@ -5,7 +5,8 @@ oauth.client.secret), query, fields, start, display.value (false, true, all),
 exclude.reference.link, query.domain, query.category, bad.rows (fail, skip),
 probe, batch.size, overlap.seconds, lag.seconds, pages.per.trigger,
 poll.interval.ms, timestamp.field, id.field, clients, concurrent, adaptive,
-request.timeout, ca.file, cert.file, proxy. Every row is sys_id, ts and a map
+request.timeout, retry.attempts, retry.budget, retry.initial,
+retry.cap, ca.file, cert.file, proxy. Every row is sys_id, ts and a map
 of its cells. All options are checked, and all errors told, when the scan is
 made.
 """
@@ -21,13 +22,15 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
+from ..operators.resilience import RetryPolicy
 from ..plans import encoded_query, offsets
 from ..plans.config import Connection, SourceConfig, TableConfig, check
 from ..plans.keyset import Cursor, Keys, high_water_mark, is_idle, phase, projection, seconds
 from ..workers import ship
-from .auth import Basic, OAuth
+from .auth import from_options
 from .client import Client
 from .probe import check_time_zone, probe
+from .sink import COLUMNS, TableStreamWriter
 
 SCHEMA = "sys_id string, ts timestamp_ntz, row map<string,string>"
 FORMAT = offsets.FORMAT
@@ -72,16 +75,10 @@ class Scan:
         check(connection)
         self.table, self.base, self.size = self.config.table, self.config.query, self.source.batch_size
         self.ts, self.id, self.fields = keys.ts, keys.sys_id, list(fields)
-        self.client = Client(connection.url, self._auth(), timeout=connection.request_timeout, ca_file=o.get("ca.file"), cert_file=o.get("cert.file"), proxy=o.get("proxy"), concurrent=connection.concurrent, adaptive=connection.adaptive)
+        self.client = Client(connection.url, from_options(o), retry=RetryPolicy.from_options(o), timeout=connection.request_timeout, ca_file=o.get("ca.file"), cert_file=o.get("cert.file"), proxy=o.get("proxy"), concurrent=connection.concurrent, adaptive=connection.adaptive)
         self.counts: Counter[str] = Counter()
         self.extra: tuple[str, ...] = ()
 
-    def _auth(self):
-        o = self.o
-        if "oauth.url" in o:
-            return OAuth(o["oauth.url"], o["oauth.client.id"], o["oauth.client.secret"], o.get("user"), o.get("password"))
-        return Basic(o.get("user", ""), o.get("password", ""))
-
     @property
     def fingerprint(self) -> str:
         """Identity of the scan: its table, its query up to white space, and its domain."""
@@ -294,6 +291,13 @@ class TableApiSource(DataSource):
     def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: N802
         return TableStreamReader(dict(self.options))
 
+    def streamWriter(self, schema, overwrite: bool) -> TableStreamWriter:  # noqa: N802
+        """A sink for changes with the columns of sink.COLUMNS; its own options are journal, journal.every, create, correlation.field, not.found and behaviour."""
+        missing = [c for c in COLUMNS if c not in schema.names]
+        if missing:
+            raise ValueError(f"a stream of changes needs {', '.join(missing)}")
+        return TableStreamWriter(dict(self.options))
+
 
 def register(spark) -> None:
     """Make the source known to the session, which must let sources narrow their requests by filters."""

@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.change import batch_verdict, lane_order
 from ..operators.resilience import RetriesExhausted, Retryable
-from ..workers import Files, ship
+from ..workers import Files, cut, ship, small
 from .client import ApiError, Client
 
 OUTCOME = "topic string, partition bigint, offset bigint, op string, table string, sys_id string, status int, classification string, message string, attempted boolean"
@@ -106,6 +107,91 @@ def write_changes(changes: DataFrame, connect: Callable[[], Client], path: str,
     return changes.sparkSession.read.schema(OUTCOME).parquet(path)
 
 
+#: The longest list of values in one request, as characters of the query.
+QUERY_CHARS = 4000
+
+
+def _asked(client: Client, table: str, field: str, values: list[str]) -> dict[str, tuple[int, str]]:
+    """Of values that any row has the number of matches, two standing for more, and the first one's id, in few requests.
+
+    A full page can leave values out; then one of its values has two matches at
+    least, so that the next request asks for fewer.
+    """
+    found: dict[str, list[str]] = {}
+    while values:
+        limit = 2 * len(values) + 1
+        query = f"{field}={values[0]}" if len(values) == 1 else f"{field}IN{','.join(values)}"
+        rows = client.list(table, query, fields=["sys_id", field], limit=limit)
+        wanted, now = set(values), {}
+        for r in rows:
+            if r.get(field) in wanted:
+                now.setdefault(r[field], []).append(r["sys_id"])
+        if len(rows) < limit:
+            found |= now
+            break
+        several = {v: ids for v, ids in now.items() if len(ids) > 1}
+        if not several:
+            raise ApiError(200, f"{field}: a full page without two rows of one value")
+        found |= several
+        values = [v for v in values if v not in several]
+    return {v: (min(len(ids), 2), min(ids)) for v, ids in found.items()}
+
+
+def correlate_remote(changes: DataFrame, connect: Callable[[], Client], table: str, field: str, *, batch: int = 200, tasks: int = 4) -> DataFrame:
+    """Creates matched to the rows of a remote table by a correlation field: `resolved` and `target_id`, as change.correlate() gives them.
+
+    Each distinct value is asked for once, in requests of up to `batch` values,
+    by at most `tasks` tasks at once; a value that a list can't hold has a
+    request of its own. Answers, a row for each value that has a match, are
+    stored and joined back, so a value of many changes is one of each. Null and
+    blank values, and those that would end the term, are record errors.
+    """
+    ship(changes.sparkSession)
+    value = F.col(field)
+    usable = (F.coalesce(value, F.lit("")) != "") & ~F.contains(value, F.lit("^"))
+    values = changes.filter(usable).select(value.alias("v")).distinct().repartition(tasks)
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client, held, size = connect(), [], 0
+
+        def told(asked: list[str]) -> pd.DataFrame:
+            return pd.DataFrame([(v, n, i) for v, (n, i) in _asked(client, table, field, asked).items()], columns=["_v", "_n", "_id"])
+
+        for f in frames:
+            for v in f["v"]:
+                if "," in v:
+                    yield told([v])
+                    continue
+                if held and (len(held) == batch or size + len(v) > QUERY_CHARS):
+                    yield told(held)
+                    held, size = [], 0
+                held.append(v)
+                size += len(v) + 1
+        if held:
+            yield told(held)
+
+    found = cut(values.mapInPandas(ask, "_v string, _n int, _id string"))
+    joined = changes.join(small(found), value == F.col("_v"), "left")
+    op = F.when(~usable, "RECORD_ERROR").when(F.col("_n").isNull(), "CREATE").when(F.col("_n") == 1, "PATCH").otherwise("AMBIGUOUS")
+    return joined.withColumn("resolved", op).withColumn("target_id", F.when(op == "PATCH", F.col("_id"))).drop("_v", "_n", "_id")
+
+
+def settle_ambiguous(changes: DataFrame, outcomes: DataFrame, connect: Callable[[], Client], path: str, table: str, field: str, *, batch: int = 200, tasks: int = 4, **how) -> DataFrame:
+    """Sends creates again whose answers were lost: as a change of the row that the first attempt made, or as a create where it made none.
+
+    outcomes are stored ones of write_changes() for these changes. All lost
+    creates are looked up together; those that match several rows, or have no
+    usable value, are left as they are. Gives the outcomes of what was sent,
+    stored at path.
+    """
+    lane = ["topic", "partition", "offset"]
+    lost = outcomes.filter("classification = 'AMBIGUOUS' AND op = 'CREATE'").select(*lane)
+    rows = changes.join(lost, lane, "left_semi").withColumn(field, F.get_json_object("body", f"$.{field}"))
+    resolved = cut(correlate_remote(rows, connect, table, field, batch=batch, tasks=tasks))
+    again = resolved.filter("resolved IN ('CREATE', 'PATCH')").select(*lane, F.col("resolved").alias("op"), "table", F.coalesce("target_id", "sys_id").alias("sys_id"), "body")
+    return write_changes(again, connect, path, **how)
+
+
 class BatchFailed(RuntimeError):
     """A record failed for good."""
 
