@@ -292,16 +292,77 @@ def _compare(tasks: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(_verified(percent), "a long, b long")
 
 
+def _longs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in common.slices(batches):
+        sets = [np.frombuffer(h, np.int64) for h in b.column("hashes").to_pylist()]
+        yield pa.record_batch([*(b.column(c) for c in ("cand", "id", "label", "n")), pa.array(sets, pa.list_(pa.int64()))], ["cand", "id", "label", "n", "tokens"])
+
+
+def _compared(percent: int):
+    """The pairs of rows (a, b, x, y) whose sets x and y are linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            for i, j, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "x", "y")), strict=True):
+                one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = np.intersect1d(one, two, assume_unique=True).size
+                if 100 * both >= percent * (one.size + two.size - both):
+                    a.append(i)
+                    b.append(j)
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _postings(s: DataFrame, percent: int) -> DataFrame:
+    """Of members of candidate groups the shingles by which linked ones of two parts meet: cand, token, id, label, n, most.
+
+    All shingles of a group are ordered by how many of it have them. Two sets of
+    n and m that are linked share at least t * (n + m) / (1 + t), so they share
+    one at a place of the first for which as many lie there and behind it: a
+    shingle at place i serves to meet sets of up to `most` shingles only. A
+    posting goes if no set of its list is as small as that, or all are of one
+    part; what the lists of a template's own words would hold goes this way.
+    """
+    tokens = s.select("cand", "id", "label", "n", "hashes").mapInArrow(_longs, "cand long, id long, label long, n long, tokens array<long>").select("cand", "id", "label", "n", F.explode("tokens").alias("token"))
+    shared = common.cut(tokens.groupBy("cand", "token").count().filter("count > 1"))
+    held = tokens.join(shared, ["cand", "token"]).groupBy("cand", "id").agg(F.max("label").alias("label"), F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("count", "token"))).alias("held"))
+    place = F.col("n") - F.size("held") + F.col("at")  # those that only this set has come first
+    most = F.floor((100 + percent) * (F.col("n") - place) / percent).cast("long") - F.col("n")
+    posted = held.select("cand", "id", "label", "n", "held", F.posexplode("held").alias("at", "x")).select("cand", "id", "label", "n", F.col("x.token").alias("token"), most.alias("most"))
+    posted = posted.filter(100 * F.col("most") >= percent * F.col("n"))
+    for _ in range(2):  # what goes may leave others without a partner
+        posted = common.cut(posted)
+        lists = posted.groupBy("cand", "token").agg(F.min("n").alias("least"), F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("size"))
+        kept = common.cut(lists.filter("one < other"))
+        posted = posted.drop("size").join(kept, ["cand", "token"]).filter("most >= least").select("cand", "token", "id", "label", "n", "most", "size")
+    return common.cut(posted)
+
+
 def _rest(sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """Links between the parts of large candidate groups that the first round left apart.
 
-    A block now holds members of one class of sizes, and of one part or of
-    several small ones; two blocks of the same part, or of classes further
-    apart than one, need no comparison, so a group that is connected already
-    costs nothing more.
+    A group that is connected already costs nothing more. Members of the others
+    are joined pair by pair where few of them share a posted shingle; those of
+    longer lists are compared in blocks, of one class of sizes or the next, and
+    of one part or of several small ones. Blocks meet only if their sizes allow.
     """
     part = components(links).select("id", "component")
-    s = sets.filter("blocks is not null").join(part, "id", "left").select("cand", "class", "id", "hashes", F.coalesce("component", "id").alias("label"))
+    s = sets.filter("blocks is not null").join(part, "id", "left").select("cand", "class", "id", "hashes", F.coalesce("component", "id").alias("label"), (F.octet_length("hashes") / 8).cast("long").alias("n"))
+    parts = common.cut(s.groupBy("cand").agg(F.min("label").alias("one"), F.max("label").alias("other")).filter("one < other").select("cand"))
+    s = common.cut(s.join(_small(parts), "cand", "left_semi"))
+    posted = _postings(s, percent)
+    short = posted.filter(F.col("size") <= PAIRED)
+    other = short.select("cand", "token", *(F.col(c).alias(f"{c}2") for c in ("id", "label", "n", "most")))
+    met = short.join(other, ["cand", "token"]).filter("id < id2 and label != label2 and n2 <= most and n <= most2").select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
+    one, two = s.select(F.col("id").alias("a"), F.col("hashes").alias("x")), s.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
+    found = met.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_compared(percent), "a long, b long")
+    long = common.cut(posted.filter(F.col("size") > PAIRED).groupBy("id").agg(F.max("most").alias("most")))
+    return found.union(_in_blocks(s.join(long, "id"), percent)) if long.count() else found
+
+
+def _in_blocks(s: DataFrame, percent: int) -> DataFrame:
     sizes = s.groupBy("cand", "class", "label").count()
     total = sizes.filter(F.col("count") < BLOCK).groupBy("cand", "class").agg(F.ceil(F.sum("count") / BLOCK).cast("int").alias("mixed"))
     sizes = common.cut(sizes.join(total, ["cand", "class"], "left"))
@@ -311,11 +372,11 @@ def _rest(sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
         "class", F.when(alone, F.col("label")).alias("only"),
         F.when(alone, F.pmod(F.xxhash64("id"), F.ceil(F.col("count") / BLOCK))).otherwise(F.pmod(F.xxhash64("label"), F.coalesce("mixed", F.lit(1)))).alias("at"),
     )
-    s = common.cut(s.select("cand", "id", "label", "hashes", block.alias("block")))
-    blocks = common.cut(s.select("cand", "block", "block.class").distinct())
-    near = blocks.select("cand", F.col("block").alias("y"), F.explode(F.array("class", F.col("class") - 1, F.col("class") + 1)).alias("class"))
-    two = blocks.select("cand", "class", F.col("block").alias("x")).join(near, ["cand", "class"])
-    two = two.filter((F.col("x") <= F.col("y")) & ~F.coalesce(F.col("x.only") == F.col("y.only"), F.lit(False)))
+    s = common.cut(s.select("cand", "id", "label", "hashes", "n", "most", block.alias("block")))
+    blocks = common.cut(s.groupBy("cand", "block").agg(F.min("n").alias("n"), F.max("most").alias("most")).withColumn("class", F.col("block.class")))
+    near = blocks.select("cand", F.col("block").alias("y"), F.col("n").alias("n2"), F.col("most").alias("most2"), F.explode(F.array("class", F.col("class") - 1, F.col("class") + 1)).alias("class"))
+    two = blocks.select("cand", "class", F.col("block").alias("x"), "n", "most").join(near, ["cand", "class"])
+    two = two.filter((F.col("x") <= F.col("y")) & ~F.coalesce(F.col("x.only") == F.col("y.only"), F.lit(False)) & (F.col("n2") <= F.col("most")) & (F.col("n") <= F.col("most2")))
     two = common.cut(two.withColumn("task", F.struct("cand", "x", "y")))
     left = two.select("cand", F.col("x").alias("block"), "task", F.when(F.col("x") == F.col("y"), 2).otherwise(0).alias("side"))
     right = two.filter("x != y").select("cand", F.col("y").alias("block"), "task", F.lit(1).alias("side"))

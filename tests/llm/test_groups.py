@@ -207,3 +207,64 @@ def test_word_splitting_is_the_contracts():
 def test_items_digest(spark, sf_dir):
     (r,) = QUERIES["op1_decontamination"](spark, sf_dir).filter("n_items = 0").limit(1).collect()
     assert r.items_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def _filled(rng, own, template):
+    """A template with words of its own in the middle, of one kind or another."""
+    return " ".join([*template[:60], *own, *template[60:]])
+
+
+@pytest.mark.parametrize(("paired", "block"), [(32, 100), (3, 8)])
+def test_templates_with_few_links(spark, make_docs, monkeypatch, paired, block):
+    """Large candidate groups of hardly linked sets of many sizes, against all pairs."""
+    from sluicework.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "PAIRED", paired)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = random.Random(paired)
+    template = [f"t{i}" for i in range(150)]
+    texts = []
+    for i in range(160):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([2, 5, 9, 14, 20]))]
+        texts.append(_filled(rng, own, template))
+        if i % 9 == 0:  # a near copy of its own
+            at = rng.randrange(len(own))
+            texts.append(_filled(rng, [*own[:at], "x", *own[at + 1 :]], template))
+        if i % 13 == 0:
+            texts.append(_filled(rng, own, template[: 150 - rng.randrange(25)]))
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    texts = [texts[i] for i in order]
+    sets = [frozenset(zip(w, w[1:], w[2:])) for w in (t.split() for t in texts)]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(make_docs(spark, list(enumerate(texts))), k=3, percent=90).collect()}
+    assert got == {i: find(i) for i in range(len(texts))} and 20 < len(set(got.values())) < len(texts)
+
+
+def test_a_template_costs_what_its_texts_cost(spark, make_docs):
+    """No two of these are linked; four times as many once took four times four as long."""
+    import time
+
+    from sluicework.llm import jaccard
+
+    def seconds(n):
+        rng = random.Random(n)
+        template = [f"t{i}" for i in range(184)]
+        docs = [(i, _filled(rng, [f"w{rng.randrange(10**9)}" for _ in range(16)], template)) for i in range(n)]
+        began = time.time()
+        assert jaccard.jaccard_components(make_docs(spark, docs), k=3, percent=90).select("component_id").distinct().count() == n
+        return time.time() - began
+
+    seconds(200)
+    assert seconds(6000) < 4 * max(seconds(1500), 5)
