@@ -25,50 +25,11 @@ def route_topic_map(spark, sf_dir):
     return changes(spark, sf_dir).select("offset", t.alias("table"), e.alias("error"))
 
 
-_HEADERS = [(1, " incident "), (2, "Bad-Name"), (3, None), (4, "problem"), (5, "task")]
-
-
-@Q("SELECT * FROM (VALUES (1, 'incident', NULL), (2, NULL, 'bad table name'), (3, NULL, 'no table header'), (4, NULL, 'table not allowed'), (5, 'task', NULL)) t(n, \"table\", error)")
-def route_header(spark, sf_dir):
-    t, e = ch.route_header(F.col("h"), ("incident", "task"))
-    return spark.createDataFrame(_HEADERS, "n int, h string").select("n", t.alias("table"), e.alias("error"))
-
-
-_A, _B = "a" + "0" * 31, "b" + "0" * 31
-_IDS = [(1, _A, None, None), (2, _A.upper(), _A, None), (3, _A, _B, None), (4, None, "nope", None), (5, None, None, f" {_B} "), (6, None, None, None), (7, " ", _B, _B), (8, "nope", _B, None)]
-
-
-def _ids(precedence: str):
-    def run(spark, sf_dir):
-        i, e = ch.extract_id({"key": F.col("k"), "value": F.col("v"), "header": F.col("h")}, precedence=precedence)
-        return spark.createDataFrame(_IDS, "n int, k string, v string, h string").select("n", i.alias("id"), e.alias("error"))
-
-    return run
-
-
-Q.add("id_extract", _ids("reject"), f"SELECT * FROM (VALUES (1, '{_A}', NULL), (2, '{_A}', NULL), (3, NULL, 'ids disagree'), (4, NULL, 'malformed id'), (5, '{_B}', NULL), (6, NULL, NULL), (7, '{_B}', NULL), (8, NULL, 'ids disagree')) t(n, id, error)")
-Q.add("id_precedence", _ids("value"), f"SELECT * FROM (VALUES (1, '{_A}', NULL), (2, '{_A}', NULL), (3, '{_B}', NULL), (4, NULL, 'malformed id'), (5, '{_B}', NULL), (6, NULL, NULL), (7, '{_B}', NULL), (8, '{_B}', NULL)) t(n, id, error)")
-
-
-@Q("SELECT * FROM (VALUES (1, true), (2, true), (3, false), (4, true), (5, true), (6, true), (7, true), (8, false)) t(n, agree)")
-def id_agree(spark, sf_dir):
-    return spark.createDataFrame(_IDS, "n int, k string, v string, h string").select("n", ch.ids_agree([F.col("k"), F.col("v"), F.col("h")]).alias("agree"))
-
-
 @Q("SELECT o_orderkey, concat('a', lpad(lower(hex(o_orderkey)), 31, '0')) AS id FROM orders")
 def id_normalise(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", text.normalise_id(F.concat(F.lit(" "), F.upper(hex_id("o_orderkey")), F.lit(" "))).alias("id"))
 
 
-_OPS = [(1, "create"), (2, " POST "), (3, "Update"), (4, "upsert"), (5, "DELETE"), (6, "merge"), (7, None)]
-
-
-@Q("SELECT * FROM (VALUES (1, 'CREATE', NULL), (2, 'CREATE', NULL), (3, 'PATCH', NULL), (4, 'PATCH', NULL), (5, 'DELETE', NULL), (6, NULL, 'unknown operation MERGE'), (7, NULL, 'no operation header')) t(n, op, error)")
-def op_header(spark, sf_dir):
-    o, e = ch.resolve_operation(F.col("h"), mode="header")
-    return spark.createDataFrame(_OPS, "n int, h string").select("n", o.alias("op"), e.alias("error"))
-
-
 @Q(f"{_C} \"offset\", coalesce(op, 'PUT') AS op FROM changes")
 def op_fixed(spark, sf_dir):
     o, _ = ch.resolve_operation(F.col("op"), mode="fixed", fixed="PUT")
@@ -207,12 +168,6 @@ def classify_outcome(spark, sf_dir):
     return _outcomes(spark, sf_dir).select("offset", "status", "classification")
 
 
-@Q("SELECT * FROM (VALUES (503, NULL, true), (409, 'Row is LOCKED', true), (409, 'duplicate', false), (400, 'busy', false), (429, NULL, true)) t(status, error, retryable)")
-def classify_status(spark, sf_dir):
-    df = spark.createDataFrame([(503, None), (409, "Row is LOCKED"), (409, "duplicate"), (400, "busy"), (429, None)], "status int, error string")
-    return df.select("status", "error", text.is_retryable(F.col("status"), F.col("error")).alias("retryable"))
-
-
 @Q(f'WITH {CHANGES} SELECT topic, partition, "offset", row_number() OVER (PARTITION BY topic, partition ORDER BY "offset") AS place, 1 AS tasks FROM changes')
 def lane_order(spark, sf_dir):
     """A row's place in its lane is read off the place that it has after lane_order(), and a lane must lie in one task."""

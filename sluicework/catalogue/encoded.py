@@ -131,7 +131,3 @@ def ordered_by_builder(spark, sf_dir):
     return eq.apply(table(spark, sf_dir, "customer"), tree).select("c_custkey", "c_mktsegment")
 
 
-@Q("SELECT * FROM (VALUES ('a=1', false), ('a=1^ORDERBYb', true), ('ORDERBYDESCx', true)) t(query, ordered)")
-def order_detection(spark, sf_dir):
-    rows = [(q, bool(eq.parse(q).orders)) for q in ("a=1", "a=1^ORDERBYb", "ORDERBYDESCx")]
-    return spark.createDataFrame(rows, "query string, ordered boolean").select("query", F.col("ordered"))

@@ -60,13 +60,6 @@ def high_water_mark(spark, sf_dir):
     return e.filter(ks.until(e, high, _EVENT)).agg(F.count("*").alias("rows"), F.max(F.date_trunc("second", "ts")).cast("timestamp_ntz").alias("reached"))
 
 
-@Q("SELECT * FROM (VALUES (0, 'stream'), (4, 'stream'), (6, 'stream'), (7, 'backfill'), (100, 'backfill')) t(behind, phase)")
-def sweep_phase(spark, sf_dir):
-    now, lag, poll = datetime(2026, 1, 1, 12), timedelta(seconds=1), timedelta(seconds=5)
-    rows = [(b, ks.phase(ks.seconds(now - timedelta(seconds=b)), now, lag, poll)) for b in (0, 4, 6, 7, 100)]
-    return spark.createDataFrame(rows, "behind int, phase string")
-
-
 def _versions(spark, sf_dir):
     """Events as versions of entities, every eleventh delivered twice."""
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("sys_id"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("sys_updated_on"), (F.col("event_id") % 3).alias("sys_mod_count"), F.col("event_id").alias("arrival"), "value")
@@ -159,34 +152,3 @@ def bad_row_fail_rows(spark, sf_dir):
     return raw.filter(~ks.valid_rows(raw, coerce.to_timestamp(F.col("raw")))).select("event_id")
 
 
-_OFFSETS = [
-    (1, {"version": "1", "timestamp": "2026-01-01 00:00:05", "sys_id": "b", "phase": "stream", "fingerprint": "sha256:x"}),
-    (2, {"version": "2", "timestamp": "2026-01-01 00:00:05", "sys_id": "b", "phase": "stream", "fingerprint": "sha256:x"}),
-    (3, {"version": "1", "timestamp": "2026-01-01", "sys_id": "b", "phase": "stream", "fingerprint": "sha256:x"}),
-    (4, {"version": "1", "timestamp": "2026-01-01 00:00:05", "phase": "stream", "fingerprint": "sha256:x"}),
-    (5, {"version": "1", "timestamp": "2026-01-01 00:00:05", "sys_id": "b", "phase": "later", "fingerprint": "sha256:x"}),
-    (6, {"version": "1", "timestamp": "2026-01-01 00:00:05", "sys_id": "b", "phase": "backfill", "fingerprint": " "}),
-    (7, {"version": "1", "timestamp": "2026-01-01 00:00:05", "sys_id": "", "phase": "backfill", "fingerprint": "sha256:y"}),
-]
-
-
-@Q("SELECT * FROM (VALUES (1, true), (2, false), (3, false), (4, false), (5, false), (6, false), (7, true)) t(n, valid)")
-def offset_validate(spark, sf_dir):
-    df = spark.createDataFrame(_OFFSETS, "n int, offset map<string,string>")
-    return df.select("n", offsets.is_valid(F.col("offset")).alias("valid"))
-
-
-@Q("SELECT * FROM (VALUES (1, true), (7, false)) t(n, compatible)")
-def offset_compat(spark, sf_dir):
-    df = spark.createDataFrame(_OFFSETS, "n int, offset map<string,string>").filter(offsets.is_valid(F.col("offset")))
-    return df.select("n", (F.col("offset")["fingerprint"] == "sha256:x").alias("compatible"))
-
-
-_STREAMS = [("i", "t1", "sha256:x", "sys_updated_on"), ("i", "t2", "sha256:x", "sys_updated_on"), ("i", "t1", "sha256:y", "sys_updated_on")]
-
-
-@Q("SELECT * FROM (VALUES ('t1', 'sha256:x', '2026-01-01 00:00:05'), ('t2', 'sha256:x', NULL), ('t1', 'sha256:y', NULL)) t(\"table\", query_fingerprint, resume_at)")
-def offset_lookup(spark, sf_dir):
-    names = "instance string, table string, query_fingerprint string, timestamp_field string"
-    stored = spark.createDataFrame([(*_STREAMS[0], _OFFSETS[0][1])], f"{names}, offset map<string,string>")
-    return offsets.lookup(spark.createDataFrame(_STREAMS, names), stored).select("table", "query_fingerprint", F.col("offset")["timestamp"].alias("resume_at"))

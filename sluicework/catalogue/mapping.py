@@ -77,26 +77,7 @@ def map_full(spark, sf_dir):
     return out.select("p_partkey", F.col("body")["short_description"].alias("short_description"), F.col("body")["u_brand"].alias("u_brand"), F.size("body").alias("fields"), F.array_join("dropped", ",").alias("dropped"))
 
 
-_DICTIONARY = [("task", "number"), ("task", "short_description"), ("task", ""), ("incident", "caller_id"), ("incident", "severity"), ("problem", "known_error")]
-_TABLES = [("1", "task", ""), ("2", "incident", "1"), ("3", "incident_task", "2"), ("4", "a", "5"), ("5", "b", "4")]
-
-
-@Q("SELECT * FROM (VALUES ('number'), ('short_description')) t(element)")
-def dictionary_columns(spark, sf_dir):
-    return mp.dictionary_columns(spark.createDataFrame(_DICTIONARY, "name string, element string"), "task")
-
-
-@Q("SELECT * FROM (VALUES ('incident_task', 0), ('incident', 1), ('task', 2)) t(name, level)")
-def superclass_chain(spark, sf_dir):
-    return mp.superclass_chain(spark.createDataFrame(_TABLES, "sys_id string, name string, super_class string"), "incident_task")
-
-
-@Q("SELECT * FROM (VALUES ('a', 0), ('b', 1)) t(name, level)")
-def superclass_cycle(spark, sf_dir):
-    return mp.superclass_chain(spark.createDataFrame(_TABLES, "sys_id string, name string, super_class string"), "a")
-
-
-def _hierarchy(spark, sf_dir):
+def hierarchy(spark, sf_dir):
     """Parts as tables: a tree, at whose root two inherit from each other, with long chains beside it; and what their dictionary says."""
     k = F.col("p_partkey")
     up = F.when(k == 1, 2).when(k == 2, 1).when(k % 100 > 40, k - 1).otherwise(F.floor(k / 3)).cast("string")
@@ -106,27 +87,27 @@ def _hierarchy(spark, sf_dir):
     return tables, dictionary
 
 
-_HIERARCHY = """RECURSIVE t AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey = 1 THEN 2 WHEN p_partkey = 2 THEN 1 WHEN p_partkey % 100 > 40 THEN p_partkey - 1 ELSE p_partkey // 3 END AS up FROM part),
+HIERARCHY = """RECURSIVE t AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey = 1 THEN 2 WHEN p_partkey = 2 THEN 1 WHEN p_partkey % 100 > 40 THEN p_partkey - 1 ELSE p_partkey // 3 END AS up FROM part),
  c(k, a, level) AS (SELECT k, k, 0 FROM t UNION ALL SELECT c.k, t2.k, level + 1 FROM c JOIN t t1 ON t1.k = c.a JOIN t t2 ON t2.k = t1.up WHERE level < 31),
  chain AS (SELECT k, a, min(level) AS level FROM c GROUP BY k, a),
  dict AS (SELECT DISTINCT p_partkey AS a, unnest(['u_' || (p_size % 20), p_brand, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'number' END]) AS element FROM part),
  cols AS (SELECT k, element, min(level) AS level FROM (SELECT k, element, level FROM chain JOIN dict USING (a) WHERE element <> '' UNION ALL SELECT k, 'sys_id', 0 FROM t) GROUP BY k, element)"""
 
 
-@Q(f"WITH {_HIERARCHY} SELECT 't' || k AS name, element, level FROM cols")
+@Q(f"WITH {HIERARCHY} SELECT 't' || k AS name, element, level FROM cols")
 def inherited_dictionary(spark, sf_dir):
     """The columns of every table at once."""
-    return mp.inherited_columns(*_hierarchy(spark, sf_dir))
+    return mp.inherited_columns(*hierarchy(spark, sf_dir))
 
 
-@Q(f"""WITH {_HIERARCHY}, r AS (SELECT row_number() OVER () AS rn, l_orderkey, l_linenumber, l_partkey AS k, ['u_' || (l_quantity::INTEGER % 20), 'number', 'u_none'] AS fields FROM lineitem),
+@Q(f"""WITH {HIERARCHY}, r AS (SELECT row_number() OVER () AS rn, l_orderkey, l_linenumber, l_partkey AS k, ['u_' || (l_quantity::INTEGER % 20), 'number', 'u_none'] AS fields FROM lineitem),
  x AS (SELECT rn, k, unnest(fields) AS f FROM r),
  d AS (SELECT rn, string_agg(f, ',' ORDER BY f) AS dropped, count(*) AS n FROM x LEFT JOIN cols ON cols.k = x.k AND element = f WHERE element IS NULL GROUP BY rn)
  SELECT r.l_orderkey, r.l_linenumber, coalesce(dropped, '') AS dropped, CAST(3 - coalesce(n, 0) AS INTEGER) AS fields FROM r LEFT JOIN d USING (rn)""")
 def unknown_by_table(spark, sf_dir):
     """Rows for many tables, each row's fields looked up in its own table's inherited columns."""
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit("t"), F.col("l_partkey").cast("string")).alias("table"), F.map_from_arrays(F.array(F.concat(F.lit("u_"), (F.col("l_quantity").cast("int") % 20).cast("string")), F.lit("number"), F.lit("u_none")), F.array(F.lit("1"), F.lit("2"), F.lit("3"))).alias("body"))
-    out = mp.apply_dictionary(rows, mp.inherited_columns(*_hierarchy(spark, sf_dir)), "report")
+    out = mp.apply_dictionary(rows, mp.inherited_columns(*hierarchy(spark, sf_dir)), "report")
     return out.select("l_orderkey", "l_linenumber", F.array_join("dropped", ",").alias("dropped"), F.size("body").alias("fields"))
 
 

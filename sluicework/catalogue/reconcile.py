@@ -80,12 +80,6 @@ def recon_summary(spark, sf_dir):
     return rc.summary(rc.compare(_table(spark, sf_dir), d, since=_SINCE, until=_UNTIL), d, since=_SINCE, until=_UNTIL)
 
 
-@Q("SELECT * FROM (VALUES (0, '2026-01-02 03:04:05'), (1, '2026-01-02 03:04:05'), (2, '2026-01-02 03:04:05'), (3, NULL), (4, '2026-01-02')) t(n, ts)")
-def recon_ts_normalise(spark, sf_dir):
-    rows = ["2026-01-02T03:04:05Z", " 2026-01-02 03:04:05 ", "2026-01-02 03:04:05.678", " ", "2026-01-02"]
-    return spark.createDataFrame(list(enumerate(rows)), "n int, raw string").select("n", text.reconcile_timestamp(F.col("raw")).alias("ts"))
-
-
 def _lines(spark, sf_dir):
     """The dump as another tool wrote it: quotes, a header, comments, nulls, carriage returns, and lines that are no records."""
     d = dump(spark, sf_dir).withColumn("n", F.conv(F.substring("sys_id", 2, 31), 16, 10).cast("bigint"))

@@ -32,10 +32,14 @@ def schema_growth(spark, sf_dir):
     return shape.grown([one, two])
 
 
-@Q("SELECT * FROM (VALUES (1, 1, 'a,b'), (2, 2, 'a,b,c,c_display_value'), (3, 2, 'a,b,c,c_display_value')) t(batch, version, fields)")
+@Q("""WITH n AS (SELECT year(o_orderdate) AS batch, o_orderkey, unnest([concat('status_', o_orderstatus), o_orderpriority, concat('caller_', o_custkey % 60)]) AS field, unnest([0, 1, 2]) AS position FROM orders),
+ f AS (SELECT field, min((batch, o_orderkey, position)) AS first, arg_min(batch, (batch, o_orderkey, position)) AS born FROM n GROUP BY field), b AS (SELECT DISTINCT batch FROM n)
+ SELECT b.batch, CAST(1 + count(DISTINCT CASE WHEN f.born > (SELECT min(batch) FROM b) THEN f.born END) AS INTEGER) AS version, string_agg(field, ',' ORDER BY first) AS fields FROM b JOIN f ON f.born <= b.batch GROUP BY b.batch""")
 def schema_versions(spark, sf_dir):
-    found = shape.schema_versions([["a", "b"], ["c", "c_display_value"], ["a"]])
-    return spark.createDataFrame([(i + 1, v, ",".join(f)) for i, (v, f) in enumerate(found)], "batch int, version int, fields string")
+    """Orders' names of fields, a batch for each year."""
+    names = F.array(F.concat(F.lit("status_"), "o_orderstatus"), F.col("o_orderpriority"), F.concat(F.lit("caller_"), (F.col("o_custkey") % 60).cast("string")))
+    rows = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    return shape.field_versions(rows, "year", "o_orderkey", names).select("batch", "version", F.array_join("fields", ",").alias("fields"))
 
 
 _RECORDS = """r AS (SELECT event_id, date_trunc('hour', ts)::TIMESTAMP AS batch, names FROM (SELECT event_id, ts, ['k', event_type, concat('tag_', CAST(json_extract(props, '$.k') AS BIGINT) // 7), concat('user_', user_id % 40)] AS names FROM events))"""
@@ -89,34 +93,6 @@ def source_record_shape(spark, sf_dir):
     return r.select("key", "timestamp", "topic", F.col("value")["state"].alias("state"), F.col("headers")["source.operation"].alias("op"), F.size("headers").alias("headers"), F.col("offset")["timestamp"].alias("resume_at"), F.col("offset")["phase"].alias("phase"))
 
 
-def _vectors(name: str, cells: list[str | None], run, out: str, want: list) -> None:
-    """A truth table of a coercion."""
-
-    def sql(v) -> str:
-        return "NULL" if v is None else str(v).lower() if isinstance(v, bool) else f"'{v}'" if isinstance(v, str) else str(v)
-
-    rows = ", ".join(f"({i}, {sql(c)}, {sql(w)})" for i, (c, w) in enumerate(zip(cells, want, strict=True)))
-
-    def query(spark, sf_dir):
-        df = spark.createDataFrame(list(enumerate(cells)), "n int, raw string")
-        return df.select("n", "raw", run(F.col("raw")).cast(out).alias("v"))
-
-    kind = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}.get(out, out)
-    Q.add(name, query, f"SELECT n, raw, CAST(v AS {kind}) AS v FROM (VALUES {rows}) t(n, raw, v)")
-
-
-_vectors("coerce_int", ["12", "12.0", " 7 ", "", "x", "12.5", "-3", "99999999999"], lambda c: coerce.to_int(c, "int32"), "int", [12, 12, 7, None, None, None, -3, None])
-_vectors("coerce_long", ["9007199254740993", "1e3", None], coerce.to_int, "bigint", [9007199254740993, 1000, None])
-_vectors("coerce_float", ["1.5", "", " 2 ", "abc", "-0.25"], coerce.to_float, "double", [1.5, None, 2.0, None, -0.25])
-_vectors("coerce_boolean", ["1", "No", "TRUE", "yes", "0", "t", "", "maybe"], coerce.to_boolean, "boolean", [True, False, True, True, False, None, None, None])
-_vectors("coerce_decimal", ["1,234.5", "12.345", "-0.005", "", "n/a"], coerce.to_decimal, "decimal(38,2)", ["1234.50", "12.35", "-0.01", None, None])
-_vectors("coerce_date", ["2026-02-28", "2026-02-30", "28.02.2026", ""], coerce.to_date, "date", ["2026-02-28", None, None, None])
-_vectors("coerce_time", ["00:00:01", "23:59:59", "24:00:00", "nope"], coerce.to_time, "int", [1, 86399, None, None])
-_vectors("coerce_bytes", ["aGk=", ""], lambda c: F.decode(coerce.to_bytes(c), "utf-8"), "string", ["hi", None])
-_vectors("ts_parse", ["2026-09-29 07:30:40", "2026-09-29", "2026-02-30 10:00:00", "2026-09-29T07:30:40", ""], coerce.to_timestamp, "timestamp_ntz", ["2026-09-29 07:30:40", None, None, None, None])
-_vectors("empty_to_null", ["", "a", None, " "], coerce.empty_to_null, "string", [None, "a", None, " "])
-
-
 @Q("SELECT event_id, event_id % 13 <> 0 AS valid FROM events")
 def ts_valid(spark, sf_dir):
     e = table(spark, sf_dir, "events")
@@ -129,15 +105,6 @@ def ts_format(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", coerce.format_timestamp(F.col("ts")).alias("at"))
 
 
-_NUMBERS = [(2.0, "2"), (0.5, "0.5"), (-3.0, "-3"), (1234567.25, "1234567.25"), (float("nan"), None), (1e2, "100"), (1e-20, "0.000000000000000000010"), (1e22, "1" + "0" * 22), (-1.2345678901234568e-05, "-0.000012345678901234568"), (1.5e20, "150000000000000000000"), (0.1, "0.1"), (float("inf"), None)]
-
-
-@Q("SELECT * FROM (VALUES " + ", ".join(f"({i}, {f"'{w}'" if w else 'NULL'})" for i, (_, w) in enumerate(_NUMBERS)) + ") t(n, v)")
-def render_scalars(spark, sf_dir):
-    rows = [(i, d) for i, (d, _) in enumerate(_NUMBERS)]
-    return spark.createDataFrame(rows, "n int, d double").select("n", coerce.render(F.col("d"), "double").alias("v"))
-
-
 @Q("SELECT l_orderkey, l_linenumber, CASE WHEN l_extendedprice = floor(l_extendedprice) THEN CAST(CAST(l_extendedprice AS BIGINT) AS VARCHAR) ELSE CAST(l_extendedprice AS VARCHAR) END AS v, strftime(l_shipdate, '%Y-%m-%d') AS shipped FROM lineitem")
 def render_columns(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")

@@ -5,24 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import assign, resilience, translate
+from ..operators import assign, resilience
 from .base import Catalogue, table
 
 Q = Catalogue()
 
 
-def _sql(v) -> str:
-    return "NULL" if v is None else str(v).lower() if isinstance(v, bool) else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
-
-
-def _vectors(name: str, schema: str, rows: list[tuple], expression, want: list) -> None:
-    def run(spark, sf_dir):
-        df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"n int, {schema}")
-        return df.select("n", expression().alias("v"))
-
-    Q.add(name, run, "SELECT * FROM (VALUES " + ", ".join(f"({i}, {_sql(w)})" for i, w in enumerate(want)) + ") t(n, v)")
-
-
 def c(name: str):
     return F.col(name)
 
@@ -32,13 +20,6 @@ def percent_encode(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", text.percent_encode(c("p_name")).alias("v"))
 
 
-_vectors("percent_encode_marks", "s string", [("a b+c*d~e",), ("ä^&=",), ("A-Z_0.9",)], lambda: text.percent_encode(c("s")), ["a%20b%2Bc%2Ad~e", "%C3%A4%5E%26%3D", "A-Z_0.9"])
-_vectors("request_url", "q string", [("a=1^b>2",), ("",)], lambda: text.request_path(F.lit("incident"), c("q"), fields=F.lit("sys_id,number"), limit=10, offset=20, no_domain=True), [
-    f"/api/now/table/incident?{q}sysparm_fields=sys_id%2Cnumber&sysparm_limit=10&sysparm_offset=20&sysparm_display_value=false&sysparm_exclude_reference_link=true&sysparm_query_no_domain=true&sysparm_no_count=true&sysparm_suppress_pagination_header=true"
-    for q in ("sysparm_query=a%3D1%5Eb%3E2&", "")])
-_vectors("query_normalise", "q string", [("  a=1 \n ^b=2 ",), (None,)], lambda: text.normalise_query(c("q")), ["a=1 ^b=2", ""])
-
-
 @Q("SELECT o_orderkey, concat('sha256:', sha256(concat('issue', chr(10), 'number=', o_orderkey, chr(10), 'false'))) AS v FROM orders")
 def fingerprint(spark, sf_dir):
     q = F.concat(F.lit(" number="), c("o_orderkey").cast("string"), F.lit("  "))
@@ -50,59 +31,6 @@ def instance_host(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.instance_host(c("url")).alias("host"))
 
 
-_vectors("valid_sys_id", "s string", [("a" * 32,), ("A" * 32,), ("a" * 31,), (None,)], lambda: text.is_id(c("s")), [True, False, False, False])
-_vectors("valid_table", "s string", [("cmdb_ci",), ("Bad",), ("a/b",)], lambda: text.is_table(c("s")), [True, False, False])
-_vectors("redact_more", "s string", [('{"a":{"Token" :\n"x y"},"b":"keep"}',), ("u=https://h/p?access_token=a=b?c&z=1 end",), ("basic  QWxh==; next",), ('"password": 5',), ("=tokenx=abc&z",), ("é token=ü&x",), ("BasicX abc",)], lambda: text.redact_body(c("s")), ['{"a":{"Token" :\n"***"},"b":"keep"}', "u=https://h/p?access_token=***&z=1 end", "basic  ***; next", '"password": 5', "=tokenx=abc&z", "é token=***&x", "BasicX abc"])
-_vectors("redact_body", "s string", [('{"client_secret": "a\\"b", "x": 1}',), ("grant=1&password=p%20q&y=2",), ("Authorization was Bearer abc.def ok",), ("nothing",)], lambda: text.redact_body(c("s")), ['{"client_secret": "***", "x": 1}', "grant=1&password=***&y=2", "Authorization was Bearer *** ok", "nothing"])
-_vectors("redact_headers", "h map<string,array<string>>", [({"X-Id": ["1", "2"], "authorization": ["Basic x"]},), ({},)], lambda: text.redact_headers(c("h")), ["{authorization=[***], X-Id=[1, 2]}", "{}"])
-_vectors("excerpt", "s string", [("abcdefghij",), ("abc",), (None,)], lambda: text.excerpt(c("s"), 5), ["abcde...", "abc", ""])
-_vectors("error_body_parse", "s string", [('{"error":{"message":"No","detail":"why"},"status":"failure"}',), ('{"error":{"message":"No","detail":null}}',), ('{"error":"invalid_client","error_description":"bad"}',), ("<html>",)], lambda: text.error_text(c("s")), ["No: why", "No", "invalid_client: bad", None])
-_NOW = 1767225600  # 2026-01-01 00:00:00
-_vectors("retry_after", "s string", [("120",), ("-5",), ("Thu, 01 Jan 2026 00:01:00 GMT",), ("Wed, 31 Dec 2025 23:00:00 GMT",), ("soon",)], lambda: text.retry_after(c("s"), F.lit(_NOW)), [120, 0, 60, 0, None])
-_vectors("rate_reset", "s string", [("60",), ("1767229200",), ("Thu, 01 Jan 2026 01:00:00 GMT",), ("x",)], lambda: text.rate_reset(c("s"), F.lit(_NOW)), [_NOW + 60, 1767229200, _NOW + 3600, None])
-_vectors("wait_for", "w int, o int, now int, r int, t int", [(10, 100, 104, None, None), (10, 100, 120, None, None), (None, 100, 104, 0, 110), (None, 100, 120, 0, 110), (None, 100, 104, 3, 110)], lambda: text.wait_for(c("w"), c("o"), c("now"), remaining=c("r"), reset=c("t")), [6, 0, 6, 0, None])
-_vectors("remaining_fraction", "l int, r int", [(100, 25), (100, -3), (0, 5), (100, None)], lambda: text.remaining_fraction(c("l"), c("r")), [0.25, 0.0, None, None])
-_vectors("backoff_ceiling", "a int", [(1,), (2,), (5,), (7,), (40,)], lambda: text.backoff_ceiling(c("a")), [500, 1000, 8000, 30000, 30000])
-_vectors("retry_decision", "r boolean, i boolean, m boolean, a int, e int, w int", [(True, True, True, 1, 0, 500), (True, False, True, 1, 0, 500), (True, False, False, 5, 0, 1), (True, True, False, 2, 299_900, 500), (False, True, False, 1, 0, 0)], lambda: text.retry_decision(c("r"), c("i"), c("m"), c("a"), c("e"), c("w")), ["retry", "fail", "exhausted", "exhausted", "fail"])
-_vectors("idempotent_method", "m string", [("GET",), ("post",), ("DELETE",)], lambda: text.is_idempotent(c("m")), [True, False, True])
-_vectors("config_ts_normalise", "s string", [("2026-01-02",), ("2026-01-02T03:04:05Z",), ("2026-01-02 03:04:05",), ("later",)], lambda: text.config_timestamp(c("s")), ["2026-01-02 00:00:00", "2026-01-02 03:04:05", "2026-01-02 03:04:05", "later"])
-
-_RULES = [("connection.url", "rename", "instance.url", None, None, None, 1), ("mode", "value", "schema.mode", "json", "schemaless", None, 5), ("mode", "manual", "schema.mode", "avro", None, "choose a schema mode", 5), ("vendor.license", "drop", None, None, None, "not needed", 9), ("since", "rename", "start", None, None, None, 6)]
-_CONFIG = [("a", "connection.url", "https://x"), ("a", "mode", "json"), ("a", "since", "2026-01-02"), ("a", "vendor.license", "zzz"), ("a", "tasks.max", "1"), ("a", "connector.class", "io.x.MySourceConnector"), ("b", "mode", "avro"), ("b", "tables.num", "2"), ("b", "connector.class", "Odd")]
-
-
-def _translated(spark):
-    config = spark.createDataFrame(_CONFIG, "connector string, key string, value string")
-    return translate.translate(config, spark.createDataFrame(_RULES, translate.RULES), timestamps=("since",))
-
-
-@Q("""SELECT * FROM (VALUES ('a', 'instance.url', 'https://x', 'rename', 1), ('a', 'schema.mode', 'schemaless', 'value', 5), ('a', 'start', '2026-01-02 00:00:00', 'rename', 6), ('a', 'vendor.license', NULL, 'drop', 9), ('a', 'tasks.max', '1', 'pass', 1000),
- ('a', 'connector.class', 'io.x.MySourceConnector', 'pass', 1000), ('b', 'schema.mode', 'avro', 'manual', 5), ('b', 'tables.num', '2', 'pass', 1000), ('b', 'connector.class', 'Odd', 'pass', 1000)) t(connector, new_key, new_value, action, rank)""")
-def config_translate(spark, sf_dir):
-    return _translated(spark).drop("note")
-
-
-@Q("SELECT * FROM (VALUES ('a', 0), ('b', 2)) t(connector, exit_code)")
-def config_exit_code(spark, sf_dir):
-    return translate.exit_code(_translated(spark))
-
-
-@Q("SELECT * FROM (VALUES ('a', 'source'), ('b', 'cloud-source'), ('c', 'legacy'), ('d', 'sink'), ('e', NULL)) t(connector, variant)")
-def config_variant(spark, sf_dir):
-    rows = [*_CONFIG, ("c", "connector.class", "org.x.Odd"), ("d", "connector.class", "org.y.OtherSinkConnector"), ("e", "connector.class", "Nothing")]
-    return translate.variant(spark.createDataFrame(rows, "connector string, key string, value string"), {"org.x.Odd": "legacy"})
-
-
-@Q("SELECT * FROM (VALUES ('a', concat('instance.url=https://x', chr(10), 'schema.mode=schemaless', chr(10), 'start=2026-01-02 00:00:00', chr(10), 'connector.class=io.x.MySourceConnector', chr(10), 'tasks.max=1'))) t(connector, text)")
-def config_properties(spark, sf_dir):
-    return translate.properties(_translated(spark).filter("connector = 'a'"))
-
-
-@Q("""SELECT 'a' AS connector, '{"instance.url":"https://x","schema.mode":"schemaless","start":"2026-01-02 00:00:00","connector.class":"io.x.MySourceConnector","tasks.max":"1"}' AS json""")
-def config_json(spark, sf_dir):
-    return translate.as_json(_translated(spark).filter("connector = 'a'"))
-
-
 def _times(x: str, k: int) -> str:
     return f"CAST((CAST({x} AS HUGEINT) * {k}) % 4294967296 AS BIGINT)"
 
