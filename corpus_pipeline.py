@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework import workers
 from sluicework.llm import common
 from sluicework.llm.decontaminate import clean
 from sluicework.llm.jaccard import without_near_copies
@@ -19,26 +18,22 @@ TOXIC = 0.3
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below TOXIC; the labels learnt from are those of the operator's query."""
-    workers.give_back(spark)
     model = fit(docs, common.table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"))))
     return without_toxic(docs, model, threshold=TOXIC)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of links at a Jaccard similarity of 0.8 over five words."""
-    workers.give_back(spark)
     return without_near_copies(docs, k=5, percent=80)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of ten words of a benchmark item."""
-    workers.give_back(spark)
     return clean(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data and secrets in their texts replaced by the kind's name; n_chars follows the text."""
-    workers.give_back(spark)
     rows = personal_data(docs, *docs.columns, clean=True)
     new = {"text": F.col("clean"), "n_chars": F.when(F.size("spans") > 0, F.length("clean").cast("long")).otherwise(F.col("n_chars"))}
     return rows.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
@@ -46,7 +41,6 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 2048 tokens."""
-    workers.give_back(spark)
     import public_tokenizers
 
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))

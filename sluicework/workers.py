@@ -80,21 +80,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def sweep(spark: SparkSession) -> None:
-    """Shuffle files and checkpoints that nothing refers to any more go now, not when the driver happens to collect its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
-
+    """Shuffle files and checkpoints that nothing refers to any more go now, not when the driver happens to collect its garbage.
 
-def give_back(spark: SparkSession) -> None:
-    """Between two large jobs: executors collect their heaps' garbage and return what is free.
-
-    A heap keeps the size that its largest job gave it, and Python workers live
-    beside it in the executor's memory. A few short tasks for each core reach
-    all executors.
+    Spark deletes them when the driver's own references are collected, and has
+    no other call for it; executors aren't touched.
     """
-    sweep(spark)
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    spark.range(0, tasks, 1, tasks).select(F.call_function("java_method", F.lit("java.lang.System"), F.lit("gc"))).write.format("noop").mode("overwrite").save()
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def small(df: DataFrame) -> DataFrame:
