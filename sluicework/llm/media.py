@@ -137,12 +137,16 @@ def tensors(table: pa.Table, column: str = "log_mel") -> pa.Array:
     return pa.ExtensionArray.from_storage(TENSOR, pa.FixedSizeListArray.from_arrays(values, TENSOR_FRAMES * MELS))
 
 
-def pack_tensors(mel: np.ndarray) -> bytes:
+#: The same in half precision, as features are stored: levels of up to 128 dB keep a sixteenth.
+HALF_TENSOR = pa.fixed_shape_tensor(pa.float16(), (TENSOR_FRAMES, MELS))
+
+
+def pack_tensors(mel: np.ndarray, kind: pa.FixedShapeTensorType = TENSOR) -> bytes:
     """Tensors (n, TENSOR_FRAMES, MELS) with the seconds that each covers, as an Arrow stream of fixed-shape tensors."""
     step = TENSOR_FRAMES * HOP / RATE
     start = np.arange(mel.shape[0]) * step
-    flat = pa.FixedSizeListArray.from_arrays(pa.array(mel.reshape(-1), pa.float32()), TENSOR_FRAMES * MELS)
-    batch = pa.record_batch([pa.array(start), pa.array(start + step), pa.ExtensionArray.from_storage(TENSOR, flat)], ["start", "end", "log_mel"])
+    flat = pa.FixedSizeListArray.from_arrays(pa.array(mel.reshape(-1).astype(kind.value_type.to_pandas_dtype())), TENSOR_FRAMES * MELS)
+    batch = pa.record_batch([pa.array(start), pa.array(start + step), pa.ExtensionArray.from_storage(kind, flat)], ["start", "end", "log_mel"])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema) as out:
         out.write_batch(batch)
@@ -225,6 +229,71 @@ def audio_features(media: DataFrame, *keep: str) -> DataFrame:
     return rows.mapInArrow(_features, out).select(*(F.col(f"_row.`{c}`").alias(c) for c in keep), *_ADDED.names)
 
 
+_SUMMED = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "segments")
+_FEATURES = T.StructType([*(f for f in _ADDED.fields if f.name in _SUMMED)]).add("tensors", "binary")
+_READ = T.StructType().add("spans", T.ArrayType(_SPAN)).add("mean_level", T.ArrayType(T.FloatType())).add("log_mel_sha256", "string")
+_SPANS = pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())]))
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import hashlib
+    import zlib
+
+    common.alone("media", lambda: None)
+    kinds = pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), _SPANS, pa.binary()
+    for b in common.slices(batches, 64):
+        out: list[list] = [[] for _ in kinds]
+        for stored in b.column("media").to_pylist():
+            raw, mel, spans = features(stored)
+            row = len(raw), hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), [{"start": s, "end": e} for s, e in spans], pack_tensors(mel, HALF_TENSOR)
+            for column, value in zip(out, row, strict=True):
+                column.append(value)
+        yield pa.record_batch([b.column("_row"), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))], ["_row", *_FEATURES.names])
+
+
+def store_features(media: DataFrame, path: str, *keep: str) -> None:
+    """Write what audio_features() finds to a Parquet table at path, tensors as Arrow streams of fixed-shape tensors with their time spans.
+
+    A row for each sound: keep, the digests of its samples and of its stored
+    form, its segments, and tensors, the stream, in half precision. Nothing but
+    the stream leaves a task, so a long sound is one value. Kept columns whose
+    names clash with the added ones are left out.
+    """
+    common.ship(media.sparkSession)
+    keep = tuple(c for c in keep if c not in _FEATURES.names)
+    rows = media.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row"), "media")
+    out = T.StructType([*rows.select("_row").schema.fields, *_FEATURES.fields])
+    stored = rows.mapInArrow(_packed, out).select(*(F.col(f"_row.`{c}`").alias(c) for c in keep), *_FEATURES.names)
+    stored.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import hashlib
+
+    common.alone("media", lambda: None)
+    for b in common.slices(batches, 64):
+        spans, levels, digests = [], [], []
+        for stored in b.column("tensors").to_pylist():
+            table = unpack_tensors(stored)
+            if table.schema.field("log_mel").type != HALF_TENSOR:
+                raise ValueError("not a stream of these tensors")
+            mel = table["log_mel"].combine_chunks().to_numpy_ndarray()
+            spans.append([{"start": s, "end": e} for s, e in zip(table["start"].to_pylist(), table["end"].to_pylist(), strict=True)])
+            levels.append(mel.reshape(-1, MELS).mean(0, dtype=np.float32))
+            digests.append(hashlib.sha256(mel.tobytes()).hexdigest())
+        yield pa.record_batch([b.column("_row"), pa.array(spans, _SPANS), pa.array(levels, pa.list_(pa.float32())), pa.array(digests, pa.string())], ["_row", *_READ.names])
+
+
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """What store_features() wrote, read back: its columns but the streams, and of those spans (the seconds of each tensor), mean_level and log_mel_sha256."""
+    common.ship(spark)
+    stored = spark.read.parquet(path)
+    rest = [c for c in stored.columns if c != "tensors"]
+    rows = stored.select(F.struct(*(F.col(f"`{c}`") for c in rest)).alias("_row"), "tensors")
+    out = T.StructType([*rows.select("_row").schema.fields, *_READ.fields])
+    return rows.mapInArrow(_unpacked, out).select(*(F.col(f"_row.`{c}`").alias(c) for c in rest), *_READ.names)
+
+
 def tensor_rows(found: DataFrame, *keep: str) -> DataFrame:
     """audio_features()' rows, a row for each tensor: keep, tensor, start and end in seconds, log_mel, and the active parts of that time."""
     step = F.lit(TENSOR_FRAMES * HOP / RATE)

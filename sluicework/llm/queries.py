@@ -55,15 +55,16 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .media import MELS, TENSOR_FRAMES, audio_features, read_audio, store_audio
+    from .media import MELS, TENSOR_FRAMES, read_audio, read_features, store_audio, store_features
 
-    path = common.new_path(spark, "audio")
+    path, stored = common.new_path(spark, "audio"), common.new_path(spark, "features")
     store_audio(common.table(spark, sf_dir, "documents"), path, "doc_id")
-    found = audio_features(read_audio(spark, path), "doc_id", "n_bytes")
+    store_features(read_audio(spark, path), stored, "doc_id", "n_bytes")
+    found = read_features(spark, stored)
     active = F.aggregate("segments", F.lit(0.0), lambda a, s: a + s["end"] - s["start"])
     shown = F.array_join(F.transform("mean_level", lambda v: v.cast("decimal(9,1)").cast("string")), ",")
-    feature = F.concat_ws(";", F.format_string("%dx%dx%d", F.size("tensors"), F.lit(TENSOR_FRAMES), F.lit(MELS)), F.size("segments").cast("string"), active.cast("decimal(18,3)").cast("string"), shown)
-    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"), "segments")
+    feature = F.concat_ws(";", F.format_string("%dx%dx%d", F.size("spans"), F.lit(TENSOR_FRAMES), F.lit(MELS)), F.size("segments").cast("string"), active.cast("decimal(18,3)").cast("string"), shown)
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"), "segments", "spans", "log_mel_sha256")
 
 
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,7 +117,21 @@ def test_audio(spark, make_docs, texts, tmp_path):
     for r in spark.read.parquet(str(tmp_path / "tensors")).collect():
         stored = media.unpack_tensors(r.tensors)
         assert stored.schema.field("log_mel").type == media.TENSOR and stored["start"][0].as_py() == 0 and len(stored) == len(next(x.tensors for x in got if x.doc_id == r.doc_id and [tuple(s) for s in x.segments] == [tuple(s) for s in r.segments]))
+    media.store_features(media.read_audio(spark, path), str(tmp_path / "features"), "doc_id", "tensors", "segments")
+    back = media.read_features(spark, str(tmp_path / "features")).collect()
+    assert len(back) == len(docs)
+    for r in back:
+        _, mel, spans = media.features(media.wav(next(media.payload(t)[1] for i, t in docs if hashlib.sha256(media.payload(t)[1]).hexdigest() == r.payload_sha256)))
+        half = mel.astype(np.float16)
+        assert r.log_mel_sha256 == hashlib.sha256(half.tobytes()).hexdigest() and np.abs(half.astype("f4") - mel).max() <= 1 / 16
+        assert [tuple(s) for s in r.segments] == spans and len(r.spans) == len(mel) and all(abs(s.end - s.start - media.TENSOR_FRAMES * media.HOP / media.RATE) < 1e-9 for s in r.spans)
+        assert np.allclose(r.mean_level, mel.reshape(-1, media.MELS).mean(0), atol=0.04)
+    (kept,) = spark.read.parquet(str(tmp_path / "features")).filter("doc_id IS NULL").collect()
+    stream = media.unpack_tensors(kept.tensors)
+    assert stream.schema.field("log_mel").type == media.HALF_TENSOR and stream["end"][0].as_py() == media.TENSOR_FRAMES * media.HOP / media.RATE
     media.store_audio(make_docs(spark, []), str(tmp_path / "none"), "doc_id")
+    media.store_features(media.read_audio(spark, str(tmp_path / "none")), str(tmp_path / "no features"), "doc_id")
+    assert not media.read_features(spark, str(tmp_path / "no features")).collect()
     assert not media.audio_features(media.read_audio(spark, str(tmp_path / "none")), "doc_id").collect()
 
 
@@ -132,7 +146,7 @@ def test_audio_query(spark, sf_dir):
         _, mel, spans = media.features(media.wav(raw))
         shape, k, seconds, levels = r.feature.split(";")
         assert (r.n_bytes, r.payload_sha256, shape, int(k)) == (n, hashlib.sha256(raw).hexdigest(), f"{mel.shape[0]}x{media.TENSOR_FRAMES}x{media.MELS}", len(spans))
-        assert abs(float(seconds) - sum(e - a for a, e in spans)) < 1e-3 and np.allclose([float(x) for x in levels.split(",")], mel.reshape(-1, media.MELS).mean(0), atol=0.051)
+        assert abs(float(seconds) - sum(e - a for a, e in spans)) < 1e-3 and np.allclose([float(x) for x in levels.split(",")], mel.reshape(-1, media.MELS).mean(0), atol=0.09)
 
 
 def test_log_mel_is_its_definition():
