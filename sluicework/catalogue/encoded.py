@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import encoded_query as eq
-from .base import ISSUE, Catalogue, issue, table
+from .base import ISSUE, Catalogue, issue, placed, table
 
 Q = Catalogue()
 
@@ -93,9 +93,9 @@ def eq_id_as_text(spark, sf_dir):
 def _page(name: str, query: str, order: str, limit: int, offset: int = 0) -> None:
     def run(spark, sf_dir):
         df = eq.apply(table(spark, sf_dir, "customer"), query).select("c_custkey", "c_mktsegment", "c_acctbal")
-        return (df.offset(offset) if offset else df).limit(limit)
+        return placed((df.offset(offset) if offset else df).limit(limit))
 
-    Q.add(name, run, f"SELECT c_custkey, c_mktsegment, c_acctbal FROM customer ORDER BY {order} LIMIT {limit} OFFSET {offset}")
+    Q.add(name, run, f"SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM (SELECT c_custkey, c_mktsegment, c_acctbal FROM customer ORDER BY {order} LIMIT {limit} OFFSET {offset})")
 
 
 def _ordered(name: str, query: str, order: str, cell: str = "c_mktsegment", **how) -> None:
@@ -103,11 +103,7 @@ def _ordered(name: str, query: str, order: str, cell: str = "c_mktsegment", **ho
 
     def run(spark, sf_dir):
         df = table(spark, sf_dir, "customer").withColumn("cell", F.expr(cell))
-        rows = eq.apply(df, query, **how).select("c_custkey", "cell", F.monotonically_increasing_id().alias("_at"))
-        part = F.shiftright("_at", 33)  # the sort's ranges, in their order
-        sizes = rows.groupBy(part.alias("_part")).count().withColumn("_first", F.sum("count").over(Window.orderBy("_part")) - F.col("count"))
-        placed = rows.withColumn("_part", part).join(F.broadcast(sizes), "_part")
-        return placed.select("c_custkey", "cell", (F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("place"))
+        return placed(eq.apply(df, query, **how).select("c_custkey", "cell"))
 
     Q.add(name, run, f"SELECT c_custkey, cell, row_number() OVER (ORDER BY {order}) AS place FROM (SELECT *, {cell} AS cell FROM customer)")
 
@@ -125,9 +121,9 @@ _page("top_k", "ORDERBYDESCc_acctbal^ORDERBYc_custkey", "c_acctbal DESC, c_custk
 _page("offset_page", "ORDERBYc_acctbal^ORDERBYc_custkey", "c_acctbal, c_custkey", 40, 60)
 
 
-@Q("SELECT c_custkey, c_mktsegment FROM customer WHERE c_nationkey = 3 ORDER BY c_mktsegment DESC, c_custkey")
+@Q("SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY c_mktsegment DESC, c_custkey) AS place FROM customer WHERE c_nationkey = 3")
 def ordered_by_builder(spark, sf_dir):
     tree = eq.parse("c_nationkey=3").order_by("c_mktsegment", descending=True).order_by("c_custkey")
-    return eq.apply(table(spark, sf_dir, "customer"), tree).select("c_custkey", "c_mktsegment")
+    return placed(eq.apply(table(spark, sf_dir, "customer"), tree).select("c_custkey", "c_mktsegment"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..plans import keyset as ks
 from ..plans import offsets
 from ..functions import coerce
-from .base import ISSUE, Catalogue, issue, table
+from .base import ISSUE, Catalogue, issue, placed, table
 
 Q = Catalogue()
 _LAST, _HIGH = datetime(1995, 3, 15), datetime(1995, 9, 1)
@@ -19,14 +19,17 @@ _EVENT = ks.Keys("ts", "event_id", "user_id")
 _S = f"WITH {ISSUE} SELECT sys_id, sys_updated_on, sys_mod_count FROM issue"
 
 
-@Q(f"{_S} WHERE sys_updated_on > TIMESTAMP '1995-03-15' AND sys_updated_on <= TIMESTAMP '1995-09-01'")
+_PLACED = f"WITH {ISSUE} SELECT sys_id, sys_updated_on, sys_mod_count, row_number() OVER (ORDER BY sys_updated_on, sys_id) AS place FROM issue"
+
+
+@Q(f"{_PLACED} WHERE sys_updated_on > TIMESTAMP '1995-03-15' AND sys_updated_on <= TIMESTAMP '1995-09-01'")
 def keyset_next(spark, sf_dir):
-    return ks.next_buckets(issue(spark, sf_dir), _LAST, _HIGH).select(*_COLUMNS)
+    return placed(ks.next_buckets(issue(spark, sf_dir), _LAST, _HIGH).select(*_COLUMNS))
 
 
-@Q(f"{_S} WHERE sys_updated_on = TIMESTAMP '1995-03-15' AND sys_id > '{_ID}'")
+@Q(f"{_PLACED} WHERE sys_updated_on = TIMESTAMP '1995-03-15' AND sys_id > '{_ID}'")
 def keyset_drain(spark, sf_dir):
-    return ks.drain_bucket(issue(spark, sf_dir), ks.Cursor(_LAST, _ID)).select(*_COLUMNS)
+    return placed(ks.drain_bucket(issue(spark, sf_dir), ks.Cursor(_LAST, _ID)).select(*_COLUMNS))
 
 
 _AFTER = f"(sys_updated_on > TIMESTAMP '1995-03-15' OR (sys_updated_on = TIMESTAMP '1995-03-15' AND sys_id > '{_ID}')) AND sys_updated_on <= TIMESTAMP '1995-09-01'"

@@ -11,15 +11,15 @@ from ..operators import shape
 from ..plans import encoded_query as eq
 from ..plans import keyset as ks
 from ..workers import small
-from .base import CHANGES, ISSUE, Catalogue, changes, hex_id, issue, number, table
+from .base import CHANGES, ISSUE, Catalogue, changes, hex_id, issue, number, placed, table
 
 Q = Catalogue()
 
 
-@Q(f"WITH {ISSUE} SELECT sys_id, state, cost FROM issue WHERE state = 'F' AND cost > 100000 ORDER BY sys_id LIMIT 300")
+@Q(f"WITH {ISSUE}, r AS (SELECT sys_id, state, cost FROM issue WHERE state = 'F' AND cost > 100000 ORDER BY sys_id LIMIT 300) SELECT *, row_number() OVER (ORDER BY sys_id) AS place FROM r")
 def scan_list(spark, sf_dir):
     rows = eq.apply(issue(spark, sf_dir), eq.parse("state=F^cost>100000^ORDERBYsys_id").comparing_as_text("sys_id"))
-    return ks.select(rows, ["sys_id", "state", "cost"]).limit(300)
+    return placed(ks.select(rows, ["sys_id", "state", "cost"]).limit(300))
 
 
 @Q(f"WITH {ISSUE} SELECT sys_id, state, priority FROM issue WHERE sys_id = 'a0000000000000000000000000000007'||'' OR sys_id = concat('a', lpad('7', 31, '0')) LIMIT 1")

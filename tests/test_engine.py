@@ -1,5 +1,6 @@
 """Language, scans, policies, sources and streams against small references."""
 
+import base64
 import hashlib
 import json
 import random
@@ -221,6 +222,57 @@ def test_batch_source_reads_every_row_once(spark, server):
     assert asked["sysparm_display_value"] == "all" and asked["sysparm_query_no_domain"] == "true" and asked["sysparm_query_category"] == "c" and "sys_updated_on>=2026-01-01 00:00:02" in asked["sysparm_query"]
 
 
+def test_a_half_read_second_at_the_high_water_mark_is_drained(server):
+    """The place lies inside the newest second that may be read: its other rows come now, not with the next second."""
+    server.rows = [_row(i, i // 100) for i in range(300)]
+    o = {"url": server.url, "table": "incident", "batch.size": "30", "pages.per.trigger": "1", "lag.seconds": "0", "probe": "false", "now": "2026-01-01 00:00:02", "start": "2026-01-01 00:00:00"}
+    reader = table_api.TableStreamReader(o)
+    at, got = reader.initialOffset(), []
+    for _ in range(20):
+        new = reader.latestOffset()
+        if new == at:
+            break
+        got += [r[0] for part in reader.partitions(at, new) for r in reader.read(part)]
+        at = new
+    assert set(got) == {r["sys_id"] for r in server.rows}
+    inside = table_api.Cursor(datetime(2026, 1, 1, 0, 0, 2), "a00250")
+    reader.at = inside
+    last = reader.latestOffset()
+    rest = [r[0] for part in reader.partitions(table_api.offsets.encode(inside, "stream", reader.scan.fingerprint), last) for r in reader.read(part)]
+    assert [x for x in rest if x > "a00250"] == [f"a{i:05d}" for i in range(251, 281)]
+    reader.at = table_api.Cursor(datetime(2026, 1, 1, 0, 0, 2))
+    before = len(server.seen)
+    assert reader.latestOffset() == reader.latestOffset() and len(server.seen) == before  # idle
+
+
+def test_requests_say_what_is_not_wanted(server):
+    client = Client(server.url, Basic("u", "p"))
+    client.list("incident", "sys_id=a00001^ORDERBYsys_id", fields=["sys_id"], limit=3)
+    asked = server.seen[-1]
+    assert asked["sysparm_no_count"] == asked["sysparm_suppress_pagination_header"] == asked["sysparm_exclude_reference_link"] == "true" and asked["sysparm_limit"] == "3"
+    assert Basic("user", "päss").header() == "Basic " + base64.b64encode("user:päss".encode()).decode() and "päss" not in repr(Basic("user", "päss"))
+
+
+def test_the_servers_clock_counts(monkeypatch, server):
+    """Its Date header moves the client's idea of now."""
+    client = Client(server.url, Basic("u", "p"))
+
+    class Answer:
+        status = 200
+
+        def __init__(self, date):
+            self.headers = {"Date": date}
+
+        def read(self, _):
+            return b"{}"
+
+    monkeypatch.setattr("time.time", lambda: 1_767_225_600.0)  # 2026-01-01
+    client._read(Answer("Thu, 01 Jan 2026 00:10:00 GMT"))
+    assert client.server_now() == 1_767_225_600.0 + 600
+    client._read(Answer("no date"))
+    assert client.drift == 600
+
+
 def test_source_guards(spark, server):
     table_api.register(spark)
     o = {"url": server.url, "table": "incident", "batch.size": "4", "now": "2026-01-02 00:00:00"}
