@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import change as ch
 from ..plans import keyset
-from .base import CHANGES, ISSUE, Catalogue, changes, hex_id, issue, table
+from ..workers import cut
+from .base import CHANGES, ISSUE, Catalogue, changes, hex_id, issue, placed, table
 
 Q = Catalogue()
 _C = f"WITH {CHANGES} SELECT"
@@ -172,17 +172,14 @@ def classify_outcome(spark, sf_dir):
 @Q(f'WITH {CHANGES} SELECT topic, partition, "offset", row_number() OVER (PARTITION BY topic, partition ORDER BY "offset") AS place, 1 AS tasks FROM changes')
 def lane_order(spark, sf_dir):
     """A row's place in its lane is read off the place that it has after lane_order(), and a lane must lie in one task."""
-    rows = ch.lane_order(changes(spark, sf_dir), 4).select("topic", "partition", "offset", F.monotonically_increasing_id().alias("at"))
-    lanes = rows.groupBy("topic", "partition").agg(F.array_sort(F.collect_list(F.struct("at", "offset"))).alias("r"), F.countDistinct(F.shiftright("at", 33)).cast("int").alias("tasks"))
-    return lanes.select("topic", "partition", "tasks", F.posexplode("r").alias("place", "x")).select("topic", "partition", "x.offset", (F.col("place") + 1).cast("bigint").alias("place"), "tasks")
+    rows = cut(ch.lane_order(changes(spark, sf_dir), 4).select("topic", "partition", "offset", F.monotonically_increasing_id().alias("at")))
+    lanes = rows.groupBy("topic", "partition").agg(F.min("at").alias("first"), F.countDistinct(F.shiftright("at", 33)).cast("int").alias("tasks"))
+    return rows.join(lanes, ["topic", "partition"]).select("topic", "partition", "offset", (F.col("at") - F.col("first") + 1).alias("place"), "tasks")
 
 
 @Q(f'WITH {CHANGES} SELECT "offset", row_number() OVER (ORDER BY "offset") AS place FROM changes')
 def outcomes_in_input_order(spark, sf_dir):
-    rows = ch.in_input_order(changes(spark, sf_dir).repartition(5, "topic"), "offset").select("offset", F.monotonically_increasing_id().alias("_at"))
-    part = F.shiftright("_at", 33)
-    sizes = rows.groupBy(part.alias("_part")).count().withColumn("_first", F.sum("count").over(W.orderBy("_part")) - F.col("count"))
-    return rows.withColumn("_part", part).join(F.broadcast(sizes), "_part").select("offset", (F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("place"))
+    return placed(ch.in_input_order(changes(spark, sf_dir).repartition(5, "topic"), "offset").select("offset"))
 
 
 @Q(f"WITH {_O} SELECT topic, partition, \"offset\", NOT coalesce(max(CASE WHEN classification = 'RETRIES_EXHAUSTED' THEN 1 ELSE 0 END) OVER (PARTITION BY topic, partition ORDER BY \"offset\" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) = 1, false) AS attempted FROM outcomes")

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..workers import placed
+
 
 class Retryable(Exception):
     """A failure worth another attempt; ambiguous if the request may have been applied; wait as the server asked."""
@@ -143,15 +145,18 @@ class Limiter:
 
 
 def aimd_permits(events: DataFrame, lane: str, order: str, throttled: Column, *, top: int = 8, every: int = 50) -> DataFrame:
-    """Permits of each lane after its events in order; a lane's events are folded in one row."""
-    rows = events.groupBy(lane).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), throttled.alias("t")))).alias("_e"))
-    start = F.struct(F.lit(top).alias("p"), F.lit(0).alias("s"))
-
-    def step(acc: Column, e: Column) -> Column:
-        grows = (acc["p"] < top) & (acc["s"] + 1 >= every)
-        return F.struct(
-            F.when(e["t"], F.greatest(F.lit(1), F.floor(acc["p"] / 2).cast("int"))).when(grows, acc["p"] + 1).otherwise(acc["p"]).alias("p"),
-            F.when(e["t"] | grows | (acc["p"] >= top), 0).otherwise(acc["s"] + 1).alias("s"),
-        )
-
-    return rows.select(lane, F.aggregate("_e", start, step, lambda a: a["p"]).alias("permits"))
+    """Permits of each lane after its events in order.
+
+    Only how many successes lie between two throttlings matters, and that is the
+    difference of their places in one sort of all events; so a lane's fold holds
+    its throttlings, not its events.
+    """
+    told = placed(events.select(F.col(lane).alias("lane"), F.col(order).alias("_order"), F.coalesce(throttled, F.lit(False)).alias("_hit")).orderBy("lane", "_order"))
+    ends = told.groupBy("lane").agg(F.min("place").alias("first"), F.max("place").alias("last"), F.array_sort(F.collect_list(F.when(F.col("_hit"), F.col("place")))).alias("hits"))
+
+    def grown(permits: Column, successes: Column) -> Column:
+        return F.least(F.lit(top).cast("bigint"), permits + F.floor(successes / every))
+
+    start = F.struct(F.lit(top).cast("bigint").alias("p"), (F.col("first") - 1).alias("at"))
+    step = lambda a, hit: F.struct(F.greatest(F.lit(1).cast("bigint"), F.floor(grown(a["p"], hit - a["at"] - 1) / 2)).alias("p"), hit.alias("at"))
+    return ends.select(F.col("lane").alias(lane), F.aggregate("hits", start, step, lambda a: grown(a["p"], F.col("last") - a["at"])).cast("int").alias("permits"))
