@@ -413,6 +413,7 @@ def train(rows: list[tuple[list[str], list[int]]], *, rounds: int = 60, ridge: f
     for tokens, labels in rows:
         ids = np.array([[names.setdefault(f, len(names)) for f in token_features(tokens, i)] for i in range(len(tokens))])
         data.append((ids, np.array(labels)))
+    data.sort(key=lambda d: -len(d[1]))
     k, each = len(LABELS), data[0][0].shape[1]
     n = len(names)
     w = np.zeros((n + k, k))  # the last k rows are the steps
@@ -424,9 +425,13 @@ def train(rows: list[tuple[list[str], list[int]]], *, rounds: int = 60, ridge: f
     for r, (x, y) in enumerate(data):
         ids[r, : len(y)], gold[r, : len(y)] = x, y
 
+    kinds, kind = np.unique(ids.reshape(-1, each), axis=0, return_inverse=True)  # few tokens differ in their features
+    kind = kind.reshape(len(data), longest)
+
     def gathered(share: np.ndarray) -> np.ndarray:
         """Sums of the tokens' shares of every label by feature."""
-        return np.stack([sum(np.bincount(ids[..., j].ravel(), share[..., y].ravel(), n) for j in range(each)) for y in range(k)], 1)
+        own = [np.bincount(kind.ravel(), share[..., y].ravel(), len(kinds)) for y in range(k)]
+        return np.stack([sum(np.bincount(kinds[:, j], x, n) for j in range(each)) for x in own], 1)
 
     seen = np.zeros_like(w)
     seen[:n] = gathered(np.eye(k)[gold] * live[..., None])
@@ -436,22 +441,22 @@ def train(rows: list[tuple[list[str], list[int]]], *, rounds: int = 60, ridge: f
         top = x.max(axis, keepdims=True)
         return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
 
+    lines, count = np.arange(len(data)), [int(np.count_nonzero(size > t)) for t in range(longest)]  # the longest lines come first
     for step in range(1, rounds + 1):
-        emit, steps = w[ids].sum(2), w[n:]
+        emit, steps = w[kinds].sum(1)[kind], w[n:]
         fore, aft = np.zeros_like(emit), np.zeros_like(emit)
         fore[:, 0] = emit[:, 0]
         for t in range(1, longest):
-            new = lse(fore[:, t - 1, :, None] + steps, 1) + emit[:, t]
-            fore[:, t] = np.where(live[:, t, None], new, fore[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            new = lse(steps + (emit[:, t + 1] + aft[:, t + 1])[:, None], 2)
-            aft[:, t] = np.where(live[:, t + 1, None], new, 0.0)
-        total = lse(fore[:, -1], 1)
-        at = np.exp(fore + aft - total[:, None, None]) * live[..., None]
+            c = count[t]
+            fore[:c, t] = lse(fore[:c, t - 1, :, None] + steps, 1) + emit[:c, t]
+        total = lse(fore[lines, size - 1], 1)
         want = np.zeros_like(w)
-        want[:n] = gathered(at)
-        both = np.exp(fore[:, :-1, :, None] + steps + (emit[:, 1:] + aft[:, 1:])[:, :, None] - total[:, None, None, None]) * live[:, 1:, None, None]
-        want[n:] = both.sum((0, 1))
+        for t in range(longest - 2, -1, -1):
+            c = count[t + 1]
+            ahead = steps + (emit[:c, t + 1] + aft[:c, t + 1])[:, None]
+            aft[:c, t] = lse(ahead, 2)
+            want[n:] += np.exp(fore[:c, t, :, None] + ahead - total[:c, None, None]).sum(0)
+        want[:n] = gathered(np.exp(np.where(live[..., None], fore + aft - total[:, None, None], -np.inf)))
         grad = (seen - want) - ridge * w
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         w += 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
