@@ -22,6 +22,10 @@ MAX_LABELLED = 40_000
 MIN_Z = (3.0, 4.0, 5.0, 6.0, 8.0, 10.0)
 #: One in so many labelled documents is kept from the counts, to choose and calibrate on.
 KEPT_BACK = 3
+#: A feature stands in so many of the counted documents at least: with fewer, no prior keeps chance from looking like toxicity.
+LEAST_DOCUMENTS = 3
+#: A feature's log-odds count up to this, and a text's evidence: beyond it nothing changes in a probability.
+MOST_ODDS, MOST_EVIDENCE = 8.0, 200.0
 #: Total count of the Dirichlet prior as a share of the documents counted; features get it by their share of both classes.
 PRIOR = 0.05
 #: Lengths of the word beginnings that are features beside whole words.
@@ -80,7 +84,7 @@ class Model:
         for k, s in enumerate(sorted((s for _, _, s in found), reverse=True)):
             x = -math.log(max(1e-300, self.chance(n, s)))
             total += x if not k else max(0.0, x - 3.0)
-        return min(total, 200.0)
+        return min(total, MOST_EVIDENCE)
 
     def probability(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + self.slope * math.log1p(evidence)))))
@@ -150,7 +154,7 @@ def _tallied(models: list[Model]):
 
 def candidates(found: list[tuple[str, float, float]]) -> list[Model]:
     """Models of the features (name, log-odds, z) beyond each least z; a feature counts by its odds less two standard errors."""
-    return [Model({f: min(8.0, odds * (1 - 2 / z)) for f, odds, z in found if z >= least}, room=CACHE_WORDS // len(MIN_Z)) for least in MIN_Z]
+    return [Model({f: min(MOST_ODDS, odds * (1 - 2 / z)) for f, odds, z in found if z >= least}, room=CACHE_WORDS // len(MIN_Z)) for least in MIN_Z]
 
 
 def choose(models: list[Model], rows: list[tuple[int, int, list[list[float]]]]) -> Model:
@@ -172,7 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     Of several labels of one doc_id the largest holds. At most MAX_LABELLED
     labelled ids are used, and only they are broadcast. One in KEPT_BACK of them
     is not counted: the least z is chosen and the scores are calibrated on it.
-    Every word of the counted texts beyond the least z is a feature.
+    Every word of LEAST_DOCUMENTS counted texts or more whose z is beyond the
+    least is a feature, and so is every such beginning of words.
     """
     common.ship(docs.sparkSession)
     chosen = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -191,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     odds = logit(F.col("y1"), n1) - logit(F.col("y0"), n0)
     z = odds / F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior))
-    scored = counts.filter("y0 + y1 > 2").select("feature", odds.alias("odds"), z.alias("z")).filter(F.col("z") >= MIN_Z[0])
+    scored = counts.filter(F.col("y0") + F.col("y1") >= LEAST_DOCUMENTS).select("feature", odds.alias("odds"), z.alias("z")).filter(F.col("z") >= MIN_Z[0])
     models = candidates([tuple(r) for r in scored.orderBy(F.col("z").desc(), "feature").collect()])  # words of at most MAX_LABELLED texts
     rows = known.filter("back").mapInArrow(_tallied(models), "toxic int, n long, scores array<array<double>>").collect()  # a part of MAX_LABELLED
     return choose(models, [tuple(r) for r in rows])
