@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..workers import cut
+from ..workers import BROADCAST_ROWS, cut
 
 # Operation names in headers.
 OPERATIONS = {"CREATE": "CREATE", "POST": "CREATE", "PATCH": "PATCH", "PUT": "PUT", "DELETE": "DELETE"}
@@ -103,7 +103,9 @@ def apply_changes(target: DataFrame, changes: DataFrame, fields: list[str], *, n
     A range partitioning by key and order, cut into runs of 2 ** RUN_BITS rows, deals a
     hot key to many groups of that size at most. Each run is folded twice, for a
     row that exists and one that doesn't; a key's runs are put together on top
-    of the target's row. The runs are stored, as both results read them.
+    of the target's row. The runs are stored, as both results read them. Where
+    the batch has no more than BROADCAST_ROWS keys, the target isn't shuffled:
+    only rows that have a change meet their runs.
     """
     kept = [c for c in changes.columns if c not in ("change_id", "target_id", "reason")]
     place = [c for c in ("order", *COORDINATES[:3]) if c in changes.columns]
@@ -138,8 +140,12 @@ def apply_changes(target: DataFrame, changes: DataFrame, fields: list[str], *, n
 
     runs = cut(runs.select("target_id", "run", folded(True).alias("on"), folded(False).alias("off")))
     ways = F.struct("run", F.col("on").dropFields("bad").alias("on"), F.col("off").dropFields("bad").alias("off"))
-    keys = runs.groupBy("target_id").agg(F.array_sort(F.collect_list(ways), _by(["run"])).alias("runs"))
-    own = target.select(F.col("sys_id").alias("target_id"), F.struct(*target.columns).alias("row"))
+    keys = cut(runs.groupBy("target_id").agg(F.array_sort(F.collect_list(ways), _by(["run"])).alias("runs")))
+    touched, rest = target, None
+    if keys.count() <= BROADCAST_ROWS:  # rows without a change stay where they are
+        ids = F.broadcast(keys.select("target_id"))
+        touched, rest = (target.join(ids, F.col("sys_id") == F.col("target_id"), kind) for kind in ("left_semi", "left_anti"))
+    own = touched.select(F.col("sys_id").alias("target_id"), F.struct(*target.columns).alias("row"))
     joined = own.join(keys, "target_id", "full_outer")
     first = F.struct(*(none[x].alias(x) for x in ("fresh", "reset", "mod", "at", "made", "body")), F.col("row").isNotNull().alias("live"), F.array().cast("array<struct<run:bigint,live:boolean>>").alias("starts"))
 
@@ -164,6 +170,9 @@ def apply_changes(target: DataFrame, changes: DataFrame, fields: list[str], *, n
         *(c.alias(n) for n, c in system.items() if c is not None),
         *(F.coalesce(s["body"][f], F.when(s["reset"], F.lit("")), old[f].cast("string"), F.lit("")).alias(f) for f in fields),
     )
+    if rest is not None:
+        same = rest.select("sys_id", F.col("sys_mod_count").cast("long").alias("sys_mod_count"), "sys_updated_on", *(c for c in _SYSTEM if c in target.columns), *(F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f) for f in fields))
+        live = live.unionByName(same)
     started = done.select("target_id", F.explode("s.starts").alias("start")).select("target_id", "start.run", "start.live")
     bad = runs.select("target_id", "run", F.col("on.bad").alias("on"), F.col("off.bad").alias("off")).filter("size(on) + size(off) > 0")
     rejected = bad.join(started, ["target_id", "run"]).select(F.explode(F.when(F.col("live"), F.col("on")).otherwise(F.col("off"))).alias("b"))
