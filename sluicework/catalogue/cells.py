@@ -11,9 +11,11 @@ from ..functions import coerce, text
 from ..operators import change as ch
 from ..operators import mapping as mp
 from ..operators import translate
+from ..operators.ingest import ingest
 from ..plans import encoded_query as eq
 from ..plans import keyset as ks
 from ..plans import offsets
+from ..plans.config import SinkConfig
 from .base import Catalogue, table
 from .mapping import HIERARCHY, hierarchy
 
@@ -172,6 +174,36 @@ def order_detection(spark, sf_dir):
     return out
 
 
+# --- records to changes
+
+_RECORD_ID = "concat('a', lpad(cast(user_id as string), 31, '0'))"
+
+
+@Q("""WITH r AS (SELECT *, event_id % 10 = 0 AS gone, CASE event_type WHEN 'view' THEN 'u_view' WHEN 'click' THEN 'u_click' END AS tab,
+ CASE WHEN event_id % 6 < 4 THEN concat('a', lpad(CAST(user_id AS VARCHAR), 31, '0')) END AS k, CASE WHEN event_id % 10 <> 0 AND event_id % 4 = 3 THEN concat('b', lpad(CAST(event_id AS VARCHAR), 31, '0')) END AS v,
+ CASE event_id % 9 WHEN 1 THEN 'CREATE' WHEN 2 THEN 'PATCH' WHEN 3 THEN 'DELETE' WHEN 4 THEN 'MERGE' END AS h FROM events),
+ i AS (SELECT *, coalesce(v, k) AS id FROM r),
+ o AS (SELECT *, CASE WHEN h = 'MERGE' THEN NULL WHEN h IS NOT NULL THEN h WHEN gone THEN 'DELETE' WHEN id IS NULL THEN 'CREATE' ELSE 'PATCH' END AS op FROM i),
+ s AS (SELECT *, NOT gone AND coalesce(op, '') <> 'DELETE' AS sends FROM o),
+ f AS (SELECT *, CASE WHEN NOT sends THEN NULL WHEN tab = 'u_view' THEN concat('{"geo_lat":"', user_id, '","short_description":"', CASE WHEN event_id % 4 <> 0 THEN event_type ELSE '' END, '"}')
+  WHEN tab = 'u_click' THEN concat('{"cost":"', event_id, '","geo_kind":"k', user_id % 3, '","geo_lat":"', user_id, '","short_description":"', CASE WHEN event_id % 4 <> 0 THEN event_type ELSE '' END, '"}') ELSE '{}' END AS body,
+  CASE WHEN NOT sends THEN '' WHEN tab = 'u_view' THEN 'cost,geo_kind' WHEN tab = 'u_click' THEN '' ELSE 'cost,geo_kind,geo_lat,short_description' END AS dropped FROM s)
+ SELECT event_id, op, tab AS "table", id AS sys_id, body, dropped, nullif(concat_ws('; ', CASE WHEN tab IS NULL THEN concat('no table for topic ', event_type) END, CASE WHEN h = 'MERGE' THEN 'unknown operation MERGE' END,
+  CASE WHEN op IN ('PATCH', 'PUT', 'DELETE') AND id IS NULL THEN concat(op, ' needs an id') WHEN op <> 'DELETE' AND gone THEN concat(op, ' needs a value') END), '') AS error FROM f""")
+def sink_ingest(spark, sf_dir):
+    """Events as records of topics: every one becomes a change or tells why not."""
+    value = "CASE WHEN event_id % 10 <> 0 THEN named_struct('sys_id', CASE WHEN event_id % 4 = 3 THEN concat('B', lpad(cast(event_id as string), 31, '0')) END, 'cost', event_id, 'note', CASE WHEN event_id % 4 <> 0 THEN event_type END, 'geo', named_struct('lat', user_id, 'kind', concat('k', user_id % 3)), 'secret', 'x') END"
+    h = _case([None, "'create'", "' patch '", "'delete'", "'merge'", None, None, None, None])
+    records = table(spark, sf_dir, "events").select(
+        "event_id", c("event_type").alias("topic"), F.expr("user_id % 4").alias("partition"), c("event_id").alias("offset"), F.expr(f"CASE WHEN event_id % 6 < 4 THEN {_RECORD_ID} END").alias("key"), F.expr(value).alias("value"), F.create_map(F.lit("operation"), F.expr(h)).alias("headers"),
+    )
+    config = SinkConfig(routing="topic", routes={"view": "u_view", "click": "u_click"}, id_conflict="value", nulls="clear", nested="flatten", unknown="report", deny=("secret", "sys_id"), rename=(("note", "short_description"),))
+    known = spark.createDataFrame([(t, e, 0) for t, names in (("u_view", "geo_lat short_description"), ("u_click", "cost geo_kind geo_lat short_description")) for e in names.split()], "name string, element string, level int")
+    out = ingest(records, config, known)
+    body = F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.from_json("body", "map<string,string>")))))
+    return out.select(c("offset").alias("event_id"), "op", "table", "sys_id", body.alias("body"), F.array_join("dropped", ",").alias("dropped"), "error")
+
+
 # --- dictionaries and configurations
 
 @Q("SELECT p_brand AS element FROM part WHERE p_size % 20 = 7 AND p_partkey % 5 <> 0")

@@ -74,14 +74,18 @@ def leaves(c: Column, kind: T.DataType, path: str, m: Mapping) -> tuple[list[tup
     return [], [F.when(c.isNotNull(), F.lit(f"{path}: nested {name}"))]
 
 
-def body(df: DataFrame, m: Mapping, *, exclude: tuple[str, ...] = ()) -> tuple[Column, Column]:
-    """A map column of the body and a column of errors, null if there are none; exclude names columns outside the value."""
-    names = renamed([c for c in df.columns if c not in exclude], m.rename)
+def body(df: DataFrame, m: Mapping, *, exclude: tuple[str, ...] = (), value: str | None = None) -> tuple[Column, Column]:
+    """A map column of the body and a column of errors, null if there are none; exclude names columns outside the value.
+
+    With value, the name of a struct column, its fields are the value's.
+    """
+    kinds = {f.name: f.dataType for f in (df.schema[value].dataType if value else df.schema).fields}
+    names = renamed([c for c in kinds if c not in exclude], m.rename)
     back = {v: k for k, v in names.items()}
     cells: list[tuple[str, Column]] = []
     errors: list[Column] = []
     for n in kept(list(names.values()), m):
-        own, bad = leaves(F.col(f"`{back[n]}`"), df.schema[back[n]].dataType, n, m)
+        own, bad = leaves(F.col(value)[back[n]] if value else F.col(f"`{back[n]}`"), kinds[back[n]], n, m)
         cells += own
         errors += bad
     twice = sorted({n for n, _ in cells if sum(n == x for x, _ in cells) > 1})
@@ -170,11 +174,11 @@ def apply_dictionary(df: DataFrame, columns: DataFrame, policy: str, *, table_co
     one sorted array, of which there is one for each table. A table that isn't
     there has no columns, which is an error of its own where unknown fields fail.
     """
-    known = columns.groupBy(F.col("name").alias("_table")).agg(F.array_sort(F.collect_set("element")).alias("_known"))
-    joined = df.join(small(cut(known)), F.col(table_column) == F.col("_table"), "left")
+    known = columns.groupBy(F.col("name").alias("_known_table")).agg(F.array_sort(F.collect_set("element")).alias("_known"))
+    joined = df.join(small(cut(known)), F.col(table_column) == F.col("_known_table"), "left")
     out = _unknown(joined, F.coalesce("_known", F.array().cast("array<string>")), policy, body_column)
     error = F.when(F.col("_known").isNull() & F.lit(policy == "fail"), F.concat(F.lit("no such table: "), F.coalesce(table_column, F.lit("")))).otherwise(F.col("unknown_error"))
-    return out.withColumn("unknown_error", error).drop("_table", "_known")
+    return out.withColumn("unknown_error", error).drop("_known_table", "_known")
 
 
 def superclass_chain(tables: DataFrame, table: str, *, depth: int = 32) -> DataFrame:

@@ -156,9 +156,20 @@ class SinkConfig:
     behaviour: str = "fail"
     allow: tuple[str, ...] = ()
     deny: tuple[str, ...] = ()
+    rename: tuple[tuple[str, str], ...] = ()
+    operation: str = "infer"
+    fixed_operation: str = ""
+    allowed_tables: tuple[str, ...] = ()
+    table_header: str = "table"
+    operation_header: str = "operation"
+    id_header: str = "sys_id"
+    id_field: str = "sys_id"
 
     def errors(self) -> dict[str, str]:
         e: dict[str, str] = {}
+        _choice(e, "operation", self.operation, ("infer", "header", "fixed"))
+        if (self.operation == "fixed") != (self.fixed_operation in ("CREATE", "PATCH", "PUT", "DELETE")):
+            e["fixed_operation"] = "belongs to the operation fixed, and is one of CREATE, PATCH, PUT and DELETE"
         _choice(e, "routing", self.routing, ("fixed", "topic", "header"))
         _choice(e, "ids", self.ids, ("key", "value", "key_value", "header"))
         _choice(e, "update", self.update, ("PATCH", "PUT"))
