@@ -27,7 +27,7 @@ from . import common
 #: Memory of a worker's cached pieces, about: half for the recent ones, half for those before.
 CACHE_BYTES = 40 << 20
 #: Texts that are cut at once.
-TEXTS = 512
+TEXTS = 2048
 #: What an entry costs besides its characters and ids, about, and the longest piece that is kept.
 ENTRY_BYTES, PIECE_BYTES = 170, 64
 
