@@ -26,8 +26,8 @@ from . import common
 
 #: Memory of a worker's cached pieces, about: half for the recent ones, half for those before.
 CACHE_BYTES = 40 << 20
-#: Texts that are cut at once.
-TEXTS = 2048
+#: Texts that are cut at once: more of them share more pieces, and take more room.
+TEXTS = 512
 #: What an entry costs besides its characters and ids, about, and the longest piece that is kept.
 ENTRY_BYTES, PIECE_BYTES = 170, 64
 
@@ -73,9 +73,10 @@ def _little(ids: list[int]) -> bytes:
 class Encoder:
     """encode(text) gives the ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, budget: int = CACHE_BYTES):
+    def __init__(self, path: str, budget: int = CACHE_BYTES, texts: int | None = None):
         from tokenizers import Tokenizer
 
+        self.at_once = texts or TEXTS
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
@@ -144,8 +145,8 @@ class Encoder:
         The texts are cut by Arrow, each distinct piece is looked up once, and
         the pieces' ids are put together by their places.
         """
-        if len(texts) > TEXTS:
-            return [x for at in range(0, len(texts), TEXTS) for x in self.encode_all(texts.slice(at, TEXTS))]
+        if len(texts) > self.at_once:
+            return [x for at in range(0, len(texts), self.at_once) for x in self.encode_all(texts.slice(at, self.at_once))]
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         whole = pc.match_substring(texts, "<|")
         if self.rule == "spaces":
@@ -176,11 +177,11 @@ class Encoder:
 
 
 @cache
-def _encoder(path: str, budget: int) -> Encoder:
-    return Encoder(path, budget)
+def _encoder(path: str, budget: int, texts: int | None) -> Encoder:
+    return Encoder(path, budget, texts)
 
 
-def encoder(path: str, budget: int = CACHE_BYTES) -> Encoder:
-    """This worker's encoder of a vocabulary."""
+def encoder(path: str, budget: int = CACHE_BYTES, texts: int | None = None) -> Encoder:
+    """This worker's encoder of a vocabulary, which cuts so many texts at once, or TEXTS."""
     common.alone(f"encoder {path} {budget}", _encoder.cache_clear)
-    return _encoder(path, budget)
+    return _encoder(path, budget, texts)

@@ -119,7 +119,7 @@ def _segments(path: str, end_id: int, budget: int):
 
         from .encode import encoder
 
-        one, end, part, segment = encoder(path, budget), struct.pack("<I", end_id), TaskContext.get().partitionId(), 0
+        one, end, part, segment = encoder(path, budget, 2048), struct.pack("<I", end_id), TaskContext.get().partitionId(), 0
         schema = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("n", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("codes", pa.binary())])
         docs, lengths, ids, n = [], [], [], 0
 
