@@ -387,8 +387,10 @@ def _in_blocks(s: DataFrame, percent: int) -> DataFrame:
 def without_near_copies(docs: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
     """docs' rows, whole, with one document of each component: the one with the smallest doc_id.
 
-    Of rows that share a doc_id and have words one stays. Documents without
-    words and rows without doc_id all stay.
+    Of rows that share a doc_id and have words one stays: that of the least
+    text, and of equal texts the one whose columns have the least hash, so that
+    a repeated task keeps the same. Documents without words and rows without
+    doc_id all stay.
     """
     found = common.cut(jaccard_components(docs, k=k, percent=percent))
     gone = found.filter("doc_id != component_id").select("doc_id").distinct()
@@ -396,4 +398,11 @@ def without_near_copies(docs: DataFrame, *, k: int = 5, percent: int = 80) -> Da
     twice = common.cut(found.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
     if not twice.count():
         return kept
-    return kept.join(_small(twice), "doc_id", "left_anti").select(*docs.columns).union(kept.join(_small(twice), "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    return kept.join(_small(twice), "doc_id", "left_anti").select(*docs.columns).union(_first_of_each(kept.join(_small(twice), "doc_id", "left_semi").select(*docs.columns)))
+
+
+def _first_of_each(rows: DataFrame) -> DataFrame:
+    """One row of each doc_id, by partial aggregates."""
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    first = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(F.struct(*columns), F.struct("text", F.xxhash64(F.to_json(F.struct(*columns))))).alias("_r"))
+    return first.select("_r.*")

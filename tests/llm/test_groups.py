@@ -198,6 +198,14 @@ def test_jaccard_keeps_one_of_each(spark, make_docs, texts):
     assert not jaccard.jaccard_components(make_docs(spark, [])).collect()
 
 
+def test_of_one_id_the_least_text_stays(spark, make_docs):
+    words = [" ".join(f"{a}{i}" for i in range(30)) for a in "zab"]
+    docs = make_docs(spark, [(7, t) for t in words] + [(7, words[1]), (8, words[2])]).withColumn("extra", F.create_map(F.lit("k"), F.rand(3)))
+    for n in (1, 4):
+        kept = jaccard.without_near_copies(docs.repartition(n)).collect()
+        assert [(r.doc_id, r.text) for r in kept] == [(7, words[1])]
+
+
 def test_word_splitting_is_the_contracts():
     for t in ("A\x0bb\x0cC d e f", "É É  x", "\x1ca\x1db"):
         w = re.findall(r"[^\x20\x09-\x0d]+", t.translate(LOWER))
