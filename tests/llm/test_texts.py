@@ -3,6 +3,7 @@
 import hashlib
 import html
 import itertools
+import math
 import random
 import re
 import time
@@ -67,6 +68,49 @@ def test_toxicity(spark, make_docs, texts):
     assert not toxicity.score(make_docs(spark, []), model, "doc_id").collect()
 
 
+_ODDS = {"vile": 2.5, "scum": 1.5, "scum*": 0.4, "nast*": 0.9, "meek": 0.2}
+
+
+def _plain_score(model, text):
+    """The score by definition: the best stretch of words, then the best on either side of it, and the chances of all of them."""
+
+    def odds(word):
+        w = re.sub(r"^[\W_]+|[\W_]+$", "", word)
+        names = [w, *(w[:k] + "*" for k in (4, 5, 6) if len(w) > k)] if w else []
+        return max([_ODDS[x] for x in names if x in _ODDS], default=0.0) - toxicity.DRIFT
+
+    scores = [odds(w) for w in text.lower().split()]
+
+    def stretches(lo, hi):
+        ways = [(sum(scores[a:b]), a - b, a, b) for a in range(lo, hi) for b in range(a + 1, hi + 1)]
+        best = max(ways, default=(0.0, 0, 0, 0))
+        return [] if best[0] <= 1e-9 else [*stretches(lo, best[2]), best[0], *stretches(best[3], hi)]
+
+    n, total = len(scores), 0.0
+    for k, x in enumerate(sorted(stretches(0, n), reverse=True)):
+        told = -math.log(1 - math.exp(-model.scale * n * math.exp(-model.rate * x)))
+        total += told if k == 0 else max(0.0, told - 3.0)
+    return 1 / (1 + math.exp(-(model.bias + model.slope * math.log1p(min(total, toxicity.MOST_EVIDENCE)))))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["vile", "Scum!", "scumbag", "nasty", "meek", "word", "other", "...", "a"]), max_size=18))
+def test_score_is_its_definition(words):
+    model = toxicity.Model(dict(_ODDS), rate=0.8, scale=0.05, bias=-3.0, slope=1.4)
+    text = " ".join(words)
+    assert math.isclose(model.probability(model.evidence(*model.passages(text))), _plain_score(model, text), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_ties_and_repeats_score_alike(spark, make_docs):
+    model = toxicity.Model(dict(_ODDS), rate=0.8, scale=0.05, bias=-3.0, slope=1.4)
+    docs = [(1, "vile word vile"), (2, "word vile vile"), (1, "vile word vile"), (3, "scum word vile"), (4, "vile word scum"), (5, "x" * 100_000), (6, "word " * 50_000 + "vile " * 20)]
+    rows = toxicity.score(make_docs(spark, docs), model, "doc_id").collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.doc_id, set()).add(r.score)
+    assert len(rows) == len(docs) and all(len(v) == 1 for v in by.values()) and by[3] == by[4] and min(by[5]) < min(by[1])
+
+
 def test_toxicity_on_held_out_documents(spark, sf_dir):
     from sluicework.llm import common
 
