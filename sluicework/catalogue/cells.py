@@ -85,7 +85,7 @@ cells("rate_reset", {"s": ["concat(event_id % 500)", f"concat({_NOW} + 60)", _HT
 cells("wait_for", {"w": ["10", "10", None, None, None], "o": "user_id", "now": "user_id + event_id % 20", "r": [None, None, "0", "-1", "3"], "t": "user_id + 10"}, lambda: text.wait_for(c("w"), c("o"), c("now"), remaining=c("r"), reset=c("t")), [*["greatest(10 - event_id % 20, 0)"] * 4, None], "BIGINT")
 cells("remaining_fraction", {"l": ["user_id + 1", "100", "0", "100"], "r": ["event_id % 7", "-event_id - 1", "5", None]}, lambda: text.remaining_fraction(c("l"), c("r")), ["(event_id % 7)::DOUBLE / (user_id + 1)", "0.0", None, None], "DOUBLE")
 cells("backoff_ceiling", {"a": "cast(event_id % 45 as int)"}, lambda: text.backoff_ceiling(c("a")), "least(30000, 500 * CAST(pow(2, greatest(event_id % 45 - 1, 0)) AS BIGINT))", "BIGINT")
-cells("retry_decision", {"r": "event_id % 3 <> 0", "i": "event_id % 2 = 0", "m": "user_id % 2 = 0", "a": "cast(event_id % 7 + 1 as int)", "e": "cast(user_id * 40000 as int)", "w": "500"}, lambda: text.retry_decision(c("r"), c("i"), c("m"), c("a"), c("e"), c("w")),
+cells("retry_decision", {"r": "event_id % 3 <> 0", "i": "event_id % 2 = 0", "m": "user_id % 2 = 0", "a": "cast(event_id % 7 + 1 as int)", "e": "user_id * 40000", "w": "500"}, lambda: text.retry_decision(c("r"), c("i"), c("m"), c("a"), c("e"), c("w")),
       "CASE WHEN event_id % 3 = 0 OR (event_id % 2 <> 0 AND user_id % 2 = 0) THEN 'fail' WHEN event_id % 7 + 1 >= 5 OR user_id * 40000 + 500 > 300000 THEN 'exhausted' ELSE 'retry' END")
 cells("idempotent_method", {"m": ["'GET'", "'post'", "'DELETE'", "'POST'", "upper(event_type)"]}, lambda: text.is_idempotent(c("m")), ["true", "false", "true", "false", "true"], "BOOLEAN")
 _ISO = "yyyy-MM-dd'T'HH:mm:ss"

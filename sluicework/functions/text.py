@@ -194,9 +194,9 @@ def backoff_ceiling(attempt: Column, *, initial_ms: int = 500, cap_ms: int = 30_
 
 
 def retry_decision(retryable: Column, idempotent: Column, ambiguous: Column, attempt: Column, elapsed_ms: Column, wait_ms: Column, *, attempts: int = 5, budget_ms: int = 300_000) -> Column:
-    """'fail', 'exhausted' or 'retry' after a failed attempt."""
+    """'fail', 'exhausted' or 'retry' after a failed attempt; the milliseconds may be of any integer type, and their sum is a long."""
     may = retryable & (idempotent | ~ambiguous)
-    return F.when(~may, "fail").when(attempt >= attempts, "exhausted").when(elapsed_ms + wait_ms > budget_ms, "exhausted").otherwise("retry")
+    return F.when(~may, "fail").when(attempt >= attempts, "exhausted").when(elapsed_ms.cast("bigint") + wait_ms > budget_ms, "exhausted").otherwise("retry")
 
 
 def is_idempotent(method: Column) -> Column:
