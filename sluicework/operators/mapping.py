@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import coerce
-from ..workers import cut, small
+from ..workers import cut, side, small
 
 # Fields that the table itself keeps.
 SYSTEM = ("sys_id", "sys_created_on", "sys_updated_on", "sys_mod_count", "sys_created_by", "sys_updated_by")
@@ -141,30 +141,33 @@ def inheritance(tables: DataFrame, *, depth: int = 32) -> DataFrame:
     """
     own = tables.filter("sys_id IS NOT NULL AND name IS NOT NULL").groupBy("sys_id").agg(F.min(F.struct("name", "super_class")).alias("t")).select("sys_id", "t.*")
     own = cut(own)
+    n = own.count()  # all but known has a row for each table at most
     known = own.select("sys_id", F.col("sys_id").alias("at"), F.lit(0).alias("level"))
-    jumps = own.join(own.select(F.col("sys_id").alias("up")), F.col("super_class") == F.col("up")).select("sys_id", "up")  # whose parent is there
+    jumps = own.join(side(own.select(F.col("sys_id").alias("up")), n), F.col("super_class") == F.col("up")).select("sys_id", "up")  # whose parent is there
     reach = 1
     while reach < depth:
-        further = jumps.join(known.select(F.col("sys_id").alias("up"), "at", "level"), "up").select("sys_id", "at", (F.col("level") + reach).alias("level"))
+        further = known.select(F.col("sys_id").alias("up"), "at", "level").join(side(jumps, n), "up").select("sys_id", "at", (F.col("level") + reach).alias("level"))
         known = known.union(further).filter(F.col("level") < depth).groupBy("sys_id", "at").agg(F.min("level").alias("level"))
-        known, jumps = cut(known), cut(jumps.join(jumps.select(F.col("sys_id").alias("up"), F.col("up").alias("next")), "up").select("sys_id", F.col("next").alias("up")))
+        known, jumps = cut(known), cut(jumps.join(side(jumps.select(F.col("sys_id").alias("up"), F.col("up").alias("next")), n), "up").select("sys_id", F.col("next").alias("up")))
         reach *= 2
     names = own.select("sys_id", "name")
     above = names.select(F.col("sys_id").alias("at"), F.col("name").alias("ancestor"))
-    return known.join(names, "sys_id").join(above, "at").select("name", "ancestor", "level")
+    return known.join(side(names, n), "sys_id").join(side(above, n), "at").select("name", "ancestor", "level")
 
 
 def inherited_columns(tables: DataFrame, dictionary: DataFrame, *, depth: int = 32) -> DataFrame:
     """Every column of every table, its own and inherited ones: name, element, level (of the nearest table that declares it).
 
     dictionary has name (of a table) and element; blank elements describe tables.
-    Every table has sys_id.
+    Every table has sys_id. Rows are dealt before they are grouped, so that no
+    task groups what it made of few rows: a partition is as large as Spark
+    makes it of the bytes that it finds.
     """
     chains = inheritance(tables, depth=depth)
-    told = dictionary.filter(F.coalesce(F.trim("element"), F.lit("")) != "").select(F.col("name").alias("ancestor"), "element").distinct()
-    found = chains.join(told, "ancestor").select("name", "element", "level")
+    told = cut(dictionary.filter(F.coalesce(F.trim("element"), F.lit("")) != "").select(F.col("name").alias("ancestor"), "element").repartition("ancestor", "element").distinct())
+    found = chains.join(side(told, told.count()), "ancestor").select("name", "element", "level")
     always = chains.filter("level = 0").select("name", F.lit("sys_id").alias("element"), "level")
-    return found.union(always).groupBy("name", "element").agg(F.min("level").alias("level"))
+    return found.union(always).repartition("name").groupBy("name", "element").agg(F.min("level").alias("level"))
 
 
 def apply_dictionary(df: DataFrame, columns: DataFrame, policy: str, *, table_column: str = "table", body_column: str = "body") -> DataFrame:

@@ -103,6 +103,20 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+#: Rows of a side that side() broadcasts at most.
+SIDE_ROWS = 100_000
+
+
+def side(df: DataFrame, rows: int) -> DataFrame:
+    """A side of a join, of so many rows: broadcast if they are few, else shuffled.
+
+    The planner guesses bytes from those of the files below, without what an
+    explode or a longer text adds, and would send millions of rows to each
+    executor whole.
+    """
+    return F.broadcast(df) if rows <= SIDE_ROWS else df.hint("merge")
+
+
 class Files:
     """Files of one folder through the cluster's file system."""
 

@@ -3,8 +3,9 @@
 import oracle
 from pyspark.sql import functions as F
 
-from sluicework import catalogue
+from sluicework import catalogue, workers
 from sluicework.functions import text
+from sluicework.operators import mapping as mp
 
 
 def test_retry_decision_with_many_users(spark, tmp_path):
@@ -20,3 +21,20 @@ def test_elapsed_times_add_up_as_longs(spark):
     df = spark.createDataFrame([(2**31 - 1, 500)], "e int, w int")
     got = df.select(text.retry_decision(F.lit(True), F.lit(True), F.lit(False), F.lit(1), F.col("e"), F.col("w"))).first()[0]
     assert got == "exhausted"
+
+
+def _dictionary(spark):
+    tables = spark.createDataFrame([(str(i), f"t{i}", str(i // 3) if i else None) for i in range(60)], "sys_id string, name string, super_class string")
+    return tables, spark.createDataFrame([(f"t{i}", f"u_{i % 7}") for i in range(60) for _ in range(2)], "name string, element string")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_tables_are_not_broadcast_nor_grouped_where_they_are_made(spark, monkeypatch):
+    few = {tuple(r) for r in mp.inherited_columns(*_dictionary(spark)).collect()}
+    monkeypatch.setattr(workers, "SIDE_ROWS", 59, raising=False)
+    cols = mp.inherited_columns(*_dictionary(spark))
+    assert "Broadcast" not in _plan(cols) and "REPARTITION_BY_COL" in _plan(cols)
+    assert {tuple(r) for r in cols.collect()} == few and len(few) > 200
