@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import coerce
-from ..workers import cut, side, small
+from ..workers import cut, side
 
 # Fields that the table itself keeps.
 SYSTEM = ("sys_id", "sys_created_on", "sys_updated_on", "sys_mod_count", "sys_created_by", "sys_updated_by")
@@ -177,8 +177,8 @@ def apply_dictionary(df: DataFrame, columns: DataFrame, policy: str, *, table_co
     one sorted array, of which there is one for each table. A table that isn't
     there has no columns, which is an error of its own where unknown fields fail.
     """
-    known = columns.groupBy(F.col("name").alias("_known_table")).agg(F.array_sort(F.collect_set("element")).alias("_known"))
-    joined = df.join(small(cut(known)), F.col(table_column) == F.col("_known_table"), "left")
+    known = cut(columns.groupBy(F.col("name").alias("_known_table")).agg(F.array_sort(F.collect_set("element")).alias("_known")))
+    joined = df.join(side(known, known.count()), F.col(table_column) == F.col("_known_table"), "left")
     out = _unknown(joined, F.coalesce("_known", F.array().cast("array<string>")), policy, body_column)
     error = F.when(F.col("_known").isNull() & F.lit(policy == "fail"), F.concat(F.lit("no such table: "), F.coalesce(table_column, F.lit("")))).otherwise(F.col("unknown_error"))
     return out.withColumn("unknown_error", error).drop("_known_table", "_known")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from sluicework import catalogue, workers
 from sluicework.functions import text
 from sluicework.operators import mapping as mp
+from sluicework.workers import cut
 
 
 def test_retry_decision_with_many_users(spark, tmp_path):
@@ -38,3 +39,13 @@ def test_many_tables_are_not_broadcast_nor_grouped_where_they_are_made(spark, mo
     cols = mp.inherited_columns(*_dictionary(spark))
     assert "Broadcast" not in _plan(cols) and "REPARTITION_BY_COL" in _plan(cols)
     assert {tuple(r) for r in cols.collect()} == few and len(few) > 200
+
+
+def test_many_tables_columns_are_not_broadcast(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"t{i}", {"u_1": "a", f"u_{i % 9}": "b", "number": "c"}) for i in range(70)], "n int, table string, body map<string,string>")
+    cols = cut(mp.inherited_columns(*_dictionary(spark)))
+    few = sorted((r.n, sorted(r.body), r.dropped) for r in mp.apply_dictionary(rows, cols, "report").collect())
+    monkeypatch.setattr(workers, "SIDE_ROWS", 59, raising=False)
+    out = mp.apply_dictionary(rows, cols, "report")
+    assert "Broadcast" not in _plan(out)
+    assert sorted((r.n, sorted(r.body), r.dropped) for r in out.collect()) == few
