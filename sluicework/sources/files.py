@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import is_id
-from ..workers import cut
+from ..workers import cut, side
 
 #: Why a line or row is left out; those that only are headers, comments or blank aren't counted at all.
 SKIPPED = "skipped"
@@ -40,11 +40,13 @@ def read_dump(lines: DataFrame) -> DataFrame:
 _BLOCK = ("file", "block")
 
 
-def _opened(segments: Column) -> Column:
-    """Brackets that segments of text open, less those that they close."""
-    text = F.array_join(segments, "")
-    none = F.length(F.translate(text, "[]{}", ""))
-    return ((F.length(F.translate(text, "]}", "")) - none) - (F.length(F.translate(text, "[{", "")) - none)).cast("long")
+#: Bytes of text for each partition to which blocks are dealt; Spark itself would put what is compressed to 64 MB into one, and text grows much in a sort.
+_DEALT = 16 << 20
+
+
+def _opened(marks: Column) -> Column:
+    """Brackets that a text opens, less those that it closes."""
+    return (F.length(F.translate(marks, "]}", "")) - F.length(F.translate(marks, "[{", ""))).cast("long")
 
 
 def fragments(spark: SparkSession, path: str) -> DataFrame:
@@ -57,9 +59,11 @@ def fragments(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = spark.read.option("lineSep", "}").text(path)
     f = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("text"))
-    parts = F.split(F.regexp_replace("text", r"\\[\s\S]", ""), '"')
-    even, odd = F.filter(parts, lambda _, i: i % 2 == 0), F.filter(parts, lambda _, i: i % 2 == 1)
-    return f.withColumns({"quotes": (F.size(parts) - 1).cast("long"), "outside": _opened(even), "inside": _opened(odd)})
+    # only quotes and brackets are left, so that what is counted is short; a select each, or each use would make them again
+    f = f.withColumn("marks", F.regexp_replace("text", r"\\[\s\S]|[^\"\[\]{}\\]+", ""))
+    f = f.withColumn("even", F.regexp_replace("marks", r'"[^"]*(?:"|$)', ""))
+    f = f.withColumns({"quotes": (F.length("marks") - F.length(F.translate("marks", '"', ""))).cast("long"), "outside": _opened(F.col("even"))})
+    return f.withColumn("inside", _opened(F.col("marks")) - F.col("outside")).drop("marks", "even")
 
 
 def _sum_before(c: Column, w) -> Column:
@@ -85,7 +89,8 @@ def _placed(f: DataFrame) -> DataFrame:
     b = b.withColumn("base", _sum_before(F.when(F.col("begins_in") == 0, F.col("out")).otherwise(F.col("in")), in_file))
     whole = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     b = b.select(*_BLOCK, "begins_in", "base", F.when(F.col("block") == F.max("block").over(whole), F.col("end")).alias("end"), F.first("sign", ignorenulls=True).over(whole).alias("sign"))
-    f = f.join(b, list(_BLOCK))
+    b = cut(b)
+    f = f.join(side(b, b.count()), list(_BLOCK))
     outside = F.col("begins_in") == 0
     depth = F.col("base") + F.when(outside, F.col("out_before") + F.col("out")).otherwise(F.col("in_before") + F.col("in"))
     return f.select(*_BLOCK, "at", "text", depth.alias("depth"), ((F.col("begins_in") + F.col("ends_odd")) % 2 == 1).alias("in_string"), (F.col("end").isNotNull() & (F.col("at") == F.col("end"))).alias("last"), "sign")
@@ -102,13 +107,16 @@ def read_rows(spark: SparkSession, path: str) -> DataFrame:
     of the result has no text, only the elements behind the last object. A text
     that is no export, or ends before its list does, raises.
     """
-    f = _placed(fragments(spark, path))
+    held = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]  # a listing: no content is read
+    parts = max(spark.sparkContext.defaultParallelism, -(-(held or 0) // _DEALT))
+    f = _placed(fragments(spark, path).repartition(parts, *_BLOCK))
     level = F.when(F.col("sign") == "{", 2).otherwise(1)
-    f = cut(f.withColumn("ends", ~F.col("in_string") & (F.col("depth") - 1 == level) & ~F.col("last")))
+    f = f.withColumn("ends", ~F.col("in_string") & (F.col("depth") - 1 == level) & ~F.col("last"))
     counts = f.groupBy(*_BLOCK).agg(F.count_if("ends").alias("rows"))
     counts = counts.select(*_BLOCK, _sum_before(F.col("rows"), W.partitionBy("file").orderBy("block")).alias("first"))
+    counts = cut(counts)
     n = F.col("first") + _sum_before(F.col("ends").cast("long"), W.partitionBy(*_BLOCK).orderBy("at"))
-    g = f.join(counts, list(_BLOCK)).withColumn("n", n).groupBy("file", "n").agg(
+    g = f.join(side(counts, counts.count()), list(_BLOCK)).repartition(parts, *_BLOCK).withColumn("n", n).groupBy("file", "n").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "at", "text"))), lambda x: x["text"]), "}").alias("text"),
         F.max("ends").alias("whole"), F.max(F.when(F.col("last"), F.struct("in_string", "depth"))).alias("end"), F.first("sign").alias("sign"),
     )

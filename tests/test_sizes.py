@@ -1,11 +1,14 @@
 """Queries on keys and sizes that larger tables bring."""
 
+import json
+
 import oracle
 from pyspark.sql import functions as F
 
 from sluicework import catalogue, workers
 from sluicework.functions import text
 from sluicework.operators import mapping as mp
+from sluicework.sources import files
 from sluicework.workers import cut
 
 
@@ -49,3 +52,19 @@ def test_many_tables_columns_are_not_broadcast(spark, monkeypatch):
     out = mp.apply_dictionary(rows, cols, "report")
     assert "Broadcast" not in _plan(out)
     assert sorted((r.n, sorted(r.body), r.dropped) for r in out.collect()) == few
+
+
+def test_an_export_is_dealt_by_its_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(files, "_DEALT", 400, raising=False)
+    monkeypatch.setattr(workers, "SIDE_ROWS", 100_000)
+    rows = [{"sys_id": f"{i:032x}", "sys_updated_on": {"value": f"2026-01-01 00:00:{i:02d}", "x": 'a "}{" b\\'}, "sys_mod_count": str(i), "text": "}, {\\\"[ "} for i in range(40)]
+    (tmp_path / "e.json").write_text(json.dumps({"result": ["none", *rows]}, indent=1))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500b")
+    try:
+        out = files.read_export(spark, f"{tmp_path}/e.json")
+        assert "REPARTITION_BY_NUM" in _plan(out)
+        got = sorted(map(tuple, out.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == sorted([(r["sys_id"], r["sys_updated_on"]["value"], r["sys_mod_count"], None) for r in rows] + [(None, None, None, "skipped")], key=str)
