@@ -17,21 +17,25 @@ BATCHES = 4
 
 
 def streamed(spark: SparkSession, rows: DataFrame, arrival: str, run: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """What run makes of a stream of rows that come in BATCHES files, in the order of arrival."""
-    path = new_path(spark, "arrivals")
+    """What run makes of a stream of rows that come in BATCHES batches, in the order of a whole arrival, those without one last.
+
+    A batch is written by as many tasks as read its rows. Files of one batch have
+    no order, so the stream starts again for each and takes what is new at once.
+    """
+    path, out, progress = new_path(spark, "arrivals"), new_path(spark, "streamed"), new_path(spark, "progress")
     lowest, highest = rows.agg(F.min(arrival), F.max(arrival)).first()
-    for i in range(BATCHES if lowest is not None else 1):
-        part = rows.filter(F.floor((F.col(arrival) - lowest) * BATCHES / (highest - lowest + 1)) == i) if lowest is not None else rows
-        part.coalesce(1).write.mode("append").parquet(path)  # a file each, so that they are read in this order
-    out, provider = new_path(spark, "streamed"), "spark.sql.streaming.stateStore.providerClass"
+    edges = [lowest - (lowest - highest - 1) * i // BATCHES for i in range(1, BATCHES)] if lowest is not None else []
+    provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     spark.conf.set(provider, versions.PROVIDER)
     try:
-        stream = run(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path))
-        query = stream.writeStream.format("parquet").option("checkpointLocation", new_path(spark, "progress")).option("path", out).trigger(availableNow=True).start()
+        for low, high in zip([None, *edges], [*edges, None], strict=True):
+            part = rows if low is None else rows.filter((F.col(arrival) >= low) | F.col(arrival).isNull() if high is None else F.col(arrival) >= low)
+            (part if high is None else part.filter(F.col(arrival) < high)).write.mode("append").parquet(path)
+            stream = run(spark.readStream.schema(rows.schema).parquet(path))
+            stream.writeStream.format("parquet").option("checkpointLocation", progress).option("path", out).trigger(availableNow=True).start().awaitTermination()
     finally:
         spark.conf.set(provider, before)
-    query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -41,7 +45,7 @@ def streamed(spark: SparkSession, rows: DataFrame, arrival: str, run: Callable[[
  SELECT event_id, user_id, event_type FROM o JOIN events USING (event_id)""")
 def dedup_bounded(spark, sf_dir):
     """Versions that aren't among the last fifty new ones of their stream."""
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type").filter("event_id IS NOT NULL")
     return streamed(spark, e, "event_id", lambda s: versions.dedup_bounded(s, 50, stream="event_type", version=["user_id"], arrival="event_id"))
 
 
@@ -51,6 +55,6 @@ def order_guard(spark, sf_dir):
     """Every arrival, and whether it breaks its lane's order, the lane being followed over batches."""
 
     def guarded(s: DataFrame) -> DataFrame:
-        return versions.guard_order(s, lane="user_id", ts="ts", sys_id=F.lpad(F.col("event_id").cast("string"), 20, "0"), arrival="arrival")
+        return versions.guard_order(s, lane="user_id", ts="ts", sys_id=F.lpad(F.col("event_id").cast("string"), 20, "0"), arrival="arrival", keep=["user_id", "arrival"])
 
-    return streamed(spark, arrivals(spark, sf_dir), "arrival", guarded).select("user_id", "arrival", "violates")
+    return streamed(spark, arrivals(spark, sf_dir), "arrival", guarded)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,34 +90,58 @@ def dedup_bounded(df: DataFrame, size: int, *, stream: Column | str, version: li
     return keyed.groupBy("sluice_stream").transformWithStateInPandas(SeenVersions(size), df.schema, "Append", "None")
 
 
-class LastPlace(StatefulProcessor):
-    """The place of a lane's last row, to which the next one is compared."""
+class LastPlaces(StatefulProcessor):
+    """The places of the last rows of a bucket's lanes, to which their next rows are compared.
+
+    Of a batch each bucket is one call, however many lanes it has, and each
+    lane's place is read and written once.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "ts timestamp, id string")
+        self.last = handle.getMapState("last", "lane string", "second bigint, id string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        whole = _in_order(rows)
-        before = self.last.get() if self.last.exists() else None
-        late = []
-        for at in zip(whole["sluice_ts"], whole["sluice_id"], strict=True):
-            late.append(before is not None and at <= (pd.Timestamp(before[0]), before[1]))
-            before = at
-        self.last.update((before[0].to_pydatetime(), before[1]))
-        yield whole.assign(violates=late).drop(columns=["sluice_arrival", "sluice_ts", "sluice_id", "sluice_lane"])
+        whole = pd.concat(rows, ignore_index=True)
+        codes, names = pd.factorize(whole["sluice_lane"].to_numpy(dtype=object), use_na_sentinel=False)
+        order = whole["sluice_arrival"].sort_values(kind="stable").index.to_numpy()
+        order = order[np.argsort(codes[order], kind="stable")]  # lane by lane, each as it arrived
+        seconds, ids = whole["sluice_second"].to_numpy(dtype=float)[order], whole["sluice_id"].to_numpy(dtype=object)[order]
+        starts = np.flatnonzero(np.diff(codes[order], prepend=-1))
+        seconds0, ids0 = np.roll(seconds, 1), np.roll(ids, 1)
+        for start, end, name in zip(starts, [*(starts[1:] - 1), len(order) - 1], names, strict=True):
+            lane = (None if pd.isna(name) else name,)
+            second, ids0[start] = self.last.getValue(lane) or (None, None)
+            seconds0[start] = np.nan if second is None else second
+            self.last.updateValue(lane, (None if np.isnan(seconds[end]) else int(seconds[end]), ids[end]))
+        late = seconds < seconds0  # never where a second is missing
+        for i in np.flatnonzero(seconds == seconds0):
+            late[i] = ids[i] is not None and ids0[i] is not None and ids[i] <= ids0[i]
+        violates = np.empty(len(late), dtype=bool)
+        violates[order] = late
+        yield whole.drop(columns=["sluice_arrival", "sluice_second", "sluice_id", "sluice_lane", "sluice_bucket"]).assign(violates=violates)
 
     def close(self) -> None:
         """Nothing is held outside of the state."""
 
 
-def guard_order(df: DataFrame, *, lane: str, ts: str, sys_id: Column, arrival: str) -> DataFrame:
+def guard_order(df: DataFrame, *, lane: str, ts: str, sys_id: Column, arrival: str, keep: list[str] | None = None, buckets: int = 1024) -> DataFrame:
     """Rows of a stream with `violates`: not strictly after the (second, id) of the row that came before it in its lane.
 
-    Ids are compared as texts, so numbers should come padded. A lane is compared
-    over batches and restarts; what violates is for the caller to route. State
-    is one place for each lane.
+    Ids are compared as texts, so numbers should come padded; a row without a
+    second isn't late, nor is the next one, and in one second the same holds for
+    ids. A lane is compared over batches and restarts; what violates is for the
+    caller to route. keep names the columns to return, all by default: each
+    costs its way through Python. State is one place for each lane. Lanes are
+    dealt to buckets, so that a batch's calls are bounded; a task takes a
+    bucket's rows of a batch into memory. A checkpoint holds for one number of
+    buckets.
     """
     ship(df.sparkSession)
-    keyed = df.withColumns({"sluice_ts": F.date_trunc("second", ts).cast("timestamp"), "sluice_id": sys_id.cast("string"), "sluice_arrival": F.col(arrival), "sluice_lane": F.col(lane).cast("string")})
-    out = T.StructType([*df.schema.fields, T.StructField("violates", T.BooleanType())])
-    return keyed.groupBy("sluice_lane").transformWithStateInPandas(LastPlace(), out, "Append", "None")
+    kept = df.select(*(df.columns if keep is None else keep))
+    own = F.col(lane).cast("string")
+    keyed = df.select(
+        *kept.columns, F.col(arrival).alias("sluice_arrival"), F.unix_seconds(F.col(ts).cast("timestamp")).alias("sluice_second"), sys_id.cast("string").alias("sluice_id"), own.alias("sluice_lane"),
+        F.pmod(F.xxhash64(own), F.lit(buckets)).cast("int").alias("sluice_bucket"),
+    )
+    out = T.StructType([*kept.schema.fields, T.StructField("violates", T.BooleanType())])
+    return keyed.groupBy("sluice_bucket").transformWithStateInPandas(LastPlaces(), out, "Append", "None")

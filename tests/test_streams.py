@@ -6,10 +6,12 @@ import random
 import re
 from collections import OrderedDict
 
+import oracle
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from sluicework.catalogue import QUERIES
+from sluicework.catalogue import ORACLE_SQL, QUERIES, streams
 from sluicework.operators import change, shape
 from sluicework.streaming import versions
 
@@ -77,6 +79,69 @@ def test_order_guard_follows_lanes_over_restarts(spark, rocks, tmp_path):
     assert {r.arrival: r.violates for r in spark.read.parquet(f"{tmp_path}/out").collect()} == want and any(want.values())
 
 
+def test_a_batch_calls_python_once_for_many_lanes():
+    class Places(dict):
+        def getValue(self, key):  # noqa: N802
+            return self.get(key)
+
+        updateValue = dict.__setitem__  # noqa: N815
+
+    guard = versions.LastPlaces()
+    guard.last = Places({("b",): (7, "x")})
+    names = ["n", "sluice_arrival", "sluice_second", "sluice_id", "sluice_lane", "sluice_bucket"]
+    few = [(3, 9, "a", "b"), (1, 7, "x", "b"), (2, 9, "b", "b"), (4, None, "c", "b"), (5, 1, None, "b"), (6, 1, "a", "b"), (9, 5, "a", None), (8, 5, "a", None)]
+    frame = pd.DataFrame([(n, n, second, sys_id, lane, 0) for n, second, sys_id, lane in few], columns=names)
+    many = pd.DataFrame([(100 + i, i, 5, "a", f"l{i}", 0) for i in range(500)], columns=names)
+    (out,) = guard.handleInputRows((0,), iter([frame, many]), None)
+    assert set(out.n[out.violates]) == {1, 3, 9} and len(out) == 508 and list(out.columns) == ["n", "violates"]
+    assert guard.last[("b",)] == (1, "a") and guard.last[(None,)] == (5, "a") and len(guard.last) == 502
+
+
+def test_order_guard_over_restarts_where_cells_are_missing(spark, rocks, tmp_path):
+    rng = random.Random(3)
+    schema = "arrival long, lane int, at timestamp, id string"
+    import datetime
+
+    start = datetime.datetime(2026, 1, 1)
+    rows = [(i, rng.choice([None, *range(9)]), rng.choice([None, start + datetime.timedelta(seconds=i // 20, milliseconds=rng.randrange(999))]), rng.choice([None, f"{rng.randrange(9)}"])) for i in range(300)]
+    last, want = {}, {}
+    for arrival, lane, at, sys_id in rows:
+        at = at and at.replace(microsecond=0)
+        at0, id0 = last.get(lane, (None, None))
+        want[arrival] = bool(at and at0) and (at < at0 or at == at0 and sys_id is not None and id0 is not None and sys_id <= id0)
+        last[lane] = at, sys_id
+    for part in range(3):
+        feed(spark, rows[part * 100 : part * 100 + 100], schema, tmp_path)
+        source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        run(versions.guard_order(source, lane="lane", ts="at", sys_id=F.col("id"), arrival="arrival", keep=["arrival"], buckets=3), tmp_path)
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert {r.arrival: r.violates for r in got.collect()} == want and any(want.values()) and got.columns == ["arrival", "violates"]
+
+
+@pytest.mark.parametrize("name", ["order_guard", "dedup_bounded"])
+def test_a_batch_is_written_by_many_tasks_and_whole(spark, monkeypatch, tmp_path, name):
+    lane = "id % 7" if name == "dedup_bounded" else "if(id % 7 = 0, null, id % 7)"
+    ids = "if(id = 77, null, id)"
+    spark.range(0, 400, 1, 8).selectExpr(f"{ids} AS event_id", f"{lane} AS user_id", "timestamp_ntz '2026-01-01' + make_dt_interval(0, 0, 0, id) AS ts", "if(id % 2 = 0, 'a', 'b') AS event_type").write.parquet(f"{tmp_path}/events.parquet")
+    paths, fresh = {}, streams.new_path
+    monkeypatch.setattr(streams, "new_path", lambda spark, what: paths.setdefault(what, fresh(spark, what)))
+    before = spark.conf.get("spark.sql.files.openCostInBytes"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000b")
+    try:
+        out = QUERIES[name](spark, str(tmp_path))
+        got = oracle.bag(out.columns, out.collect())
+        files = len(spark.read.parquet(paths["arrivals"]).inputFiles())
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before[0])
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[1])
+    c = oracle.duckdb.connect()
+    c.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    found = c.execute(ORACLE_SQL[name])
+    assert got == oracle.bag([d[0] for d in found.description], found.fetchall()) and sum(got.values()) == (400 if name == "order_guard" else 14)
+    assert files > streams.BATCHES
+
+
 def test_fields_grow_with_batches(spark):
     rows = [(1, 1, ["a"]), (1, 2, ["b", "a"]), (2, 1, None), (2, 2, []), (3, 2, ["d", "c"]), (3, 1, ["c_display_value", "a"]), (4, 1, ["a"])]
     df = spark.createDataFrame(rows, "batch int, place int, names array<string>").repartition(3)
